@@ -16,3 +16,166 @@ FROM m
 WHERE nb_words_ratio > 0.5 AND nb_words_ratio < 1.5 AND bow_diff > 6
   AND NOT {C.inner_identical('plagiat_sent', 'source_sent')}
 """
+
+WS = C.WS
+
+ORACLE_SQL["sentences"] = f"WITH {C.SENTENCES} SELECT doc_id, ix, sent FROM sentences"
+
+ORACLE_SQL["sentence_offsets"] = rf"""
+WITH pl AS (
+  SELECT doc_id, string_split(regexp_replace(text, '([.!?])({WS})', '\1' || chr(1) || '\2', 'g'), chr(1)) AS pieces
+  FROM documents
+), pe AS (
+  SELECT doc_id, generate_subscripts(pieces, 1) AS pi, unnest(pieces) AS piece FROM pl
+), pw AS (
+  SELECT doc_id, pi, piece,
+         coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pstart,
+         regexp_replace(piece, '^{WS}+|{WS}+$', '', 'g') AS sent
+  FROM pe
+), kept AS (
+  SELECT doc_id, pi, sent,
+         CAST(pstart + length(piece) - length(regexp_replace(piece, '^{WS}+', '')) AS BIGINT) AS start
+  FROM pw WHERE sent <> ''
+)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pi) - 1 AS BIGINT) AS ix,
+       start, CAST(start + length(sent) AS BIGINT) AS "end", sent
+FROM kept
+"""
+
+ORACLE_SQL["sentence_length_filter"] = f"""
+WITH {C.SENTENCES}
+SELECT doc_id, ix, CAST(len(tok) AS BIGINT) AS n_tok FROM tok_sentences WHERE len(tok) BETWEEN 5 AND 40
+"""
+
+ORACLE_SQL["tokens"] = f"""
+WITH {C.SENTENCES}
+SELECT doc_id, ix, CAST(len(tok) AS BIGINT) AS n_tok, array_to_string(tok, ' ') AS tokens FROM tok_sentences
+"""
+
+GERMAN_SW = "['aber', 'als', 'am', 'an', 'auch', 'auf', 'aus', 'bei', 'bin', 'bis', 'bist', 'da', 'dadurch', 'daher', 'darum', 'das', 'daß', 'dass', 'dein', 'deine', 'dem', 'den', 'der', 'des', 'dessen', 'deshalb', 'die', 'dies', 'dieser', 'dieses', 'doch', 'dort', 'du', 'durch', 'ein', 'eine', 'einem', 'einen', 'einer', 'eines', 'er', 'es', 'euer', 'eure', 'für', 'hatte', 'hatten', 'hattest', 'hattet', 'hier', 'hinter', 'ich', 'ihr', 'ihre', 'im', 'in', 'ist', 'ja', 'jede', 'jedem', 'jeden', 'jeder', 'jedes', 'jener', 'jenes', 'jetzt', 'kann', 'kannst', 'können', 'könnt', 'machen', 'mein', 'meine', 'mit', 'muß', 'mußt', 'musst', 'müssen', 'müßt', 'nach', 'nachdem', 'nein', 'nicht', 'nun', 'oder', 'seid', 'sein', 'seine', 'sich', 'sie', 'sind', 'soll', 'sollen', 'sollst', 'sollt', 'sonst', 'soweit', 'sowie', 'und', 'unser', 'unsere', 'unter', 'vom', 'von', 'vor', 'wann', 'warum', 'was', 'weiter', 'weitere', 'wenn', 'wer', 'werde', 'werden', 'werdet', 'weshalb', 'wie', 'wieder', 'wieso', 'wir', 'wird', 'wirst', 'wo', 'woher', 'wohin', 'zu', 'zum', 'zur', 'über']"
+LANG_LISTS = {
+    "de": "['aber', 'als', 'am', 'an', 'auch', 'auf', 'aus', 'bei', 'bin', 'bis', 'bist', 'da', 'dadurch', 'daher', 'darum', 'das', 'daß', 'dass', 'dein', 'deine', 'dem', 'den', 'der', 'des', 'dessen', 'deshalb', 'die', 'dies', 'dieser', 'dieses', 'doch', 'dort', 'du', 'durch', 'ein', 'eine', 'einem', 'einen', 'einer', 'eines', 'er', 'es', 'euer', 'eure', 'für', 'hatte', 'hatten', 'hattest', 'hattet', 'hier', 'hinter', 'ich', 'ihr', 'ihre', 'im', 'in', 'ist', 'ja', 'jede', 'jedem', 'jeden', 'jeder', 'jedes', 'jener', 'jenes', 'jetzt', 'kann', 'kannst', 'können', 'könnt', 'machen', 'mein', 'meine', 'mit', 'muß', 'mußt', 'musst', 'müssen', 'müßt', 'nach', 'nachdem', 'nein', 'nicht', 'nun', 'oder', 'seid', 'sein', 'seine', 'sich', 'sie', 'sind', 'soll', 'sollen', 'sollst', 'sollt', 'sonst', 'soweit', 'sowie', 'und', 'unser', 'unsere', 'unter', 'vom', 'von', 'vor', 'wann', 'warum', 'was', 'weiter', 'weitere', 'wenn', 'wer', 'werde', 'werden', 'werdet', 'weshalb', 'wie', 'wieder', 'wieso', 'wir', 'wird', 'wirst', 'wo', 'woher', 'wohin', 'zu', 'zum', 'zur', 'über']",
+    "en": "['the', 'of', 'and', 'to', 'a', 'in', 'is', 'that', 'it', 'for', 'was', 'on', 'with', 'by', 'as', 'this', 'are', 'from']",
+    "es": "['el', 'la', 'los', 'las', 'que', 'y', 'en', 'del', 'se', 'por', 'un', 'una', 'con', 'para', 'su', 'al']",
+    "fr": "['le', 'la', 'les', 'des', 'et', 'du', 'un', 'une', 'que', 'qui', 'pour', 'est', 'dans', 'sur', 'au', 'avec']",
+}
+
+ORACLE_SQL["stopword_filter"] = rf"""
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}') AS t FROM documents),
+k AS (SELECT doc_id, t, list_filter(t, lambda x: NOT list_contains({GERMAN_SW}, x)) AS kept FROM t)
+SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, CAST(len(kept) AS BIGINT) AS n_kept, array_to_string(kept, ' ') AS kept FROM k
+"""
+
+
+def detect_sql(expr: str) -> str:
+    words = rf"regexp_extract_all(lower({expr}), '[\p{{L}}\p{{N}}]+')"
+    parts = []
+    for code in sorted(LANG_LISTS):
+        parts.append(f"{{'hits': len(list_filter({words}, lambda w: list_contains({LANG_LISTS[code]}, w))), 'code': '{code}'}}")
+    arr = "[" + ", ".join(parts) + "]"
+    best = f"list_sort(list_transform({arr}, lambda s: {{'neg': -s.hits, 'code': s.code, 'hits': s.hits}}))[1]"
+    return f"(CASE WHEN ({best}).hits > 0 THEN ({best}).code END)"
+
+
+ORACLE_SQL["detect_language"] = f"SELECT doc_id, lang, {detect_sql('text')} AS detected FROM documents"
+
+ORACLE_SQL["language_confusion"] = f"""
+SELECT lang, detected, count(*) AS n FROM ({ORACLE_SQL['detect_language']}) GROUP BY lang, detected
+"""
+
+ORACLE_SQL["bow_difference"] = f"""
+WITH {C.LEAD_PAIRS}
+SELECT src_doc, src_ix, plag_doc, plag_ix, {C.bow_diff('plag_tok', 'src_tok')} AS bow_diff FROM lead_pairs
+"""
+
+ORACLE_SQL["word_ratio"] = f"""
+WITH {C.LEAD_PAIRS}
+SELECT src_doc, src_ix, plag_doc, plag_ix, CAST(len(plag_tok) AS DOUBLE) / CAST(len(src_tok) AS DOUBLE) AS nb_words_ratio
+FROM lead_pairs
+"""
+
+ORACLE_SQL["jaccard"] = f"""
+WITH {C.LEAD_PAIRS},
+j AS (SELECT *, {C.tokens_all('plagiat_sent')} AS a, {C.tokens_all('source_sent')} AS b FROM lead_pairs)
+SELECT src_doc, src_ix, plag_doc, plag_ix,
+       CASE WHEN len(list_distinct(list_concat(a, b))) = 0 THEN NULL
+            ELSE CAST(len(list_intersect(list_distinct(a), list_distinct(b))) AS DOUBLE) / CAST(len(list_distinct(list_concat(a, b))) AS DOUBLE) END AS jaccard
+FROM j
+"""
+
+ORACLE_SQL["clean_control_chars"] = r"""
+SELECT doc_id, regexp_replace(text, '\p{C}', ' ', 'g') AS text,
+       CAST(length(text) - length(replace(text, chr(10), '')) AS BIGINT) AS n_newlines
+FROM documents
+"""
+
+
+def strip_markup_sql(x: str) -> str:
+    c = x
+    c = f"regexp_replace({c}, '(?s)<!--.*?-->', ' ', 'g')"
+    c = f"regexp_replace({c}, '(?is)<script[^>]*>.*?</script[^>]*>', ' ', 'g')"
+    c = f"regexp_replace({c}, '(?is)<style[^>]*>.*?</style[^>]*>', ' ', 'g')"
+    c = f"regexp_replace({c}, '(?s)<[^>]*>', ' ', 'g')"
+    for a, b in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")]:
+        c = f"replace({c}, '{a}', '{b}')"
+    c = f"regexp_replace({c}, '{WS}+', ' ', 'g')"
+    return f"regexp_replace({c}, '^{WS}+|{WS}+$', '', 'g')"
+
+
+def first_match(x: str, pat: str) -> str:
+    return f"nullif(regexp_extract({x}, '{pat}', 1), '')"
+
+
+ORACLE_SQL["page_text"] = f"SELECT page_id, {strip_markup_sql('html')} AS text FROM pages"
+
+ORACLE_SQL["page_fields"] = rf"""
+WITH l AS (SELECT *, regexp_extract_all(html, '<a\b[^>]*\bhref="([^"]*)"', 1) AS links FROM pages)
+SELECT page_id, url,
+       {first_match('html', r'<html[^>]*\blang="([^"]*)"')} AS page_lang,
+       {strip_markup_sql(first_match('html', '(?is)<title[^>]*>(.*?)</title>'))} AS title,
+       {strip_markup_sql(first_match('html', '(?is)<h1[^>]*>(.*?)</h1>'))} AS heading,
+       CAST(len(links) AS BIGINT) AS n_links,
+       links[1] AS first_link, links[-1] AS last_link,
+       regexp_matches(html, 'class="([^"]* )?ad( [^"]*)?"') AS has_ad
+FROM l
+"""
+
+
+def abs_url_sql(h: str, b: str) -> str:
+    origin = f"regexp_extract({b}, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+    scheme = f"regexp_extract({b}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)"
+    no_frag = f"regexp_extract({b}, '^([^#]*)', 1)"
+    no_query = f"regexp_extract({b}, '^([^?#]*)', 1)"
+    directory = f"regexp_extract({no_query}, '^(.*/)', 1)"
+    return f"""(CASE WHEN regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {h}
+      WHEN starts_with({h}, '//') THEN {scheme} || ':' || {h}
+      WHEN starts_with({h}, '/') THEN {origin} || {h}
+      WHEN starts_with({h}, '#') THEN {no_frag} || {h}
+      WHEN starts_with({h}, '?') THEN {no_query} || {h}
+      ELSE (CASE WHEN {directory} <> '' THEN {directory} ELSE {origin} || '/' END) || {h} END)"""
+
+
+PAGE_LINKS = rf"""
+tags AS (
+  SELECT page_id, url, CAST(generate_subscripts(a, 1) - 1 AS BIGINT) AS link_no, unnest(a) AS attrs
+  FROM (SELECT page_id, url, regexp_extract_all(html, '<a\b([^>]*)>', 1) AS a FROM pages)
+), hl AS (
+  SELECT *, regexp_extract(attrs, '\bhref="([^"]*)"', 1) AS href,
+         string_split(regexp_extract(attrs, '\bclass="([^"]*)"', 1), ' ') AS words
+  FROM tags
+), links AS (
+  SELECT page_id, link_no, href, {abs_url_sql('href', 'url')} AS abs_url, words FROM hl WHERE href <> ''
+)"""
+
+ORACLE_SQL["page_links"] = f"""
+WITH {PAGE_LINKS}
+SELECT page_id, link_no, href, abs_url,
+       (regexp_matches(abs_url, '^.*/wiki/.*/Fragment.*$') AND NOT contains(abs_url, 'Analyse')) AS is_fragment_link,
+       (list_contains(words, 'paginator-next') AND NOT list_contains(words, 'disabled')) AS is_next
+FROM links
+"""
+
+ORACLE_SQL["frontier_new_urls"] = f"""
+WITH {PAGE_LINKS}
+SELECT DISTINCT abs_url AS url FROM links WHERE abs_url NOT IN (SELECT url FROM pages WHERE url IS NOT NULL)
+"""

@@ -49,7 +49,8 @@ def strip_markup(col) -> Column:
     """
     c = _c(col)
     c = F.regexp_replace(c, r"(?s)<!--.*?-->", " ")
-    c = F.regexp_replace(c, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", " ")
+    c = F.regexp_replace(c, r"(?is)<script[^>]*>.*?</script[^>]*>", " ")
+    c = F.regexp_replace(c, r"(?is)<style[^>]*>.*?</style[^>]*>", " ")
     c = F.regexp_replace(c, r"(?s)<[^>]*>", " ")
     c = F.replace(c, F.lit("&nbsp;"), F.lit(" "))
     c = F.replace(c, F.lit("&lt;"), F.lit("<"))
@@ -154,8 +155,7 @@ def detect_language(col, languages: dict[str, list[str]] | None = None) -> Colum
     words = F.regexp_extract_all(F.lower(_c(col)), F.lit(r"[\p{L}\p{N}]+"), 0)
     scores = []
     for code in sorted(languages):
-        lst = F.array(*[F.lit(w) for w in languages[code]])
-        hits = F.size(F.filter(words, lambda t, lst=lst: F.array_contains(lst, t)))
+        hits = F.size(F.filter(words, _member_of(languages[code])))
         scores.append(F.struct(hits.alias("hits"), F.lit(code).alias("code")))
     # best = max hits, then smallest code: order by (hits desc, code asc)
     best = F.array_sort(
@@ -169,6 +169,11 @@ def detect_language(col, languages: dict[str, list[str]] | None = None) -> Colum
     return F.when(best["hits"] > 0, best["code"])
 
 
+def _member_of(words):
+    lst = F.array(*[F.lit(w) for w in words])
+    return lambda t: F.array_contains(lst, t)
+
+
 def annotation_key(class_col, text_col) -> Column:
     """``class + '_' + lower(text)``."""
     return F.concat(_c(class_col), F.lit("_"), F.lower(_c(text_col)))

@@ -30,3 +30,142 @@ def _docs(spark, sf):
 @register("candidate_pairs")
 def q_candidate_pairs(spark, sf):
     return P.candidate_pairs(_docs(spark, sf))
+
+
+# ---- text functions and measures (T1, T3, T11-T17, M1-M3) ----------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from pairloom import fixed  # noqa: E402
+from pairloom.functions import html as H  # noqa: E402
+from pairloom.functions import measures as M  # noqa: E402
+from pairloom.functions import text as tx  # noqa: E402
+from pairloom.sources import adapters  # noqa: E402
+
+
+def _pages(spark, sf):
+    return read_table(spark, sf, "pages")
+
+
+@register("sentences")
+def q_sentences(spark, sf):
+    return adapters.sentences(_docs(spark, sf)).select("doc_id", "ix", "sent")
+
+
+@register("sentence_offsets")
+def q_sentence_offsets(spark, sf):
+    return adapters.sentence_offsets(_docs(spark, sf))
+
+
+@register("sentence_length_filter")
+def q_sentence_length_filter(spark, sf):
+    s = adapters.tokenized_sentences(_docs(spark, sf))
+    return s.where(F.col("n_tok").between(fixed.WORDS_MIN, fixed.WORDS_MAX)).select("doc_id", "ix", "n_tok")
+
+
+@register("tokens")
+def q_tokens(spark, sf):
+    s = adapters.tokenized_sentences(_docs(spark, sf))
+    return s.select("doc_id", "ix", "n_tok", F.array_join("tok", " ").alias("tokens"))
+
+
+@register("stopword_filter")
+def q_stopword_filter(spark, sf):
+    d = _docs(spark, sf).select("doc_id", tx.tfidf_tokens("text").alias("t"))
+    kept = tx.remove_stopwords("t", fixed.GERMAN_STOPWORDS)
+    return d.select(
+        "doc_id", F.size("t").cast("long").alias("n_tokens"), F.size(kept).cast("long").alias("n_kept"),
+        F.array_join(kept, " ").alias("kept"),
+    )
+
+
+@register("detect_language")
+def q_detect_language(spark, sf):
+    return _docs(spark, sf).select("doc_id", "lang", tx.detect_language("text").alias("detected"))
+
+
+@register("language_confusion")
+def q_language_confusion(spark, sf):
+    d = q_detect_language(spark, sf)
+    return d.groupBy("lang", "detected").agg(F.count("*").alias("n"))
+
+
+def _lead_pairs(spark, sf):
+    return adapters.lead_pairs(_docs(spark, sf))
+
+
+@register("bow_difference")
+def q_bow_difference(spark, sf):
+    p = _lead_pairs(spark, sf)
+    return p.select("src_doc", "src_ix", "plag_doc", "plag_ix", M.bow_difference("plag_tok", "src_tok").alias("bow_diff"))
+
+
+@register("word_ratio")
+def q_word_ratio(spark, sf):
+    p = _lead_pairs(spark, sf)
+    return p.select("src_doc", "src_ix", "plag_doc", "plag_ix", M.word_ratio("plag_tok", "src_tok").alias("nb_words_ratio"))
+
+
+@register("jaccard")
+def q_jaccard(spark, sf):
+    p = _lead_pairs(spark, sf)
+    return p.select(
+        "src_doc", "src_ix", "plag_doc", "plag_ix",
+        M.jaccard(tx.tokens_all("plagiat_sent"), tx.tokens_all("source_sent")).alias("jaccard"),
+    )
+
+
+@register("clean_control_chars")
+def q_clean_control_chars(spark, sf):
+    d = _docs(spark, sf)
+    cleaned = tx.clean_control_chars("text")
+    return d.select("doc_id", cleaned.alias("text"),
+                    (F.length(cleaned) - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("long").alias("n_newlines"))
+
+
+# ---- pages: T3, T4, T6, T7, P12, U4, J5 ----------------------------------
+@register("page_text")
+def q_page_text(spark, sf):
+    return _pages(spark, sf).select("page_id", H.page_text("html").alias("text"))
+
+
+@register("page_fields")
+def q_page_fields(spark, sf):
+    p = _pages(spark, sf)
+    links = H.hrefs("html")
+    return p.select(
+        "page_id", "url",
+        H.html_lang("html").alias("page_lang"),
+        H.title("html").alias("title"),
+        H.first_heading("html").alias("heading"),
+        F.size(links).cast("long").alias("n_links"),
+        F.element_at(links, 1).alias("first_link"),
+        F.element_at(links, -1).alias("last_link"),
+        H.has_class("html", "ad").alias("has_ad"),
+    )
+
+
+def page_links(pages):
+    tags = pages.select("page_id", "url", F.posexplode(
+        F.regexp_extract_all("html", F.lit(r"<a\b([^>]*)>"), 1)).alias("link_no", "attrs"))
+    tags = tags.withColumn("href", F.regexp_extract("attrs", r'\bhref="([^"]*)"', 1)).where(F.col("href") != "")
+    cls = F.regexp_extract("attrs", r'\bclass="([^"]*)"', 1)
+    words = F.split(cls, " ")
+    absu = H.absolute_url("href", "url")
+    return tags.select(
+        "page_id", F.col("link_no").cast("long").alias("link_no"), "href", absu.alias("abs_url"),
+        (absu.rlike(r"^.*/wiki/.*/Fragment.*$") & ~absu.contains("Analyse")).alias("is_fragment_link"),
+        (F.array_contains(words, "paginator-next") & ~F.array_contains(words, "disabled")).alias("is_next"),
+    )
+
+
+@register("page_links")
+def q_page_links(spark, sf):
+    return page_links(_pages(spark, sf))
+
+
+@register("frontier_new_urls")
+def q_frontier_new_urls(spark, sf):
+    """Linked URLs not yet stored in ``pages`` (anti join)."""
+    pages = _pages(spark, sf)
+    links = page_links(pages).select(F.col("abs_url").alias("url")).distinct()
+    return links.join(pages.select("url"), "url", "left_anti")
