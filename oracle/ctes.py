@@ -59,3 +59,195 @@ lead_pairs AS (
   FROM ranked a JOIN ranked b ON a.lang = b.lang AND a.lead_key = b.lead_key AND b.pos = a.pos + 1
   WHERE b.doc_id <> a.doc_id AND b.sent <> a.sent
 )"""
+
+
+def detect_sql(expr: str, lang_lists: dict) -> str:
+    words = rf"regexp_extract_all(lower({expr}), '[\p{{L}}\p{{N}}]+')"
+    parts = []
+    for code in sorted(lang_lists):
+        parts.append(f"{{'hits': len(list_filter({words}, lambda w: list_contains({lang_lists[code]}, w))), 'code': '{code}'}}")
+    arr = "[" + ", ".join(parts) + "]"
+    best = f"list_sort(list_transform({arr}, lambda s: {{'neg': -s.hits, 'code': s.code, 'hits': s.hits}}))[1]"
+    return f"(CASE WHEN ({best}).hits > 0 THEN ({best}).code END)"
+
+
+def fragments(lang_lists: dict) -> str:
+    return LEAD_PAIRS + rf""",
+fp AS (
+  SELECT src_doc, plag_doc, src_ix, plag_ix, lead_key, 'doc/' || src_doc || '/' || plag_doc AS url FROM lead_pairs
+), fk AS (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY src_ix, plag_ix) AS k FROM fp
+), marks AS (
+  SELECT url, 'src' AS side, src_ix AS ix, k, lead_key FROM fk
+  UNION ALL SELECT url, 'plag' AS side, plag_ix AS ix, k, lead_key FROM fk
+), frag_docs AS (
+  SELECT DISTINCT url, src_doc, plag_doc FROM fp
+), side_sents AS (
+  SELECT f.url, 'src' AS side, s.ix, s.sent FROM frag_docs f JOIN sentences s ON s.doc_id = f.src_doc
+  UNION ALL
+  SELECT f.url, 'plag' AS side, s.ix, s.sent FROM frag_docs f JOIN sentences s ON s.doc_id = f.plag_doc
+), spans_html AS (
+  SELECT ss.url, ss.side, ss.ix,
+    CASE WHEN m.k IS NOT NULL THEN
+      '<span class="fragmark' || m.k || '">' || regexp_replace(m.lead_key, '[<>&"]', ' ', 'g')
+      || '</span><span class="text">' || regexp_replace(regexp_replace(ss.sent, '^[^ ]+ [^ ]+ [^ ]+ ?', ''), '[<>&"]', ' ', 'g')
+      || '</span>'
+    ELSE '<span class="text">' || regexp_replace(ss.sent, '[<>&"]', ' ', 'g') || '</span>' END AS h
+  FROM side_sents ss LEFT JOIN marks m ON m.url = ss.url AND m.side = ss.side AND m.ix = ss.ix
+), cells AS (
+  SELECT url, side,
+         '<td><p>' || string_agg(h, '' ORDER BY ix) || '</p><hr><span class="fragmark1">refs</span></td>' AS markup
+  FROM spans_html GROUP BY url, side
+), doc_lang AS (
+  SELECT doc_id, text, lang, source, {detect_sql('text', lang_lists)} AS detected FROM documents
+), fragments AS (
+  SELECT f.url, cs.markup AS raw_source_text, cp.markup AS raw_plagiat_text, a.text AS source_text,
+         b.text AS plagiat_text, a.source, 'Verschleierung' AS type, false AS gesichtet,
+         a.lang || '-' || a.source || '/Fragment ' || f.src_doc || ' ' || f.plag_doc AS fragment_identifier,
+         a.detected AS lang_source, b.detected AS lang_plagiat
+  FROM frag_docs f JOIN doc_lang a ON a.doc_id = f.src_doc JOIN doc_lang b ON b.doc_id = f.plag_doc
+  LEFT JOIN cells cs ON cs.url = f.url AND cs.side = 'src'
+  LEFT JOIN cells cp ON cp.url = f.url AND cp.side = 'plag'
+)"""
+
+
+P_BLOCK = r"(?s)<p(?: [^>]*)?>(.*?)</p>"
+SPAN_RE = r'<span class="([^"]*)">([^<]*)</span>'
+
+
+def matcher(lang_lists: dict) -> str:
+    return fragments(lang_lists) + rf""",
+sides AS (
+  SELECT url, 'plag' AS side, raw_plagiat_text AS html FROM fragments
+  UNION ALL SELECT url, 'src' AS side, raw_source_text AS html FROM fragments
+), pre AS (
+  SELECT url, side, CASE WHEN strpos(lower(html), '<hr>') > 0 THEN substr(html, 1, strpos(lower(html), '<hr>') - 1)
+                         ELSE html END AS pre FROM sides
+), paras AS (
+  SELECT url, side, list_concat([regexp_replace(pre, '{P_BLOCK}', ' ', 'g')], regexp_extract_all(pre, '{P_BLOCK}', 1)) AS ps
+  FROM pre
+), pe AS (
+  SELECT url, side, CAST(generate_subscripts(ps, 1) - 1 AS BIGINT) AS para_no, unnest(ps) AS chunk FROM paras
+), se AS (
+  SELECT url, side, para_no, regexp_extract_all(chunk, '{SPAN_RE}', 1) AS cl, regexp_extract_all(chunk, '{SPAN_RE}', 2) AS tx
+  FROM pe
+), sp0 AS (
+  SELECT url, side, para_no, CAST(generate_subscripts(cl, 1) - 1 AS BIGINT) AS span_no, unnest(cl) AS cls, unnest(tx) AS text
+  FROM se
+), spans AS (
+  SELECT url, side, para_no, span_no, cls, regexp_replace(text, '^{WS}+|{WS}+$', '', 'g') AS text FROM sp0
+), spans2 AS (
+  SELECT *, CAST(length(text) AS BIGINT) AS len FROM spans WHERE length(text) > 0
+), offs AS (
+  SELECT *, CAST(1 + coalesce(sum(len + 1) OVER (PARTITION BY url, side, para_no ORDER BY span_no
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM spans2
+), offs2 AS (
+  SELECT *, start + len AS "end" FROM offs
+), ann AS (
+  SELECT *, CASE WHEN lag(cls) OVER (PARTITION BY url, side, para_no ORDER BY span_no) = cls THEN 0 ELSE 1 END AS new_run
+  FROM offs2 WHERE starts_with(cls, 'fragmark')
+), ann2 AS (
+  SELECT *, sum(new_run) OVER (PARTITION BY url, side, para_no ORDER BY span_no
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_id FROM ann
+), runs0 AS (
+  SELECT url, side, para_no, run_id, min(cls) AS cls, min(start) AS start, max("end") AS "end",
+         string_agg(lower(text), ' ' ORDER BY span_no) AS texts
+  FROM ann2 GROUP BY url, side, para_no, run_id
+), runs AS (
+  SELECT url, side, para_no, cls || '_' || texts AS key, arg_max(start, run_id) AS start, arg_max("end", run_id) AS "end"
+  FROM runs0 GROUP BY url, side, para_no, cls || '_' || texts
+), common AS (
+  SELECT DISTINCT p.url, p.key FROM runs p
+  WHERE p.side = 'plag' AND EXISTS (SELECT 1 FROM runs s WHERE s.side = 'src' AND s.url = p.url AND s.key = p.key)
+), ptext AS (
+  SELECT url, side, para_no, ' ' || string_agg(text, ' ' ORDER BY span_no) || ' ' AS text FROM spans2
+  GROUP BY url, side, para_no
+), ppl AS (
+  SELECT url, side, para_no,
+         string_split(regexp_replace(text, '([.!?])({WS})', '\1' || chr(1) || '\2', 'g'), chr(1)) AS pieces FROM ptext
+), ppe AS (
+  SELECT url, side, para_no, generate_subscripts(pieces, 1) AS pi, unnest(pieces) AS piece FROM ppl
+), ppw AS (
+  SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY url, side, para_no ORDER BY pi
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pstart,
+         regexp_replace(piece, '^{WS}+|{WS}+$', '', 'g') AS sent FROM ppe
+), ppk AS (
+  SELECT url, side, para_no, pi, sent,
+         CAST(pstart + length(piece) - length(regexp_replace(piece, '^{WS}+', '')) AS BIGINT) AS start
+  FROM ppw WHERE sent <> ''
+), psents AS (
+  SELECT url, side, para_no, CAST(row_number() OVER (PARTITION BY url, side, para_no ORDER BY pi) - 1 AS BIGINT) AS ix,
+         start, CAST(start + length(sent) AS BIGINT) AS "end", sent FROM ppk
+), rk AS (
+  SELECT r.* FROM runs r JOIN common c ON r.url = c.url AND r.key = c.key
+), rix AS (
+  SELECT rk.url, rk.side, rk.para_no, rk.key,
+    coalesce((SELECT min(s.ix) FROM psents s WHERE s.url = rk.url AND s.side = rk.side AND s.para_no = rk.para_no AND s."end" >= rk.start),
+             (SELECT max(s.ix) FROM psents s WHERE s.url = rk.url AND s.side = rk.side AND s.para_no = rk.para_no)) AS s_ix,
+    coalesce((SELECT min(s.ix) FROM psents s WHERE s.url = rk.url AND s.side = rk.side AND s.para_no = rk.para_no AND s."end" >= rk."end"),
+             (SELECT max(s.ix) FROM psents s WHERE s.url = rk.url AND s.side = rk.side AND s.para_no = rk.para_no)) AS e_ix
+  FROM rk
+), key_sents AS (
+  SELECT r.url, r.side, r.para_no, r.key, string_agg(s.sent, ' ' ORDER BY s.ix) AS sent
+  FROM rix r JOIN psents s ON s.url = r.url AND s.side = r.side AND s.para_no = r.para_no AND s.ix BETWEEN r.s_ix AND r.e_ix
+  GROUP BY r.url, r.side, r.para_no, r.key
+), key_text AS (
+  SELECT url, side, key, arg_max(sent, para_no) AS sent FROM key_sents GROUP BY url, side, key
+), paired AS (
+  SELECT p.url, CAST(row_number() OVER (PARTITION BY p.url ORDER BY p.key) - 1 AS BIGINT) AS i, p.key,
+         p.sent AS plagiat_sent, s.sent AS source_sent
+  FROM key_text p JOIN key_text s ON p.url = s.url AND p.key = s.key AND p.side = 'plag' AND s.side = 'src'
+), filtered AS (
+  SELECT * FROM paired
+  WHERE plagiat_sent <> source_sent
+    AND len({tokens('plagiat_sent')}) BETWEEN 5 AND 40 AND len({tokens('source_sent')}) BETWEEN 5 AND 40
+), u_p AS (
+  SELECT url, i, generate_subscripts(l, 1) AS ix, unnest(l) AS sent FROM (SELECT url, i, {split_sents('plagiat_sent')} AS l FROM filtered)
+), u_s0 AS (
+  SELECT url, i, generate_subscripts(l, 1) AS ix, unnest(l) AS sent FROM (SELECT url, i, {split_sents('source_sent')} AS l FROM filtered)
+), u_s AS (
+  SELECT *, row_number() OVER (PARTITION BY url, i, sent ORDER BY ix) AS copy FROM u_s0
+), u_hit AS (
+  SELECT url, i, sent, count(*) AS n_plag FROM u_p p
+  WHERE EXISTS (SELECT 1 FROM u_s0 s WHERE s.url = p.url AND s.i = p.i AND s.sent = p.sent) GROUP BY url, i, sent
+), u_newp AS (
+  SELECT url, i, string_agg(sent, ' ' ORDER BY ix) AS p FROM u_p p
+  WHERE NOT EXISTS (SELECT 1 FROM u_s0 s WHERE s.url = p.url AND s.i = p.i AND s.sent = p.sent) GROUP BY url, i
+), u_news AS (
+  SELECT s.url, s.i, string_agg(s.sent, ' ' ORDER BY s.ix) AS s FROM u_s s
+  LEFT JOIN u_hit h ON h.url = s.url AND h.i = s.i AND h.sent = s.sent
+  WHERE h.n_plag IS NULL OR s.copy > h.n_plag GROUP BY s.url, s.i
+), u7 AS (
+  SELECT f.url, f.i,
+    CASE WHEN EXISTS (SELECT 1 FROM u_hit h WHERE h.url = f.url AND h.i = f.i) THEN coalesce(np.p, '') ELSE f.plagiat_sent END AS plagiat_sent,
+    CASE WHEN EXISTS (SELECT 1 FROM u_hit h WHERE h.url = f.url AND h.i = f.i) THEN coalesce(ns.s, '') ELSE f.source_sent END AS source_sent
+  FROM filtered f LEFT JOIN u_newp np ON np.url = f.url AND np.i = f.i LEFT JOIN u_news ns ON ns.url = f.url AND ns.i = f.i
+), src_sents AS (
+  SELECT url, CAST(row_number() OVER (PARTITION BY url ORDER BY para_no, ix) - 1 AS BIGINT) AS sent_no, sent
+  FROM psents WHERE side = 'src'
+), cand AS (
+  SELECT u.url, u.i, u.source_sent, c.sent AS fake, c.sent_no,
+         md5(concat_ws('|', '42', u.url, CAST(c.sent_no AS VARCHAR))) AS rnd
+  FROM u7 u JOIN src_sents c ON c.url = u.url
+  WHERE len({tokens('c.sent')}) BETWEEN 5 AND 40
+    AND len({tokens('u.plagiat_sent')}) > 0
+    AND CAST(len({tokens('u.plagiat_sent')}) AS DOUBLE) / len({tokens('c.sent')}) BETWEEN 0.5 AND 1.5
+    AND c.sent <> u.source_sent
+), pick AS (
+  SELECT url, i, arg_min(fake, (rnd, sent_no)) AS fake FROM cand GROUP BY url, i
+), with_fake AS (
+  SELECT u.*, coalesce(p.fake, '') AS fake_source_sent FROM u7 u LEFT JOIN pick p ON p.url = u.url AND p.i = u.i
+), measured AS (
+  SELECT *, {bow_diff(tokens('plagiat_sent'), tokens('source_sent'))} AS bow_diff,
+         CASE WHEN len({tokens('source_sent')}) = 0 THEN NULL
+              ELSE CAST(len({tokens('plagiat_sent')}) AS DOUBLE) / len({tokens('source_sent')}) END AS nb_words_ratio
+  FROM with_fake
+), deduped AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY plagiat_sent, source_sent ORDER BY url, i) AS rn FROM measured
+  ) WHERE rn = 1
+), annotations AS (
+  SELECT f.fragment_identifier || '_' || d.i AS annotation_identifier, d.url, d.plagiat_sent, d.source_sent,
+         d.fake_source_sent, f.lang_source, f.lang_plagiat, f.type, d.nb_words_ratio, d.bow_diff
+  FROM deduped d JOIN fragments f ON f.url = d.url
+)"""

@@ -179,3 +179,45 @@ ORACLE_SQL["frontier_new_urls"] = f"""
 WITH {PAGE_LINKS}
 SELECT DISTINCT abs_url AS url FROM links WHERE abs_url NOT IN (SELECT url FROM pages WHERE url IS NOT NULL)
 """
+
+M = C.matcher(LANG_LISTS)
+
+ORACLE_SQL["text_before_hr"] = f"""
+WITH {C.fragments(LANG_LISTS)}
+SELECT url,
+  {strip_markup_sql("CASE WHEN strpos(lower(raw_source_text), '<hr>') > 0 THEN substr(raw_source_text, 1, strpos(lower(raw_source_text), '<hr>') - 1) || '</td>' ELSE raw_source_text END")} AS source_text_cut,
+  {strip_markup_sql("CASE WHEN strpos(lower(raw_plagiat_text), '<hr>') > 0 THEN substr(raw_plagiat_text, 1, strpos(lower(raw_plagiat_text), '<hr>') - 1) || '</td>' ELSE raw_plagiat_text END")} AS plagiat_text_cut
+FROM fragments
+"""
+ORACLE_SQL["annotated_spans"] = f"WITH {M} SELECT url, side, para_no, span_no, cls, text FROM spans2"
+ORACLE_SQL["span_offsets"] = f'WITH {M} SELECT url, side, para_no, span_no, start, "end" FROM offs2'
+ORACLE_SQL["span_runs"] = f'WITH {M} SELECT url, side, para_no, key, start, "end" FROM runs'
+ORACLE_SQL["common_span_keys"] = f"WITH {M} SELECT url, key FROM common"
+ORACLE_SQL["span_key_counts"] = f"""
+WITH {M}, t AS (SELECT url, count(*) AS n_src_annotations FROM runs WHERE side = 'src' GROUP BY url),
+c AS (SELECT url, count(*) AS n_common FROM common GROUP BY url)
+SELECT coalesce(t.url, c.url) AS url, coalesce(c.n_common, 0) AS n_common, coalesce(t.n_src_annotations, 0) AS n_src_annotations
+FROM t FULL OUTER JOIN c ON t.url = c.url
+"""
+ORACLE_SQL["span_sentence_range"] = f"WITH {M} SELECT url, side, para_no, key, sent FROM key_sents"
+ORACLE_SQL["span_last_wins"] = f"WITH {M} SELECT url, side, key, sent FROM key_text"
+ORACLE_SQL["paired_annotations"] = f"WITH {M} SELECT url, i, key, plagiat_sent, source_sent FROM paired"
+ORACLE_SQL["side_count_check"] = f"""
+WITH {M}, p AS (SELECT url, key FROM key_text WHERE side = 'plag'), s AS (SELECT url, key FROM key_text WHERE side = 'src'),
+j AS (SELECT coalesce(p.url, s.url) AS url, p.key AS pk, s.key AS sk FROM p FULL OUTER JOIN s ON p.url = s.url AND p.key = s.key)
+SELECT url, count(pk) AS n_plag, count(sk) AS n_src, count(*) FILTER (WHERE pk IS NULL OR sk IS NULL) AS n_unmatched,
+       count(pk) = count(sk) AS sizes_equal
+FROM j GROUP BY url
+"""
+ORACLE_SQL["drop_identical_sentences"] = f"WITH {M} SELECT url, i, plagiat_sent, source_sent FROM u7"
+ORACLE_SQL["fake_source_candidates"] = f"""
+WITH {M}, cnt AS (SELECT url, i, count(*) AS n FROM cand GROUP BY url, i)
+SELECT u.url, u.i, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n_candidates FROM u7 u LEFT JOIN cnt ON cnt.url = u.url AND cnt.i = u.i
+"""
+ORACLE_SQL["fake_source_pick"] = f"WITH {M} SELECT url, i, fake_source_sent FROM with_fake"
+ORACLE_SQL["dedup_pairs"] = f"""
+WITH {M}
+SELECT url, i, plagiat_sent, source_sent FROM (
+  SELECT *, row_number() OVER (PARTITION BY plagiat_sent, source_sent ORDER BY url, i) AS rn FROM u7) WHERE rn = 1
+"""
+ORACLE_SQL["annotations"] = f"WITH {M} SELECT * FROM annotations"

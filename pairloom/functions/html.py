@@ -94,4 +94,4 @@ def spans(col) -> Column:
     elements of a markup chunk, in document order."""
     cls = F.regexp_extract_all(_c(col), F.lit(SPAN), 1)
     txt = F.regexp_extract_all(_c(col), F.lit(SPAN), 2)
-    return F.transform(F.arrays_zip(cls, txt), lambda z: F.struct(z[0].alias("cls"), z[1].alias("text")))
+    return F.arrays_zip(cls.alias("cls"), txt.alias("text"))

@@ -169,3 +169,127 @@ def q_frontier_new_urls(spark, sf):
     pages = _pages(spark, sf)
     links = page_links(pages).select(F.col("abs_url").alias("url")).distinct()
     return links.join(pages.select("url"), "url", "left_anti")
+
+
+# ---- span matching (C2 and its steps) -------------------------------------
+from pairloom.operators import negatives as N  # noqa: E402
+from pairloom.operators import spans as S  # noqa: E402
+from pairloom.plans import annotations as A  # noqa: E402
+from pairloom.plans import stages  # noqa: E402
+
+
+@register("text_before_hr")
+def q_text_before_hr(spark, sf):
+    f = stages.fragments(spark, sf)
+    return f.select("url", tx.text_before_hr("raw_source_text").alias("source_text_cut"),
+                    tx.text_before_hr("raw_plagiat_text").alias("plagiat_text_cut"))
+
+
+@register("annotated_spans")
+def q_annotated_spans(spark, sf):
+    return stages.matched(spark, sf)["spans"].select("url", "side", "para_no", "span_no", "cls", "text")
+
+
+@register("span_offsets")
+def q_span_offsets(spark, sf):
+    return stages.matched(spark, sf)["offsets"].select("url", "side", "para_no", "span_no", "start", "end")
+
+
+@register("span_runs")
+def q_span_runs(spark, sf):
+    return stages.matched(spark, sf)["runs"]
+
+
+@register("common_span_keys")
+def q_common_span_keys(spark, sf):
+    return stages.matched(spark, sf)["common"]
+
+
+@register("span_key_counts")
+def q_span_key_counts(spark, sf):
+    m = stages.matched(spark, sf)
+    return S.key_counts(m["runs"], m["common"])
+
+
+@register("span_sentence_range")
+def q_span_sentence_range(spark, sf):
+    return stages.matched(spark, sf)["key_sentences"]
+
+
+@register("span_last_wins")
+def q_span_last_wins(spark, sf):
+    return stages.matched(spark, sf)["key_text"]
+
+
+@register("paired_annotations")
+def q_paired_annotations(spark, sf):
+    return stages.matched(spark, sf)["paired"]
+
+
+@register("side_count_check")
+def q_side_count_check(spark, sf):
+    """P20: both sides of every fragment must hold the same common keys;
+    counted with a full outer join, unmatched keys reported per fragment."""
+    kt = stages.matched(spark, sf)["key_text"]
+    p = kt.where(F.col("side") == "plag").select("url", "key", F.lit(1).alias("in_plag"))
+    s = kt.where(F.col("side") == "src").select("url", "key", F.lit(1).alias("in_src"))
+    j = p.join(s, ["url", "key"], "full")
+    return j.groupBy("url").agg(
+        F.count("in_plag").alias("n_plag"), F.count("in_src").alias("n_src"),
+        F.count_if(F.col("in_plag").isNull() | F.col("in_src").isNull()).alias("n_unmatched"),
+    ).withColumn("sizes_equal", F.col("n_plag") == F.col("n_src"))
+
+
+def _filtered_pairs(spark, sf):
+    return A.filtered_pairs(stages.matched(spark, sf)["paired"])
+
+
+@register("drop_identical_sentences")
+def q_drop_identical_sentences(spark, sf):
+    p = _filtered_pairs(spark, sf).withColumn("pair_id", F.concat_ws("#", "url", F.col("i").cast("string")))
+    return P.drop_identical_sentences(p, "pair_id").select("url", "i", "plagiat_sent", "source_sent")
+
+
+def _u7_pairs(spark, sf):
+    return stages.materialize(q_drop_identical_sentences(spark, sf))
+
+
+@register("fake_source_candidates")
+def q_fake_source_candidates(spark, sf):
+    """J7 as counts: acceptable fake sources per pair, from per-(url, n)
+    bucket counts (never the pairs x sentences product)."""
+    m = stages.matched(spark, sf)
+    src = A.source_sentences(m).withColumn("n", tx.word_count("sent")).where(
+        F.col("n").between(fixed.WORDS_MIN, fixed.WORDS_MAX))
+    per_n = src.groupBy("url", "n").agg(F.count("*").alias("c"))
+    per_text = src.groupBy("url", "n", "sent").agg(F.count("*").alias("same"))
+    pairs = _u7_pairs(spark, sf).withColumn("n_plag", tx.word_count("plagiat_sent"))
+    lo = F.ceil(F.col("n_plag") / F.lit(fixed.RATIO_MAX))
+    hi = F.floor(F.col("n_plag") / F.lit(fixed.RATIO_MIN))
+    b = per_n.withColumnRenamed("url", "b_url")
+    tot = pairs.join(b, (F.col("url") == F.col("b_url")) & (F.col("n") >= lo) & (F.col("n") <= hi), "left") \
+        .groupBy("url", "i", "source_sent", "n_plag").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c"))
+    same = per_text.select(F.col("url").alias("t_url"), F.col("n").alias("t_n"), F.col("sent").alias("t_sent"), "same")
+    tot = tot.join(same, (F.col("url") == F.col("t_url")) & (F.col("source_sent") == F.col("t_sent"))
+                   & (F.col("t_n") >= F.ceil(F.col("n_plag") / F.lit(fixed.RATIO_MAX)))
+                   & (F.col("t_n") <= F.floor(F.col("n_plag") / F.lit(fixed.RATIO_MIN))), "left")
+    n = F.when(F.col("n_plag") > 0, F.col("c") - F.coalesce(F.col("same"), F.lit(0))).otherwise(F.lit(0))
+    return tot.select("url", "i", n.cast("long").alias("n_candidates"))
+
+
+@register("fake_source_pick")
+def q_fake_source_pick(spark, sf):
+    m = stages.matched(spark, sf)
+    buckets = N.candidate_buckets(A.source_sentences(m))
+    return N.pick_fake_sources(_u7_pairs(spark, sf), buckets).select("url", "i", "fake_source_sent")
+
+
+@register("dedup_pairs")
+def q_dedup_pairs(spark, sf):
+    p = _u7_pairs(spark, sf)
+    return P.dedup_first(p, ["plagiat_sent", "source_sent"], ["url", "i"])
+
+
+@register("annotations")
+def q_annotations(spark, sf):
+    return stages.annotations(spark, sf)

@@ -34,14 +34,15 @@ def sentences(documents: DataFrame) -> DataFrame:
     ).withColumn("ix", F.col("ix").cast("long"))
 
 
-def sentence_offsets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ix, start, end, sent): 0-based start, exclusive end.
+def sentence_offsets(documents: DataFrame, id_col="doc_id", text_col: str = "text") -> DataFrame:
+    """(id..., ix, start, end, sent): 0-based start, exclusive end.
 
     The running character position is a window sum within one text, so the
     work per task is bounded by the longest text.
     """
-    p = documents.select(id_col, F.posexplode(tx.sentence_pieces(text_col)).alias("pi", "piece"))
-    w = Window.partitionBy(id_col).orderBy("pi")
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    p = documents.select(*ids, F.posexplode(tx.sentence_pieces(text_col)).alias("pi", "piece"))
+    w = Window.partitionBy(*ids).orderBy("pi")
     p = p.withColumn(
         "pstart", F.coalesce(F.sum(F.length("piece")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
@@ -51,7 +52,7 @@ def sentence_offsets(documents: DataFrame, id_col: str = "doc_id", text_col: str
         (F.col("pstart") + F.length("piece") - F.length(F.regexp_replace("piece", "^" + tx.WS + "+", ""))).cast("long"),
     )
     return p.select(
-        id_col,
+        *ids,
         (F.row_number().over(w) - 1).cast("long").alias("ix"),
         "start",
         (F.col("start") + F.length("sent")).cast("long").alias("end"),
@@ -152,10 +153,13 @@ def fragments(documents: DataFrame, pairs: DataFrame | None = None) -> DataFrame
         frag_docs.select("url", F.lit("plag").alias("side"), F.col("plag_doc").alias("doc_id"))
     ).join(sents, "doc_id").drop("doc_id")
     cells = _side_markup(side_sents, marks)
-    docs = documents.select("doc_id", "text", "lang", "source")
+    # the language vote runs once per document, not once per fragment side
+    docs = documents.select("doc_id", "text", "lang", "source", tx.detect_language("text").alias("detected"))
     src = docs.select(F.col("doc_id").alias("src_doc"), F.col("text").alias("source_text"),
-                      F.col("lang").alias("lang"), F.col("source").alias("source"))
-    plag = docs.select(F.col("doc_id").alias("plag_doc"), F.col("text").alias("plagiat_text"))
+                      F.col("lang").alias("lang"), F.col("source").alias("source"),
+                      F.col("detected").alias("lang_source"))
+    plag = docs.select(F.col("doc_id").alias("plag_doc"), F.col("text").alias("plagiat_text"),
+                       F.col("detected").alias("lang_plagiat"))
     f = frag_docs.join(src, "src_doc").join(plag, "plag_doc")
     f = (
         f.join(cells.where(F.col("side") == "src").select("url", F.col("markup").alias("raw_source_text")), "url", "left")
@@ -167,6 +171,5 @@ def fragments(documents: DataFrame, pairs: DataFrame | None = None) -> DataFrame
         F.lit(False).alias("gesichtet"),
         F.concat(F.col("lang"), F.lit("-"), F.col("source"), F.lit("/Fragment "),
                  F.col("src_doc").cast("string"), F.lit(" "), F.col("plag_doc").cast("string")).alias("fragment_identifier"),
-        tx.detect_language("source_text").alias("lang_source"),
-        tx.detect_language("plagiat_text").alias("lang_plagiat"),
+        "lang_source", "lang_plagiat",
     )
