@@ -221,3 +221,79 @@ SELECT url, i, plagiat_sent, source_sent FROM (
   SELECT *, row_number() OVER (PARTITION BY plagiat_sent, source_sent ORDER BY url, i) AS rn FROM u7) WHERE rn = 1
 """
 ORACLE_SQL["annotations"] = f"WITH {M} SELECT * FROM annotations"
+
+CORPUS = M + """,
+mono AS (
+  SELECT annotation_identifier, url, plagiat_sent, source_sent, fake_source_sent, lang_plagiat, lang_source, bow_diff, nb_words_ratio
+  FROM annotations WHERE type = 'Verschleierung' AND lang_plagiat = lang_source
+), by_lang AS (
+  SELECT annotation_identifier, url, plagiat_sent, source_sent, bow_diff, nb_words_ratio, 1 AS isParaphrase, lang_plagiat AS lang
+  FROM mono
+  WHERE lang_plagiat IN ('en', 'de', 'es') AND lang_source = lang_plagiat
+    AND nb_words_ratio > 0.5 AND nb_words_ratio < 1.5 AND bow_diff > 6
+), labelled AS (
+  SELECT * FROM by_lang
+  UNION ALL
+  SELECT b.annotation_identifier || '_f', b.url, b.plagiat_sent, m.fake_source_sent, b.bow_diff, b.nb_words_ratio, 0, b.lang
+  FROM by_lang b JOIN mono m ON m.annotation_identifier = b.annotation_identifier AND m.lang_plagiat = b.lang
+       AND m.lang_source = b.lang
+  WHERE coalesce(m.fake_source_sent, '') <> ''
+), cleaned AS (
+  SELECT * FROM labelled WHERE NOT (contains(lower(plagiat_sent), lower(source_sent)) OR contains(lower(source_sent), lower(plagiat_sent)))
+), split AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY lang, isParaphrase ORDER BY annotation_identifier)
+                      <= floor(CAST(0.2 AS DOUBLE) * count(*) OVER (PARTITION BY lang, isParaphrase)) + 1
+                 THEN 'test' ELSE 'train' END AS split
+  FROM cleaned
+)"""
+
+ORACLE_SQL["monolingual"] = f"WITH {CORPUS} SELECT * FROM mono"
+ORACLE_SQL["monolingual_by_lang"] = f"WITH {CORPUS} SELECT * FROM by_lang"
+ORACLE_SQL["with_negatives"] = f"WITH {CORPUS} SELECT * FROM labelled"
+ORACLE_SQL["inner_identical_filter"] = f"WITH {CORPUS} SELECT * FROM cleaned"
+ORACLE_SQL["inner_identical_counts"] = f"""
+WITH {CORPUS}
+SELECT lang, isParaphrase,
+       count(*) FILTER (WHERE contains(lower(plagiat_sent), lower(source_sent)) OR contains(lower(source_sent), lower(plagiat_sent))) AS skipped,
+       count(*) AS total
+FROM labelled GROUP BY lang, isParaphrase
+"""
+ORACLE_SQL["train_test_split"] = f"WITH {CORPUS} SELECT annotation_identifier, lang, isParaphrase, split FROM split"
+ORACLE_SQL["split_shape"] = f"WITH {CORPUS} SELECT lang, split, count(*) AS n_rows, CAST(4 AS BIGINT) AS n_cols FROM split GROUP BY lang, split"
+ORACLE_SQL["corpus_export"] = f"""
+WITH {CORPUS}
+SELECT lang, split, plagiat_sent, source_sent, isParaphrase, url,
+       lang || strftime(current_date, '%Y-%-m-%-d') || '_' || split || '.csv' AS file_name
+FROM split
+"""
+ORACLE_SQL["annotation_augmented"] = f"""
+WITH {M}
+SELECT a.*, f.fragment_identifier, f.type AS category, split_part(f.fragment_identifier, '/', 1) AS author
+FROM annotations a LEFT JOIN fragments f ON f.url = a.url
+"""
+ORACLE_SQL["upsert_latest"] = r"""
+WITH u AS (
+  SELECT doc_id, text, 0 AS version FROM documents
+  UNION ALL
+  SELECT doc_id, regexp_replace(text, '\p{C}', ' ', 'g'), 1 FROM documents WHERE regexp_replace(text, '\p{C}', ' ', 'g') <> text
+)
+SELECT doc_id, arg_max(text, version) AS text, max(version) AS version FROM u GROUP BY doc_id
+"""
+ORACLE_SQL["fragment_tsv_projection"] = f"""
+WITH {C.fragments(LANG_LISTS)}
+SELECT url, fragment_identifier, split_part(fragment_identifier, '/', 1) AS author, source_text, raw_source_text AS full_html,
+       type AS category, lang_source, lang_plagiat, plagiat_text, CAST(gesichtet AS INTEGER) AS peer_reviewed
+FROM fragments
+"""
+ORACLE_SQL["annotation_sheet"] = f"""
+WITH {CORPUS},
+sh AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '42', annotation_identifier)), annotation_identifier) - 1 AS item_no
+       FROM cleaned),
+lines AS (
+  SELECT item_no, 0 AS line_no, 'source' AS field, source_sent AS value FROM sh
+  UNION ALL SELECT item_no, 1, 'plag', plagiat_sent FROM sh
+  UNION ALL SELECT item_no, 2, 'parahrase?', '' FROM sh
+  UNION ALL SELECT item_no, 3, '', '' FROM sh
+)
+SELECT CAST(item_no AS BIGINT) AS item_no, CAST(line_no AS BIGINT) AS line_no, field, value FROM lines
+"""

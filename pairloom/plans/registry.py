@@ -293,3 +293,87 @@ def q_dedup_pairs(spark, sf):
 @register("annotations")
 def q_annotations(spark, sf):
     return stages.annotations(spark, sf)
+
+
+# ---- corpus (C4, C5, S6, S7, S11, S12, S13, S17, J3, W4) -------------------
+from pairloom.operators import corpus as Cp  # noqa: E402
+
+
+def _mono(spark, sf):
+    return Cp.monolingual(stages.annotations(spark, sf))
+
+
+def _labelled(spark, sf):
+    mono = _mono(spark, sf)
+    return Cp.with_negatives(Cp.monolingual_by_lang(mono), mono)
+
+
+def _split(spark, sf):
+    return Cp.train_test_split(Cp.drop_inner_identical(_labelled(spark, sf)))
+
+
+@register("monolingual")
+def q_monolingual(spark, sf):
+    return _mono(spark, sf)
+
+
+@register("monolingual_by_lang")
+def q_monolingual_by_lang(spark, sf):
+    return Cp.monolingual_by_lang(_mono(spark, sf))
+
+
+@register("with_negatives")
+def q_with_negatives(spark, sf):
+    return _labelled(spark, sf)
+
+
+@register("inner_identical_filter")
+def q_inner_identical_filter(spark, sf):
+    return Cp.drop_inner_identical(_labelled(spark, sf))
+
+
+@register("inner_identical_counts")
+def q_inner_identical_counts(spark, sf):
+    return Cp.inner_identical_counts(_labelled(spark, sf))
+
+
+@register("train_test_split")
+def q_train_test_split(spark, sf):
+    return _split(spark, sf).select("annotation_identifier", "lang", "isParaphrase", "split")
+
+
+@register("split_shape")
+def q_split_shape(spark, sf):
+    return Cp.split_shape(_split(spark, sf))
+
+
+@register("corpus_export")
+def q_corpus_export(spark, sf):
+    return Cp.corpus_export(_split(spark, sf))
+
+
+@register("annotation_augmented")
+def q_annotation_augmented(spark, sf):
+    return Cp.annotation_augmented(stages.annotations(spark, sf), stages.fragments(spark, sf))
+
+
+@register("upsert_latest")
+def q_upsert_latest(spark, sf):
+    """S11 on documents: the stored rows (version 0) upserted with a
+    cleaning batch (version 1) holding every text whose control characters
+    were replaced."""
+    d = _docs(spark, sf)
+    old = d.select("doc_id", "text", F.lit(0).alias("version"))
+    cleaned = tx.clean_control_chars("text")
+    new = d.where(cleaned != F.col("text")).select("doc_id", cleaned.alias("text"), F.lit(1).alias("version"))
+    return Cp.upsert_latest(old, new, ["doc_id"], "version")
+
+
+@register("fragment_tsv_projection")
+def q_fragment_tsv_projection(spark, sf):
+    return Cp.fragment_tsv_projection(stages.fragments(spark, sf))
+
+
+@register("annotation_sheet")
+def q_annotation_sheet(spark, sf):
+    return Cp.annotation_sheet(Cp.drop_inner_identical(_labelled(spark, sf)))
