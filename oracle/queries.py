@@ -297,3 +297,122 @@ lines AS (
 )
 SELECT CAST(item_no AS BIGINT) AS item_no, CAST(line_no AS BIGINT) AS line_no, field, value FROM lines
 """
+
+TFIDF = C.fragments(LANG_LISTS) + r""",
+docs AS (SELECT url, 'src' AS side, source_text AS text FROM fragments UNION ALL SELECT url, 'plag' AS side, plagiat_text AS text FROM fragments),
+tok AS (SELECT url, side, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS term FROM docs),
+tf AS (SELECT url, side, term, count(*) AS tf FROM tok GROUP BY url, side, term),
+dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+nd AS (SELECT count(*) AS n FROM docs),
+vocab AS (SELECT term, df, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM dfs, nd WHERE df BETWEEN 3 AND 1000),
+w0 AS (SELECT tf.url, tf.side, tf.term, tf.tf * v.idf AS raw FROM tf JOIN vocab v ON v.term = tf.term),
+norms AS (SELECT url, side, sqrt(sum(raw * raw)) AS norm FROM w0 GROUP BY url, side),
+weights AS (SELECT w0.url, w0.side, w0.term, raw / norm AS weight FROM w0 JOIN norms ON norms.url = w0.url AND norms.side = w0.side),
+items AS (SELECT url, split_part(fragment_identifier, '/', 1) AS author FROM fragments)"""
+
+
+def retrieval_sql(grouped: bool, dside: str) -> str:
+    part = "PARTITION BY author" if grouped else ""
+    key = "'42', author, url" if grouped else "'42', url"
+    same = "AND c.author = o.author" if grouped else ""
+    return TFIDF + f""",
+perm AS (SELECT url, author, row_number() OVER ({part} ORDER BY md5(concat_ws('|', {key})), url) AS pos,
+                count(*) OVER ({part}) AS n FROM items),
+offs AS (SELECT p.*, unnest(range(1, least(20, n))) AS off FROM perm p),
+dist AS (SELECT o.url AS q_id, o.author, c.url AS c_id FROM offs o JOIN perm c ON c.pos = ((o.pos - 1 + o.off) % o.n) + 1 {same}),
+pairs AS (SELECT url AS q_id, author, url AS c_id, 'plag' AS c_side, true AS is_target, 0 AS tie FROM items
+          UNION ALL SELECT q_id, author, c_id, '{dside}' AS c_side, false AS is_target, 1 AS tie FROM dist),
+x AS (SELECT p.q_id, p.c_id, p.c_side, sum(a.weight * b.weight) AS s
+      FROM pairs p JOIN weights a ON a.url = p.q_id AND a.side = 'src'
+      JOIN weights b ON b.url = p.c_id AND b.side = p.c_side AND b.term = a.term GROUP BY p.q_id, p.c_id, p.c_side),
+sims AS (SELECT p.*, round(coalesce(x.s, 0.0), 9) AS sim FROM pairs p LEFT JOIN x ON x.q_id = p.q_id AND x.c_id = p.c_id AND x.c_side = p.c_side),
+res AS (SELECT q_id AS url, author, count(*) AS n_candidates, max(sim) FILTER (WHERE is_target) AS target_sim,
+               max(sim) FILTER (WHERE NOT is_target) AS best_distractor_sim FROM sims GROUP BY q_id, author),
+res2 AS (SELECT *, target_sim >= greatest(coalesce(best_distractor_sim, 0.0), 0.0) AS correct FROM res)"""
+
+
+ORACLE_SQL["document_frequency"] = f"WITH {TFIDF} SELECT term, df, round(idf, 9) AS idf FROM vocab"
+ORACLE_SQL["tfidf_weights"] = f"WITH {TFIDF} SELECT url, side, term, round(weight, 9) AS weight FROM weights"
+ORACLE_SQL["retrieval_in_group"] = f"WITH {retrieval_sql(True, 'src')} SELECT * FROM res2"
+ORACLE_SQL["retrieval_global"] = f"WITH {retrieval_sql(False, 'plag')} SELECT url, n_candidates, target_sim, best_distractor_sim, correct FROM res2"
+ORACLE_SQL["top1_match"] = f"""
+WITH {retrieval_sql(True, 'src')}
+SELECT q_id AS url, arg_min(c_id, (-sim, tie, c_id, c_side)) AS best_id, arg_min(c_side, (-sim, tie, c_id, c_side)) AS best_side,
+       max(sim) AS best_sim
+FROM sims GROUP BY q_id
+"""
+ORACLE_SQL["accuracy_by_group"] = f"""
+WITH {retrieval_sql(True, 'src')}
+SELECT author, count(*) AS size, CAST(sum(CAST(correct AS BIGINT)) AS BIGINT) AS n_correct, avg(CAST(correct AS DOUBLE)) AS accuracy
+FROM res2 GROUP BY ROLLUP (author)
+"""
+ORACLE_SQL["accuracy_curve"] = f"""
+WITH {retrieval_sql(True, 'src')},
+g AS (SELECT author, avg(CAST(correct AS DOUBLE)) AS accuracy FROM res2 GROUP BY author)
+SELECT CAST(row_number() OVER (ORDER BY accuracy, author) AS BIGINT) AS rank, author, accuracy FROM g
+"""
+
+SCORED = CORPUS + f""",
+scored AS (
+  SELECT *, CASE WHEN len(list_distinct(list_concat(a, b))) = 0 THEN NULL
+                 ELSE CAST(len(list_intersect(list_distinct(a), list_distinct(b))) AS DOUBLE) / len(list_distinct(list_concat(a, b))) END AS score
+  FROM (SELECT *, {C.tokens_all('plagiat_sent')} AS a, {C.tokens_all('source_sent')} AS b FROM cleaned)
+), per AS (
+  SELECT lang, score, count(*) FILTER (WHERE isParaphrase = 1) AS p, count(*) FILTER (WHERE isParaphrase = 0) AS q
+  FROM scored WHERE score IS NOT NULL GROUP BY lang, score
+), pts AS (
+  SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC) AS BIGINT) AS pos, score AS threshold,
+         CAST(sum(p) OVER w AS BIGINT) AS tp, CAST(sum(q) OVER w AS BIGINT) AS fp,
+         sum(p) OVER (PARTITION BY lang) AS tot_p, sum(q) OVER (PARTITION BY lang) AS tot_q
+  FROM per WINDOW w AS (PARTITION BY lang ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), roc AS (
+  SELECT lang, pos, threshold, tp, fp,
+         CASE WHEN tot_p = 0 THEN NULL ELSE CAST(tp AS DOUBLE) / tot_p END AS tpr,
+         CASE WHEN tot_q = 0 THEN NULL ELSE CAST(fp AS DOUBLE) / tot_q END AS fpr
+  FROM pts
+)"""
+
+ORACLE_SQL["jaccard_accuracy"] = f"""
+WITH {SCORED}
+SELECT lang, count(*) AS n, avg(CAST((CASE WHEN score > 0.5 THEN 1 ELSE 0 END) = isParaphrase AS DOUBLE)) AS accuracy
+FROM scored GROUP BY lang
+"""
+ORACLE_SQL["roc_points"] = f"WITH {SCORED} SELECT * FROM roc"
+ORACLE_SQL["roc_auc"] = f"""
+WITH {SCORED}
+SELECT r.lang, round(sum((r.fpr - coalesce(p.fpr, 0.0)) * (r.tpr + coalesce(p.tpr, 0.0)) / 2), 9) AS auc
+FROM roc r LEFT JOIN roc p ON p.lang = r.lang AND p.pos = r.pos - 1 GROUP BY r.lang
+"""
+
+ANNOT = r"""
+l1 AS (
+  SELECT doc_id * 4 + 0 AS line_no, 'source,"doc ' || doc_id || '";;;' AS value FROM labels
+  UNION ALL SELECT doc_id * 4 + 1, 'plag,"doc ' || doc_id || '";;;' FROM labels
+  UNION ALL SELECT doc_id * 4 + 2, CAST(quality + toxic AS VARCHAR) || ';;;' FROM labels
+  UNION ALL SELECT doc_id * 4 + 3, ';;;' FROM labels
+), l2 AS (
+  SELECT doc_id * 4 + 0 AS line_no, 'source,"doc ' || doc_id || '"' AS value FROM labels
+  UNION ALL SELECT doc_id * 4 + 1, 'plag,"doc ' || doc_id || '"' FROM labels
+  UNION ALL SELECT doc_id * 4 + 2, 'parahrase?,' || CAST(quality * 2 AS VARCHAR) FROM labels
+  UNION ALL SELECT doc_id * 4 + 3, '' FROM labels
+), a1 AS (
+  SELECT CAST(row_number() OVER (ORDER BY line_no) - 1 AS BIGINT) AS item_no, CAST(regexp_extract(value, '(\d);', 1) AS INTEGER) AS label
+  FROM l1 WHERE regexp_matches(value, '(\d);')
+), a2 AS (
+  SELECT CAST(row_number() OVER (ORDER BY line_no) - 1 AS BIGINT) AS item_no, CAST(regexp_extract(value, 'parahrase\?,(\d).*', 1) AS INTEGER) AS label
+  FROM l2 WHERE regexp_matches(value, 'parahrase\?,(\d).*')
+), labels_all AS (
+  SELECT item_no, label, 1 AS annotator FROM a1 UNION ALL SELECT item_no, label, 2 AS annotator FROM a2
+)"""
+
+ORACLE_SQL["annotator_labels"] = f"WITH {ANNOT} SELECT * FROM labels_all"
+ORACLE_SQL["label_positions"] = f"WITH {ANNOT} SELECT annotator, item_no FROM labels_all WHERE label = 2"
+ORACLE_SQL["annotator_agreement"] = f"""
+WITH {ANNOT},
+j AS (SELECT a1.label AS l1, a2.label AS l2 FROM a1 FULL OUTER JOIN a2 ON a1.item_no = a2.item_no)
+SELECT count(l1) AS n_annotator1, count(l2) AS n_annotator2,
+       count(*) FILTER (WHERE l1 IS NULL OR l2 IS NULL) AS n_unmatched,
+       avg(CASE WHEN l1 IS NOT NULL AND l2 IS NOT NULL THEN CAST(l1 = l2 AS DOUBLE) END) AS agreement_with_2,
+       avg(CASE WHEN l1 IS NOT NULL AND l2 IS NOT NULL THEN CAST((CASE WHEN l1 = 2 THEN 1 ELSE l1 END) = (CASE WHEN l2 = 2 THEN 1 ELSE l2 END) AS DOUBLE) END) AS agreement_without_2
+FROM j
+"""

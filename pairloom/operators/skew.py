@@ -20,10 +20,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairloom.session import checkpoint_dir
+
 
 def _cols(cols):
     return [F.col(c) if isinstance(c, str) else c for c in cols]
@@ -47,9 +48,12 @@ def ordered_prefix(df: DataFrame, group_cols: list[str], order_cols: list,
     else:
         ranged = tmp.repartitionByRange(*keys)
     # Both branches below (local sums, block totals) must see the same block
-    # of every row; persisting the range-partitioned frame pins one
-    # partitioner and one computation for both, also across task retries.
-    ranged = ranged.withColumn("__blk", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    # of every row.  Two evaluations of a range exchange may sample different
+    # bounds, and a cached copy is not guaranteed to be picked up by both
+    # branches, so the block-tagged rows are written once (reliable
+    # checkpoint in the session's checkpoint folder) and both read that.
+    checkpoint_dir(df.sparkSession)
+    ranged = ranged.withColumn("__blk", F.spark_partition_id()).checkpoint(eager=True)
 
     w_local = (Window.partitionBy(*group_cols, "__blk").orderBy(*_cols(order_cols))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -377,3 +377,134 @@ def q_fragment_tsv_projection(spark, sf):
 @register("annotation_sheet")
 def q_annotation_sheet(spark, sf):
     return Cp.annotation_sheet(Cp.drop_inner_identical(_labelled(spark, sf)))
+
+
+# ---- evaluation (A2-A12, C6-C9, J8, J9, M4, M5, O7, W7, W8) ---------------
+from pairloom.operators import evaluate as E  # noqa: E402
+from pairloom.operators import tfidf as TF  # noqa: E402
+from pairloom.sources import files as FS  # noqa: E402
+
+
+def _items(spark, sf):
+    f = stages.fragments(spark, sf)
+    return f.select("url", tx.author_of("fragment_identifier").alias("author"))
+
+
+def _side_docs(spark, sf):
+    f = stages.fragments(spark, sf)
+    return f.select("url", F.lit("src").alias("side"), F.col("source_text").alias("text")).unionByName(
+        f.select("url", F.lit("plag").alias("side"), F.col("plagiat_text").alias("text")))
+
+
+def _tfidf(spark, sf):
+    k = stages._key(spark, sf, "tfidf")
+    if k not in stages._MEMO:
+        w, v = TF.tfidf_weights(_side_docs(spark, sf), ["url", "side"])
+        stages._MEMO[k] = (stages.materialize(w), stages.materialize(v))
+    return stages._MEMO[k]
+
+
+@register("document_frequency")
+def q_document_frequency(spark, sf):
+    v = _tfidf(spark, sf)[1]
+    return v.select("term", "df", F.round("idf", 9).alias("idf"))
+
+
+@register("tfidf_weights")
+def q_tfidf_weights(spark, sf):
+    w = _tfidf(spark, sf)[0]
+    return w.select("url", "side", "term", F.round("weight", 9).alias("weight"))
+
+
+@register("top1_match")
+def q_top1_match(spark, sf):
+    return E.top1(_items(spark, sf), _tfidf(spark, sf)[0], "url", ["author"], "src")
+
+
+def _in_group(spark, sf):
+    return E.retrieval(_items(spark, sf), _tfidf(spark, sf)[0], "url", ["author"], "src")
+
+
+@register("retrieval_in_group")
+def q_retrieval_in_group(spark, sf):
+    return _in_group(spark, sf)
+
+
+@register("retrieval_global")
+def q_retrieval_global(spark, sf):
+    return E.retrieval(_items(spark, sf), _tfidf(spark, sf)[0], "url", [], "plag")
+
+
+@register("accuracy_by_group")
+def q_accuracy_by_group(spark, sf):
+    return E.accuracy_by_group(_in_group(spark, sf), "author")
+
+
+@register("accuracy_curve")
+def q_accuracy_curve(spark, sf):
+    return E.accuracy_curve(E.accuracy_by_group(_in_group(spark, sf), "author"), "author")
+
+
+def _scored(spark, sf):
+    return E.jaccard_scores(Cp.drop_inner_identical(_labelled(spark, sf)))
+
+
+@register("jaccard_accuracy")
+def q_jaccard_accuracy(spark, sf):
+    return E.threshold_accuracy(_scored(spark, sf), ["lang"])
+
+
+@register("roc_points")
+def q_roc_points(spark, sf):
+    return E.roc_points(_scored(spark, sf), ["lang"])
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf):
+    return E.roc_auc(E.roc_points(_scored(spark, sf), ["lang"]), ["lang"])
+
+
+def _annotator_lines(spark, sf):
+    """Annotation sheets derived from ``labels``: annotator 1 marks
+    quality + toxic (0/1/2) in the ``<d>;`` layout, annotator 2 marks
+    2 * quality in the ``parahrase?,<d>`` layout; one item per labels row."""
+    lab = read_table(spark, sf, "labels")
+    one = F.explode(F.array(
+        F.struct(F.lit(0).alias("k"), F.concat(F.lit('source,"doc '), F.col("doc_id").cast("string"), F.lit('";;;')).alias("value")),
+        F.struct(F.lit(1).alias("k"), F.concat(F.lit('plag,"doc '), F.col("doc_id").cast("string"), F.lit('";;;')).alias("value")),
+        F.struct(F.lit(2).alias("k"), F.concat((F.col("quality") + F.col("toxic")).cast("string"), F.lit(";;;")).alias("value")),
+        F.struct(F.lit(3).alias("k"), F.lit(";;;").alias("value")),
+    ))
+    two = F.explode(F.array(
+        F.struct(F.lit(0).alias("k"), F.concat(F.lit('source,"doc '), F.col("doc_id").cast("string"), F.lit('"')).alias("value")),
+        F.struct(F.lit(1).alias("k"), F.concat(F.lit('plag,"doc '), F.col("doc_id").cast("string"), F.lit('"')).alias("value")),
+        F.struct(F.lit(2).alias("k"), F.concat(F.lit("parahrase?,"), (F.col("quality") * 2).cast("string")).alias("value")),
+        F.struct(F.lit(3).alias("k"), F.lit("").alias("value")),
+    ))
+    l1 = lab.select("doc_id", one.alias("l")).select((F.col("doc_id") * 4 + F.col("l.k")).alias("line_no"), "l.value")
+    l2 = lab.select("doc_id", two.alias("l")).select((F.col("doc_id") * 4 + F.col("l.k")).alias("line_no"), "l.value")
+    return l1, l2
+
+
+def _annotators(spark, sf):
+    l1, l2 = _annotator_lines(spark, sf)
+    a1 = FS.parse_label_lines(l1, r"(\d);")
+    a2 = FS.parse_label_lines(l2, r"parahrase\?,(\d).*")
+    return a1, a2
+
+
+@register("annotator_labels")
+def q_annotator_labels(spark, sf):
+    a1, a2 = _annotators(spark, sf)
+    return a1.withColumn("annotator", F.lit(1)).unionByName(a2.withColumn("annotator", F.lit(2)))
+
+
+@register("label_positions")
+def q_label_positions(spark, sf):
+    return q_annotator_labels(spark, sf).where(F.col("label") == 2).select("annotator", "item_no")
+
+
+@register("annotator_agreement")
+def q_annotator_agreement(spark, sf):
+    a1, a2 = _annotators(spark, sf)
+    return E.annotator_agreement(a1, a2)
