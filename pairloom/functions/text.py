@@ -131,8 +131,8 @@ def tfidf_tokens(col) -> Column:
 
 def remove_stopwords(tok_col, words) -> Column:
     """Drop tokens found in ``words`` (a small fixed list)."""
-    sw = F.array(*[F.lit(w) for w in words])
-    return F.filter(_c(tok_col), lambda t: ~F.array_contains(sw, t))
+    words = list(words)
+    return F.filter(_c(tok_col), lambda t: ~t.isin(words))
 
 
 def word_count(col) -> Column:
@@ -170,8 +170,9 @@ def detect_language(col, languages: dict[str, list[str]] | None = None) -> Colum
 
 
 def _member_of(words):
-    lst = F.array(*[F.lit(w) for w in words])
-    return lambda t: F.array_contains(lst, t)
+    # ``isin`` over many literals becomes a hash-set lookup (InSet)
+    words = list(words)
+    return lambda t: t.isin(words)
 
 
 def annotation_key(class_col, text_col) -> Column:
@@ -187,3 +188,18 @@ def author_of(identifier_col) -> Column:
 def file_stem(path_col) -> Column:
     """Part of a file name before the first dot."""
     return F.element_at(F.split(_c(path_col), r"\."), 1)
+
+
+def with_language(df, text_col: str, out_col: str, languages: dict[str, list[str]] | None = None):
+    """T17 as a DataFrame step: the same vote as ``detect_language`` with
+    the word extraction, the per-language counts and the winner computed in
+    separate projections, so each is evaluated once per row."""
+    languages = languages or fixed.LANGUAGE_WORDS
+    codes = sorted(languages)
+    w = df.withColumn("__words", F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"[\p{L}\p{N}]+"), 0))
+    w = w.withColumn("__hits", F.array(*[
+        F.struct(F.size(F.filter("__words", _member_of(languages[c]))).alias("hits"), F.lit(c).alias("code"))
+        for c in codes]))
+    w = w.withColumn("__best", F.array_max(F.transform(
+        "__hits", lambda s: F.struct(s["hits"].alias("hits"), (-F.ascii(s["code"]) * 1000 - F.ascii(F.substring(s["code"], 2, 1))).alias("rank"), s["code"].alias("code")))))
+    return w.withColumn(out_col, F.when(F.col("__best.hits") > 0, F.col("__best.code"))).drop("__words", "__hits", "__best")

@@ -39,6 +39,7 @@ from pairloom import fixed  # noqa: E402
 from pairloom.functions import html as H  # noqa: E402
 from pairloom.functions import measures as M  # noqa: E402
 from pairloom.functions import text as tx  # noqa: E402
+from pairloom.operators import pages as PG  # noqa: E402
 from pairloom.sources import adapters  # noqa: E402
 
 
@@ -80,7 +81,7 @@ def q_stopword_filter(spark, sf):
 
 @register("detect_language")
 def q_detect_language(spark, sf):
-    return _docs(spark, sf).select("doc_id", "lang", tx.detect_language("text").alias("detected"))
+    return tx.with_language(_docs(spark, sf).select("doc_id", "lang", "text"), "text", "detected").drop("text")
 
 
 @register("language_confusion")
@@ -144,31 +145,16 @@ def q_page_fields(spark, sf):
     )
 
 
-def page_links(pages):
-    tags = pages.select("page_id", "url", F.posexplode(
-        F.regexp_extract_all("html", F.lit(r"<a\b([^>]*)>"), 1)).alias("link_no", "attrs"))
-    tags = tags.withColumn("href", F.regexp_extract("attrs", r'\bhref="([^"]*)"', 1)).where(F.col("href") != "")
-    cls = F.regexp_extract("attrs", r'\bclass="([^"]*)"', 1)
-    words = F.split(cls, " ")
-    absu = H.absolute_url("href", "url")
-    return tags.select(
-        "page_id", F.col("link_no").cast("long").alias("link_no"), "href", absu.alias("abs_url"),
-        (absu.rlike(r"^.*/wiki/.*/Fragment.*$") & ~absu.contains("Analyse")).alias("is_fragment_link"),
-        (F.array_contains(words, "paginator-next") & ~F.array_contains(words, "disabled")).alias("is_next"),
-    )
-
-
 @register("page_links")
 def q_page_links(spark, sf):
-    return page_links(_pages(spark, sf))
+    return PG.page_links(_pages(spark, sf))
 
 
 @register("frontier_new_urls")
 def q_frontier_new_urls(spark, sf):
     """Linked URLs not yet stored in ``pages`` (anti join)."""
     pages = _pages(spark, sf)
-    links = page_links(pages).select(F.col("abs_url").alias("url")).distinct()
-    return links.join(pages.select("url"), "url", "left_anti")
+    return PG.new_urls(PG.page_links(pages), pages)
 
 
 # ---- span matching (C2 and its steps) -------------------------------------

@@ -154,7 +154,7 @@ def fragments(documents: DataFrame, pairs: DataFrame | None = None) -> DataFrame
     ).join(sents, "doc_id").drop("doc_id")
     cells = _side_markup(side_sents, marks)
     # the language vote runs once per document, not once per fragment side
-    docs = documents.select("doc_id", "text", "lang", "source", tx.detect_language("text").alias("detected"))
+    docs = tx.with_language(documents.select("doc_id", "text", "lang", "source"), "text", "detected")
     src = docs.select(F.col("doc_id").alias("src_doc"), F.col("text").alias("source_text"),
                       F.col("lang").alias("lang"), F.col("source").alias("source"),
                       F.col("detected").alias("lang_source"))
