@@ -54,3 +54,23 @@ def test_detect_language(spark):
     assert one(spark, tx.detect_language("t"), t="the cat and the dog of the house") == "en"
     assert one(spark, tx.detect_language("t"), t="der Hund und die Katze") == "de"
     assert one(spark, tx.detect_language("t"), t="zzz qqq") is None
+
+
+def test_file_stem_and_author(spark):
+    assert one(spark, tx.file_stem("p"), p="de2018-5-15.csv") == "de2018-5-15"
+    assert one(spark, tx.author_of("i"), i="Aaf/Fragment 009 01_7") == "Aaf"
+
+
+def test_stopword_file_and_label_files(spark, tmp_path):
+    from pairloom.sources import files as FS
+
+    sw = tmp_path / "sw.txt"
+    sw.write_text("aber\nals\nhier\thinter\n\n", encoding="utf-8")
+    assert sorted(r["word"] for r in FS.read_stopwords(spark, str(sw)).collect()) == ["aber", "als", "hier", "hinter"]
+    f1 = tmp_path / "a1.txt"
+    f1.write_text('source,"x";;;\nplag,"y";;;\n1;;;\n;;;\nsource,"z";;;\nplag,"w";;;\nparahrase?\n2;;;\n;;;\n', encoding="utf-8")
+    assert [r["label"] for r in FS.read_label_file(spark, str(f1)).orderBy("item_no").collect()] == [1, 2]
+    f2 = tmp_path / "a2.txt"
+    f2.write_text('source,x\nplag,y\nparahrase?,0\n\nsource,z\nplag,w\nparahrase?,2 \n', encoding="utf-8")
+    got = FS.read_label_file(spark, str(f2), r"parahrase\?,(\d).*").orderBy("item_no").collect()
+    assert [r["label"] for r in got] == [0, 2]
