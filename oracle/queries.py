@@ -416,3 +416,36 @@ SELECT count(l1) AS n_annotator1, count(l2) AS n_annotator2,
        avg(CASE WHEN l1 IS NOT NULL AND l2 IS NOT NULL THEN CAST((CASE WHEN l1 = 2 THEN 1 ELSE l1 END) = (CASE WHEN l2 = 2 THEN 1 ELSE l2 END) AS DOUBLE) END) AS agreement_without_2
 FROM j
 """
+
+
+def nth(arr: str, i: int) -> str:
+    n = i if i > 0 else -i
+    return f"(CASE WHEN len({arr}) >= {n} THEN {arr}[{i}] END)"
+
+
+def text_before_hr_sql(x: str) -> str:
+    return strip_markup_sql(f"CASE WHEN strpos(lower({x}), '<hr>') > 0 THEN substr({x}, 1, strpos(lower({x}), '<hr>') - 1) || '</td>' ELSE {x} END")
+
+
+ORACLE_SQL["page_fragment_fields"] = rf"""
+WITH b AS (
+  SELECT url, html, regexp_extract(html, '(?s)<div class="fragment"[^>]*>(.*)', 1) AS box FROM pages
+), d AS (
+  SELECT url, html, box, regexp_extract(box, '(?s)<dl[^>]*>(.*?)</dl>', 1) AS dl,
+         regexp_extract_all(box, '(?s)<table[^>]*>(.*?)</table>', 1) AS tables FROM b
+), r AS (
+  SELECT *, regexp_extract_all(coalesce({nth('tables', 2)}, ''), '(?s)<tr[^>]*>(.*?)</tr>', 1) AS rws FROM d
+), c AS (
+  SELECT *, regexp_extract_all(coalesce({nth('rws', -1)}, ''), '(?s)(<td[^>]*>.*?</td>)', 1) AS cells,
+         regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS h1, regexp_extract(dl, '(?is)<dd[^>]*>(.*?)</dd>', 1) AS dd FROM r
+), e AS (SELECT *, {nth('cells', 1)} AS fc, {nth('cells', -1)} AS lc FROM c)
+SELECT url,
+  CASE WHEN h1 <> '' THEN {strip_markup_sql('h1')} END AS fragment_identifier,
+  CASE WHEN dd <> '' THEN {strip_markup_sql('dd')} END AS type,
+  regexp_matches(dl, '<img[^>]*\balt="Yes"') AS gesichtet,
+  regexp_replace(fc, '\p{{C}}', ' ', 'g') AS raw_plagiat_text,
+  regexp_replace(lc, '\p{{C}}', ' ', 'g') AS raw_source_text,
+  {text_before_hr_sql('fc')} AS plagiat_text,
+  {text_before_hr_sql('lc')} AS source_text
+FROM e
+"""

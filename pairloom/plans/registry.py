@@ -494,3 +494,8 @@ def q_label_positions(spark, sf):
 def q_annotator_agreement(spark, sf):
     a1, a2 = _annotators(spark, sf)
     return E.annotator_agreement(a1, a2)
+
+
+@register("page_fragment_fields")
+def q_page_fragment_fields(spark, sf):
+    return PG.fragment_fields(_pages(spark, sf))

@@ -74,3 +74,16 @@ def test_stopword_file_and_label_files(spark, tmp_path):
     f2.write_text('source,x\nplag,y\nparahrase?,0\n\nsource,z\nplag,w\nparahrase?,2 \n', encoding="utf-8")
     got = FS.read_label_file(spark, str(f2), r"parahrase\?,(\d).*").orderBy("item_no").collect()
     assert [r["label"] for r in got] == [0, 2]
+
+
+def test_fragment_page_fields(spark):
+    from pairloom.operators.pages import fragment_fields
+
+    html = ('<html><body><h1>Aaf/Fragment 009 01</h1><div class="fragment"><dl><dt>Typus</dt><dd>Verschleierung</dd>'
+            '<dd><a href="/x"><img alt="Yes" src="y.png"></a></dd></dl><table><tr><td>meta</td></tr></table>'
+            '<table><tr><td>head</td><td>head</td></tr><tr><td>plag <b>text</b><hr>refs</td><td>src text</td></tr>'
+            '</table></div></body></html>')
+    r = fragment_fields(spark.createDataFrame([("u", html)], ["url", "html"])).first()
+    assert r["fragment_identifier"] == "Aaf/Fragment 009 01" and r["type"] == "Verschleierung"
+    assert r["gesichtet"] is True and r["plagiat_text"] == "plag text" and r["source_text"] == "src text"
+    assert r["raw_plagiat_text"].startswith("<td>plag")
