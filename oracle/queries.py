@@ -449,3 +449,5 @@ SELECT url,
   {text_before_hr_sql('lc')} AS source_text
 FROM e
 """
+
+ORACLE_SQL["monolingual_by_lang_sql"] = ORACLE_SQL["monolingual_by_lang"]

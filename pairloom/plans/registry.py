@@ -499,3 +499,10 @@ def q_annotator_agreement(spark, sf):
 @register("page_fragment_fields")
 def q_page_fragment_fields(spark, sf):
     return PG.fragment_fields(_pages(spark, sf))
+
+
+@register("monolingual_by_lang_sql")
+def q_monolingual_by_lang_sql(spark, sf):
+    from pairloom.plans.sql import monolingual_by_lang_sql
+
+    return monolingual_by_lang_sql(spark, stages.annotations(spark, sf))
