@@ -52,6 +52,7 @@ def main() -> None:
             df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
 
+    run("stage_sentences", lambda: stages.sentences(spark, sf_dir))
     run("stage_lead_pairs", lambda: stages.lead_pairs(spark, sf_dir))
     run("stage_fragments", lambda: stages.fragments(spark, sf_dir))
     run("stage_annotations", lambda: stages.annotations(spark, sf_dir))

@@ -408,7 +408,10 @@ def q_top1_match(spark, sf):
 
 
 def _in_group(spark, sf):
-    return E.retrieval(_items(spark, sf), _tfidf(spark, sf)[0], "url", ["author"], "src")
+    """Per-query in-group results, written once per session (the report,
+    the curve and the query itself read the same table)."""
+    return stages.stage(spark, sf, "in_group",
+                        lambda: E.retrieval(_items(spark, sf), _tfidf(spark, sf)[0], "url", ["author"], "src"))
 
 
 @register("retrieval_in_group")

@@ -40,13 +40,20 @@ def documents(spark, sf_dir):
     return read_table(spark, sf_dir, "documents")
 
 
+def sentences(spark, sf_dir) -> DataFrame:
+    """All sentences with tokens: the one regex pass over the documents."""
+    return stage(spark, sf_dir, "sentences", lambda: adapters.tokenized_sentences(documents(spark, sf_dir)))
+
+
 def lead_pairs(spark, sf_dir) -> DataFrame:
-    return stage(spark, sf_dir, "lead_pairs", lambda: adapters.lead_pairs(documents(spark, sf_dir)))
+    return stage(spark, sf_dir, "lead_pairs",
+                 lambda: adapters.lead_pairs(documents(spark, sf_dir), tok_sentences=sentences(spark, sf_dir)))
 
 
 def fragments(spark, sf_dir) -> DataFrame:
     return stage(spark, sf_dir, "fragments",
-                 lambda: adapters.fragments(documents(spark, sf_dir), lead_pairs(spark, sf_dir)))
+                 lambda: adapters.fragments(documents(spark, sf_dir), lead_pairs(spark, sf_dir),
+                                            sents=sentences(spark, sf_dir)))
 
 
 def annotations(spark, sf_dir) -> DataFrame:

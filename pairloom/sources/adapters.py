@@ -75,7 +75,7 @@ def tokenized_sentences(documents: DataFrame) -> DataFrame:
 
 
 def lead_pairs(documents: DataFrame, words_min: int = fixed.WORDS_MIN,
-               words_max: int = fixed.WORDS_MAX) -> DataFrame:
+               words_max: int = fixed.WORDS_MAX, tok_sentences: DataFrame | None = None) -> DataFrame:
     """Pairs of sentences from different documents sharing a lead phrase.
 
     Within (lang, lead_key) sentences are ordered by (doc_id, ix) and each
@@ -84,7 +84,8 @@ def lead_pairs(documents: DataFrame, words_min: int = fixed.WORDS_MIN,
     lead phrase shared by a third of all sentences is still split over many
     tasks; the successor is found by an equi-join on (lang, lead_key, pos).
     """
-    s = tokenized_sentences(documents).where(F.col("n_tok").between(words_min, words_max))
+    s = tok_sentences if tok_sentences is not None else tokenized_sentences(documents)
+    s = s.where(F.col("n_tok").between(words_min, words_max))
     s = s.withColumn("lead_key", tx.lead_key("tok"))
     r = ordered_prefix(s, ["lang", "lead_key"], ["doc_id", "ix"], totals=False)
     a = r.select(
@@ -131,7 +132,7 @@ def _side_markup(sents: DataFrame, marks: DataFrame) -> DataFrame:
     )
 
 
-def fragments(documents: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def fragments(documents: DataFrame, pairs: DataFrame | None = None, sents: DataFrame | None = None) -> DataFrame:
     """Fragment table (see ``tables.FRAGMENT_SCHEMA``) derived from lead pairs.
 
     ``lang_source`` / ``lang_plagiat`` come from the stop-word language vote
@@ -148,7 +149,7 @@ def fragments(documents: DataFrame, pairs: DataFrame | None = None) -> DataFrame
         p.select("url", F.lit("plag").alias("side"), F.col("plag_ix").alias("ix"), "k", "lead_key")
     )
     frag_docs = p.select("url", "src_doc", "plag_doc").distinct()
-    sents = sentences(documents).select("doc_id", "ix", "sent")
+    sents = (sents if sents is not None else sentences(documents)).select("doc_id", "ix", "sent")
     side_sents = frag_docs.select("url", F.lit("src").alias("side"), F.col("src_doc").alias("doc_id")).unionByName(
         frag_docs.select("url", F.lit("plag").alias("side"), F.col("plag_doc").alias("doc_id"))
     ).join(sents, "doc_id").drop("doc_id")
