@@ -26,7 +26,13 @@ def candidate_pairs(documents: DataFrame, ratio_min: float = fixed.RATIO_MIN, ra
     P6 (open ratio range), P7 (bow_diff > bow_min) and P10 (neither side
     contains the other, case-insensitive).
     """
-    p = with_measures(adapters.lead_pairs(documents))
+    return measured_candidates(adapters.lead_pairs(documents), ratio_min, ratio_max, bow_min)
+
+
+def measured_candidates(lead_pairs: DataFrame, ratio_min: float = fixed.RATIO_MIN, ratio_max: float = fixed.RATIO_MAX,
+                        bow_min: int = fixed.BOW_DIFF_MIN) -> DataFrame:
+    """The filters of the minimum slice over already built lead pairs."""
+    p = with_measures(lead_pairs)
     p = p.where(
         (F.col("nb_words_ratio") > ratio_min) & (F.col("nb_words_ratio") < ratio_max)
         & (F.col("bow_diff") > bow_min)

@@ -34,9 +34,11 @@ def _identity(df: DataFrame) -> DataFrame:
     return df
 
 
-def build_annotations(fragments: DataFrame, seed: str = N.SEED, cut=_identity) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """``cut`` materializes shared intermediates (see ``stages.materialize``)."""
-    m = S.match_fragments(fragments, cut)
+def build_annotations(fragments: DataFrame, seed: str = N.SEED, cut=_identity,
+                      matched: dict[str, DataFrame] | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """``cut`` materializes shared intermediates (see ``stages.materialize``);
+    ``matched`` reuses span-matcher results computed before."""
+    m = dict(matched) if matched is not None else S.match_fragments(fragments, cut)
     pairs = filtered_pairs(m["paired"])
     pairs = P.drop_identical_sentences(pairs.withColumn("pair_id", F.concat_ws("#", "url", F.col("i").cast("string"))),
                                        "pair_id").drop("pair_id")

@@ -29,7 +29,11 @@ def _docs(spark, sf):
 
 @register("candidate_pairs")
 def q_candidate_pairs(spark, sf):
-    return P.candidate_pairs(_docs(spark, sf))
+    """Minimum slice over the stored lead-pair stage (sentences -> tokens ->
+    lead pairs are written once per session; see ``plans/stages.py``)."""
+    from pairloom.plans import stages
+
+    return P.measured_candidates(stages.lead_pairs(spark, sf))
 
 
 # ---- text functions and measures (T1, T3, T11-T17, M1-M3) ----------------
@@ -91,7 +95,9 @@ def q_language_confusion(spark, sf):
 
 
 def _lead_pairs(spark, sf):
-    return adapters.lead_pairs(_docs(spark, sf))
+    from pairloom.plans import stages
+
+    return stages.lead_pairs(spark, sf)
 
 
 @register("bow_difference")

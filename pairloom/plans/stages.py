@@ -60,7 +60,8 @@ def annotations(spark, sf_dir) -> DataFrame:
     from pairloom.plans.annotations import build_annotations
 
     return stage(spark, sf_dir, "annotations",
-                 lambda: build_annotations(fragments(spark, sf_dir), cut=materialize)[0])
+                 lambda: build_annotations(fragments(spark, sf_dir), cut=materialize,
+                                           matched=matched(spark, sf_dir))[0])
 
 
 def matched(spark, sf_dir) -> dict[str, DataFrame]:
