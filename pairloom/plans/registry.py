@@ -391,7 +391,7 @@ def _side_docs(spark, sf):
 def _tfidf(spark, sf):
     k = stages._key(spark, sf, "tfidf")
     if k not in stages._MEMO:
-        w, v = TF.tfidf_weights(_side_docs(spark, sf), ["url", "side"])
+        w, v = TF.tfidf_weights(_side_docs(spark, sf), ["url", "side"], cut=stages.materialize)
         stages._MEMO[k] = (stages.materialize(w), stages.materialize(v))
     return stages._MEMO[k]
 

@@ -57,3 +57,18 @@ def test_accuracy_rollup_micro_average(spark):
     res = spark.createDataFrame([("a", True), ("a", False), ("b", True)], ["author", "correct"])
     rep = {r["author"]: r for r in E.accuracy_by_group(res, "author").collect()}
     assert rep["a"]["accuracy"] == 0.5 and abs(rep[None]["accuracy"] - 2 / 3) < 1e-12 and rep[None]["size"] == 3
+
+
+def test_tfidf_broadcast_and_salted_paths_agree(spark):
+    from pairloom.operators import tfidf as TF
+
+    texts = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog", "the mat and the log",
+             "cat dog mat log", "on the mat the cat"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], ["doc", "text"])
+    a, _ = TF.tfidf_weights(docs, ["doc"], min_df=1, max_df=100)
+    b, _ = TF.tfidf_weights(docs, ["doc"], min_df=1, max_df=100, broadcast_terms=0)
+    ra = sorted((r["doc"], r["term"], round(r["weight"], 12)) for r in a.collect())
+    rb = sorted((r["doc"], r["term"], round(r["weight"], 12)) for r in b.collect())
+    assert ra == rb and len(ra) > 0
+    norms = a.groupBy("doc").agg(F.sum(F.col("weight") * F.col("weight")).alias("n")).collect()
+    assert all(abs(r["n"] - 1.0) < 1e-9 for r in norms)
