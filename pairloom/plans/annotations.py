@@ -58,5 +58,5 @@ def build_annotations(fragments: DataFrame, seed: str = N.SEED, cut=_identity,
         "url", "plagiat_sent", "source_sent", "fake_source_sent", "lang_source", "lang_plagiat", "type",
         "nb_words_ratio", "bow_diff",
     )
-    m.update({"filtered": pairs, "source_sentences": src_sents, "buckets": buckets, "with_fake": with_fake})
+    m.update({"u7_pairs": pairs, "source_sentences": src_sents, "buckets": buckets, "with_fake": with_fake})
     return ann, m

@@ -243,7 +243,8 @@ def q_drop_identical_sentences(spark, sf):
 
 
 def _u7_pairs(spark, sf):
-    return stages.materialize(q_drop_identical_sentences(spark, sf))
+    """U7 output as written by the annotation stage."""
+    return stages.annotation_parts(spark, sf)[1]["u7_pairs"].select("url", "i", "plagiat_sent", "source_sent")
 
 
 @register("fake_source_candidates")
@@ -271,9 +272,8 @@ def q_fake_source_candidates(spark, sf):
 
 @register("fake_source_pick")
 def q_fake_source_pick(spark, sf):
-    m = stages.matched(spark, sf)
-    buckets = N.candidate_buckets(A.source_sentences(m))
-    return N.pick_fake_sources(_u7_pairs(spark, sf), buckets).select("url", "i", "fake_source_sent")
+    parts = stages.annotation_parts(spark, sf)[1]
+    return N.pick_fake_sources(parts["u7_pairs"], parts["buckets"]).select("url", "i", "fake_source_sent")
 
 
 @register("dedup_pairs")

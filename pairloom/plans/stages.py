@@ -56,12 +56,20 @@ def fragments(spark, sf_dir) -> DataFrame:
                                             sents=sentences(spark, sf_dir)))
 
 
-def annotations(spark, sf_dir) -> DataFrame:
-    from pairloom.plans.annotations import build_annotations
+def annotation_parts(spark, sf_dir) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The annotation table (written) and the intermediates it was built
+    from (U7 pairs are written too; see ``build_annotations``)."""
+    k = _key(spark, sf_dir, "annotation_parts")
+    if k not in _MEMO:
+        from pairloom.plans.annotations import build_annotations
+
+        ann, parts = build_annotations(fragments(spark, sf_dir), cut=materialize, matched=matched(spark, sf_dir))
+        _MEMO[k] = (materialize(ann), parts)
+    return _MEMO[k]
+
 
-    return stage(spark, sf_dir, "annotations",
-                 lambda: build_annotations(fragments(spark, sf_dir), cut=materialize,
-                                           matched=matched(spark, sf_dir))[0])
+def annotations(spark, sf_dir) -> DataFrame:
+    return annotation_parts(spark, sf_dir)[0]
 
 
 def matched(spark, sf_dir) -> dict[str, DataFrame]:
