@@ -22,6 +22,17 @@ MAX_DF = 1000
 CATEGORY = "Verschleierung"   # the fragment category kept for the corpus
 NEGATIVE_SUFFIX = "_f"        # id suffix of generated negative pairs
 
+# --- fixed values: markup and file formats ------------------------------
+FRAGMENT_LINK_PATTERN = r"^.*/wiki/.*/Fragment.*$"   # links to fragment pages
+FRAGMENT_LINK_EXCLUDE = "Analyse"                    # ... unless they contain this
+NEXT_PAGE_CLASS = "paginator-next"                   # next-page link class
+DISABLED_CLASS = "disabled"                          # ... not followed when present
+ANNOTATION_CLASS_PREFIX = "fragmark"                 # span classes that annotate
+REVIEWED_ALT = "Yes"                                 # img alt marking a reviewed page
+LABEL_LINE_PATTERN = r"(\d);"                        # first annotator file
+LABEL_LINE_PATTERN_2 = r"parahrase\?,(\d).*"          # second annotator file
+SHEET_FIELDS = ["source", "plag", "parahrase?", ""]  # annotation sheet line heads
+
 # --- fixed value: one-character tokens dropped by the word counter ------
 PUNCTUATION = [".", ",", ";", ":", "?", "!"]
 

@@ -136,11 +136,11 @@ def annotation_sheet(pairs: DataFrame, seed: str = "42", id_col: str = "annotati
     lines each: ``source,<src>`` / ``plag,<plag>`` / ``parahrase?,`` / blank."""
     shuffled = pairs.withColumn("rnd", F.md5(F.concat_ws("|", F.lit(seed), F.col(id_col))))
     r = ordered_prefix(shuffled, [], ["rnd", id_col], totals=False)
-    lines = F.array(
-        F.struct(F.lit(0).alias("line_no"), F.lit("source").alias("field"), F.col("source_sent").alias("value")),
-        F.struct(F.lit(1).alias("line_no"), F.lit("plag").alias("field"), F.col("plagiat_sent").alias("value")),
-        F.struct(F.lit(2).alias("line_no"), F.lit("parahrase?").alias("field"), F.lit("").alias("value")),
-        F.struct(F.lit(3).alias("line_no"), F.lit("").alias("field"), F.lit("").alias("value")),
-    )
+    heads = fixed.SHEET_FIELDS
+    values = [F.col("source_sent"), F.col("plagiat_sent"), F.lit(""), F.lit("")]
+    lines = F.array(*[
+        F.struct(F.lit(i).alias("line_no"), F.lit(h).alias("field"), v.alias("value"))
+        for i, (h, v) in enumerate(zip(heads, values))
+    ])
     return r.select((F.col("pos") - 1).alias("item_no"), F.explode(lines).alias("l")).select(
         "item_no", F.col("l.line_no").cast("long").alias("line_no"), "l.field", "l.value")

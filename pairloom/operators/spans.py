@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairloom import fixed
 from pairloom.functions import html as H
 from pairloom.functions import text as tx
 from pairloom.sources import adapters
@@ -60,7 +61,7 @@ def span_offsets(spans: DataFrame) -> DataFrame:
     return spans.withColumn("start", start).withColumn("end", F.col("start") + F.col("len"))
 
 
-def span_runs(offsets: DataFrame, marker: str = "fragmark") -> DataFrame:
+def span_runs(offsets: DataFrame, marker: str = fixed.ANNOTATION_CLASS_PREFIX) -> DataFrame:
     """W3 + A16: merged annotation runs, one row per (url, side, para, key)."""
     a = offsets.where(F.col("cls").startswith(marker))
     w = Window.partitionBy(*SIDE_KEY).orderBy("span_no")

@@ -483,8 +483,8 @@ def _annotator_lines(spark, sf):
 
 def _annotators(spark, sf):
     l1, l2 = _annotator_lines(spark, sf)
-    a1 = FS.parse_label_lines(l1, r"(\d);")
-    a2 = FS.parse_label_lines(l2, r"parahrase\?,(\d).*")
+    a1 = FS.parse_label_lines(l1, fixed.LABEL_LINE_PATTERN)
+    a2 = FS.parse_label_lines(l2, fixed.LABEL_LINE_PATTERN_2)
     return a1, a2
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom import fixed
 from pairloom.sources.tables import CORPUS_CSV_SCHEMA
 
 
@@ -37,7 +38,7 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
         F.col("word") != "").distinct()
 
 
-def parse_label_lines(lines: DataFrame, pattern: str = r"(\d);", line_col: str = "value",
+def parse_label_lines(lines: DataFrame, pattern: str = fixed.LABEL_LINE_PATTERN, line_col: str = "value",
                       order_col: str = "line_no") -> DataFrame:
     """Keep lines matching ``pattern`` and read its digit group;
     (item_no, label) numbered in line order."""
@@ -49,7 +50,7 @@ def parse_label_lines(lines: DataFrame, pattern: str = r"(\d);", line_col: str =
     return numbered.select((F.col("pos") - 1).alias("item_no"), "label")
 
 
-def read_label_file(spark: SparkSession, path: str, pattern: str = r"(\d);") -> DataFrame:
+def read_label_file(spark: SparkSession, path: str, pattern: str = fixed.LABEL_LINE_PATTERN) -> DataFrame:
     """Label file reader (small hand-made files): lines numbered in file order."""
     lines = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
     return parse_label_lines(lines, pattern)
