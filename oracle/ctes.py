@@ -226,15 +226,18 @@ sides AS (
   SELECT url, CAST(row_number() OVER (PARTITION BY url ORDER BY para_no, ix) - 1 AS BIGINT) AS sent_no, sent
   FROM psents WHERE side = 'src'
 ), cand AS (
-  SELECT u.url, u.i, u.source_sent, c.sent AS fake, c.sent_no,
-         md5(concat_ws('|', '42', u.url, CAST(c.sent_no AS VARCHAR))) AS rnd
+  SELECT u.url, u.i, u.source_sent, c.sent AS fake, c.sent_no, len({tokens('c.sent')}) AS n
   FROM u7 u JOIN src_sents c ON c.url = u.url
   WHERE len({tokens('c.sent')}) BETWEEN 5 AND 40
     AND len({tokens('u.plagiat_sent')}) > 0
     AND CAST(len({tokens('u.plagiat_sent')}) AS DOUBLE) / len({tokens('c.sent')}) BETWEEN 0.5 AND 1.5
     AND c.sent <> u.source_sent
+), cand_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY url, i ORDER BY n, sent_no) - 1 AS k,
+         count(*) OVER (PARTITION BY url, i) AS cnt FROM cand
 ), pick AS (
-  SELECT url, i, arg_min(fake, (rnd, sent_no)) AS fake FROM cand GROUP BY url, i
+  SELECT url, i, fake FROM cand_ranked
+  WHERE k = ('0x' || substr(md5(concat_ws('|', '42', url, CAST(i AS VARCHAR))), 1, 15))::BIGINT % cnt
 ), with_fake AS (
   SELECT u.*, coalesce(p.fake, '') AS fake_source_sent FROM u7 u LEFT JOIN pick p ON p.url = u.url AND p.i = u.i
 ), measured AS (

@@ -1,16 +1,22 @@
 """Negative pairs: a fake source sentence per pair from the same fragment.
 
-Semantics (C3): the fragment's source-side sentences are put in a seeded
-random order (md5 of seed|url|sentence number, ties by number); a pair takes
-the first sentence in that order that has 5..40 tokens, a word ratio
-tokens(plagiat)/tokens(fake) within the closed range [0.5, 1.5], and differs
-from the pair's own source sentence.  No acceptable sentence gives ''.
-
-Plan (J7 + W6 without pairs x sentences): the conditions depend on the fake
-sentence only through its token count n (5..40) and its text, so per
-(url, n) only the two earliest *distinct texts* can ever win (at most one
-of them equals the pair's source).  Each pair probes the <= 36 allowed
-buckets, i.e. at most 72 candidates, however long the fragment is.
+Semantics (C3): among the fragment's source-side sentences (all
+paragraphs, copies counted), the acceptable ones have 5..40 tokens, a word
+ratio tokens(plagiat)/tokens(fake) within the closed range [0.5, 1.5], and
+differ from the pair's own source sentence.  Taking the first acceptable
+sentence of an independently shuffled list, per pair, is the same as
+drawing one acceptable sentence uniformly (copies counted); that is what
+is computed, with a seeded draw per pair (md5 of seed|url|i).  No
+acceptable sentence gives ''.
+
+Plan (J7 + W6 without pairs x sentences): the token count n of a fake
+sentence is all the ratio test needs, so the acceptable sentences of a
+pair form one contiguous range of the fragment's sentences ordered by
+(n, sentence number), minus the copies of the pair's own source sentence.
+Per pair: the range is found from <= 36 per-(fragment, n) counts, the draw
+u picks the u-th element of the range, the copies of the source text (a
+sorted position list) are skipped, and the sentence is fetched by a point
+join on (fragment, position).
 """
 
 from __future__ import annotations
@@ -24,47 +30,77 @@ from pairloom.functions import text as tx
 SEED = "42"
 
 
-def candidate_buckets(source_sents: DataFrame, seed: str = SEED,
-                      words_min: int = fixed.WORDS_MIN, words_max: int = fixed.WORDS_MAX) -> DataFrame:
-    """(url, n, text, rnd, sent_no): top-2 distinct texts per (url, n).
+def fake_source_index(source_sents: DataFrame, words_min: int = fixed.WORDS_MIN,
+                      words_max: int = fixed.WORDS_MAX) -> dict[str, DataFrame]:
+    """Per-fragment lookup tables from (url, sent_no, sent) rows:
 
-    ``source_sents`` has (url, sent_no, sent): all source-side sentences of
-    a fragment, numbered in document order.
+    * ``sentences`` (url, g, n, sent): 5..40-token sentences numbered g from
+      0 in (n, sent_no) order (a window per fragment);
+    * ``counts`` (url, n, c, below): sentences per token count and how many
+      have fewer tokens;
+    * ``copies`` (url, n, sent, gs): sorted positions of each text.
     """
     s = source_sents.withColumn("n", tx.word_count("sent")).where(F.col("n").between(words_min, words_max))
-    s = s.withColumn("rnd", F.md5(F.concat_ws("|", F.lit(seed), F.col("url"), F.col("sent_no").cast("string"))))
-    per_text = s.groupBy("url", "n", "sent").agg(F.min(F.struct("rnd", "sent_no")).alias("r"))
-    w = Window.partitionBy("url", "n").orderBy("r")
-    top = per_text.withColumn("k", F.row_number().over(w)).where(F.col("k") <= 2)
-    return top.select("url", "n", "sent", F.col("r.rnd").alias("rnd"), F.col("r.sent_no").alias("sent_no"))
+    s = s.withColumn("g", (F.row_number().over(Window.partitionBy("url").orderBy("n", "sent_no")) - 1).cast("long"))
+    counts = s.groupBy("url", "n").agg(F.count("*").alias("c"))
+    counts = counts.withColumn("below", F.coalesce(F.sum("c").over(
+        Window.partitionBy("url").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    copies = s.groupBy("url", "n", "sent").agg(F.array_sort(F.collect_list("g")).alias("gs"))
+    return {"sentences": s.select("url", "g", "n", "sent"), "counts": counts, "copies": copies}
+
+
+def _draw(seed: str, id_cols) -> F.Column:
+    h = F.md5(F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in id_cols]))
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
 
 
-def pick_fake_sources(pairs: DataFrame, buckets: DataFrame, id_cols=("url", "i"),
+def acceptable_counts(pairs: DataFrame, index: dict[str, DataFrame], id_cols=("url", "i"),
                       plag_col: str = "plagiat_sent", src_col: str = "source_sent",
                       ratio_min: float = fixed.RATIO_MIN, ratio_max: float = fixed.RATIO_MAX) -> DataFrame:
-    """Adds ``fake_source_sent`` ('' when nothing qualifies).
+    """(ids..., n_acceptable, base, gs): size of the acceptable set, the
+    position where its range starts, and the positions of the source's
+    copies inside the range.
 
     ratio = n_plag / n in [ratio_min, ratio_max]  <=>  n in
     [ceil(n_plag / ratio_max), floor(n_plag / ratio_min)] (exact for the
     integer counts involved).
     """
     ids = list(id_cols)
-    p = pairs.select(*ids, plag_col, src_col).withColumn("n_plag", tx.word_count(plag_col))
-    lo = F.ceil(F.col("n_plag") / F.lit(ratio_max))
-    hi = F.floor(F.col("n_plag") / F.lit(ratio_min))
-    b = buckets.select(F.col("url").alias("b_url"), "n", F.col("sent").alias("fake"), "rnd", "sent_no")
-    cand = p.join(b, (F.col("url") == F.col("b_url")) & (F.col("n") >= lo) & (F.col("n") <= hi), "inner")
-    cand = cand.where((F.col("n_plag") > 0) & (F.col("fake") != F.col(src_col)))
-    best = cand.groupBy(*ids).agg(F.min(F.struct("rnd", "sent_no", "fake")).alias("b"))
-    out = pairs.join(best, ids, "left")
-    return out.withColumn("fake_source_sent", F.coalesce(F.col("b.fake"), F.lit(""))).drop("b")
-
-
-def fake_source_candidates_bruteforce(pairs: DataFrame, source_sents: DataFrame, seed: str = SEED) -> DataFrame:
+    p = pairs.select(*ids, src_col, tx.word_count(plag_col).alias("n_plag"))
+    p = p.withColumn("lo", F.ceil(F.col("n_plag") / F.lit(ratio_max))).withColumn(
+        "hi", F.floor(F.col("n_plag") / F.lit(ratio_min)))
+    cnt = index["counts"].withColumnRenamed("url", "b_url")
+    inrange = (F.col("url") == F.col("b_url")) & (F.col("n") >= F.col("lo")) & (F.col("n") <= F.col("hi")) \
+        & (F.col("n_plag") > 0)
+    tot = p.join(cnt, inrange, "left").groupBy(*ids, src_col).agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("tot"), F.min("below").alias("base"),
+        F.first("lo").alias("lo"), F.first("hi").alias("hi"))
+    cp = index["copies"].select(F.col("url").alias("c_url"), F.col("n").alias("c_n"), F.col("sent").alias("c_sent"), "gs")
+    j = tot.join(cp, (F.col("url") == F.col("c_url")) & (F.col(src_col) == F.col("c_sent"))
+                 & (F.col("c_n") >= F.col("lo")) & (F.col("c_n") <= F.col("hi")), "left")
+    gs = F.coalesce(F.col("gs"), F.array().cast("array<long>"))
+    return j.select(*ids, (F.col("tot") - F.size(gs)).cast("long").alias("n_acceptable"), "base", gs.alias("gs"))
+
+
+def pick_fake_sources(pairs: DataFrame, index: dict[str, DataFrame], id_cols=("url", "i"),
+                      plag_col: str = "plagiat_sent", src_col: str = "source_sent", seed: str = SEED,
+                      ratio_min: float = fixed.RATIO_MIN, ratio_max: float = fixed.RATIO_MAX) -> DataFrame:
+    """Adds ``fake_source_sent`` ('' when nothing qualifies)."""
+    ids = list(id_cols)
+    a = acceptable_counts(pairs, index, ids, plag_col, src_col, ratio_min, ratio_max).where(F.col("n_acceptable") > 0)
+    a = a.withColumn("u", F.pmod(_draw(seed, ids), F.col("n_acceptable")))
+    # skip the copies of the pair's own source, in ascending position order
+    pos = F.aggregate("gs", F.col("base") + F.col("u"), lambda acc, x: F.when(x <= acc, acc + 1).otherwise(acc))
+    a = a.select(*ids, pos.alias("g"))
+    fake = a.join(index["sentences"].select("url", "g", F.col("sent").alias("fake")), ["url", "g"])
+    out = pairs.join(fake.select(*ids, "fake"), ids, "left")
+    return out.withColumn("fake_source_sent", F.coalesce(F.col("fake"), F.lit(""))).drop("fake")
+
+
+def fake_source_candidates_bruteforce(pairs: DataFrame, source_sents: DataFrame) -> DataFrame:
     """J7 written as the plain theta join (pairs x sentences of the fragment);
     for tests on small fixtures only."""
-    s = source_sents.withColumn("n", tx.word_count("sent")).withColumn(
-        "rnd", F.md5(F.concat_ws("|", F.lit(seed), F.col("url"), F.col("sent_no").cast("string"))))
+    s = source_sents.withColumn("n", tx.word_count("sent"))
     p = pairs.withColumn("n_plag", tx.word_count("plagiat_sent"))
     j = p.join(s.withColumnRenamed("sent", "fake"), "url")
     ratio = F.col("n_plag") / F.col("n")

@@ -44,8 +44,8 @@ def build_annotations(fragments: DataFrame, seed: str = N.SEED, cut=_identity,
                                        "pair_id").drop("pair_id")
     pairs = cut(pairs)
     src_sents = source_sentences(m)
-    buckets = N.candidate_buckets(src_sents, seed)
-    with_fake = N.pick_fake_sources(pairs, buckets)
+    index = {k: cut(v) for k, v in N.fake_source_index(src_sents).items()}
+    with_fake = N.pick_fake_sources(pairs, index, seed=seed)
     with_fake = with_fake.withColumn("p_tok", tx.tokens("plagiat_sent")).withColumn("s_tok", tx.tokens("source_sent"))
     measured = P.with_measures(with_fake, "p_tok", "s_tok").drop("p_tok", "s_tok")
     # A (plagiat, source) pair already stored from an earlier fragment or pair is skipped
@@ -58,5 +58,5 @@ def build_annotations(fragments: DataFrame, seed: str = N.SEED, cut=_identity,
         "url", "plagiat_sent", "source_sent", "fake_source_sent", "lang_source", "lang_plagiat", "type",
         "nb_words_ratio", "bow_diff",
     )
-    m.update({"u7_pairs": pairs, "source_sentences": src_sents, "buckets": buckets, "with_fake": with_fake})
+    m.update({"u7_pairs": pairs, "source_sentences": src_sents, "fake_index": index, "with_fake": with_fake})
     return ann, m

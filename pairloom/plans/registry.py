@@ -251,29 +251,15 @@ def _u7_pairs(spark, sf):
 def q_fake_source_candidates(spark, sf):
     """J7 as counts: acceptable fake sources per pair, from per-(url, n)
     bucket counts (never the pairs x sentences product)."""
-    m = stages.matched(spark, sf)
-    src = A.source_sentences(m).withColumn("n", tx.word_count("sent")).where(
-        F.col("n").between(fixed.WORDS_MIN, fixed.WORDS_MAX))
-    per_n = src.groupBy("url", "n").agg(F.count("*").alias("c"))
-    per_text = src.groupBy("url", "n", "sent").agg(F.count("*").alias("same"))
-    pairs = _u7_pairs(spark, sf).withColumn("n_plag", tx.word_count("plagiat_sent"))
-    lo = F.ceil(F.col("n_plag") / F.lit(fixed.RATIO_MAX))
-    hi = F.floor(F.col("n_plag") / F.lit(fixed.RATIO_MIN))
-    b = per_n.withColumnRenamed("url", "b_url")
-    tot = pairs.join(b, (F.col("url") == F.col("b_url")) & (F.col("n") >= lo) & (F.col("n") <= hi), "left") \
-        .groupBy("url", "i", "source_sent", "n_plag").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c"))
-    same = per_text.select(F.col("url").alias("t_url"), F.col("n").alias("t_n"), F.col("sent").alias("t_sent"), "same")
-    tot = tot.join(same, (F.col("url") == F.col("t_url")) & (F.col("source_sent") == F.col("t_sent"))
-                   & (F.col("t_n") >= F.ceil(F.col("n_plag") / F.lit(fixed.RATIO_MAX)))
-                   & (F.col("t_n") <= F.floor(F.col("n_plag") / F.lit(fixed.RATIO_MIN))), "left")
-    n = F.when(F.col("n_plag") > 0, F.col("c") - F.coalesce(F.col("same"), F.lit(0))).otherwise(F.lit(0))
-    return tot.select("url", "i", n.cast("long").alias("n_candidates"))
+    parts = stages.annotation_parts(spark, sf)[1]
+    a = N.acceptable_counts(parts["u7_pairs"], parts["fake_index"])
+    return a.select("url", "i", F.col("n_acceptable").alias("n_candidates"))
 
 
 @register("fake_source_pick")
 def q_fake_source_pick(spark, sf):
     parts = stages.annotation_parts(spark, sf)[1]
-    return N.pick_fake_sources(parts["u7_pairs"], parts["buckets"]).select("url", "i", "fake_source_sent")
+    return N.pick_fake_sources(parts["u7_pairs"], parts["fake_index"]).select("url", "i", "fake_source_sent")
 
 
 @register("dedup_pairs")
