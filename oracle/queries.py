@@ -451,3 +451,10 @@ FROM e
 """
 
 ORACLE_SQL["monolingual_by_lang_sql"] = ORACLE_SQL["monolingual_by_lang"]
+
+ORACLE_SQL["annotated_spans_parsed"] = rf"""
+WITH {M}
+SELECT url, side, para_no, span_no, cls,
+       regexp_replace(regexp_replace(text, '{WS}+', ' ', 'g'), '^ +| +$', '', 'g') AS text
+FROM spans2
+"""

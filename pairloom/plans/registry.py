@@ -501,3 +501,12 @@ def q_monolingual_by_lang_sql(spark, sf):
     from pairloom.plans.sql import monolingual_by_lang_sql
 
     return monolingual_by_lang_sql(spark, stages.annotations(spark, sf))
+
+
+@register("annotated_spans_parsed")
+def q_annotated_spans_parsed(spark, sf):
+    """T8 through the HTML parser (nested-markup path) on the fragment cells."""
+    from pairloom.functions.markup_parser import extract_spans_parsed
+
+    sides = S.fragment_sides(stages.fragments(spark, sf))
+    return extract_spans_parsed(sides).select("url", "side", "para_no", "span_no", "cls", "text")

@@ -83,3 +83,18 @@ def test_word_count_bounds(spark):
         rows.append(("u", i, f"k{i}", words(n, "p"), words(n, "s")))
     df = spark.createDataFrame(rows, ["url", "i", "key", "plagiat_sent", "source_sent"])
     assert sorted(r["i"] for r in filtered_pairs(df).collect()) == [1, 2]
+
+
+def test_nested_markup_parser(spark):
+    from pairloom.functions.markup_parser import parse_spans
+
+    html = ('<td><span class="h">Head</span><p><span class="fragmark1">A <span class="x">inner</span> b</span>'
+            '<span class="t">  two\n words </span></p><p><span class="fragmark2">C</span></p>'
+            '<hr><span class="fragmark1">z</span></td>')
+    got = [(s["para_no"], s["span_no"], s["cls"], s["text"]) for s in parse_spans(html)]
+    assert got == [(0, 0, "h", "Head"), (1, 0, "fragmark1", "A b"), (1, 1, "x", "inner"), (1, 2, "t", "two words"),
+                   (2, 0, "fragmark2", "C")]
+    from pairloom.functions.markup_parser import extract_spans_parsed
+
+    df = spark.createDataFrame([("u", "plag", html)], ["url", "side", "html"])
+    assert extract_spans_parsed(df).count() == 5
