@@ -82,33 +82,6 @@ def split_sentences(col) -> Column:
     return F.filter(F.transform(sentence_pieces(col), lambda p: trim_ws(p)), lambda s: s != F.lit(""))
 
 
-def sentence_spans(col) -> Column:
-    """array<struct<ix, start, end, sent>> with 0-based start and
-    exclusive end offsets into the input text (whitespace trimmed)."""
-    pieces = sentence_pieces(col)
-    lens = F.transform(pieces, lambda p: F.length(p))
-    starts = F.transform(
-        lens,
-        lambda _l, i: F.aggregate(F.slice(lens, 1, i), F.lit(0), lambda acc, x: acc + x),
-    )
-    raw = F.arrays_zip(pieces.alias("piece"), starts.alias("pstart"))
-    spans = F.transform(
-        raw,
-        lambda r: F.struct(
-            (r["pstart"] + F.length(r["piece"]) - F.length(F.regexp_replace(r["piece"], "^" + WS + "+", ""))).alias("start"),
-            trim_ws(r["piece"]).alias("sent"),
-        ),
-    )
-    kept = F.filter(spans, lambda s: s["sent"] != F.lit(""))
-    return F.transform(
-        kept,
-        lambda s, i: F.struct(
-            i.alias("ix"), s["start"].alias("start"),
-            (s["start"] + F.length(s["sent"])).alias("end"), s["sent"].alias("sent"),
-        ),
-    )
-
-
 def tokens(col) -> Column:
     """Word tokens, case kept, the six one-character punctuation
     tokens dropped; brackets and quotes stay tokens."""

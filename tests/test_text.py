@@ -32,9 +32,11 @@ def test_tokens(spark):
 def test_sentences_and_offsets(spark):
     t = "One two. Three four!  Five\nsix? x"
     assert one(spark, tx.split_sentences("t"), t=t) == ["One two.", "Three four!", "Five\nsix?", "x"]
-    spans = one(spark, tx.sentence_spans("t"), t=t)
-    assert [(s["start"], s["end"]) for s in spans] == [(0, 8), (9, 20), (22, 31), (32, 33)]
-    assert all(t[s["start"]:s["end"]] == s["sent"] for s in spans)
+    from pairloom.sources.adapters import sentence_offsets
+
+    rows = sentence_offsets(spark.createDataFrame([(1, t)], ["doc_id", "text"])).orderBy("ix").collect()
+    assert [(r["start"], r["end"]) for r in rows] == [(0, 8), (9, 20), (22, 31), (32, 33)]
+    assert all(t[r["start"]:r["end"]] == r["sent"] for r in rows)
 
 
 def test_measures(spark):
