@@ -8,6 +8,7 @@ tests and the local bench run with sane values.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,20 +39,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts.
+    """The shared folder for lineage cuts: the one ``spark.checkpoint.dir`` (or
+    the context) names.
 
-    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir) when the
-    cluster names one; only when neither is set (local tests) a fresh
-    scratch folder is created and registered.
+    Only a local master may go without: it gets a scratch folder.  On a
+    cluster a missing setting is an error, because executors would write to
+    folders of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    local = tempfile.mkdtemp(prefix="pairloom-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="pairloom-ckpt-")
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir() or named
