@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,36 +89,53 @@ class Bits:
         np.bitwise_or.at(self.words, at >> 3, np.left_shift(np.uint8(1), (at & 7).astype(np.uint8)))
 
 
-def bitmap(df: DataFrame, column: str, bits: int = 24) -> Bits:
-    """The ``Bits`` of a long column, built in the tasks.
+def merged_blocks(df: DataFrame, merge: str, dtype: str) -> Iterator[tuple[int, np.ndarray]]:
+    """Merge (block int, data binary) rows by ``np.<merge>``, in two levels of streaming tasks.
 
-    Every task sends one block of fixed size per 2^15 bits it touched; blocks
-    are OR-ed by an aggregation, so the driver receives 2^bits bits.
+    A task holds one array per block, whatever the number of rows.
     """
-    block = min(bits, 15)
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            for block, data in zip(pdf["block"], pdf["data"], strict=True):
+                got = np.frombuffer(data, dtype)
+                held[block] = getattr(np, merge)(held[block], got) if block in held else got
+        yield pd.DataFrame({"block": list(held), "data": [x.tobytes() for x in held.values()]})
+
+    schema = "block int, data binary"
+    once = df.select("block", "data").repartition(16).mapInPandas(fold, schema)
+    for r in once.coalesce(1).mapInPandas(fold, schema).toLocalIterator():
+        yield r["block"], np.frombuffer(r["data"], dtype)
 
-    def local(batches: Iterator) -> Iterator:
-        import pandas as pd
 
-        own = Bits(bits)
+def bitmap(df: DataFrame, column: str, bits: int = 24) -> Bits:
+    """The ``Bits`` of a long column, built in the tasks; the driver receives 2^bits bits."""
+    block = min(bits, 18)
+
+    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            own = Bits(bits)
         for pdf in batches:
-            own.add(pdf[column].dropna().to_numpy(np.int64).view(np.uint64))
+            own.add(pdf[column].to_numpy(np.int64).view(np.uint64))
         blocks = own.words.reshape(-1, 1 << (block - 3))
         used = np.flatnonzero(blocks.any(axis=1))
-        yield pd.DataFrame({"block": used.astype(np.int64), "data": [blocks[i].tobytes() for i in used]})
+        yield pd.DataFrame({"block": used.astype(np.int32), "data": [blocks[i].tobytes() for i in used]})
 
-    def merge(pdf):
-        import pandas as pd
+    parts = df.select(column).filter(F.col(column).isNotNull()).mapInPandas(local, "block int, data binary")
+    words = np.zeros((1 << (bits - block), 1 << (block - 3)), np.uint8)
+    for at, data in merged_blocks(parts, "bitwise_or", "u1"):
+        words[at] = data
+    return Bits(bits, words.tobytes())
 
-        got = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in pdf["data"]])
-        return pd.DataFrame({"block": [pdf["block"].iloc[0]], "data": [got.tobytes()]})
 
-    parts = df.select(column).mapInPandas(local, "block long, data binary")
-    out = Bits(bits)
-    words = out.words.reshape(-1, 1 << (block - 3)).copy()
-    for r in parts.groupBy("block").applyInPandas(merge, "block long, data binary").toLocalIterator():
-        words[r["block"]] = np.frombuffer(r["data"], np.uint8)
-    return Bits(bits, words.tobytes())
+def only(df: DataFrame, column: str, keys: Bits) -> DataFrame:
+    """Rows whose long ``column`` may be in ``keys`` (all that are, few others); the rest of the row stays in the JVM."""
+    shared = df.sparkSession.sparkContext.broadcast(keys)
+
+    @F.pandas_udf("boolean")
+    def held(x: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.has(x.to_numpy(np.int64).view(np.uint64)))
+
+    return df.filter(F.col(column).isNotNull()).filter(held(F.col(column)))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -151,12 +170,17 @@ class WordHash:
             return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
+@lru_cache(maxsize=64)
+def _factors(size: int, seed: int) -> tuple:
+    return tuple(mix(np.arange(size, dtype=np.uint64) + np.uint64(1 + seed * 1000)) | np.uint64(1))
+
+
 def window_hash(h: np.ndarray, size: int, seed: int) -> np.ndarray:
     """Hashes of all runs of ``size`` consecutive word hashes (order counts)."""
     n = len(h) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64)
     out = np.zeros(n, np.uint64)
-    for j in range(size):
-        out += h[j:j + n] * mix(np.array([seed * 1000 + j], np.uint64))[0].__or__(np.uint64(1))
+    for j, f in enumerate(_factors(size, seed)):
+        out += h[j:j + n] * f
     return mix(out)

@@ -27,4 +27,30 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM w LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_decontamination": OP10}
+OP2 = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+p(n, t, label) AS (VALUES (2, 'mit license', 'mit'), (2, 'apache license', 'apache'), (3, 'general public license', 'gpl')),
+hit AS (SELECT doc_id, s, label FROM w, p, unnest(range(0, len(w) - n + 1)) u(s) WHERE len(w) >= n AND array_to_string(w[s + 1 : s + n], ' ') = t)
+SELECT w.doc_id, len(any_value(w.w))::BIGINT AS n_words, count(s)::BIGINT AS n_base, min(s)::BIGINT AS first_word, max(s)::BIGINT AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
+FROM w LEFT JOIN hit USING (doc_id) GROUP BY 1
+"""
+
+#: SHA-1 in base 32, 5 bits at a time from the hex digest.
+OP7 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, h, min(page_id) OVER (PARTITION BY h) AS first_id, sha1(h) AS x FROM p),
+bits AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, first_id,
+  list_transform(range(0, 40), lambda i: strpos('0123456789abcdef', substr(x, (i + 1)::INT, 1)) - 1) AS nib FROM d)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((
+    (nib[(5 * j // 4 + 1)::INT] * 16 + CASE WHEN 5 * j // 4 + 2 <= 40 THEN nib[(5 * j // 4 + 2)::INT] ELSE 0 END)
+    // (1 << (3 - (5 * j) % 4)::INT)) % 32)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM bits
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_content_addressed_warc": OP7, "op10_decontamination": OP10}
