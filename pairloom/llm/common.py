@@ -113,7 +113,7 @@ def bitmap(df: DataFrame, column: str, bits: int = 24) -> Bits:
     block = min(bits, 18)
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            own = Bits(bits)
+        own = Bits(bits)
         for pdf in batches:
             own.add(pdf[column].to_numpy(np.int64).view(np.uint64))
         blocks = own.words.reshape(-1, 1 << (block - 3))
