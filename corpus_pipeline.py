@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import decontamination, packing, toxicity
+from pairloom.llm import decontamination, jaccard, packing, substrings, toxicity
 from pairloom.llm.common import store
 
 
@@ -15,6 +15,16 @@ def clean_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, labels)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every group linked by five-word shingles at a Jaccard of 0.75 or more."""
+    return jaccard.drop_near_duplicates(docs, size=5, percent=75)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the 13-word passages that an earlier document has; n_chars follows the text."""
+    return substrings.cut_repeats(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose words aren't, for a twentieth or more, in benchmark windows."""
     return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -27,6 +37,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", clean_toxic),
+    ("jaccard_join", drop_near_duplicates),
+    ("substring_dedup", cut_repeats),
     ("decontamination", decontaminate),
     ("packing", pack),
 ]

@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.session import checkpoint_dir
@@ -127,15 +127,29 @@ def bitmap(df: DataFrame, column: str, bits: int = 24) -> Bits:
     return Bits(bits, words.tobytes())
 
 
-def only(df: DataFrame, column: str, keys: Bits) -> DataFrame:
-    """Rows whose long ``column`` may be in ``keys`` (all that are, few others); the rest of the row stays in the JVM."""
+def _held(df: DataFrame, column: str, keys: Bits) -> Column:
     shared = df.sparkSession.sparkContext.broadcast(keys)
 
     @F.pandas_udf("boolean")
     def held(x: pd.Series) -> pd.Series:
         return pd.Series(shared.value.has(x.to_numpy(np.int64).view(np.uint64)))
 
-    return df.filter(F.col(column).isNotNull()).filter(held(F.col(column)))
+    return held(F.coalesce(F.col(column).cast("long"), F.lit(0)))
+
+
+def only(df: DataFrame, column: str, keys: Bits) -> DataFrame:
+    """Rows whose long ``column`` may be in ``keys`` (all that are, few others); the rest of the row stays in the JVM."""
+    return df.filter(F.col(column).isNotNull()).filter(_held(df, column, keys))
+
+
+def replace_rows(df: DataFrame, column: str, changes: DataFrame, change) -> DataFrame:
+    """``df`` with ``change(rows, changes)`` in place of the rows whose ``column`` is in ``changes``.
+
+    Only rows that the bitmap of the changed ids lets through meet the join in
+    ``change``; the others, and rows without id, pass by without a shuffle.
+    """
+    held = F.col(column).isNotNull() & _held(df, column, bitmap(changes, column))
+    return df.filter(~held).unionByName(change(df.filter(held), changes))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import WordHash, bitmap, merged_blocks, mix, only, store, union_min, window_hash
+from pairloom.llm.common import WordHash, bitmap, merged_blocks, mix, only, replace_rows, store, union_min, window_hash
 
 BANDS, ROWS = 16, 4
 #: log2 of the sketch's counters, and of the counters in a block of it.
@@ -227,5 +227,6 @@ def jaccard_components(documents: DataFrame, size: int = 5, percent: int = 75) -
 
 def drop_near_duplicates(documents: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """The documents (all their columns) that come first in their group."""
-    gone = jaccard_components(documents, size, percent).filter("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return documents.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    gone = store(jaccard_components(documents, size, percent).filter("component_id <> doc_id").select("doc_id").distinct(), "jaccard_gone")
+    return replace_rows(documents, "doc_id", gone, lambda rows, gone: rows.join(
+        gone.select(F.col("doc_id").alias("__gone")), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti"))

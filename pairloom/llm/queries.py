@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from pairloom.llm import bitplanes, chat, decontamination, jaccard, licences, packing, toxicity, vectors, warc
+from pairloom.llm import bitplanes, chat, decontamination, jaccard, licences, packing, substrings, toxicity, vectors, warc
 from pairloom.llm.sql import ORACLE_SQL as _SQL
 
 
@@ -39,6 +39,10 @@ def op5_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_digest(_table(spark, sf_dir, "documents"))
+
+
 def op7_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(*warc.write_archive(_table(spark, sf_dir, "pages")))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_embedding_near_dups": op5_embedding_near_dups,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_content_addressed_warc": op7_content_addressed_warc,
     "op8_token_group_jaccard": op8_token_group_jaccard,
     "op9_quotation_linking": op9_quotation_linking,

@@ -53,4 +53,14 @@ SELECT page_id, payload_bytes,
 FROM bits
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_content_addressed_warc": OP7, "op10_decontamination": OP10}
+OP6 = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, s, md5(array_to_string(w[s + 1 : s + 13], ' ')) AS t FROM w, unnest(range(0, len(w) - 12)) u(s) WHERE len(w) >= 13),
+first AS (SELECT t, min(doc_id) AS f FROM win GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, p FROM win JOIN first USING (t), unnest(range(s, s + 13)) u(p) WHERE f < doc_id),
+kept AS (SELECT w.doc_id, p, w.w[p + 1] AS x FROM w, unnest(range(0, len(w.w))) u(p) ANTI JOIN gone ON gone.doc_id = w.doc_id AND gone.p = u.p)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.x, '')) AS kept_sha256
+FROM w LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS x FROM kept GROUP BY 1) k USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_substring_dedup": OP6, "op7_content_addressed_warc": OP7, "op10_decontamination": OP10}

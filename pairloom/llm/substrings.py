@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Bits, WordHash, bitmap, store, window_hash
+from pairloom.llm.common import Bits, WordHash, bitmap, replace_rows, store, window_hash
 
 WINDOW, PHRASE = 13, 5
 #: Bytes of text that one automaton serves, and log2 of the bitmap of recurring phrases.
@@ -76,41 +76,183 @@ def recurring_phrases(docs: DataFrame, window: int) -> DataFrame:
                  .filter("a <> b").select("key", "n"), "sub_phrases")
 
 
-ROW = "rid long, doc_id long, n_words long, removed binary, text string"
-
-
-def _finished(rid, doc, w: list[bytes], keep: np.ndarray) -> tuple:
-    return rid, doc, len(w), int((~keep).sum()), " ".encode().join(x for x, k in zip(w, keep, strict=True) if k).decode("utf-8")
-
-
-def _spread(starts: np.ndarray, n: int, window: int) -> np.ndarray:
-    """Words covered by windows at ``starts``."""
+def covered(starts: np.ndarray, n: int, window: int) -> np.ndarray:
+    """Which of n words the windows at ``starts`` cover."""
     d = np.zeros(n + 1, np.int64)
     np.add.at(d, starts, 1)
-    np.add.at(d, np.minimum(starts + window, n), -1)
+    np.add.at(d, starts + window, -1)
     return np.cumsum(d[:n]) > 0
 
 
-def locate(texts: list[list[bytes]], recurring: list[list[tuple[bytes, ...]]]) -> list[np.ndarray]:
-    """Word positions where any of the shard's phrases stands, per text, by one automaton."""
+def finished(w: list[bytes], gone: np.ndarray) -> tuple[int, int, str | None, str]:
+    """n_words, n_removed, the kept words joined by one blank (None: all of them) and their SHA-256."""
+    lost = int(gone.sum())
+    kept = b" ".join(x for x, g in zip(w, gone, strict=True) if not g) if lost else b" ".join(w)
+    return len(w), lost, kept.decode("utf-8", "replace") if lost else None, hashlib.sha256(kept).hexdigest()
+
+
+def locate(texts: list[list[bytes]], phrases: set[bytes]) -> list[np.ndarray]:
+    """Positions (in words) where any of the phrases stands, per text, by one automaton."""
     import ahocorasick
 
     machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    for phrases in recurring:
-        for p in phrases:
-            machine.add_word(" " + b" ".join(p).decode("utf-8", "replace") + " ")
-    if not len(machine):
-        return [np.empty(0, np.int64) for _ in texts]
+    for p in phrases:
+        machine.add_word(f" {p.decode('utf-8', 'replace')} ")
     machine.make_automaton()
     out = []
     for w in texts:
-        line = " " + b" ".join(w).decode("utf-8", "replace") + " "
+        line = f" {b' '.join(w).decode('utf-8', 'replace')} "
         blanks = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), "<u4") == 32)  # blank i stands before word i
-        ends = np.array([(e, n) for e, n in machine.iter(line)], np.int64).reshape(-1, 2)
-        out.append(np.searchsorted(blanks, np.unique(ends[:, 0] - ends[:, 1] + 1)))
+        first = np.array([end - size + 1 for end, size in machine.iter(line)], np.int64)
+        out.append(np.searchsorted(blanks, first))
     return out
 
 
+SCREENED = "rid long, doc_id long, shard long, text string, n_words long, digest string"
+SETTLED = ("rid long, doc_id long, n_words long, n_removed long, kept string, digest string, text string, starts binary, "
+           "open array<struct<h1:bigint,h2:bigint,at:int>>")
+
+
+def _screen(docs: DataFrame, window: int, recurring: Bits, hot: dict[int, int]) -> DataFrame:
+    """Rows with a recurring phrase get a shard; the others are finished here."""
+    shared = docs.sparkSession.sparkContext.broadcast((recurring, hot))  # 2^BITS bits, at most 1 / HOT keys
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits, parts = shared.value
+        hashed = WordHash()
+        for pdf in batches:
+            out = []
+            for rid, doc, text in zip(pdf["rid"], pdf["doc_id"], pdf["text"], strict=True):
+                w = words(text)
+                keys = np.unique(least_phrases(hashed(w), window)) if len(w) >= window and not pd.isna(doc) else np.empty(0, np.uint64)
+                keys = keys[bits.has(keys)].view(np.int64)
+                if not len(keys):
+                    n, _, _, digest = finished(w, np.zeros(len(w), bool))
+                    out.append((rid, doc, rid, None, n, digest))
+                else:
+                    key = int(keys[0])
+                    out.append((rid, doc, key ^ (int(doc) % parts.get(key, 1)), text, None, None))
+            got = pd.DataFrame(out, columns=["rid", "doc_id", "shard", "text", "n_words", "digest"])
+            yield got.astype({"doc_id": "Int64", "n_words": "Int64"})
+
+    return docs.mapInPandas(rows, SCREENED)
+
+
+def _settle(rows: list[tuple[int, int, list[bytes], str]], window: int, bits: Bits, hashed: WordHash) -> list[tuple]:
+    """One shard (rid, doc_id, words, text): locate phrases, settle windows that an earlier document of the shard has."""
+    phrase = min(PHRASE, window)
+    own, phrases = [], set()
+    for _, _, w, _ in rows:
+        h = hashed(w)
+        k, least = window_hash(h, phrase, 3), least_phrases(h, window)
+        own.append((h, k, least))
+        wanted = np.unique(least)
+        for i in np.flatnonzero(np.isin(k, wanted[bits.has(wanted)])):
+            phrases.add(b" ".join(w[i:i + phrase]))
+    at, doc, h1, h2 = [], [], [], []
+    for i, ((h, k, least), places) in enumerate(zip(own, locate([r[2] for r in rows], phrases), strict=True)):
+        starts = np.flatnonzero(np.isin(least, k[places[places < len(k)]]))
+        at.append(starts)
+        doc.append(np.full(len(starts), i))
+        h1.append(window_hash(h, window, 11)[starts])
+        h2.append(window_hash(h, window, 12)[starts])
+    at, doc, h1, h2 = map(np.concatenate, (at, doc, h1, h2))
+    ids = np.array([r[1] for r in rows], np.int64)
+    order = np.lexsort((ids[doc], h2, h1))
+    new = np.ones(len(order), bool)
+    new[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
+    first = np.empty(len(order), np.int64)  # the smallest doc_id of the shard with the window
+    first[order] = ids[doc][order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))] if len(order) else 0
+    settled = ids[doc] > first
+    out = []
+    cut = np.searchsorted(doc, np.arange(len(rows) + 1))
+    for i, (rid, d, w, text) in enumerate(rows):
+        s = slice(cut[i], cut[i + 1])
+        gone, left = at[s][settled[s]], ~settled[s]
+        if left.any():
+            rest = [{"h1": a, "h2": b, "at": c} for a, b, c in zip(h1[s][left].view(np.int64).tolist(), h2[s][left].view(np.int64).tolist(),
+                                                                 at[s][left].tolist(), strict=True)]
+            out.append((rid, d, len(w), None, None, None, text, gone.astype("<i4").tobytes(), rest))
+        else:
+            out.append((rid, d, *finished(w, covered(gone, len(w), window)), None, None, None))
+    return out
+
+
+def _shards(screened: DataFrame, window: int, recurring: Bits) -> DataFrame:
+    shared = screened.sparkSession.sparkContext.broadcast(recurring)
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashed, held, size = WordHash(), [], 0
+        names = ["rid", "doc_id", "n_words", "n_removed", "kept", "digest", "text", "starts", "open"]
+
+        def frame(out: list[tuple]) -> pd.DataFrame:
+            return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64", "n_words": "Int64", "n_removed": "Int64"})
+
+        for pdf in batches:
+            done = pdf["text"].isna()
+            plain = pdf[done]
+            yield frame([(r.rid, r.doc_id, r.n_words, 0, None, r.digest, None, None, None) for r in plain.itertuples(index=False)])
+            for r in pdf[~done].itertuples(index=False):
+                held.append((r.rid, int(r.doc_id), words(r.text), r.text))
+                size += len(r.text)
+                if size >= SHARD_BYTES:
+                    yield frame(_settle(held, window, shared.value, hashed))
+                    held, size = [], 0
+        if held:
+            yield frame(_settle(held, window, shared.value, hashed))
+
+    return store(screened.repartition("shard").sortWithinPartitions("shard", "doc_id").mapInPandas(rows, SETTLED), "sub_settled")
+
+
 def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_removed and kept (the words left, joined by one blank) of every row; stored."""
-    raise NotImplementedError
+    """rid, doc_id, n_words, n_removed, kept (the words left, joined by one blank; null where
+    no word goes) and digest (SHA-256 of the words left) of every row."""
+    docs = documents.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
+                            F.col("text").cast("string").alias("text"))
+    recurring = recurring_phrases(docs, window)
+    total = recurring.agg(F.sum("n")).first()[0] or 0
+    most = max(100, int(total * HOT))
+    hot = {r["key"]: -(-r["n"] // most) for r in recurring.filter(F.col("n") > most).select("key", "n").collect()}
+    bits = bitmap(recurring, "key", BITS)
+    settled = _shards(_screen(docs, window, bits, hot), window, bits)
+    done = settled.filter("text is null").select("rid", "doc_id", "n_words", "n_removed", "kept", "digest")
+    rest = settled.filter("text is not null")
+    places = rest.select("rid", "doc_id", F.explode("open").alias("w")).select("rid", "doc_id", "w.*")
+    first = places.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first <> last")
+    gone = (places.join(first, ["h1", "h2"]).filter("doc_id > first").groupBy("rid").agg(F.collect_list("at").alias("more")))
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                w = words(r.text)
+                more = np.asarray(r.more, np.int64) if r.more is not None else np.empty(0, np.int64)
+                starts = np.concatenate([np.frombuffer(r.starts, "<i4").astype(np.int64), more])
+                out.append((r.rid, r.doc_id, *finished(w, covered(starts, len(w), window))))
+            yield pd.DataFrame(out, columns=["rid", "doc_id", "n_words", "n_removed", "kept", "digest"])
+
+    late = rest.select("rid", "doc_id", "text", "starts").join(gone, "rid", "left").mapInPandas(
+        finish, "rid long, doc_id long, n_words long, n_removed long, kept string, digest string")
+    return done.unionByName(late)
+
+
+def substring_digest(documents: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256."""
+    return remove_repeats(documents, window).select("doc_id", "n_words", "n_removed", F.col("digest").alias("kept_sha256"))
+
+
+def cut_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents (all their columns) with repeated passages cut out.
+
+    A text that loses nothing is left as it is; one that loses words becomes its
+    kept words, and a document with no word left goes.  Rows whose doc_id is
+    null are left as they are; doc_ids are taken to be unique.
+    """
+    cut = store(remove_repeats(documents, window).filter("n_removed > 0 and doc_id is not null").select("doc_id", "kept"), "sub_cut")
+
+    def change(rows: DataFrame, cut: DataFrame) -> DataFrame:
+        cut = cut.select(F.col("doc_id").alias("__id"), F.col("kept").alias("__kept"))
+        both = rows.join(cut, F.col("doc_id").cast("long") == F.col("__id"), "left").filter("__id is null or __kept <> ''")
+        return both.withColumn("text", F.when(F.col("__id").isNull(), F.col("text")).otherwise(F.col("__kept"))).select(rows.columns)
+
+    return replace_rows(documents, "doc_id", cut, change)
