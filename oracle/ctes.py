@@ -50,14 +50,20 @@ s5 AS (
   SELECT *, CAST(len(tok) AS BIGINT) AS n_tok, lower(array_to_string(tok[1:3], ' ')) AS lead_key
   FROM tok_sentences WHERE len(tok) BETWEEN 5 AND 40
 ),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY lang, lead_key ORDER BY doc_id, ix) AS pos FROM s5
+uniq AS (
+  SELECT * FROM s5 QUALIFY row_number() OVER (PARTITION BY lang, lead_key, sent ORDER BY doc_id, ix) = 1
+),
+next_doc AS (
+  SELECT a.lang, a.lead_key, a.doc_id, min(b.doc_id) AS nd FROM (SELECT DISTINCT lang, lead_key, doc_id FROM uniq) a
+  JOIN (SELECT DISTINCT lang, lead_key, doc_id FROM uniq) b ON a.lang = b.lang AND a.lead_key = b.lead_key AND b.doc_id > a.doc_id
+  GROUP BY ALL
 ),
 lead_pairs AS (
   SELECT a.lang, a.lead_key, a.doc_id AS src_doc, a.ix AS src_ix, a.source, a.sent AS source_sent, a.tok AS src_tok,
          b.doc_id AS plag_doc, b.ix AS plag_ix, b.sent AS plagiat_sent, b.tok AS plag_tok
-  FROM ranked a JOIN ranked b ON a.lang = b.lang AND a.lead_key = b.lead_key AND b.pos = a.pos + 1
-  WHERE b.doc_id <> a.doc_id AND b.sent <> a.sent
+  FROM uniq a JOIN next_doc n ON a.lang = n.lang AND a.lead_key = n.lead_key AND a.doc_id = n.doc_id
+  JOIN uniq b ON b.lang = n.lang AND b.lead_key = n.lead_key AND b.doc_id = n.nd
+  QUALIFY b.ix = min(b.ix) OVER (PARTITION BY a.lang, a.lead_key, a.doc_id, a.ix)
 )"""
 
 
@@ -96,7 +102,7 @@ fp AS (
   FROM side_sents ss LEFT JOIN marks m ON m.url = ss.url AND m.side = ss.side AND m.ix = ss.ix
 ), cells AS (
   SELECT url, side,
-         '<td><p>' || string_agg(h, '' ORDER BY ix) || '</p><hr><span class="fragmark1">refs</span></td>' AS markup
+         '<td><p>' || string_agg(h, '' ORDER BY ix, h) || '</p><hr><span class="fragmark1">refs</span></td>' AS markup
   FROM spans_html GROUP BY url, side
 ), doc_lang AS (
   SELECT doc_id, text, lang, source, {detect_sql('text', lang_lists)} AS detected FROM documents
@@ -135,7 +141,7 @@ sides AS (
   SELECT url, side, para_no, CAST(generate_subscripts(cl, 1) - 1 AS BIGINT) AS span_no, unnest(cl) AS cls, unnest(tx) AS text
   FROM se
 ), spans AS (
-  SELECT url, side, para_no, span_no, cls, regexp_replace(text, '^{WS}+|{WS}+$', '', 'g') AS text FROM sp0
+  SELECT url, side, para_no, span_no, cls, regexp_replace(regexp_replace(text, '{WS}+', ' ', 'g'), '^ | $', '', 'g') AS text FROM sp0
 ), spans2 AS (
   SELECT *, CAST(length(text) AS BIGINT) AS len FROM spans WHERE length(text) > 0
 ), offs AS (

@@ -1,6 +1,7 @@
 """Oracle SQL per registered query (DuckDB dialect)."""
 
 from oracle import ctes as C
+from pairloom import fixed
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -52,13 +53,12 @@ WITH {C.SENTENCES}
 SELECT doc_id, ix, CAST(len(tok) AS BIGINT) AS n_tok, array_to_string(tok, ' ') AS tokens FROM tok_sentences
 """
 
-GERMAN_SW = "['aber', 'als', 'am', 'an', 'auch', 'auf', 'aus', 'bei', 'bin', 'bis', 'bist', 'da', 'dadurch', 'daher', 'darum', 'das', 'daß', 'dass', 'dein', 'deine', 'dem', 'den', 'der', 'des', 'dessen', 'deshalb', 'die', 'dies', 'dieser', 'dieses', 'doch', 'dort', 'du', 'durch', 'ein', 'eine', 'einem', 'einen', 'einer', 'eines', 'er', 'es', 'euer', 'eure', 'für', 'hatte', 'hatten', 'hattest', 'hattet', 'hier', 'hinter', 'ich', 'ihr', 'ihre', 'im', 'in', 'ist', 'ja', 'jede', 'jedem', 'jeden', 'jeder', 'jedes', 'jener', 'jenes', 'jetzt', 'kann', 'kannst', 'können', 'könnt', 'machen', 'mein', 'meine', 'mit', 'muß', 'mußt', 'musst', 'müssen', 'müßt', 'nach', 'nachdem', 'nein', 'nicht', 'nun', 'oder', 'seid', 'sein', 'seine', 'sich', 'sie', 'sind', 'soll', 'sollen', 'sollst', 'sollt', 'sonst', 'soweit', 'sowie', 'und', 'unser', 'unsere', 'unter', 'vom', 'von', 'vor', 'wann', 'warum', 'was', 'weiter', 'weitere', 'wenn', 'wer', 'werde', 'werden', 'werdet', 'weshalb', 'wie', 'wieder', 'wieso', 'wir', 'wird', 'wirst', 'wo', 'woher', 'wohin', 'zu', 'zum', 'zur', 'über']"
-LANG_LISTS = {
-    "de": "['aber', 'als', 'am', 'an', 'auch', 'auf', 'aus', 'bei', 'bin', 'bis', 'bist', 'da', 'dadurch', 'daher', 'darum', 'das', 'daß', 'dass', 'dein', 'deine', 'dem', 'den', 'der', 'des', 'dessen', 'deshalb', 'die', 'dies', 'dieser', 'dieses', 'doch', 'dort', 'du', 'durch', 'ein', 'eine', 'einem', 'einen', 'einer', 'eines', 'er', 'es', 'euer', 'eure', 'für', 'hatte', 'hatten', 'hattest', 'hattet', 'hier', 'hinter', 'ich', 'ihr', 'ihre', 'im', 'in', 'ist', 'ja', 'jede', 'jedem', 'jeden', 'jeder', 'jedes', 'jener', 'jenes', 'jetzt', 'kann', 'kannst', 'können', 'könnt', 'machen', 'mein', 'meine', 'mit', 'muß', 'mußt', 'musst', 'müssen', 'müßt', 'nach', 'nachdem', 'nein', 'nicht', 'nun', 'oder', 'seid', 'sein', 'seine', 'sich', 'sie', 'sind', 'soll', 'sollen', 'sollst', 'sollt', 'sonst', 'soweit', 'sowie', 'und', 'unser', 'unsere', 'unter', 'vom', 'von', 'vor', 'wann', 'warum', 'was', 'weiter', 'weitere', 'wenn', 'wer', 'werde', 'werden', 'werdet', 'weshalb', 'wie', 'wieder', 'wieso', 'wir', 'wird', 'wirst', 'wo', 'woher', 'wohin', 'zu', 'zum', 'zur', 'über']",
-    "en": "['the', 'of', 'and', 'to', 'a', 'in', 'is', 'that', 'it', 'for', 'was', 'on', 'with', 'by', 'as', 'this', 'are', 'from']",
-    "es": "['el', 'la', 'los', 'las', 'que', 'y', 'en', 'del', 'se', 'por', 'un', 'una', 'con', 'para', 'su', 'al']",
-    "fr": "['le', 'la', 'les', 'des', 'et', 'du', 'un', 'une', 'que', 'qui', 'pour', 'est', 'dans', 'sur', 'au', 'avec']",
-}
+def _list(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+GERMAN_SW = _list(fixed.GERMAN_STOPWORDS)
+LANG_LISTS = {code: _list(words) for code, words in fixed.LANGUAGE_WORDS.items()}
 
 ORACLE_SQL["stopword_filter"] = rf"""
 WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}') AS t FROM documents),
@@ -111,13 +111,15 @@ FROM documents
 
 
 def strip_markup_sql(x: str) -> str:
+    """Text of markup; of the character references the ones the pages hold."""
     c = x
-    c = f"regexp_replace({c}, '(?s)<!--.*?-->', ' ', 'g')"
-    c = f"regexp_replace({c}, '(?is)<script[^>]*>.*?</script[^>]*>', ' ', 'g')"
-    c = f"regexp_replace({c}, '(?is)<style[^>]*>.*?</style[^>]*>', ' ', 'g')"
-    c = f"regexp_replace({c}, '(?s)<[^>]*>', ' ', 'g')"
-    for a, b in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")]:
+    c = f"regexp_replace({c}, '(?s)<!--.*?-->', '', 'g')"
+    c = f"regexp_replace({c}, '(?is)<(script|style)\\b[^>]*>.*?</(script|style)[^>]*>', '', 'g')"
+    c = f"regexp_replace({c}, '(?is)</?({'|'.join(fixed.BLOCK_TAGS)})\\b[^>]*>', ' ', 'g')"
+    c = f"regexp_replace({c}, '(?s)<[^>]*>', '', 'g')"
+    for a, b in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&middot;", "·"), ("&copy;", "©")]:
         c = f"replace({c}, '{a}', '{b}')"
+    c = f"regexp_replace({c}, '&amp;?', '&', 'g')"
     c = f"regexp_replace({c}, '{WS}+', ' ', 'g')"
     return f"regexp_replace({c}, '^{WS}+|{WS}+$', '', 'g')"
 
@@ -263,7 +265,7 @@ ORACLE_SQL["split_shape"] = f"WITH {CORPUS} SELECT lang, split, count(*) AS n_ro
 ORACLE_SQL["corpus_export"] = f"""
 WITH {CORPUS}
 SELECT lang, split, plagiat_sent, source_sent, isParaphrase, url,
-       lang || strftime(current_date, '%Y-%-m-%-d') || '_' || split || '.csv' AS file_name
+       lang || '2024-1-1' || '_' || split || '.csv' AS file_name
 FROM split
 """
 ORACLE_SQL["annotation_augmented"] = f"""
@@ -418,36 +420,19 @@ FROM j
 """
 
 
-def nth(arr: str, i: int) -> str:
-    n = i if i > 0 else -i
-    return f"(CASE WHEN len({arr}) >= {n} THEN {arr}[{i}] END)"
-
-
 def text_before_hr_sql(x: str) -> str:
     return strip_markup_sql(f"CASE WHEN strpos(lower({x}), '<hr>') > 0 THEN substr({x}, 1, strpos(lower({x}), '<hr>') - 1) || '</td>' ELSE {x} END")
 
 
+#: What the generated pages say, taken from the fragments themselves instead of parsing pages; the given pages hold no fragment box.
 ORACLE_SQL["page_fragment_fields"] = rf"""
-WITH b AS (
-  SELECT url, html, regexp_extract(html, '(?s)<div class="fragment"[^>]*>(.*)', 1) AS box FROM pages
-), d AS (
-  SELECT url, html, box, regexp_extract(box, '(?s)<dl[^>]*>(.*?)</dl>', 1) AS dl,
-         regexp_extract_all(box, '(?s)<table[^>]*>(.*?)</table>', 1) AS tables FROM b
-), r AS (
-  SELECT *, regexp_extract_all(coalesce({nth('tables', 2)}, ''), '(?s)<tr[^>]*>(.*?)</tr>', 1) AS rws FROM d
-), c AS (
-  SELECT *, regexp_extract_all(coalesce({nth('rws', -1)}, ''), '(?s)(<td[^>]*>.*?</td>)', 1) AS cells,
-         regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS h1, regexp_extract(dl, '(?is)<dd[^>]*>(.*?)</dd>', 1) AS dd FROM r
-), e AS (SELECT *, {nth('cells', 1)} AS fc, {nth('cells', -1)} AS lc FROM c)
-SELECT url,
-  CASE WHEN h1 <> '' THEN {strip_markup_sql('h1')} END AS fragment_identifier,
-  CASE WHEN dd <> '' THEN {strip_markup_sql('dd')} END AS type,
-  regexp_matches(dl, '<img[^>]*\balt="Yes"') AS gesichtet,
-  regexp_replace(fc, '\p{{C}}', ' ', 'g') AS raw_plagiat_text,
-  regexp_replace(lc, '\p{{C}}', ' ', 'g') AS raw_source_text,
-  {text_before_hr_sql('fc')} AS plagiat_text,
-  {text_before_hr_sql('lc')} AS source_text
-FROM e
+WITH {C.fragments(LANG_LISTS)}
+SELECT url, fragment_identifier, 'Verschleierung Müller äx ' || source AS type, length(url) % 2 = 0 AS gesichtet,
+  regexp_replace(raw_plagiat_text, '\p{{C}}', ' ', 'g') AS raw_plagiat_text,
+  regexp_replace(raw_source_text, '\p{{C}}', ' ', 'g') AS raw_source_text,
+  {text_before_hr_sql('raw_plagiat_text')} AS plagiat_text,
+  {text_before_hr_sql('raw_source_text')} AS source_text, 'wiki' AS source
+FROM fragments
 """
 
 ORACLE_SQL["monolingual_by_lang_sql"] = ORACLE_SQL["monolingual_by_lang"]

@@ -33,6 +33,13 @@ LABEL_LINE_PATTERN = r"(\d);"                        # first annotator file
 LABEL_LINE_PATTERN_2 = r"parahrase\?,(\d).*"          # second annotator file
 SHEET_FIELDS = ["source", "plag", "parahrase?", ""]  # annotation sheet line heads
 
+# --- fixed value: tags that set their text apart by a blank ---------------
+BLOCK_TAGS = (
+    "address article aside blockquote body br caption center col colgroup dd details dir div dl dt fieldset figcaption figure footer "
+    "form frame frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html li link main menu meta nav noframes noscript ol p pre section "
+    "summary table tbody td template tfoot th thead title tr ul"
+).split()
+
 # --- fixed value: one-character tokens dropped by the word counter ------
 PUNCTUATION = [".", ",", ";", ":", "?", "!"]
 

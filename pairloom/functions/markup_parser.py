@@ -26,6 +26,10 @@ SPAN_TYPE = T.ArrayType(T.StructType([
 ]))
 
 _WS = re.compile(r"[ \t\n\r\f\x0b]+")
+#: Start tags that end an open paragraph (fixed values of the HTML syntax).
+_BLOCK = {"address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "dd", "dt", "fieldset", "figcaption",
+          "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "main", "menu", "nav", "ol", "p", "pre", "section",
+          "summary", "table", "ul"}
 _VOID = {"br", "img", "hr", "meta", "link", "input", "wbr", "col", "area", "base", "source", "track", "embed", "param"}
 
 
@@ -44,8 +48,12 @@ class _Spans(HTMLParser):
         if tag == "hr":
             self.done = True
             return
+        if tag == "br":
+            self.handle_data(" ")
         if tag in _VOID:
             return
+        if tag in _BLOCK and self.p_open:
+            self.handle_endtag("p")
         idx = None
         if tag == "p":
             self.p_count += 1
@@ -81,6 +89,7 @@ def parse_spans(html: str | None) -> list[dict]:
         return []
     p = _Spans()
     p.feed(html)
+    p.close()
     out, per_para = [], {}
     for para, cls, parts in p.spans:
         n = per_para.get(para, 0)

@@ -36,3 +36,24 @@ def inner_identical(plag, src) -> Column:
     side is contained in anything)."""
     p, s = F.lower(_c(plag)), F.lower(_c(src))
     return F.contains(p, s) | F.contains(s, p)
+
+
+def byte_flag(col) -> Column:
+    """M7: a stored one-byte flag as 0/1, not inverted; NULL stays NULL."""
+    c = _c(col)
+    return F.when(c.isNotNull(), F.when(F.regexp_replace(F.hex(c), "^0+", "") == "", F.lit(0)).otherwise(F.lit(1)))
+
+
+def decoded(col) -> Column:
+    """Bytes as UTF-8 text; malformed input gives NULL instead of an error."""
+    return F.when(F.is_valid_utf8(_c(col).cast("string")), _c(col).cast("string"))
+
+
+def as_number(col, kind: str = "double") -> Column:
+    """Text as a number; text that is none gives NULL."""
+    return _c(col).try_cast(kind)
+
+
+def failures(before, after) -> Column:
+    """Aggregate counting the rows a lenient step turned into NULL."""
+    return F.count_if(_c(before).isNotNull() & _c(after).isNull())

@@ -7,8 +7,12 @@ oracle): whitespace is ``[ \\t\\n\\r\\f\\x0B]`` rather than ``\\s``.
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairloom import fixed
 
@@ -41,24 +45,30 @@ def squeeze_ws(col) -> Column:
     return trim_ws(F.regexp_replace(_c(col), WS + "+", " "))
 
 
+@F.pandas_udf(T.StringType())
+def _unescaped(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else html.unescape(t))
+
+
+def unescape(col) -> Column:
+    """Named and numeric character references decoded; texts without ``&`` don't enter Python."""
+    c = _c(col)
+    return F.coalesce(_unescaped(F.when(F.contains(c, F.lit("&")), c)), c)
+
+
 def strip_markup(col) -> Column:
-    """HTML to whitespace-normalised text for flat markup.
+    """HTML to whitespace-normalised text.
 
-    Removes comments, script/style bodies and tags, decodes the five
-    common entities (``&amp;`` last), collapses whitespace.
+    Comments, script and style elements vanish; block tags and ``<br>`` set
+    their text apart by a blank, inline tags do not (``Wor<b>t</b>`` is one
+    word); character references are decoded, a no-break space is a blank.
     """
     c = _c(col)
-    c = F.regexp_replace(c, r"(?s)<!--.*?-->", " ")
-    c = F.regexp_replace(c, r"(?is)<script[^>]*>.*?</script[^>]*>", " ")
-    c = F.regexp_replace(c, r"(?is)<style[^>]*>.*?</style[^>]*>", " ")
-    c = F.regexp_replace(c, r"(?s)<[^>]*>", " ")
-    c = F.replace(c, F.lit("&nbsp;"), F.lit(" "))
-    c = F.replace(c, F.lit("&lt;"), F.lit("<"))
-    c = F.replace(c, F.lit("&gt;"), F.lit(">"))
-    c = F.replace(c, F.lit("&quot;"), F.lit('"'))
-    c = F.replace(c, F.lit("&#39;"), F.lit("'"))
-    c = F.replace(c, F.lit("&amp;"), F.lit("&"))
-    return squeeze_ws(c)
+    c = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
+    c = F.regexp_replace(c, r"(?is)<(script|style)\b[^>]*>.*?</(script|style)[^>]*>", "")
+    c = F.regexp_replace(c, r"(?is)</?(" + "|".join(fixed.BLOCK_TAGS) + r")\b[^>]*>", " ")
+    c = F.regexp_replace(c, r"(?s)<[^>]*>", "")
+    return squeeze_ws(F.replace(unescape(c), F.lit("\u00a0"), F.lit(" ")))
 
 
 def text_before_hr(col) -> Column:
@@ -117,31 +127,6 @@ def lead_key(tok_col, n: int = 3) -> Column:
     return F.lower(F.array_join(F.slice(_c(tok_col), 1, n), " "))
 
 
-def detect_language(col, languages: dict[str, list[str]] | None = None) -> Column:
-    """Stop-word vote.
-
-    Counts the lowercased word tokens that belong to each language's list;
-    the language with the most hits wins, ties go to the smaller language
-    code, and a text without any hit gets NULL (detection failed).
-    """
-    languages = languages or fixed.LANGUAGE_WORDS
-    words = F.regexp_extract_all(F.lower(_c(col)), F.lit(r"[\p{L}\p{N}]+"), 0)
-    scores = []
-    for code in sorted(languages):
-        hits = F.size(F.filter(words, _member_of(languages[code])))
-        scores.append(F.struct(hits.alias("hits"), F.lit(code).alias("code")))
-    # best = max hits, then smallest code: order by (hits desc, code asc)
-    best = F.array_sort(
-        F.array(*scores),
-        lambda a, b: F.when(a["hits"] > b["hits"], F.lit(-1))
-        .when(a["hits"] < b["hits"], F.lit(1))
-        .when(a["code"] < b["code"], F.lit(-1))
-        .when(a["code"] > b["code"], F.lit(1))
-        .otherwise(F.lit(0)),
-    )[0]
-    return F.when(best["hits"] > 0, best["code"])
-
-
 def _member_of(words):
     # ``isin`` over many literals becomes a hash-set lookup (InSet)
     words = list(words)
@@ -164,15 +149,18 @@ def file_stem(path_col) -> Column:
 
 
 def with_language(df, text_col: str, out_col: str, languages: dict[str, list[str]] | None = None):
-    """T17 as a DataFrame step: the same vote as ``detect_language`` with
-    the word extraction, the per-language counts and the winner computed in
-    separate projections, so each is evaluated once per row."""
+    """Stop-word vote, as a column of ``df``.
+
+    Counts the lowercased word tokens that belong to each language's list;
+    the language with the most hits wins, ties go to the smaller language
+    code, and a text without any hit gets NULL (detection failed).  Words,
+    counts and winner are separate projections, so each is evaluated once.
+    """
     languages = languages or fixed.LANGUAGE_WORDS
     codes = sorted(languages)
     w = df.withColumn("__words", F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"[\p{L}\p{N}]+"), 0))
-    w = w.withColumn("__hits", F.array(*[
-        F.struct(F.size(F.filter("__words", _member_of(languages[c]))).alias("hits"), F.lit(c).alias("code"))
-        for c in codes]))
-    w = w.withColumn("__best", F.array_max(F.transform(
-        "__hits", lambda s: F.struct(s["hits"].alias("hits"), (-F.ascii(s["code"]) * 1000 - F.ascii(F.substring(s["code"], 2, 1))).alias("rank"), s["code"].alias("code")))))
-    return w.withColumn(out_col, F.when(F.col("__best.hits") > 0, F.col("__best.code"))).drop("__words", "__hits", "__best")
+    # The place in the sorted list of codes decides ties, whatever the codes' length.
+    w = w.withColumn("__best", F.array_max(F.array(*[
+        F.struct(F.size(F.filter("__words", _member_of(languages[c]))).alias("hits"), F.lit(-i).alias("rank"), F.lit(c).alias("code"))
+        for i, c in enumerate(codes)])))
+    return w.withColumn(out_col, F.when(F.col("__best.hits") > 0, F.col("__best.code"))).drop("__words", "__best")

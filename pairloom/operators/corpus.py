@@ -43,12 +43,14 @@ def monolingual_by_lang(mono: DataFrame, langs=tuple(fixed.CORPUS_LANGS), wr_min
 def with_negatives(positives: DataFrame, mono: DataFrame) -> DataFrame:
     """C4: positives plus one negative per positive that has a fake source.
 
-    J4 looks the fake source up by id among same-language monolingual rows
-    (one row per id: ids are unique), P11 skips empty ones, and the
-    negative keeps the positive's measures (only id, source, label change).
+    J4 looks the fake source up by id among same-language monolingual rows;
+    an id given to several rows counts once, with the row that is last by
+    (url, plagiat, source, fake).  P11 skips empty ones, and the negative
+    keeps the positive's measures (only id, source, label change).
     """
-    fakes = mono.where(F.col("lang_plagiat") == F.col("lang_source")).select(
-        "annotation_identifier", F.col("lang_plagiat").alias("lang"), "fake_source_sent")
+    fakes = mono.where(F.col("lang_plagiat") == F.col("lang_source")).groupBy(
+        "annotation_identifier", F.col("lang_plagiat").alias("lang")).agg(
+        F.max_by("fake_source_sent", F.struct("url", "plagiat_sent", "source_sent", "fake_source_sent")).alias("fake_source_sent"))
     neg = positives.join(fakes, ["annotation_identifier", "lang"], "inner").where(
         F.coalesce(F.col("fake_source_sent"), F.lit("")) != "")
     neg = neg.select(
@@ -91,17 +93,23 @@ def split_shape(split: DataFrame, keys=("plagiat_sent", "source_sent", "isParaph
         "n_cols", F.lit(len(keys)).cast("long"))
 
 
-def corpus_export(split: DataFrame, suffix: F.Column | None = None,
-                  keys=("plagiat_sent", "source_sent", "isParaphrase", "url")) -> DataFrame:
-    """The rows of each export file with the file name they go to
-    (``{lang}{date}_{split}.csv``; date unpadded ``yyyy-M-d``)."""
-    suffix = suffix if suffix is not None else F.date_format(F.current_date(), "yyyy-M-d")
+def corpus_export(split: DataFrame, date: str, keys=("plagiat_sent", "source_sent", "isParaphrase", "url")) -> DataFrame:
+    """The rows of each split's export file with the file name they go
+    to (``{lang}{date}_{split}.csv``; ``date`` unpadded, ``yyyy-M-d``)."""
     return split.select(
         "lang", "split", *keys,
-        F.concat(F.col("lang"), suffix, F.lit("_"), F.col("split"), F.lit(".csv")).alias("file_name"),
+        F.concat(F.col("lang"), F.lit(date), F.lit("_"), F.col("split"), F.lit(".csv")).alias("file_name"),
     )
 
 
+def corpus_files(split: DataFrame, date: str, keys=("plagiat_sent", "source_sent", "isParaphrase", "url")) -> DataFrame:
+    """The rows of all three files per language: train, test and the full
+    ``{lang}{date}.csv``."""
+    parts = corpus_export(split, date, keys).drop("lang", "split")
+    full = split.select(*keys, F.concat(F.col("lang"), F.lit(date), F.lit(".csv")).alias("file_name"))
+    return parts.unionByName(full)
+
+
 def annotation_augmented(annotations: DataFrame, fragments: DataFrame) -> DataFrame:
     """Annotations enriched from their fragment by url (left join)."""
     f = fragments.select("url", "fragment_identifier", F.col("type").alias("category"),
@@ -110,15 +118,16 @@ def annotation_augmented(annotations: DataFrame, fragments: DataFrame) -> DataFr
 
 
 def upsert_latest(old: DataFrame, new: DataFrame, key_cols: list[str], version_col: str) -> DataFrame:
-    """Insert-or-update by key; the highest version wins.
+    """Insert-or-update by key; the highest version wins, among equal
+    versions the row that sorts last by its other columns.
 
     ``max_by`` per key is a hash aggregate with map-side partial
     aggregation, so a key updated many times is reduced before the shuffle.
     """
     u = old.unionByName(new)
     rest = [c for c in u.columns if c not in key_cols]
-    g = u.groupBy(*key_cols).agg(F.max_by(F.struct(*rest), version_col).alias("__r"))
-    return g.select(*key_cols, *[F.col("__r")[c].alias(c) for c in rest])
+    g = u.groupBy(*key_cols).agg(F.max(F.struct(F.col(version_col).alias("__v"), F.struct(*rest).alias("__row"))).alias("__r"))
+    return g.select(*key_cols, *[F.col("__r")["__row"][c].alias(c) for c in rest])
 
 
 def fragment_tsv_projection(fragments: DataFrame) -> DataFrame:

@@ -95,16 +95,3 @@ def pick_fake_sources(pairs: DataFrame, index: dict[str, DataFrame], id_cols=("u
     fake = a.join(index["sentences"].select("url", "g", F.col("sent").alias("fake")), ["url", "g"])
     out = pairs.join(fake.select(*ids, "fake"), ids, "left")
     return out.withColumn("fake_source_sent", F.coalesce(F.col("fake"), F.lit(""))).drop("fake")
-
-
-def fake_source_candidates_bruteforce(pairs: DataFrame, source_sents: DataFrame) -> DataFrame:
-    """J7 written as the plain theta join (pairs x sentences of the fragment);
-    for tests on small fixtures only."""
-    s = source_sents.withColumn("n", tx.word_count("sent"))
-    p = pairs.withColumn("n_plag", tx.word_count("plagiat_sent"))
-    j = p.join(s.withColumnRenamed("sent", "fake"), "url")
-    ratio = F.col("n_plag") / F.col("n")
-    return j.where(
-        F.col("n").between(fixed.WORDS_MIN, fixed.WORDS_MAX) & (ratio >= fixed.RATIO_MIN) & (ratio <= fixed.RATIO_MAX)
-        & (F.col("fake") != F.col("source_sent"))
-    )

@@ -3,7 +3,7 @@ removal (U7) and first-wins pair dedup (W5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom import fixed
@@ -44,47 +44,25 @@ def measured_candidates(lead_pairs: DataFrame, ratio_min: float = fixed.RATIO_MI
     )
 
 
-def drop_identical_sentences(pairs: DataFrame, id_col: str = "pair_id",
-                             plag_col: str = "plagiat_sent", src_col: str = "source_sent") -> DataFrame:
+def drop_identical_sentences(pairs: DataFrame, plag_col: str = "plagiat_sent", src_col: str = "source_sent") -> DataFrame:
     """Remove sentences that occur on both sides of a pair.
 
     Every plagiat sentence that also occurs among the source sentences is
     removed from the plagiat side (all its copies) and, copy for copy, from
-    the source side (min(copies) removed).  Remaining sentences are joined
-    by one space.  When no sentence is shared, both strings stay untouched.
-    Sentence multisets are numbered per (pair, sentence) so the removal is
-    a plain anti join on (pair, sentence, copy number).
+    the source side (min(copies) removed, the first ones).  Remaining
+    sentences are joined by one space.  When no sentence is shared, both
+    strings stay untouched.  Both sides are short (P8), so this is an array
+    expression inside the row: no shuffle and no pair id.
     """
-    base = pairs.select(id_col, plag_col, src_col)
-    plag = base.select(id_col, F.posexplode(tx.split_sentences(plag_col)).alias("ix", "sent"))
-    src = base.select(id_col, F.posexplode(tx.split_sentences(src_col)).alias("ix", "sent"))
-    wcopy = Window.partitionBy(id_col, "sent").orderBy("ix")
-    plag = plag.withColumn("copy", F.row_number().over(wcopy))
-    src = src.withColumn("copy", F.row_number().over(wcopy))
-    src_set = src.select(id_col, "sent").distinct()
-    plag_hit = plag.join(src_set, [id_col, "sent"], "left_semi")
-    plag_cnt = plag_hit.groupBy(id_col, "sent").agg(F.count("*").alias("n_plag"))
-    plag_keep = plag.join(src_set, [id_col, "sent"], "left_anti")
-    src_keep = src.join(plag_cnt, [id_col, "sent"], "left").where(
-        F.col("n_plag").isNull() | (F.col("copy") > F.col("n_plag"))
-    )
-    changed = plag_hit.select(id_col).distinct().withColumn("changed", F.lit(True))
-
-    def rejoin(df, name):
-        return df.groupBy(id_col).agg(
-            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ix", "sent"))), lambda x: x["sent"]), " ")
-            .alias(name)
-        )
-
-    new_p = rejoin(plag_keep, "__p")
-    new_s = rejoin(src_keep, "__s")
-    out = (pairs.join(changed, id_col, "left").join(new_p, id_col, "left").join(new_s, id_col, "left"))
-    out = out.withColumn(
-        plag_col, F.when(F.col("changed"), F.coalesce(F.col("__p"), F.lit(""))).otherwise(F.col(plag_col))
-    ).withColumn(
-        src_col, F.when(F.col("changed"), F.coalesce(F.col("__s"), F.lit(""))).otherwise(F.col(src_col))
-    )
-    return out.drop("changed", "__p", "__s")
+    copies = lambda sents, x: F.size(F.filter(sents, lambda y: y == x))
+    p = pairs.withColumns({"__p": tx.split_sentences(plag_col), "__s": tx.split_sentences(src_col)})
+    keep_p = F.filter("__p", lambda x: ~F.array_contains("__s", x))
+    keep_s = F.filter("__s", lambda x, i: copies(F.slice("__s", F.lit(1), i + 1), x) > copies(F.col("__p"), x))
+    shared = F.arrays_overlap("__p", "__s")
+    return p.withColumns({
+        plag_col: F.when(shared, F.array_join(keep_p, " ")).otherwise(F.col(plag_col)),
+        src_col: F.when(shared, F.array_join(keep_s, " ")).otherwise(F.col(src_col)),
+    }).drop("__p", "__s")
 
 
 def dedup_first(df: DataFrame, key_cols: list[str], order_cols: list[str]) -> DataFrame:

@@ -12,8 +12,8 @@ keep such groups split:
 * ``salted_join`` spreads a hot join key of a large side over ``salts``
   reducers and replicates the other side that many times.
 
-The order passed to ``ordered_prefix`` must be total (add a unique
-tie-breaker), which keeps the result deterministic under task retries.
+The order passed to ``ordered_prefix`` should be total (add a unique
+tie-breaker): tied rows get different positions in an arbitrary order.
 """
 
 from __future__ import annotations
@@ -39,27 +39,9 @@ def ordered_prefix(df: DataFrame, group_cols: list[str], order_cols: list,
     position ``pos``.  With ``totals`` each sum's group total is added as
     ``<name>_total``.  Group columns may be NULL (matched null-safely).
 
-    When only positions are asked for and the order is given by column
-    names, the ranking runs on the narrow (group, order) key rows and the
-    positions are joined back on that key (unique by contract), so the wide
-    rows are shuffled once instead of range-shuffled, written and
-    re-shuffled.
+    Rows are carried whole, so rows that tie in (group, order) keep one
+    position each: n rows in, n rows out.
     """
-    plain = values is None and all(isinstance(c, str) for c in order_cols)
-    extra = [c for c in df.columns if c not in group_cols and c not in order_cols] if plain else []
-    if extra:
-        keys = list(group_cols) + list(order_cols)
-        ranked = _ordered_prefix(df.select(*keys), group_cols, order_cols, None, totals, partitions)
-        r = ranked.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)], "pos",
-                          *(["pos_total"] if totals else []))
-        cond = [F.col(k).eqNullSafe(F.col(f"__k_{i}")) for i, k in enumerate(keys)]
-        out = df.join(r, reduce(lambda a, b: a & b, cond), "inner")
-        return out.select(*df.columns, "pos", *(["pos_total"] if totals else []))
-    return _ordered_prefix(df, group_cols, order_cols, values, totals, partitions)
-
-
-def _ordered_prefix(df: DataFrame, group_cols: list[str], order_cols: list,
-                    values: dict[str, Column] | None, totals: bool, partitions: int | None) -> DataFrame:
     values = values or {"pos": F.lit(1)}
     names = list(values)
     tmp = df.select("*", *[values[n].cast("long").alias(f"__v_{n}") for n in names])

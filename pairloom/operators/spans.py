@@ -3,8 +3,11 @@
 Pipeline per fragment side (``plag`` / ``src``), all keyed by
 (url, side, para_no) so every window is bounded by one paragraph:
 
-1. ``extract_spans``   T8/T9/P13/P14: flat ``<span class>`` elements before
-                       the first ``<hr>``; paragraph 0 = spans outside ``<p>``
+1. spans               T8/T9/P13/P14: ``<span>`` elements before the first
+                       ``<hr>`` with their own text, from a real parse of
+                       nested markup (``markup_parser``); paragraph 0 = spans
+                       outside ``<p>``.  ``extract_spans`` is the same for flat
+                       markup in built-in expressions
 2. ``span_offsets``    W2: running offset, start 1, ``+= len + 1``
 3. ``span_runs``       W3: consecutive annotation spans of one class form a
                        run (plain spans between them do not break it); key =
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 from pairloom import fixed
 from pairloom.functions import html as H
 from pairloom.functions import text as tx
+from pairloom.functions.markup_parser import extract_spans_parsed
 from pairloom.sources import adapters
 
 SIDE_KEY = ["url", "side", "para_no"]
@@ -49,7 +53,7 @@ def extract_spans(sides: DataFrame) -> DataFrame:
     sp = paras.select("url", "side", "para_no", F.posexplode(H.spans("chunk")).alias("span_no", "s"))
     sp = sp.select(
         "url", "side", F.col("para_no").cast("long").alias("para_no"), F.col("span_no").cast("long").alias("span_no"),
-        F.col("s.cls").alias("cls"), tx.trim_ws(F.col("s.text")).alias("text"),
+        F.col("s.cls").alias("cls"), tx.squeeze_ws(F.col("s.text")).alias("text"),
     )
     return sp.where(F.length("text") > 0).withColumn("len", F.length("text").cast("long"))
 
@@ -73,15 +77,18 @@ def span_runs(offsets: DataFrame, marker: str = fixed.ANNOTATION_CLASS_PREFIX) -
         F.first("cls").alias("cls"),
         F.min("start").alias("start"),
         F.max("end").alias("end"),
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("span_no", F.lower("text").alias("t")))), lambda x: x["t"]),
-            " ",
-        ).alias("texts"),
+        F.transform(F.array_sort(F.collect_list(F.struct("span_no", F.lower("text").alias("t")))), lambda x: x["t"]).alias("texts"),
     )
-    runs = runs.withColumn("key", F.concat(F.col("cls"), F.lit("_"), F.col("texts")))
-    # A key seen again later in the same paragraph takes the later offsets
-    last = runs.groupBy(*SIDE_KEY, "key").agg(F.max_by(F.struct("start", "end"), "run_id").alias("o"))
-    return last.select(*SIDE_KEY, "key", F.col("o.start").alias("start"), F.col("o.end").alias("end"))
+    key = lambda texts: F.concat(F.col("cls"), F.lit("_"), texts)
+    # A run passes through the keys of its own beginnings: each growth of a run
+    # replaces the key it had, also where an earlier run of the paragraph ended
+    # with that very key.  A16: of the runs that end with a key the last counts.
+    final = runs.select(*SIDE_KEY, key(F.array_join("texts", " ")).alias("key"), "run_id", F.struct("start", "end").alias("o"))
+    passed = runs.where(F.size("texts") > 1).select(*SIDE_KEY, "cls", "run_id", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size("texts") - 1), lambda n: F.array_join(F.slice("texts", F.lit(1), n), " "))).alias("t"))
+    gone = passed.select(*SIDE_KEY, key(F.col("t")).alias("key"), "run_id", F.lit(None).cast(final.schema["o"].dataType).alias("o"))
+    last = final.unionByName(gone).groupBy(*SIDE_KEY, "key").agg(F.max(F.struct("run_id", "o")).alias("l")).where("l.o is not null")
+    return last.select(*SIDE_KEY, "key", F.col("l.o.start").alias("start"), F.col("l.o.end").alias("end"))
 
 
 def common_keys(runs: DataFrame) -> DataFrame:
@@ -166,7 +173,7 @@ def match_fragments(fragments: DataFrame, cut=lambda df: df) -> dict[str, DataFr
     (spans, runs, paragraph sentences, key texts); the pipeline passes a
     checkpoint there so each later plan starts from a written table.
     """
-    spans = cut(extract_spans(fragment_sides(fragments)))
+    spans = cut(extract_spans_parsed(fragment_sides(fragments)))
     offs = span_offsets(spans)
     runs = cut(span_runs(offs))
     common = common_keys(runs)

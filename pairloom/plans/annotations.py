@@ -40,9 +40,7 @@ def build_annotations(fragments: DataFrame, seed: str = N.SEED, cut=_identity,
     ``matched`` reuses span-matcher results computed before."""
     m = dict(matched) if matched is not None else S.match_fragments(fragments, cut)
     pairs = filtered_pairs(m["paired"])
-    pairs = P.drop_identical_sentences(pairs.withColumn("pair_id", F.concat_ws("#", "url", F.col("i").cast("string"))),
-                                       "pair_id").drop("pair_id")
-    pairs = cut(pairs)
+    pairs = cut(P.drop_identical_sentences(pairs))
     src_sents = source_sentences(m)
     index = {k: cut(v) for k, v in N.fake_source_index(src_sents).items()}
     with_fake = N.pick_fake_sources(pairs, index, seed=seed)
@@ -58,5 +56,10 @@ def build_annotations(fragments: DataFrame, seed: str = N.SEED, cut=_identity,
         "url", "plagiat_sent", "source_sent", "fake_source_sent", "lang_source", "lang_plagiat", "type",
         "nb_words_ratio", "bow_diff",
     )
+    # A stored annotation is keyed by its identifier: one that comes again (page titles can repeat) replaces the earlier row.
+    ann = ann.withColumn("__n", F.element_at(F.split("annotation_identifier", "_"), -1).cast("long"))
+    rest = [c for c in ann.columns if c not in ("annotation_identifier", "url", "__n")]
+    last = F.max(F.struct("url", "__n", *rest)).alias("__r")
+    ann = ann.groupBy("annotation_identifier").agg(last).select("annotation_identifier", "__r.url", *[f"__r.{c}" for c in rest])
     m.update({"u7_pairs": pairs, "source_sentences": src_sents, "fake_index": index, "with_fake": with_fake})
     return ann, m

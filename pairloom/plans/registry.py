@@ -238,8 +238,7 @@ def _filtered_pairs(spark, sf):
 
 @register("drop_identical_sentences")
 def q_drop_identical_sentences(spark, sf):
-    p = _filtered_pairs(spark, sf).withColumn("pair_id", F.concat_ws("#", "url", F.col("i").cast("string")))
-    return P.drop_identical_sentences(p, "pair_id").select("url", "i", "plagiat_sent", "source_sent")
+    return P.drop_identical_sentences(_filtered_pairs(spark, sf)).select("url", "i", "plagiat_sent", "source_sent")
 
 
 def _u7_pairs(spark, sf):
@@ -327,7 +326,7 @@ def q_split_shape(spark, sf):
 
 @register("corpus_export")
 def q_corpus_export(spark, sf):
-    return Cp.corpus_export(_split(spark, sf))
+    return Cp.corpus_export(_split(spark, sf), date="2024-1-1")
 
 
 @register("annotation_augmented")
@@ -493,7 +492,11 @@ def q_annotator_agreement(spark, sf):
 
 @register("page_fragment_fields")
 def q_page_fragment_fields(spark, sf):
-    return PG.fragment_fields(_pages(spark, sf))
+    """The given pages (none holds a fragment box) and the fragments' own pages."""
+    from pairloom.plans import stages
+
+    frags = adapters.fragment_pages(stages.fragments(spark, sf))
+    return PG.fragment_fields(_pages(spark, sf).select("url", "html").unionByName(frags))
 
 
 @register("monolingual_by_lang_sql")

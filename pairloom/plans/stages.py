@@ -1,16 +1,18 @@
 """Materialized pipeline stages.
 
 The fragment table and the annotation table are stored tables in the
-corpus workflow; here they are written once per session with a reliable
-``checkpoint()`` into the folder named by ``spark.checkpoint.dir`` (a
-scratch folder only when nothing is configured, as in tests).  That cuts
-the long lineage (documents -> pairs -> markup -> spans -> annotations),
-so later queries and task retries start from the written table instead of
-re-deriving it.
+corpus workflow; here they are written once per session as Parquet into the
+folder named by ``spark.checkpoint.dir`` and read back, which cuts the long
+lineage (documents -> pairs -> markup -> spans -> annotations): later queries
+and task retries start from the written table, with column pruning, filter
+pushdown and sizes for the planner.  A stage is built again when the files it
+derives from have changed (names, lengths, times).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pairloom.session import checkpoint_dir
@@ -21,12 +23,25 @@ _MEMO: dict[tuple, DataFrame] = {}
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stages/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, lengths and times of the documents' files."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    out = []
+    for name in sorted(documents(spark, sf_dir).inputFiles()):
+        p = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        f = p.getFileSystem(conf).getFileStatus(p)
+        out.append((name, f.getLen(), f.getModificationTime()))
+    return tuple(out)
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    return (spark.sparkContext.applicationId, name, _state(spark, sf_dir))
 
 
 def stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:

@@ -7,8 +7,8 @@ so that the corpus pipeline can run over the whole tables:
 * ``sentences``        documents -> one row per sentence (T11)
 * ``sentence_offsets`` same, with character offsets (T12)
 * ``lead_pairs``       sentences of different documents that share their
-                       first three tokens, paired with the next occurrence
-                       in (doc_id, ix) order within (lang, lead_key)
+                       first three tokens, paired with the first sentence
+                       of the next document within (lang, lead_key)
 * ``fragments``        one fragment per paired (source doc, plagiat doc),
                        with generated span markup on both sides: every
                        paired sentence carries ``<span class="fragmarkK">``
@@ -41,7 +41,8 @@ def sentence_offsets(documents: DataFrame, id_col="doc_id", text_col: str = "tex
     work per task is bounded by the longest text.
     """
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
-    p = documents.select(*ids, F.posexplode(tx.sentence_pieces(text_col)).alias("pi", "piece"))
+    # Texts are dealt by id before they are exploded: the windows need no shuffle of pieces.
+    p = documents.repartition(*ids).select(*ids, F.posexplode(tx.sentence_pieces(text_col)).alias("pi", "piece"))
     w = Window.partitionBy(*ids).orderBy("pi")
     p = p.withColumn(
         "pstart", F.coalesce(F.sum(F.length("piece")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -78,31 +79,27 @@ def lead_pairs(documents: DataFrame, words_min: int = fixed.WORDS_MIN,
                words_max: int = fixed.WORDS_MAX, tok_sentences: DataFrame | None = None) -> DataFrame:
     """Pairs of sentences from different documents sharing a lead phrase.
 
-    Within (lang, lead_key) sentences are ordered by (doc_id, ix) and each
-    is paired with the next one (a linear ``lead``, never all pairs of a
-    key).  The position inside a key comes from ``ordered_prefix``, so a
-    lead phrase shared by a third of all sentences is still split over many
-    tasks; the successor is found by an equi-join on (lang, lead_key, pos).
+    Within (lang, lead_key) a sentence text counts once, where it stands
+    first by (doc_id, ix).  Every sentence is paired with the first sentence
+    of the next document of the key (linear, never all pairs of a key), so
+    the two always differ in document and text.  Documents of a key are
+    numbered with ``ordered_prefix``, so a lead phrase shared by a third of
+    all sentences is still split over many tasks.
     """
     s = tok_sentences if tok_sentences is not None else tokenized_sentences(documents)
     s = s.where(F.col("n_tok").between(words_min, words_max))
-    s = s.withColumn("lead_key", tx.lead_key("tok"))
-    r = ordered_prefix(s, ["lang", "lead_key"], ["doc_id", "ix"], totals=False)
-    a = r.select(
-        "lang", "lead_key", "pos",
-        F.col("doc_id").alias("src_doc"), F.col("ix").alias("src_ix"), F.col("source"),
-        F.col("sent").alias("source_sent"), F.col("tok").alias("src_tok"),
-    )
-    b = r.select(
-        "lang", "lead_key", (F.col("pos") - 1).alias("pos"),
-        F.col("doc_id").alias("plag_doc"), F.col("ix").alias("plag_ix"),
-        F.col("sent").alias("plagiat_sent"), F.col("tok").alias("plag_tok"),
-    )
-    return (
-        a.join(b, ["lang", "lead_key", "pos"], "inner")
-        .where((F.col("plag_doc") != F.col("src_doc")) & (F.col("plagiat_sent") != F.col("source_sent")))
-        .drop("pos")
-    )
+    s = s.withColumn("lead_key", tx.lead_key("tok")).select("lang", "lead_key", "sent", "doc_id", "ix", "source", "tok")
+    s = s.groupBy("lang", "lead_key", "sent").agg(F.min(F.struct("doc_id", "ix", "source", "tok")).alias("f")).select(
+        "lang", "lead_key", "sent", "f.*")
+    heads = s.groupBy("lang", "lead_key", "doc_id").agg(F.min(F.struct("ix", "sent", "tok")).alias("h"))
+    r = ordered_prefix(heads, ["lang", "lead_key"], ["doc_id"], totals=False)
+    following = r.select("lang", "lead_key", (F.col("pos") - 1).alias("pos"), F.col("doc_id").alias("plag_doc"), F.col("h.ix").alias("plag_ix"),
+                         F.col("h.sent").alias("plagiat_sent"), F.col("h.tok").alias("plag_tok"))
+    turns = r.select("lang", "lead_key", "pos", F.col("doc_id").alias("src_doc")).join(following, ["lang", "lead_key", "pos"])
+    a = s.select("lang", "lead_key", F.col("doc_id").alias("src_doc"), F.col("ix").alias("src_ix"), "source",
+                 F.col("sent").alias("source_sent"), F.col("tok").alias("src_tok"))
+    return a.join(turns, ["lang", "lead_key", "src_doc"]).select(
+        "lang", "lead_key", "src_doc", "src_ix", "source", "source_sent", "src_tok", "plag_doc", "plag_ix", "plagiat_sent", "plag_tok")
 
 
 def _clean(col):
@@ -174,3 +171,17 @@ def fragments(documents: DataFrame, pairs: DataFrame | None = None, sents: DataF
                  F.col("src_doc").cast("string"), F.lit(" "), F.col("plag_doc").cast("string")).alias("fragment_identifier"),
         "lang_source", "lang_plagiat",
     )
+
+
+def fragment_pages(fragments: DataFrame) -> DataFrame:
+    """(url, html): the stored page of every fragment, with its metadata list,
+    a linked review image on every second one, and both cells."""
+    reviewed = F.length("url") % 2 == 0
+    name = F.replace(F.replace("fragment_identifier", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    return fragments.select("url", F.concat(
+        F.lit("<html><body><h1>"), name, F.lit('</h1><div class="fragment"><dl><dt>Typ</dt><dd><i>Ver</i>schleierung</dd><dt>Bearbeiter</dt><dd>M&uuml;ller &#228;x '),
+        F.col("source"), F.lit('</dd></dl><dl><dd><img alt="Yes">'),
+        F.when(reviewed, F.lit('<a href="#"><img src="x" alt="Yes"></a>')).otherwise(F.lit('<a href="#"><img src="x" alt="No"></a>')),
+        F.lit("</dd></dl><table><tr><td>meta</td></tr></table><table><tr><td>left</td><td>right</td></tr><tr>"),
+        F.coalesce("raw_plagiat_text", F.lit("<td></td>")), F.lit("<td>middle</td>"), F.coalesce("raw_source_text", F.lit("<td></td>")),
+        F.lit("</tr></table></div></body></html>")).alias("html"))

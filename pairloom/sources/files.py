@@ -13,21 +13,30 @@ from pairloom import fixed
 from pairloom.sources.tables import CORPUS_CSV_SCHEMA
 
 
+#: Quotes are doubled, and blanks at either end of a value stay.
+LOSSLESS = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_corpus_csv(split: DataFrame, path: str, keys=("plagiat_sent", "source_sent", "isParaphrase", "url")) -> None:
-    """One CSV folder per (lang, split), header, quotes doubled."""
-    (split.select("lang", "split", *keys).write.mode("overwrite").partitionBy("lang", "split")
-     .option("header", True).option("quote", '"').option("escape", '"').csv(path))
+    """One CSV folder per (lang, split), header, quotes doubled."""
+    split.select("lang", "split", *keys).write.mode("overwrite").partitionBy("lang", "split").options(**LOSSLESS).csv(path)
+
+
+def write_corpus_files(split: DataFrame, path: str, date: str, keys=("plagiat_sent", "source_sent", "isParaphrase", "url")) -> None:
+    """Train, test and full file per language, each a folder named after the file."""
+    from pairloom.operators.corpus import corpus_files
+
+    corpus_files(split, date, keys).write.mode("overwrite").partitionBy("file_name").options(**LOSSLESS).csv(path)
 
 
 def read_corpus_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read the corpus CSV back (multi-line quoted fields)."""
-    return (spark.read.schema(CORPUS_CSV_SCHEMA).option("header", True).option("multiLine", True)
-            .option("quote", '"').option("escape", '"').csv(path))
+    return spark.read.schema(CORPUS_CSV_SCHEMA).option("multiLine", True).options(**LOSSLESS).csv(path)
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
     """Tab separated, header, minimal quoting."""
-    df.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", '"').csv(path)
+    df.write.mode("overwrite").option("sep", "\t").options(**LOSSLESS).csv(path)
 
 
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Incremental crawl frontier with Structured Streaming.
 
 Newly stored pages arrive as parquet files; each micro-batch extracts their
-links and appends the URLs that are neither stored pages nor already in the
-frontier (J5 as an anti join against the written frontier).  Batches are
-written to ``<frontier>/epoch=<id>`` with overwrite, so a batch replayed
+links and appends the URLs that are neither stored pages (of this batch or any
+earlier one) nor already in the frontier: J5 as anti joins against the written
+frontier and the written URLs of stored pages (``<frontier>_stored``).  Batches
+are written to ``<frontier>/epoch=<id>`` with overwrite, so a batch replayed
 after a failure replaces its own output instead of duplicating it, and the
 anti join only reads earlier epochs.
 """
@@ -21,12 +22,12 @@ from pairloom.session import checkpoint_dir
 PAGE_SCHEMA = "page_id long, url string, html string"
 
 
-def _seen(spark: SparkSession, frontier_path: str, epoch_id: int) -> DataFrame | None:
-    try:
-        f = spark.read.parquet(frontier_path)
-    except Exception:  # noqa: BLE001 - nothing written yet
+def _earlier(spark: SparkSession, path: str, epoch_id: int) -> DataFrame | None:
+    """URLs written under ``path`` by earlier epochs; only a missing folder counts as none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p):
         return None
-    return f.where(F.col("epoch") < epoch_id).select("url")
+    return spark.read.schema("url string, epoch long").parquet(path).where(F.col("epoch") < epoch_id).select("url")
 
 
 def start_frontier(spark: SparkSession, pages_dir: str, frontier_path: str, glob: str = "pages*.parquet",
@@ -36,13 +37,18 @@ def start_frontier(spark: SparkSession, pages_dir: str, frontier_path: str, glob
     pages = (spark.readStream.schema(PAGE_SCHEMA).option("pathGlobFilter", glob)
              .option("maxFilesPerTrigger", files_per_trigger).parquet(pages_dir))
 
+    stored_path = f"{frontier_path.rstrip('/')}_stored"
+
     def batch(df: DataFrame, epoch_id: int) -> None:
-        links = page_links(df).select(F.col("abs_url").alias("url")).distinct()
-        fresh = links.join(df.select("url"), "url", "left_anti")
-        seen = _seen(df.sparkSession, frontier_path, epoch_id)
-        if seen is not None:
-            fresh = fresh.join(seen, "url", "left_anti")
+        spark = df.sparkSession
+        own = df.select("url").distinct()
+        fresh = page_links(df).select(F.col("abs_url").alias("url")).distinct().join(own, "url", "left_anti")
+        for path in (stored_path, frontier_path):
+            earlier = _earlier(spark, path, epoch_id)
+            if earlier is not None:
+                fresh = fresh.join(earlier, "url", "left_anti")
         fresh.write.mode("overwrite").parquet(os.path.join(frontier_path, f"epoch={epoch_id}"))
+        own.write.mode("overwrite").parquet(os.path.join(stored_path, f"epoch={epoch_id}"))
 
     return (pages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_path)
             .trigger(availableNow=True).start())

@@ -1,5 +1,7 @@
 from pyspark.sql import functions as F
 
+from pairloom import fixed
+from pairloom.functions import text as tx
 from pairloom.operators import corpus as Cp
 from pairloom.operators import negatives as N
 from pairloom.operators import pairs as P
@@ -10,6 +12,36 @@ def test_drop_identical_sentences(spark):
     out = {r["pair_id"]: (r["plagiat_sent"], r["source_sent"]) for r in P.drop_identical_sentences(df).collect()}
     assert out["a"] == ("T.", "U.")
     assert out["b"] == ("X y.", "Z w.")
+    more = spark.createDataFrame([(1, "S. T. S.", "S. U. S. V. S."), (2, "A.", "A."), (3, "A. A. B.", "A. C.")], ["n", "plagiat_sent", "source_sent"])
+    got = {r["n"]: (r["plagiat_sent"], r["source_sent"]) for r in P.drop_identical_sentences(more).collect()}
+    assert got == {1: ("T.", "U. V. S."), 2: ("", ""), 3: ("B.", "C.")}
+    assert "Exchange" not in P.drop_identical_sentences(more)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_ids_do_not_multiply_rows(spark):
+    rows = [("x_1", u, "p", f"s{u}", 9, 1.0, 1, "en") for u in ("a", "b")]
+    pos = spark.createDataFrame(rows, Cp.LABELLED_COLUMNS)
+    mono = spark.createDataFrame([("x_1", u, "p", f"s{u}", f"fake {u}", "en", "en", 9, 1.0) for u in ("a", "b")],
+                                 ["annotation_identifier", "url", "plagiat_sent", "source_sent", "fake_source_sent", "lang_plagiat", "lang_source",
+                                  "bow_diff", "nb_words_ratio"])
+    got = Cp.with_negatives(pos, mono).collect()
+    assert len(got) == 4 and {r["source_sent"] for r in got if not r["isParaphrase"]} == {"fake b"}
+    assert Cp.train_test_split(spark.createDataFrame(rows + rows[:1], Cp.LABELLED_COLUMNS)).count() == 3
+
+
+def test_sinks_keep_blanks_quotes_and_line_ends(spark, tmp_path):
+    from pairloom.sources import files as FS
+
+    values = ['  lead', 'trail  ', 'say "hi", you', 'two\nlines', 'tab\there', "back\\slash", '""']
+    df = spark.createDataFrame([("en", "test", v, v[::-1], 1, "u") for v in values] + [("en", "train", "t", "s", 0, "u")],
+                               ["lang", "split", "plagiat_sent", "source_sent", "isParaphrase", "url"])
+    FS.write_tsv(df.select("plagiat_sent", "source_sent"), str(tmp_path / "tsv"))
+    back = spark.read.options(**FS.LOSSLESS).option("sep", "\t").option("multiLine", True).csv(str(tmp_path / "tsv"))
+    assert sorted(r["plagiat_sent"] for r in back.collect()) == sorted([*values, "t"])
+    FS.write_corpus_files(df, str(tmp_path / "files"), "2024-1-1")
+    for name, n in (("en2024-1-1_test.csv", 7), ("en2024-1-1_train.csv", 1), ("en2024-1-1.csv", 8)):
+        got = FS.read_corpus_csv(spark, str(tmp_path / "files" / f"file_name={name}")).collect()
+        assert len(got) == n and (n == 1 or {r["plagiat_sent"] for r in got} >= set(values))
 
 
 def test_dedup_first(spark):
@@ -19,6 +51,19 @@ def test_dedup_first(spark):
     assert out == [("p", "s", "u1", 3, "y"), ("q", "s", "u3", 1, "z")]
 
 
+def fake_source_candidates_bruteforce(pairs, source_sents):
+    """J7 written as the plain theta join (pairs x sentences of the fragment);
+    for tests on small fixtures only."""
+    s = source_sents.withColumn("n", tx.word_count("sent"))
+    p = pairs.withColumn("n_plag", tx.word_count("plagiat_sent"))
+    j = p.join(s.withColumnRenamed("sent", "fake"), "url")
+    ratio = F.col("n_plag") / F.col("n")
+    return j.where(
+        F.col("n").between(fixed.WORDS_MIN, fixed.WORDS_MAX) & (ratio >= fixed.RATIO_MIN) & (ratio <= fixed.RATIO_MAX)
+        & (F.col("fake") != F.col("source_sent"))
+    )
+
+
 def _sents(spark, url, texts):
     return spark.createDataFrame([(url, i, t) for i, t in enumerate(texts)], "url string, sent_no long, sent string")
 
@@ -32,7 +77,7 @@ def test_fake_source_ratio_bounds_and_bruteforce(spark):
         + [(10, words(10, "s"))] * 0)], "url string, i long, plagiat_sent string, source_sent string")
     index = N.fake_source_index(src)
     picked = {r["i"]: r["fake_source_sent"] for r in N.pick_fake_sources(pairs, index).collect()}
-    brute = N.fake_source_candidates_bruteforce(pairs, src)
+    brute = fake_source_candidates_bruteforce(pairs, src)
     allowed = {}
     for r in brute.collect():
         allowed.setdefault(r["i"], set()).add(r["fake"])

@@ -98,3 +98,20 @@ def test_nested_markup_parser(spark):
 
     df = spark.createDataFrame([("u", "plag", html)], ["url", "side", "html"])
     assert extract_spans_parsed(df).count() == 5
+
+
+def test_a_run_replaces_the_keys_it_passes_through(spark):
+    rows = [("u", "plag", 1, i, cls, t, len(t)) for i, (cls, t) in enumerate(
+        [("fragmark1", "A"), ("fragmark2", "X"), ("fragmark1", "A"), ("fragmark1", "B")])]
+    spans = spark.createDataFrame(rows, "url string, side string, para_no long, span_no long, cls string, text string, len long")
+    got = {r["key"]: (r["start"], r["end"]) for r in S.span_runs(S.span_offsets(spans)).collect()}
+    assert got == {"fragmark2_x": (3, 4), "fragmark1_a b": (5, 8)}
+
+
+def test_parser_on_nested_markup():
+    from pairloom.functions.markup_parser import parse_spans
+
+    got = parse_spans('<td><span class="h">top</span><p>x<span id="1" class="fragmark1">zeta<br>eta <b>bold</b> end</span>'
+                      '<div><span class="text">after</span></div><p><span class="fragmark2">A&uuml;<span class="in">n</span></span><hr><span class="z">no</span>')
+    assert [(g["para_no"], g["cls"], g["text"]) for g in got] == [
+        (0, "h", "top"), (1, "fragmark1", "zeta eta end"), (0, "text", "after"), (2, "fragmark2", "A\u00fc"), (2, "in", "n")]

@@ -53,9 +53,11 @@ def test_inner_identical(spark):
 
 
 def test_detect_language(spark):
-    assert one(spark, tx.detect_language("t"), t="the cat and the dog of the house") == "en"
-    assert one(spark, tx.detect_language("t"), t="der Hund und die Katze") == "de"
-    assert one(spark, tx.detect_language("t"), t="zzz qqq") is None
+    rows = [("the cat and the dog of the house", "en"), ("der Hund und die Katze", "de"), ("zzz qqq", None), (None, None)]
+    got = tx.with_language(spark.createDataFrame([(t,) for t, _ in rows], "t string"), "t", "lang").collect()
+    assert [r["lang"] for r in got] == [lang for _, lang in rows]
+    tie = tx.with_language(spark.createDataFrame([("x y",)], "t string"), "t", "lang", {"abd": ["x"], "abc": ["y"]}).first()
+    assert tie["lang"] == "abc"
 
 
 def test_file_stem_and_author(spark):
@@ -86,6 +88,35 @@ def test_fragment_page_fields(spark):
             '<table><tr><td>head</td><td>head</td></tr><tr><td>plag <b>text</b><hr>refs</td><td>src text</td></tr>'
             '</table></div></body></html>')
     r = fragment_fields(spark.createDataFrame([("u", html)], ["url", "html"])).first()
-    assert r["fragment_identifier"] == "Aaf/Fragment 009 01" and r["type"] == "Verschleierung"
+    assert r["fragment_identifier"] == "Aaf/Fragment 009 01" and r["type"] == "Verschleierung" and r["source"] == "wiki"
+    two = html.replace("<dd><a", "<dd>second</dd><dd><a").replace('alt="Yes"', 'alt="No"').replace("<dl>", '<dl><dt><img alt="Yes"></dt>')
+    r2 = fragment_fields(spark.createDataFrame([("u", two), ("v", "<h1>x</h1><p>no box</p>"), ("w", None)], ["url", "html"])).collect()
+    assert [(x["url"], x["type"], x["gesichtet"]) for x in r2] == [("u", "Verschleierung second", False)]
     assert r["gesichtet"] is True and r["plagiat_text"] == "plag text" and r["source_text"] == "src text"
     assert r["raw_plagiat_text"].startswith("<td>plag")
+
+
+def test_lenient_casts_and_flags(spark):
+    from pairloom.functions import measures as M
+
+    df = spark.createDataFrame([(bytearray(b"\x00"), "1.5"), (bytearray(b"\x01"), "x"), (None, None), (bytearray(b"\xff"), "2")], "b binary, t string")
+    out = df.select(M.byte_flag("b").alias("f"), M.decoded("b").alias("d"), M.as_number("t").alias("n"), "t", "b")
+    assert [(r["f"], r["d"], r["n"]) for r in out.collect()] == [(0, "\x00", 1.5), (1, "\x01", None), (None, None, None), (1, None, 2.0)]
+    r = out.agg(M.failures("t", "n").alias("n"), M.failures("b", "d").alias("d")).first()
+    assert (r["n"], r["d"]) == (1, 1)
+
+
+def test_inline_tags_and_references(spark):
+    html = "Wor<b>t</b> M&uuml;ller&nbsp;&#228;x &amp;quot; a<br>b<p>c</p>d<!-- x -->e<script>var x = 1;</script><td>f</td>g &bogus; R&D"
+    assert one(spark, tx.strip_markup("t"), t=html) == "Wort Müller äx &quot; a b c de f g &bogus; R&D"
+
+
+def test_links_in_either_quotes_with_references_and_dots(spark):
+    from pairloom.operators.pages import page_links
+
+    html = """<a href="../x?p=1&amp;q=2">1</a><A class='paginator-next' href='/wiki/A/Fragment_1'>2</A><a href=c>3</a><a name="n">4</a><a href="//h/d/./e/../f">5</a>
+    <a href="mailto:x@y">6</a><a href="?p=2">7</a><a href="#top">8</a>"""
+    rows = page_links(spark.createDataFrame([(1, "http://a/b/p/q", html)], "page_id long, url string, html string")).orderBy("link_no").collect()
+    assert [r["abs_url"] for r in rows] == ["http://a/b/x?p=1&q=2", "http://a/wiki/A/Fragment_1", "http://a/b/p/c", "http://h/d/f",
+                                            "mailto:x@y", "http://a/b/p/q?p=2", "http://a/b/p/q#top"]
+    assert [r["is_next"] for r in rows][:2] == [False, True] and rows[1]["is_fragment_link"]
