@@ -109,16 +109,26 @@ def _llr(a, b, pos, neg):
     return 2 * (h(a, pos) + h(b, neg) - h(a + b, pos + neg))
 
 
-def fit(rows: np.ndarray, buckets: np.ndarray, y: np.ndarray, factors: int = 8, epochs: int = 25, rate: float = 0.1,
-        l2: float = 1e-4, min_docs: int = 3, min_llr: float = 12.0, seed: int = 7) -> Machine:
+#: Sampled texts a term must be in, and its least log-likelihood ratio.
+MIN_DOCS, MIN_LLR = 3, 12.0
+
+
+def telling(a: np.ndarray, b: np.ndarray, pos: float, neg: float, min_docs: int = MIN_DOCS, min_llr: float = MIN_LLR) -> np.ndarray:
+    """Which terms (in a of pos toxic and b of neg other texts) enter the model."""
+    keep = a + b >= min_docs
+    keep[keep] = _llr(a[keep].astype(float), b[keep].astype(float), pos, neg) >= min_llr
+    return keep
+
+
+def fit(rows: np.ndarray, buckets: np.ndarray, y: np.ndarray, factors: int = 8, epochs: int = 40, rate: float = 0.2,
+        l2: float = 1e-5, min_docs: int = MIN_DOCS, min_llr: float = MIN_LLR, seed: int = 7) -> Machine:
     """Fit on presences (row, bucket) of a bounded sample with labels ``y``."""
     n, pos = len(y), float(y.sum())
     if n == 0 or pos in (0.0, float(n)):
         return Machine(40.0 if n and pos else -40.0, np.empty(0, np.int64), np.empty(0), np.empty((0, factors)))
     uniq, at = np.unique(buckets, return_inverse=True)
     a = np.bincount(at, weights=y[rows], minlength=len(uniq))
-    b = np.bincount(at, minlength=len(uniq)) - a
-    keep = (a + b >= min_docs) & (_llr(a, b, pos, n - pos) >= min_llr)
+    keep = telling(a, np.bincount(at, minlength=len(uniq)) - a, pos, n - pos, min_docs, min_llr)
     new = np.cumsum(keep) - 1
     sel = keep[at]
     rows, cols = rows[sel], new[at[sel]]
@@ -179,14 +189,26 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 12_000, label:
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     got = store(docs.filter("doc_id is not null").mapInPandas(featurize, "doc_id long, terms binary"), "fm_terms")
-    ids, parts = [], []
-    for r in got.orderBy("doc_id").toLocalIterator():
-        if not ids or ids[-1] != r["doc_id"]:  # a repeated doc_id counts once
-            ids.append(r["doc_id"])
-            parts.append(np.frombuffer(r["terms"], "<i4"))
-    rows = np.repeat(np.arange(len(ids)), [len(p) for p in parts]) if ids else np.empty(0, np.int64)
-    cols = np.concatenate(parts).astype(np.int64) if ids else np.empty(0, np.int64)
-    return fit(rows, cols, np.array([chosen[i] for i in ids], float), **settings)
+
+    def sampled() -> Iterator[tuple[int, np.ndarray]]:
+        last = None
+        for r in got.orderBy("doc_id").toLocalIterator():
+            if r["doc_id"] != last:  # a repeated doc_id counts once
+                yield chosen[r["doc_id"]], np.frombuffer(r["terms"], "<i4")
+            last = r["doc_id"]
+
+    # Two passes: counts in arrays of fixed size, then only the telling terms.
+    counts, sizes = np.zeros((2, BUCKETS), np.int32), [0, 0]
+    for label_of, terms_of in sampled():
+        counts[label_of][terms_of] += 1
+        sizes[label_of] += 1
+    keep = telling(counts[1], counts[0], sizes[1], sizes[0])
+    rows, cols, y_of = [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
+    for label_of, terms_of in sampled():
+        cols.append(terms_of[keep[terms_of]].astype(np.int64))
+        rows.append(np.full(len(cols[-1]), len(y_of)))
+        y_of.append(label_of)
+    return fit(np.concatenate(rows), np.concatenate(cols), np.array(y_of, float), **settings)
 
 
 def score(documents: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:
