@@ -92,25 +92,38 @@ fp AS (
   SELECT f.url, 'src' AS side, s.ix, s.sent FROM frag_docs f JOIN sentences s ON s.doc_id = f.src_doc
   UNION ALL
   SELECT f.url, 'plag' AS side, s.ix, s.sent FROM frag_docs f JOIN sentences s ON s.doc_id = f.plag_doc
+), marked AS (
+  SELECT url, side, ix, k, 'fragmark' || k || CASE WHEN side = 'plag' AND (length(url) + k) % 5 = 1 THEN 'x' ELSE '' END AS c,
+         regexp_extract(regexp_replace(lead_key, '[<>&"]', ' ', 'g'), '^[^ ]*', 0) AS w1,
+         regexp_replace(regexp_replace(lead_key, '[<>&"]', ' ', 'g'), '^[^ ]* ?', '') AS w2 FROM marks
 ), spans_html AS (
   SELECT ss.url, ss.side, ss.ix,
+    CASE WHEN ss.ix > 0 AND ss.ix % 4 = 0 THEN '</p><p class="q">' ELSE '' END ||
     CASE WHEN m.k IS NOT NULL THEN
-      '<span class="fragmark' || m.k || '">' || regexp_replace(m.lead_key, '[<>&"]', ' ', 'g')
-      || '</span><span class="text">' || regexp_replace(regexp_replace(ss.sent, '^[^ ]+ [^ ]+ [^ ]+ ?', ''), '[<>&"]', ' ', 'g')
-      || '</span>'
+      '<span class="' || c || '">' || w1 || '</span><span class="text"> </span><span id="m" class="' || c || '"><b>n</b>' || w2 || '<br>'
+      || CASE WHEN (length(m.url) + m.k) % 3 = 0 THEN '. Shared end.' ELSE '' END || '</span><span class="text">'
+      || regexp_replace(regexp_replace(ss.sent, '^[^ ]+ [^ ]+ [^ ]+ ?', ''), '[<>&"]', ' ', 'g') || '</span>'
     ELSE '<span class="text">' || regexp_replace(ss.sent, '[<>&"]', ' ', 'g') || '</span>' END AS h
-  FROM side_sents ss LEFT JOIN marks m ON m.url = ss.url AND m.side = ss.side AND m.ix = ss.ix
+  FROM side_sents ss LEFT JOIN marked m ON m.url = ss.url AND m.side = ss.side AND m.ix = ss.ix
+  UNION ALL
+  SELECT url, side, 1000000 + k, '</p><p>' ||
+    CASE WHEN (length(url) + k) % 8 = 7 THEN '<span class="' || c || '">' || w1 || '</span><span class="fragmark0">x</span>' ELSE '' END ||
+    '<span class="' || c || '">' || w1 || '</span><span class="' || c || '">' || w2 || '</span><span class="text">again on the ' || side
+    || ' side of it all.</span>'
+  FROM marked WHERE (length(url) + k) % 8 >= 6
 ), cells AS (
   SELECT url, side,
-         '<td><p>' || string_agg(h, '' ORDER BY ix, h) || '</p><hr><span class="fragmark1">refs</span></td>' AS markup
+         '<td><span class="text">Head of ' || side || '</span><span class="fragmark7">outside all</span><p>' || string_agg(h, '' ORDER BY ix, h)
+         || '</p><hr><span class="fragmark1">refs</span></td>' AS markup
   FROM spans_html GROUP BY url, side
 ), doc_lang AS (
   SELECT doc_id, text, lang, source, {detect_sql('text', lang_lists)} AS detected FROM documents
 ), fragments AS (
   SELECT f.url, cs.markup AS raw_source_text, cp.markup AS raw_plagiat_text, a.text AS source_text,
-         b.text AS plagiat_text, a.source, 'Verschleierung' AS type, false AS gesichtet,
+         b.text AS plagiat_text, a.source, CASE WHEN length(f.url) % 7 = 0 THEN 'KomplettPlagiat' ELSE 'Verschleierung' END AS type, false AS gesichtet,
          a.lang || '-' || a.source || '/Fragment ' || f.src_doc || ' ' || f.plag_doc AS fragment_identifier,
-         a.detected AS lang_source, b.detected AS lang_plagiat
+         a.detected AS lang_source,
+         CASE WHEN f.plag_doc % 11 <> 0 THEN CASE WHEN f.plag_doc % 13 = 0 THEN 'xx' ELSE b.detected END END AS lang_plagiat
   FROM frag_docs f JOIN doc_lang a ON a.doc_id = f.src_doc JOIN doc_lang b ON b.doc_id = f.plag_doc
   LEFT JOIN cells cs ON cs.url = f.url AND cs.side = 'src'
   LEFT JOIN cells cp ON cp.url = f.url AND cp.side = 'plag'
@@ -118,14 +131,16 @@ fp AS (
 
 
 P_BLOCK = r"(?s)<p(?: [^>]*)?>(.*?)</p>"
-SPAN_RE = r'<span class="([^"]*)">([^<]*)</span>'
+SPAN_RE = r'<span[^>]* class="([^"]*)">([^<]*)</span>'
 
 
 def matcher(lang_lists: dict) -> str:
     return fragments(lang_lists) + rf""",
 sides AS (
+  -- own text of a span: what stands in nested elements does not count, a line break is a blank
+  SELECT url, side, regexp_replace(regexp_replace(html, '<b>[^<]*</b>', '', 'g'), '<br>', ' ', 'g') AS html FROM (
   SELECT url, 'plag' AS side, raw_plagiat_text AS html FROM fragments
-  UNION ALL SELECT url, 'src' AS side, raw_source_text AS html FROM fragments
+  UNION ALL SELECT url, 'src' AS side, raw_source_text AS html FROM fragments)
 ), pre AS (
   SELECT url, side, CASE WHEN strpos(lower(html), '<hr>') > 0 THEN substr(html, 1, strpos(lower(html), '<hr>') - 1)
                          ELSE html END AS pre FROM sides
@@ -159,9 +174,18 @@ sides AS (
   SELECT url, side, para_no, run_id, min(cls) AS cls, min(start) AS start, max("end") AS "end",
          string_agg(lower(text), ' ' ORDER BY span_no) AS texts
   FROM ann2 GROUP BY url, side, para_no, run_id
-), runs AS (
-  SELECT url, side, para_no, cls || '_' || texts AS key, arg_max(start, run_id) AS start, arg_max("end", run_id) AS "end"
+), finals AS (
+  SELECT url, side, para_no, cls || '_' || texts AS key, arg_max(start, run_id) AS start, arg_max("end", run_id) AS "end", max(run_id) AS last_run
   FROM runs0 GROUP BY url, side, para_no, cls || '_' || texts
+), beginnings AS (  -- keys a run had before its last span
+  SELECT a.url, a.side, a.para_no, a.run_id, any_value(a.cls) || '_' || string_agg(lower(b.text), ' ' ORDER BY b.span_no) AS key
+  FROM ann2 a JOIN ann2 b ON b.url = a.url AND b.side = a.side AND b.para_no = a.para_no AND b.run_id = a.run_id AND b.span_no <= a.span_no
+  WHERE EXISTS (SELECT 1 FROM ann2 c WHERE c.url = a.url AND c.side = a.side AND c.para_no = a.para_no AND c.run_id = a.run_id AND c.span_no > a.span_no)
+  GROUP BY a.url, a.side, a.para_no, a.run_id, a.span_no
+), runs AS (
+  SELECT url, side, para_no, key, start, "end" FROM finals f
+  WHERE NOT EXISTS (SELECT 1 FROM beginnings g WHERE g.url = f.url AND g.side = f.side AND g.para_no = f.para_no AND g.key = f.key
+                    AND g.run_id > f.last_run)
 ), common AS (
   SELECT DISTINCT p.url, p.key FROM runs p
   WHERE p.side = 'plag' AND EXISTS (SELECT 1 FROM runs s WHERE s.side = 'src' AND s.url = p.url AND s.key = p.key)

@@ -26,6 +26,10 @@ from pairloom.functions import text as tx
 from pairloom.operators.skew import ordered_prefix
 
 
+#: The category of every seventh length of url; the corpus drops it.
+SECOND_CATEGORY = "KomplettPlagiat"
+
+
 def sentences(documents: DataFrame) -> DataFrame:
     """(doc_id, lang, source, ix, sent); ix is dense and 0-based."""
     return documents.select(
@@ -107,33 +111,46 @@ def _clean(col):
 
 
 def _side_markup(sents: DataFrame, marks: DataFrame) -> DataFrame:
-    """One markup cell per (url, side) from its sentences and pair marks."""
-    j = sents.join(marks, ["url", "side", "ix"], "left")
+    """One markup cell per (url, side) from its sentences and pair marks.
+
+    The markup is made to take every branch of the span matcher: a heading
+    with an annotation outside any paragraph; a new paragraph every fourth
+    sentence; annotations as runs of two spans with a blank span between them,
+    nested and broken markup and further attributes; every third one runs into
+    a second sentence that both sides share; every fifth has another class on
+    the plagiat side; others come again in a later paragraph, alone or after a
+    shorter run of the same class.
+    """
+    def span(cls, *body):
+        return F.concat(F.lit('<span class="'), cls, F.lit('">'), *body, F.lit("</span>"))
+
+    text, k = F.lit("text"), F.col("k")
+    n = F.length("url") + k  # which variant a mark gets
+    lead = _clean(F.col("lead_key"))
+    first, second = F.regexp_extract(lead, "^[^ ]*", 0), F.regexp_replace(lead, "^[^ ]* ?", "")
+    cls = F.concat(F.lit("fragmark"), k.cast("string"), F.when((F.col("side") == "plag") & (n % 5 == 1), F.lit("x")).otherwise(F.lit("")))
+    mark = F.concat(span(cls, first), span(text, F.lit(" ")), F.lit('<span id="m" class="'), cls, F.lit('"><b>n</b>'), second, F.lit("<br>"),
+                    F.when(n % 3 == 0, F.lit(". Shared end.")).otherwise(F.lit("")), F.lit("</span>"))
     rest = F.regexp_replace("sent", "^[^ ]+ [^ ]+ [^ ]+ ?", "")
-    span = F.when(
-        F.col("k").isNotNull(),
-        F.concat(
-            F.lit('<span class="fragmark'), F.col("k").cast("string"), F.lit('">'), _clean(F.col("lead_key")),
-            F.lit('</span><span class="text">'), _clean(rest), F.lit("</span>"),
-        ),
-    ).otherwise(F.concat(F.lit('<span class="text">'), _clean(F.col("sent")), F.lit("</span>")))
-    cells = j.groupBy("url", "side").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct(F.col("ix"), span.alias("h")))), lambda x: x["h"]), ""
-        ).alias("body")
-    )
-    return cells.select(
-        "url", "side",
-        F.concat(F.lit("<td><p>"), F.col("body"),
-                 F.lit('</p><hr><span class="fragmark1">refs</span></td>')).alias("markup"),
-    )
+    body = F.when(k.isNotNull(), F.concat(mark, span(text, _clean(rest)))).otherwise(span(text, _clean(F.col("sent"))))
+    para = F.when((F.col("ix") > 0) & (F.col("ix") % 4 == 0), F.lit('</p><p class="q">')).otherwise(F.lit(""))
+    rows = sents.join(marks, ["url", "side", "ix"], "left").select("url", "side", "ix", F.concat(para, body).alias("h"))
+    again = F.concat(F.lit("</p><p>"), F.when(n % 8 == 7, F.concat(span(cls, first), span(F.lit("fragmark0"), F.lit("x")))).otherwise(F.lit("")),
+                     span(cls, first), span(cls, second), span(text, F.lit("again on the "), F.col("side"), F.lit(" side of it all.")))
+    late = marks.where(n % 8 >= 6).select("url", "side", (F.lit(1_000_000) + k).alias("ix"), again.alias("h"))
+    cells = rows.unionByName(late).groupBy("url", "side").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ix", "h"))), lambda x: x["h"]), "").alias("body"))
+    return cells.select("url", "side", F.concat(
+        F.lit("<td>"), span(text, F.lit("Head of "), F.col("side")), span(F.lit("fragmark7"), F.lit("outside all")), F.lit("<p>"), F.col("body"),
+        F.lit('</p><hr><span class="fragmark1">refs</span></td>')).alias("markup"))
 
 
 def fragments(documents: DataFrame, pairs: DataFrame | None = None, sents: DataFrame | None = None) -> DataFrame:
     """Fragment table (see ``tables.FRAGMENT_SCHEMA``) derived from lead pairs.
 
     ``lang_source`` / ``lang_plagiat`` come from the stop-word language vote
-    over each side's text, as the language-detection step would fill them.
+    over each side's text, as the language-detection step would fill them;
+    some plagiat documents (by id) count as undetected or of another language.
     """
     pairs = pairs if pairs is not None else lead_pairs(documents)
     p = pairs.select(
@@ -165,11 +182,12 @@ def fragments(documents: DataFrame, pairs: DataFrame | None = None, sents: DataF
     )
     return f.select(
         "url", "raw_source_text", "raw_plagiat_text", "source_text", "plagiat_text", "source",
-        F.lit(fixed.CATEGORY).alias("type"),
+        F.when(F.length("url") % 7 == 0, F.lit(SECOND_CATEGORY)).otherwise(F.lit(fixed.CATEGORY)).alias("type"),
         F.lit(False).alias("gesichtet"),
         F.concat(F.col("lang"), F.lit("-"), F.col("source"), F.lit("/Fragment "),
                  F.col("src_doc").cast("string"), F.lit(" "), F.col("plag_doc").cast("string")).alias("fragment_identifier"),
-        "lang_source", "lang_plagiat",
+        "lang_source",
+        F.when(F.col("plag_doc") % 11 != 0, F.when(F.col("plag_doc") % 13 == 0, F.lit("xx")).otherwise(F.col("lang_plagiat"))).alias("lang_plagiat"),
     )
 
 
