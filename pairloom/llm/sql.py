@@ -27,17 +27,6 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM w LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-OP2 = r"""
-WITH w AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-p(n, t, label) AS (VALUES (2, 'mit license', 'mit'), (2, 'apache license', 'apache'), (3, 'general public license', 'gpl')),
-hit AS (SELECT doc_id, s, label FROM w, p, unnest(range(0, len(w) - n + 1)) u(s) WHERE len(w) >= n AND array_to_string(w[s + 1 : s + n], ' ') = t)
-SELECT w.doc_id, len(any_value(w.w))::BIGINT AS n_words, count(s)::BIGINT AS n_base, min(s)::BIGINT AS first_word, max(s)::BIGINT AS last_word,
-       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
-FROM w LEFT JOIN hit USING (doc_id) GROUP BY 1
-"""
-
 #: SHA-1 in base 32, 5 bits at a time from the hex digest.
 OP7 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
@@ -63,4 +52,30 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIG
 FROM w LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS x FROM kept GROUP BY 1) k USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_substring_dedup": OP6, "op7_content_addressed_warc": OP7, "op10_decontamination": OP10}
+#: All pairs that share a shingle, then the smallest doc_id over all paths of links.
+OP8 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 5], ' ') AS t FROM w, unnest(range(0, greatest(len(w) - 4, 1))) u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS d, doc_id AS c FROM documents UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.d WHERE r.c < e.y)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.c) AS component_id
+FROM documents d JOIN r ON r.d = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+#: All pairs of a label by cosine in double precision.
+OP5 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+r AS (SELECT vec_id AS d, vec_id AS c FROM v UNION SELECT l.y, r.c FROM r JOIN l ON l.x = r.d WHERE r.c < l.y)
+SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.x = v.vec_id)::BIGINT AS n_links, min(r.c) AS component_id, v.vec_id = min(r.c) AS kept
+FROM v JOIN r ON r.d = v.vec_id GROUP BY v.vec_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_embedding_near_dups": OP5, "op6_substring_dedup": OP6, "op8_token_group_jaccard": OP8,
+                              "op7_content_addressed_warc": OP7, "op10_decontamination": OP10}
