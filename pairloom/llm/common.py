@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -14,6 +16,11 @@ from pyspark.sql import functions as F
 from pairloom.session import checkpoint_dir
 
 
+#: Folders of tables stored inside ``passing_tables``, and whether it is active.
+_PASSING: list[str] = []
+_SCOPE = [False]
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -21,10 +28,34 @@ def store(df: DataFrame, label: str) -> DataFrame:
     costs a re-read and never a recomputation of the stages before.  The
     folder is the one that ``spark.checkpoint.dir`` names.
     """
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _SCOPE[0]:
+        _PASSING.append(path)
+    # Spark deletes the shuffle files of a plan when the driver has collected it as garbage; do that now that they are not needed.
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables stored in here live until the next such block, which deletes them first.
+
+    For chains whose every link is written before the next begins; tables
+    stored outside (by queries that are still lazy) are never touched.
+    """
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    while _PASSING:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_PASSING.pop())
+        path.getFileSystem(conf).delete(path, True)
+    _SCOPE[0] = True
+    try:
+        yield
+    finally:
+        _SCOPE[0] = False
 
 
 def partitions(spark: SparkSession) -> int:
@@ -89,8 +120,13 @@ class Bits:
         np.bitwise_or.at(self.words, at >> 3, np.left_shift(np.uint8(1), (at & 7).astype(np.uint8)))
 
 
-def merged_blocks(df: DataFrame, merge: str, dtype: str) -> Iterator[tuple[int, np.ndarray]]:
-    """Merge (block int, data binary) rows by ``np.<merge>``, in two levels of streaming tasks.
+def add_up(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of uint16 counters that stop at their largest value."""
+    return np.minimum(a.astype(np.uint32) + b, 0xFFFF).astype(np.uint16)
+
+
+def merged_blocks(df: DataFrame, merge: Callable, dtype: str) -> Iterator[tuple[int, np.ndarray]]:
+    """Merge (block int, data binary) rows, in two levels of streaming tasks.
 
     A task holds one array per block, whatever the number of rows.
     """
@@ -99,7 +135,7 @@ def merged_blocks(df: DataFrame, merge: str, dtype: str) -> Iterator[tuple[int,
         for pdf in batches:
             for block, data in zip(pdf["block"], pdf["data"], strict=True):
                 got = np.frombuffer(data, dtype)
-                held[block] = getattr(np, merge)(held[block], got) if block in held else got
+                held[block] = merge(held[block], got) if block in held else got
         yield pd.DataFrame({"block": list(held), "data": [x.tobytes() for x in held.values()]})
 
     schema = "block int, data binary"
@@ -122,7 +158,7 @@ def bitmap(df: DataFrame, column: str, bits: int = 24) -> Bits:
 
     parts = df.select(column).filter(F.col(column).isNotNull()).mapInPandas(local, "block int, data binary")
     words = np.zeros((1 << (bits - block), 1 << (block - 3)), np.uint8)
-    for at, data in merged_blocks(parts, "bitwise_or", "u1"):
+    for at, data in merged_blocks(parts, np.bitwise_or, "u1"):
         words[at] = data
     return Bits(bits, words.tobytes())
 
@@ -163,25 +199,42 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class WordHash:
-    """64-bit hashes of byte words, with a cache of bounded size."""
+_IN_WORD = (~np.isin(np.arange(256), np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8))).astype(np.int8)
+_LETTER = mix(np.arange(1, 257, dtype=np.uint64))
+#: An odd factor and its inverse modulo 2^64.
+_FACTOR = 0x9E3779B97F4A7C15
+_POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+
 
-    def __init__(self, most: int = 400_000):
-        self.most, self.known = most, {}
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the factor and of its inverse (kept for the longest text seen)."""
+    if len(_POWERS["up"]) < n:
+        size = 1 << (n - 1).bit_length()
+        for name, f in (("up", _FACTOR), ("down", pow(_FACTOR, -1, 1 << 64))):
+            steps = np.full(size, f, np.uint64)
+            steps[0] = 1
+            _POWERS[name] = np.multiply.accumulate(steps)
+    return _POWERS["up"][:n], _POWERS["down"][:n]
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        import xxhash
 
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        try:
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            for w in set(words):
-                if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text (cut at ASCII blanks), whatever its length in one sweep.
+
+    A word's hash is a polynomial in its bytes, taken from running sums modulo
+    2^64, then mixed; so no table of words is kept.
+    """
+    b = np.frombuffer(data, np.uint8)
+    inside = np.zeros(len(b) + 2, np.int8)
+    _IN_WORD.take(b, out=inside[1:-1])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edge[::2], edge[1::2]
+    if not len(start):
+        return np.empty(0, np.uint64)
+    up, down = _powers(len(b))
+    total = np.empty(len(b) + 1, np.uint64)
+    total[0] = 0
+    np.cumsum(np.multiply(_LETTER.take(b), up), out=total[1:])
+    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
 @lru_cache(maxsize=64)

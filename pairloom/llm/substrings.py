@@ -27,17 +27,18 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Bits, WordHash, bitmap, replace_rows, store, window_hash
+from pairloom.llm.common import Bits, bitmap, only, replace_rows, store, window_hash, word_hashes
 
 WINDOW, PHRASE = 13, 5
 #: Bytes of text that one automaton serves, and log2 of the bitmap of recurring phrases.
-SHARD_BYTES, BITS = 8 << 20, 26
+SHARD_BYTES, BITS = 4 << 20, 26
 #: A phrase in more than this part of the phrase entries is split by document (so at most 1 / HOT phrases are).
 HOT = 1e-4
 
@@ -46,6 +47,10 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").split()
 
 
+def hashes(text: str | None) -> np.ndarray:
+    return word_hashes((text or "").encode("utf-8", "replace"))
+
+
 def least_phrases(h: np.ndarray, window: int) -> np.ndarray:
     """The hash of the least phrase of every window."""
     phrase = min(PHRASE, window)
@@ -62,12 +67,11 @@ def recurring_phrases(docs: DataFrame, window: int) -> DataFrame:
     """(key, n): phrases that represent windows of at least two documents, and of how many rows."""
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed = WordHash()
         for pdf in batches:
             out = []
             for text in pdf["text"]:
-                w = words(text)
-                out.append(np.unique(least_phrases(hashed(w), window)).view(np.int64) if len(w) >= window else np.empty(0, np.int64))
+                h = hashes(text)
+                out.append(np.unique(least_phrases(h, window)).view(np.int64) if len(h) >= window else np.empty(0, np.int64))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "keys": out})
 
     rows = docs.filter("doc_id is not null").mapInPandas(keys, "doc_id long, keys array<bigint>")
@@ -87,7 +91,7 @@ def covered(starts: np.ndarray, n: int, window: int) -> np.ndarray:
 def finished(w: list[bytes], gone: np.ndarray) -> tuple[int, int, str | None, str]:
     """n_words, n_removed, the kept words joined by one blank (None: all of them) and their SHA-256."""
     lost = int(gone.sum())
-    kept = b" ".join(x for x, g in zip(w, gone, strict=True) if not g) if lost else b" ".join(w)
+    kept = b" ".join(compress(w, (~gone).tolist()) if lost else w)
     return len(w), lost, kept.decode("utf-8", "replace") if lost else None, hashlib.sha256(kept).hexdigest()
 
 
@@ -109,8 +113,8 @@ def locate(texts: list[list[bytes]], phrases: set[bytes]) -> list[np.ndarray]:
 
 
 SCREENED = "rid long, doc_id long, shard long, text string, n_words long, digest string"
-SETTLED = ("rid long, doc_id long, n_words long, n_removed long, kept string, digest string, text string, starts binary, "
-           "open array<struct<h1:bigint,h2:bigint,at:int>>")
+SETTLED = ("rid long, doc_id long, n_words long, n_removed long, kept string, digest string, starts binary, "
+           "h1 array<bigint>, h2 array<bigint>, at array<int>")
 
 
 def _screen(docs: DataFrame, window: int, recurring: Bits, hot: dict[int, int]) -> DataFrame:
@@ -119,14 +123,14 @@ def _screen(docs: DataFrame, window: int, recurring: Bits, hot: dict[int, int])
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits, parts = shared.value
-        hashed = WordHash()
         for pdf in batches:
             out = []
             for rid, doc, text in zip(pdf["rid"], pdf["doc_id"], pdf["text"], strict=True):
-                w = words(text)
-                keys = np.unique(least_phrases(hashed(w), window)) if len(w) >= window and not pd.isna(doc) else np.empty(0, np.uint64)
+                h = hashes(text)
+                keys = np.unique(least_phrases(h, window)) if len(h) >= window and not pd.isna(doc) else np.empty(0, np.uint64)
                 keys = keys[bits.has(keys)].view(np.int64)
                 if not len(keys):
+                    w = words(text)
                     n, _, _, digest = finished(w, np.zeros(len(w), bool))
                     out.append((rid, doc, rid, None, n, digest))
                 else:
@@ -138,12 +142,12 @@ def _screen(docs: DataFrame, window: int, recurring: Bits, hot: dict[int, int])
     return docs.mapInPandas(rows, SCREENED)
 
 
-def _settle(rows: list[tuple[int, int, list[bytes], str]], window: int, bits: Bits, hashed: WordHash) -> list[tuple]:
+def _settle(rows: list[tuple[int, int, list[bytes], str]], window: int, bits: Bits) -> list[tuple]:
     """One shard (rid, doc_id, words, text): locate phrases, settle windows that an earlier document of the shard has."""
     phrase = min(PHRASE, window)
     own, phrases = [], set()
-    for _, _, w, _ in rows:
-        h = hashed(w)
+    for _, _, w, text in rows:
+        h = hashes(text)
         k, least = window_hash(h, phrase, 3), least_phrases(h, window)
         own.append((h, k, least))
         wanted = np.unique(least)
@@ -166,15 +170,16 @@ def _settle(rows: list[tuple[int, int, list[bytes], str]], window: int, bits: Bi
     settled = ids[doc] > first
     out = []
     cut = np.searchsorted(doc, np.arange(len(rows) + 1))
-    for i, (rid, d, w, text) in enumerate(rows):
+    for i, (rid, d, w, _) in enumerate(rows):
         s = slice(cut[i], cut[i + 1])
         gone, left = at[s][settled[s]], ~settled[s]
         if left.any():
-            rest = [{"h1": a, "h2": b, "at": c} for a, b, c in zip(h1[s][left].view(np.int64).tolist(), h2[s][left].view(np.int64).tolist(),
-                                                                 at[s][left].tolist(), strict=True)]
-            out.append((rid, d, len(w), None, None, None, text, gone.astype("<i4").tobytes(), rest))
+            # Should no other shard take more from it, a document that has lost nothing so far is done, too.
+            whole = None if len(gone) else finished(w, np.zeros(len(w), bool))[3]
+            out.append((rid, d, len(w), None, None, whole, gone.astype("<i4").tobytes(),
+                        h1[s][left].view(np.int64), h2[s][left].view(np.int64), at[s][left].astype(np.int32)))
         else:
-            out.append((rid, d, *finished(w, covered(gone, len(w), window)), None, None, None))
+            out.append((rid, d, *finished(w, covered(gone, len(w), window)), None, None, None, None))
     return out
 
 
@@ -182,8 +187,8 @@ def _shards(screened: DataFrame, window: int, recurring: Bits) -> DataFrame:
     shared = screened.sparkSession.sparkContext.broadcast(recurring)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed, held, size = WordHash(), [], 0
-        names = ["rid", "doc_id", "n_words", "n_removed", "kept", "digest", "text", "starts", "open"]
+        held, size = [], 0
+        names = ["rid", "doc_id", "n_words", "n_removed", "kept", "digest", "starts", "h1", "h2", "at"]
 
         def frame(out: list[tuple]) -> pd.DataFrame:
             return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64", "n_words": "Int64", "n_removed": "Int64"})
@@ -191,15 +196,15 @@ def _shards(screened: DataFrame, window: int, recurring: Bits) -> DataFrame:
         for pdf in batches:
             done = pdf["text"].isna()
             plain = pdf[done]
-            yield frame([(r.rid, r.doc_id, r.n_words, 0, None, r.digest, None, None, None) for r in plain.itertuples(index=False)])
+            yield frame([(r.rid, r.doc_id, r.n_words, 0, None, r.digest, None, None, None, None) for r in plain.itertuples(index=False)])
             for r in pdf[~done].itertuples(index=False):
                 held.append((r.rid, int(r.doc_id), words(r.text), r.text))
                 size += len(r.text)
                 if size >= SHARD_BYTES:
-                    yield frame(_settle(held, window, shared.value, hashed))
+                    yield frame(_settle(held, window, shared.value))
                     held, size = [], 0
         if held:
-            yield frame(_settle(held, window, shared.value, hashed))
+            yield frame(_settle(held, window, shared.value))
 
     return store(screened.repartition("shard").sortWithinPartitions("shard", "doc_id").mapInPandas(rows, SETTLED), "sub_settled")
 
@@ -207,19 +212,29 @@ def _shards(screened: DataFrame, window: int, recurring: Bits) -> DataFrame:
 def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """rid, doc_id, n_words, n_removed, kept (the words left, joined by one blank; null where
     no word goes) and digest (SHA-256 of the words left) of every row."""
-    docs = documents.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
-                            F.col("text").cast("string").alias("text"))
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("rid", F.xxhash64("doc_id", "text"))  # tells rows of one doc_id apart; equal rows have equal results
     recurring = recurring_phrases(docs, window)
     total = recurring.agg(F.sum("n")).first()[0] or 0
     most = max(100, int(total * HOT))
     hot = {r["key"]: -(-r["n"] // most) for r in recurring.filter(F.col("n") > most).select("key", "n").collect()}
     bits = bitmap(recurring, "key", BITS)
     settled = _shards(_screen(docs, window, bits, hot), window, bits)
-    done = settled.filter("text is null").select("rid", "doc_id", "n_words", "n_removed", "kept", "digest")
-    rest = settled.filter("text is not null")
-    places = rest.select("rid", "doc_id", F.explode("open").alias("w")).select("rid", "doc_id", "w.*")
-    first = places.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first <> last")
-    gone = (places.join(first, ["h1", "h2"]).filter("doc_id > first").groupBy("rid").agg(F.collect_list("at").alias("more")))
+    done = settled.filter("starts is null").select("rid", "doc_id", "n_words", "n_removed", "kept", "digest")
+    rest = settled.filter("starts is not null")
+    places = rest.select("rid", "doc_id", F.explode(F.arrays_zip("h1", "h2", "at")).alias("w")).select("rid", "doc_id", "w.*")
+    first = store(places.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+                  .filter("first <> last").drop("last"), "sub_first")
+    # Windows of one shard alone don't enter the join.
+    met = only(places, "h1", bitmap(first, "h1", BITS))
+    gone = store(met.join(first, ["h1", "h2"]).filter("doc_id > first").groupBy("rid", "doc_id").agg(F.collect_set("at").alias("more")),
+                 "sub_gone")
+    both = rest.select("rid", "doc_id", "n_words", "digest", "starts").join(gone, ["rid", "doc_id"], "left")
+    kept = both.filter("digest is not null and more is null").select(
+        "rid", "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.lit(None).cast("string").alias("kept"), "digest")
+    # Only texts that lose words are read again.
+    lost = store(both.filter("digest is null or more is not null").select("rid", "doc_id", "starts", "more")
+                 .dropDuplicates(["rid", "doc_id"]), "sub_lost")
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -231,9 +246,9 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
                 out.append((r.rid, r.doc_id, *finished(w, covered(starts, len(w), window))))
             yield pd.DataFrame(out, columns=["rid", "doc_id", "n_words", "n_removed", "kept", "digest"])
 
-    late = rest.select("rid", "doc_id", "text", "starts").join(gone, "rid", "left").mapInPandas(
+    late = only(docs, "doc_id", bitmap(lost, "doc_id")).join(lost, ["rid", "doc_id"]).mapInPandas(
         finish, "rid long, doc_id long, n_words long, n_removed long, kept string, digest string")
-    return done.unionByName(late)
+    return done.unionByName(kept).unionByName(late)
 
 
 def substring_digest(documents: DataFrame, window: int = WINDOW) -> DataFrame:
