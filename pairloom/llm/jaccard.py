@@ -5,13 +5,14 @@ with equal sets are one class, and only the class with its smallest doc_id
 takes part.
 
 1. Similar documents are partitioned into groups: one-permutation minhashes of
-   the set, in bands; a class looks at the smallest class it shares most bands
-   with, the pair is compared exactly, and linked classes form a group.
+   the set, in bands; a class goes to the smallest class it shares most bands
+   with, and is compared exactly with that class and with the classes there
+   that found no link themselves; linked classes form a group.
 2. The token-group matrix: an entry (token, group) for every token in the
    prefix of a member, tokens ordered by rarity (a counting sketch over all
    documents).  Two sets as similar as asked for share a prefix token, so a
-   query meets every group that can hold a partner; groups whose sizes cannot
-   match are left out.
+   query meets every group that can hold a partner; groups whose sizes, or
+   whose places of the token, cannot match are left out.
 3. The groups met are joined with their queries.  A task builds a group's
    token union, bounds the query's overlap with it, opens the group only if
    the bound reaches the threshold, and compares with the members exactly.
@@ -36,21 +37,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import WordHash, bitmap, merged_blocks, mix, only, replace_rows, store, union_min, window_hash
+from pairloom.llm.common import add_up, bitmap, merged_blocks, mix, only, replace_rows, store, union_min, window_hash, word_hashes
 
 BANDS, ROWS = 16, 4
 #: log2 of the sketch's counters, and of the counters in a block of it.
-SKETCH, SKETCH_BLOCK = 20, 16
+SKETCH, SKETCH_BLOCK = 23, 18
 #: Members of a block of a group, and queries of one task for a block.
 MEMBERS, QUERIES = 256, 2000
 
 
-def shingles(text: str | None, size: int, hashed: WordHash) -> np.ndarray:
+def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``size`` words; A-Z in lower case."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
+    h = word_hashes((text or "").encode("utf-8", "replace").lower())
+    if not len(h):
         return np.empty(0, np.uint64)
-    h = hashed(words)
     return np.unique(window_hash(h, size, 1)) if len(h) >= size else window_hash(h, len(h), 1 + len(h))
 
 
@@ -84,17 +84,18 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        hashed, counts = WordHash(), np.zeros(1 << SKETCH, np.uint32)
+        counts = np.zeros(1 << SKETCH, np.uint16)
         for pdf in batches:
             n, d1, d2, keys = [], [], [], []
             for text in pdf["text"]:
-                s = shingles(text, size, hashed)
+                s = shingles(text, size)
                 n.append(len(s))
                 digest = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8")
                 d1.append(digest[0])
                 d2.append(digest[1])
                 keys.append(bands(s).view(np.int64) if len(s) else None)
-                counts[(s >> np.uint64(64 - SKETCH)).astype(np.int64)] += 1  # distinct tokens may share a counter
+                at = (s >> np.uint64(64 - SKETCH)).astype(np.int64)  # distinct tokens may share a counter
+                counts[at] += counts[at] < 0xFFFF
             yield pd.DataFrame({"kind": 0, "doc_id": pdf["doc_id"].astype("Int64"), "n": n, "d1": d1, "d2": d2, "bands": keys,
                                 "block": None, "data": None})
         blocks = counts.reshape(-1, 1 << SKETCH_BLOCK)
@@ -110,11 +111,11 @@ def prefixes(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> Da
     shared = docs.sparkSession.sparkContext.broadcast(sketch)  # 2^SKETCH counters
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed, counts = WordHash(), shared.value
+        counts = shared.value
         for pdf in batches:
             out = []
             for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                s = shingles(text, size, hashed)
+                s = shingles(text, size)
                 n = len(s)
                 if needed(n, percent) < n or n * 100 >= percent * (n + 1):
                     order = np.lexsort((s, counts[(s >> np.uint64(64 - SKETCH)).astype(np.int64)]))
@@ -124,33 +125,36 @@ def prefixes(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> Da
     return docs.filter("doc_id is not null").mapInPandas(rows, "doc_id long, n long, tokens array<bigint>")
 
 
-def open_groups(docs: DataFrame, members: DataFrame, queries: DataFrame, size: int, percent: int) -> DataFrame:
-    """Edges (a, b): the first member b of group g linked with query a, for (doc_id, g) members and queries."""
-    members = members.join(members.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("mb")), "g")
-    queries = queries.join(queries.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("qb")), "g")
-    splits = members.select("g", "mb").distinct().join(queries.select("g", "qb").distinct(), "g")
+def open_groups(docs: DataFrame, members: DataFrame, queries: DataFrame, size: int, percent: int, grow: bool = False) -> DataFrame:
+    """Edges (a, b): the first member b of group g linked with query a, for (doc_id, g) members and queries.
+
+    With ``grow`` a query without a link becomes a member for the queries after
+    it, up to MEMBERS of them: a way to form groups, not to find all links.
+    """
+    parts = lambda of, name: F.ceil(F.sum(of) / name)
+    splits = (members.select("g", F.lit(1).alias("m"), F.lit(0).alias("q")).union(queries.select("g", F.lit(0), F.lit(1)))
+              .groupBy("g").agg(parts("m", MEMBERS).alias("mb"), parts("q", QUERIES).alias("qb")))
     own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n))
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-    m = members.drop("mb").join(splits, "g").select("doc_id", "g", F.lit(0).alias("kind"), own("mb").alias("mb"), upto("qb").alias("qb"))
-    q = queries.drop("qb").join(splits, "g").select("doc_id", "g", F.lit(1).alias("kind"), upto("mb").alias("mb"), own("qb").alias("qb"))
+    m = members.join(splits, "g").select("doc_id", "g", F.lit(0).alias("kind"), own("mb").alias("mb"), upto("qb").alias("qb"))
+    q = queries.join(splits, "g").select("doc_id", "g", F.lit(1).alias("kind"), upto("mb").alias("mb"), own("qb").alias("qb"))
     roles = store(m.union(q), "jaccard_roles")
     rows = only(docs, "doc_id", bitmap(roles, "doc_id")).join(roles, "doc_id")
 
     def opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed, block, held, union = WordHash(), None, [], None
+        block, held, union = None, [], None
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
                 if (r.g, r.mb, r.qb) != block:
                     block, held, union = (r.g, r.mb, r.qb), [], None
-                s = shingles(r.text, size, hashed)
+                s = shingles(r.text, size)
                 if r.kind == 0:
                     held.append((r.doc_id, s))
                     continue
-                if union is None:  # all members of the block come before its queries
+                if union is None and not grow:  # all members of the block come before its queries
                     union = np.unique(np.concatenate([x for _, x in held])) if len(held) > 1 else held[0][1] if held else s[:0]
-                least = needed(len(s), percent)
-                if not len(union) or common(s, union) < least:
+                if not grow and (not len(union) or common(s, union) < needed(len(s), percent)):
                     continue
                 for doc, x in held:
                     if doc != r.doc_id and min(len(s), len(x)) * 100 >= percent * max(len(s), len(x)):
@@ -158,6 +162,9 @@ def open_groups(docs: DataFrame, members: DataFrame, queries: DataFrame, size: i
                         if 100 * both >= percent * (len(s) + len(x) - both):
                             out.append((r.doc_id, doc))
                             break
+                else:
+                    if grow and len(held) < MEMBERS:
+                        held.append((r.doc_id, s))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return store(rows.select("doc_id", "text", "g", "kind", "mb", "qb").repartition("g", "mb", "qb")
@@ -192,25 +199,29 @@ def jaccard_components(documents: DataFrame, size: int = 5, percent: int = 75) -
              .select(F.col("rep").alias("doc_id"), (-F.col("m.o")).alias("g")))
     stars = store(stars, "jaccard_stars")
     centres = stars.select(F.col("g").alias("doc_id"), "g").distinct()
-    edges = open_groups(docs, centres, stars, size, percent)
+    edges = open_groups(docs, centres, stars, size, percent, grow=True)
     found = store(union_min(edges), "jaccard_groups")
 
     # 2. The token-group matrix over prefixes in order of rarity.
-    sketch = np.zeros((1 << (SKETCH - SKETCH_BLOCK), 1 << SKETCH_BLOCK), np.uint32)
-    for at, data in merged_blocks(rows.filter("kind = 1"), "add", "u4"):
+    sketch = np.zeros((1 << (SKETCH - SKETCH_BLOCK), 1 << SKETCH_BLOCK), np.uint16)
+    for at, data in merged_blocks(rows.filter("kind = 1"), add_up, "u2"):
         sketch[at] = data
     groups = (classes.select("rep").join(found, F.col("rep") == F.col("node"), "left")
               .select(F.col("rep").alias("doc_id"), F.coalesce("component", "rep").alias("g")))
     groups = store(groups, "jaccard_member")
     tokens = store(prefixes(docs, size, percent, sketch.reshape(-1)).join(groups, "doc_id"), "jaccard_prefixes")
-    entries = tokens.select("doc_id", "g", "n", F.explode("tokens").alias("token"))
+    entries = tokens.select("doc_id", "g", "n", F.posexplode("tokens").alias("at", "token"))
     several = store(entries.groupBy("token").agg(F.min("g").alias("a"), F.max("g").alias("b")).filter("a <> b").select("token"),
                     "jaccard_tokens")
     met = store(only(entries, "token", bitmap(several, "token", 26)).join(several, "token"), "jaccard_entries")
-    matrix = met.groupBy("token", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    queries = (met.select("token", "doc_id", F.col("g").alias("own"), "n").join(matrix, "token")
-               .filter((F.col("g") < F.col("own")) & (F.col("high") * 100 >= F.col("n") * percent)
-                       & (F.col("n") * 100 >= F.col("low") * percent)).select("doc_id", "g").distinct())
+    # Positional bound: at the first common token of a linked pair, places i and j, both n - i and n' - j are at least
+    # the overlap asked for, percent / (100 + percent) of n + n'.  ``room`` is what that leaves for the partner's size.
+    room = (100 + percent) * (F.col("n") - F.col("at")) - percent * F.col("n")
+    matrix = met.groupBy("token", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(room).alias("most"))
+    queries = (met.select("token", "doc_id", F.col("g").alias("own"), "n", room.alias("room")).join(matrix, "token")
+               .filter((F.col("g") < F.col("own")) & (F.col("room") >= percent * F.col("low")) & (F.col("most") >= percent * F.col("n"))
+                       & (F.col("high") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("low") * percent))
+               .select("doc_id", "g").distinct())
     queries = store(queries, "jaccard_queries")
 
     # 3. Open the groups met.
