@@ -138,3 +138,44 @@ def test_vectors_with_a_large_group_and_odd_rows(spark, monkeypatch, block):
     got = vectors.near_duplicates(df).collect()
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (links[i], comp[i]) for i in links}
     assert vectors.near_duplicates(df.limit(0)).count() == 0
+
+
+def planted(n, pairs, seed=3, dim=64):
+    """n random vectors of one label; the first ``pairs`` have a near copy at a cosine of about 0.94."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = rng.normal(size=(pairs, dim))
+    u -= (u * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs]
+    y = 0.94 * x[:pairs] + np.sqrt(1 - 0.94 ** 2) * u / np.linalg.norm(u, axis=1, keepdims=True)
+    return [(i, v, 1) for i, v in enumerate(np.concatenate([x, y]).tolist())]
+
+
+def brute_links(rows, least=0.93):
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return dict(zip([r[0] for r in rows], ((x @ x.T >= least).sum(axis=1) - 1).tolist(), strict=True))
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+
+
+def test_a_split_cell_loses_no_links(spark, monkeypatch):
+    """One cell in many blocks, at production BLOCK and NEAR; the audit is not there to help."""
+    monkeypatch.setattr(vectors, "CELL", 1 << 30)
+    rows = planted(4000, 100)
+    reps = vectors.classes(frame(spark, rows)).cache()
+    links, edges = vectors.search(reps, vectors.fit_cells(reps), 0.93, 0.15)
+    want = {i: n for i, n in brute_links(rows).items() if n}
+    assert len(want) == 200 and {r["rep"]: r["links"] for r in links.collect() if r["links"]} == want
+    assert len({frozenset((r["a"], r["b"])) for r in edges.collect()}) == 100
+
+
+def test_builds_under_the_target_end_in_an_exact_comparison(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "range_search", lambda *a: iter(()))  # a graph that finds nothing
+    monkeypatch.setattr(vectors, "AUDIT", 2000)
+    rows = planted(900, 60)
+    got = vectors.near_duplicates(frame(spark, rows), margin=0.6).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == brute_links(rows)
+    assert {r["component_id"] for r in got} == set(range(900))
