@@ -174,8 +174,27 @@ def test_a_split_cell_loses_no_links(spark, monkeypatch):
 
 def test_builds_under_the_target_end_in_an_exact_comparison(spark, monkeypatch):
     monkeypatch.setattr(vectors, "range_search", lambda *a: iter(()))  # a graph that finds nothing
-    monkeypatch.setattr(vectors, "AUDIT", 2000)
     rows = planted(900, 60)
     got = vectors.near_duplicates(frame(spark, rows), margin=0.6).collect()
     assert {r["vec_id"]: r["n_links"] for r in got} == brute_links(rows)
     assert {r["component_id"] for r in got} == set(range(900))
+
+
+def test_audit_counts_classes_and_wants_evidence(spark, monkeypatch):
+    """A lost pair counts as much as a lost group, and a sample without links proves nothing."""
+    rng = np.random.default_rng(4)
+    rows = planted(300, 5)
+    rows += [(1000 + i, [float(v) for v in np.asarray(rows[50][1]) + rng.normal(size=64) * 1e-3], 1) for i in range(80)]
+    reps = vectors.classes(frame(spark, rows)).cache()
+    want = {i: n for i, n in brute_links(rows).items() if n}
+    linked, every = vectors.linked_sample(reps, 0.93)
+    assert every and linked == want
+    only_group = spark.createDataFrame([(i, n) for i, n in want.items() if n > 1], "rep long, links long")
+    assert vectors.audit_recall(only_group, linked) == 81 / 91  # over links it would be 6480 of 6490
+    monkeypatch.setattr(vectors, "AUDIT", 1)
+    monkeypatch.setattr(vectors, "DRAWN", 4)
+    monkeypatch.setattr(vectors, "EVIDENCE", 50)
+    monkeypatch.setattr(vectors, "range_search", lambda *a: iter(()))
+    rows = planted(900, 5)
+    got = vectors.near_duplicates(frame(spark, rows)).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == brute_links(rows)
