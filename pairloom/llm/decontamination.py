@@ -60,10 +60,10 @@ def item_windows(benchmark: DataFrame, window: int = 13, text: str = "text", ite
 
 
 def window_hits(documents: DataFrame, benchmark: DataFrame, window: int = 13, doc: str = "doc_id",
-                text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+                text: str = "text", keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(hits, lengths, items): places (rid, start, len, window_id) where windows
-    stand, one (rid, doc_id, n_words) row per document row, and the
-    (item_id, window_id) table."""
+    stand, one (rid, doc_id, n_words) row per document row (with its ``keep``
+    columns), and the (item_id, window_id) table."""
     items = store(item_windows(benchmark, window).distinct(), "bench_windows")
     sized = (items.select("window_id", "words", "len").dropDuplicates(["window_id"])
              .withColumn("size", F.least("len", F.lit(SHINGLE))))
@@ -76,14 +76,16 @@ def window_hits(documents: DataFrame, benchmark: DataFrame, window: int = 13, do
 
     # Position 0 carries the row's length; then a section of one hash per word position for each shingle size.
     rows = documents.select(F.monotonically_increasing_id().alias("rid"), F.col(doc).cast("long").alias("doc_id"),
-                            words_of(F.col(text)).alias("w"))
+                            words_of(F.col(text)).alias("w"), *keep)
     n = F.size("w")
     sections = [F.concat(_shingles(F.col("w"), s), F.array_repeat(F.lit(None).cast("bigint"), F.least(n, F.lit(s - 1))))
                 for s in sizes]
-    places = (rows.select("rid", "doc_id", n.alias("n"), F.concat(F.array(F.xxhash64("rid")), *sections).alias("hs"))
-              .select("rid", "doc_id", "n", F.posexplode("hs").alias("at", "h")).filter("h is not null"))
+    places = (rows.select("rid", "doc_id", *keep, n.alias("n"), F.concat(F.array(F.xxhash64("rid")), *sections).alias("hs"))
+              .select("rid", "doc_id", *keep, "n", F.posexplode("hs").alias("at", "h")).filter("h is not null"))
+    if keep:
+        places = places.withColumns({c: F.when(F.col("at") == 0, F.col(c)) for c in keep})
     found = store(places.join(keys, F.col("h") == F.col("k"), "left").filter("at = 0 or k is not null").drop("k"), "bench_seen")
-    lengths = found.filter("at = 0").select("rid", "doc_id", F.col("n").cast("long").alias("n_words"))
+    lengths = found.filter("at = 0").select("rid", "doc_id", *keep, F.col("n").cast("long").alias("n_words"))
     size = F.element_at(F.array(*[F.lit(s) for s in sizes or [SHINGLE]]), (F.floor((F.col("at") - 1) / F.col("n")) + 1).cast("int"))
     seen = found.filter("at > 0").select("rid", "n", size.alias("size"), ((F.col("at") - 1) % F.col("n")).alias("pos"), "h")
 
@@ -115,11 +117,11 @@ def window_hits(documents: DataFrame, benchmark: DataFrame, window: int = 13, do
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20,
-                  doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: n_words, n_hit (words inside any window), n_items,
+                  doc: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per document (with its ``keep`` columns): n_words, n_hit (words inside any window), n_items,
     items_sha256 (of the sorted, comma-joined item ids) and contaminated
     (n_hit > 0 and share * n_hit >= n_words)."""
-    hits, lengths, items = window_hits(documents, benchmark, window, doc, text)
+    hits, lengths, items = window_hits(documents, benchmark, window, doc, text, keep)
     spans = hits.groupBy("rid", "start").agg(F.max("len").alias("len"))
     before = F.max(F.col("start") + F.col("len")).over(
         Window.partitionBy("rid").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
@@ -128,14 +130,19 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 13,
     named = (hits.select("rid", "window_id").distinct().join(items, "window_id").select("rid", "item_id").distinct()
              .groupBy("rid").agg(F.sort_array(F.collect_list("item_id")).alias("ids")))
     return (lengths.join(covered.join(named, "rid"), "rid", "left")
-            .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+            .select("doc_id", *keep, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_items"),
                     F.sha2(F.coalesce(F.concat_ws(",", "ids"), F.lit("")), 256).alias("items_sha256"))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))))
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
-    """The documents (all their columns) that are not contaminated."""
-    bad = (contamination(documents, benchmark, window, share).filter("contaminated")
-           .select(F.col("doc_id").alias("__bad")).distinct())
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
+    """The documents (all their columns) that are not contaminated, each row by its own text."""
+    # Rows of equal doc_id and text are judged alike, so both hashes of the text (128 bits) name the row.
+    key = {"__t1": F.xxhash64("text"), "__t2": F.xxhash64(F.lit(1), "text")}
+    bad = (contamination(documents.withColumns(key), benchmark, window, share, keep=tuple(key)).filter("contaminated")
+           .select(F.col("doc_id").alias("__bad"), *[F.col(c).alias(f"{c}b") for c in key]).distinct())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__bad"))
+    for c, value in key.items():
+        same = same & (value == F.col(f"{c}b"))
+    return documents.join(bad, same, "left_anti")

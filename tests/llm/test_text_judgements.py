@@ -146,3 +146,15 @@ def test_contamination_against_brute_force(spark):
     left = decontamination.drop_contaminated(docs.filter("doc_id <> 5"), bench)
     bad = {r[0] for r in brute_contamination(rows, [x for x in items if x[0] is not None]) if r[-1]}
     assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {d for d, _ in rows if d is not None and d != 5 and d not in bad}
+
+
+def test_contaminated_rows_go_one_by_one(spark):
+    """Rows without doc_id and rows of a repeated one don't share a verdict."""
+    item = " ".join(f"w{i}" for i in range(20))
+    rows = [(None, item), (None, "clean a"), (None, "clean b"), (None, None), (5, item), (5, "clean c"), (5, None), (6, item), (6, item),
+            (7, "clean d"), (7, "clean d"), (8, item)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, n int").repartition(3)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = decontamination.drop_contaminated(docs, bench)
+    assert left.columns == docs.columns
+    assert sorted(r["n"] for r in left.collect()) == [i for i, (_, t) in enumerate(rows) if t != item]
