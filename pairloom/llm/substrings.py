@@ -260,14 +260,18 @@ def cut_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents (all their columns) with repeated passages cut out.
 
     A text that loses nothing is left as it is; one that loses words becomes its
-    kept words, and a document with no word left goes.  Rows whose doc_id is
-    null are left as they are; doc_ids are taken to be unique.
+    kept words, and a row with no word left goes.  Rows whose doc_id is null are
+    left as they are; rows that share a doc_id are each cut by their own text.
     """
-    cut = store(remove_repeats(documents, window).filter("n_removed > 0 and doc_id is not null").select("doc_id", "kept"), "sub_cut")
+    cut = store(remove_repeats(documents, window).filter("n_removed > 0 and doc_id is not null").select("rid", "doc_id", "kept"), "sub_cut")
 
     def change(rows: DataFrame, cut: DataFrame) -> DataFrame:
-        cut = cut.select(F.col("doc_id").alias("__id"), F.col("kept").alias("__kept"))
-        both = rows.join(cut, F.col("doc_id").cast("long") == F.col("__id"), "left").filter("__id is null or __kept <> ''")
+        # Equal rows have equal results; one of them is joined.
+        cut = (cut.dropDuplicates(["rid", "doc_id"])
+               .select(F.col("rid").alias("__rid"), F.col("doc_id").alias("__id"), F.col("kept").alias("__kept")))
+        doc, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+        same = (F.xxhash64(doc, text) == F.col("__rid")) & (doc == F.col("__id"))
+        both = rows.join(cut, same, "left").filter("__id is null or __kept <> ''")
         return both.withColumn("text", F.when(F.col("__id").isNull(), F.col("text")).otherwise(F.col("__kept"))).select(rows.columns)
 
     return replace_rows(documents, "doc_id", cut, change)

@@ -79,3 +79,13 @@ def test_least_phrases_is_the_minimum_of_each_window():
         k = window_hash(h, min(5, window), 3)
         span = window - min(5, window) + 1
         assert (substrings.least_phrases(h, window) == [k[i:i + span].min() for i in range(len(h) - window + 1)]).all()
+
+
+def test_cutting_rows_that_share_a_doc_id(spark):
+    p, q = " ".join(f"p{i}" for i in range(20)), " ".join(f"q{i}" for i in range(20))
+    rows = [(1, p), (2, f"c {p}"), (2, f"c {p}"), (2, f"c {p}"), (3, f"own {p}"), (3, "other words"), (3, f"more {p} x"), (3, p), (4, q), (4, q),
+            (None, p), (None, p)]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, n int").repartition(4)
+    got = sorted((r["n"], r["doc_id"], r["text"]) for r in substrings.cut_repeats(df).collect() if r["doc_id"] is not None)
+    assert got == [(0, 1, p), (1, 2, "c"), (2, 2, "c"), (3, 2, "c"), (4, 3, "own"), (5, 3, "other words"), (6, 3, "more x"), (8, 4, q), (9, 4, q)]
+    assert substrings.cut_repeats(df).filter("doc_id is null").count() == 2
