@@ -9,14 +9,17 @@ counter inside each task plus an offset per (task, length), so no length's
 pieces ever meet in one task.
 
 Bin completion (Korf, 2002, after Martello and Toth): a sequence is built
-around the largest piece left; branch and bound enumerates the fillings of the
-rest, larger pieces first, skips a filling dominated by one already seen
-(replacing a piece by a larger one that still fits), prunes where the waste
-cannot fall below the incumbent's, which starts as the best-fit filling, and
-takes the filling of least waste.  It is used as often as the counts allow, so
-the plan grows with the number of distinct lengths and not with the corpus.
-The best-fit decreasing packing of all pieces is the incumbent of the whole;
-the better of the two is kept and compared with the bound ceil(ids / capacity).
+around the largest piece left.  A first plan takes the filling of least waste
+(branch and bound, larger pieces first, from the best-fit filling on) as often
+as the counts allow, so the plan grows with the number of distinct lengths and
+not with the corpus.  Best-fit decreasing gives another.  While the better of
+the two is over the bound (``least_bins``), ``branch`` searches on: over the
+undominated fillings of each largest length, least waste first (a filling is
+dominated when one piece, or two, can be replaced by one larger piece that
+still fits, or one more fits), and over how often each is used, with
+backtracking on the histogram.  It looks for a plan at the bound first, then
+1, 3, 7, ... sequences over it, until one is found, nothing is left to try or
+``BRANCHES`` nodes are spent.
 
 Defined results: null and empty texts are one piece of the end id; a null
 doc_id is kept; repeated rows are packed each on its own; an empty table gives
@@ -25,6 +28,7 @@ no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import random
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -42,6 +46,8 @@ from pairloom.llm.tokens import default_path, encoder
 CAPACITY = 4096
 #: Branch-and-bound nodes per filling; beyond them the incumbent stands.
 NODES = 3000
+#: Nodes of the search over whole plans; beyond them the best plan found stands.
+BRANCHES = 400_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 Pattern = tuple[tuple[int, ...], int]
@@ -133,10 +139,9 @@ def completion(sizes: list[int], count: dict[int, int], room: int, nodes: int =
     return best
 
 
-def bin_completion(hist: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[Pattern]:
-    """Patterns (lengths in a sequence, how many such sequences) for the histogram."""
-    count = {s: n for s, n in hist.items() if n}
-    incumbent = best_fit(dict(count), capacity)
+def greedy(hist: dict[int, int], incumbent: list[Pattern], capacity: int, nodes: int) -> list[Pattern]:
+    """The filling of least waste for the largest length, as often as it goes, and so on; or the incumbent if that is no worse."""
+    count = dict(hist)
     limit = sum(n for _, n in incumbent)
     total = sum(s * n for s, n in count.items())
     slack = (limit - 1) * capacity - total  # waste allowed to beat the incumbent
@@ -167,6 +172,135 @@ def bin_completion(hist: dict[int, int], capacity: int = CAPACITY, nodes: int =
     return plan if sum(n for _, n in plan) < limit else incumbent
 
 
+def least_bins(count: dict[int, int], capacity: int) -> int:
+    """A lower bound: ids over capacity, and pieces over half the capacity with what doesn't fit beside them (Martello and Toth)."""
+    size = np.array(sorted(count), np.int64)
+    n = np.array([count[s] for s in size.tolist()], np.int64)
+    pieces_to, ids_to = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(n * size)])
+    half = np.searchsorted(size, capacity // 2, "right")  # from here on no two fit together
+    best = -(-int(ids_to[-1]) // capacity)
+    for i in range(half + 1):  # pieces under index i are left out
+        least = int(size[i]) if i < half else capacity // 2 + 1
+        alone = np.searchsorted(size, capacity - least, "right")  # from here on none of the others fits beside
+        large = int(pieces_to[-1] - pieces_to[half])
+        room = int(pieces_to[max(alone, half)] - pieces_to[half]) * capacity - int(ids_to[max(alone, half)] - ids_to[half])
+        best = max(best, large + max(0, -(-(int(ids_to[half] - ids_to[i]) - room) // capacity)) if i < half else large)
+    return best
+
+
+def dominated(filling: tuple[int, ...], sizes: list[int], count: dict[int, int], room: int) -> bool:
+    """Whether a piece that is left can replace none, one or two pieces of ``filling`` (not its first) and still fit."""
+    used: dict[int, int] = {}
+    for s in filling:
+        used[s] = used.get(s, 0) + 1
+    rest = filling[1:]
+    some = {0} | set(rest) | {a + b for i, a in enumerate(rest) for b in rest[i + 1:]}
+    one = set(rest)
+    for total in some:
+        # A piece of the size of one that goes changes nothing; of two that go, it does.
+        at = bisect_right(sizes, total) if total in one or not total else bisect_right(sizes, total - 1)
+        while at < len(sizes) and sizes[at] <= total + room:
+            if count[sizes[at]] > used.get(sizes[at], 0):
+                return True
+            at += 1
+    return False
+
+
+def fillings(count: dict[int, int], capacity: int, slack: int, nodes: int) -> tuple[list[tuple[int, ...]], int]:
+    """The undominated fillings around the largest length that waste at most ``slack``, least waste first, and the nodes spent."""
+    sizes = sorted(count)
+    big, found, spent = sizes[-1], [], 0
+    below = list(accumulate((s * count[s] for s in sizes), initial=0))
+
+    def fill(r: int, top: int, chosen: tuple[int, ...]) -> None:
+        nonlocal spent
+        if r <= slack and not dominated(chosen, sizes, count, r):
+            found.append((r, len(found), chosen))
+        at = min(top, bisect_right(sizes, r))
+        while at > 0 and spent < nodes and r - below[at] <= slack:
+            at -= 1
+            size = sizes[at]
+            for k in range(min(count[size] - (size == big), r // size), 0, -1):
+                spent += 1
+                fill(r - k * size, at, chosen + (size,) * k)
+                if spent >= nodes:
+                    break
+
+    fill(capacity - big, len(sizes), (big,))
+    return [f for _, _, f in sorted(found)], spent + 1 + len(sizes) // 8  # what sorting the lengths costs
+
+
+def branch(hist: dict[int, int], target: int, capacity: int, nodes: int, budget: int, whole: bool) -> list[Pattern] | None:
+    """A plan of at most ``target`` sequences, or None where ``budget`` nodes give none; ``whole``: fillings are used as often as they go."""
+    count, slack = dict(hist), target * capacity - sum(s * n for s, n in hist.items())
+    rng = random.Random(0)
+    mark = {s: rng.getrandbits(64) for s in hist}
+    state, tried = 0, set()  # what has been taken, as a sum of marks, and the states searched from
+    path: list[tuple[tuple[int, ...], int]] = []
+
+    def take(filling: tuple[int, ...], many: int) -> None:
+        nonlocal state
+        for s in filling:
+            state += mark[s] * many
+            left = count.get(s, 0) - many
+            if left:
+                count[s] = left
+            else:
+                del count[s]
+
+    def choices() -> Iterator[tuple[tuple[int, ...], int]]:
+        nonlocal budget
+        options, spent = fillings(count, capacity, slack, min(nodes, budget))
+        budget -= spent
+        for f in options:
+            waste = capacity - sum(f)
+            many = min(count[s] // f.count(s) for s in set(f))
+            many = min(many, slack // waste) if waste else many
+            while many > 0:
+                yield f, many
+                many = 0 if whole else many // 2
+
+    stack = [choices()]
+    while stack and budget > 0:
+        step = next(stack[-1], None)
+        if step is None:
+            stack.pop()
+            if path:
+                filling, many = path.pop()
+                take(filling, -many)
+                slack += (capacity - sum(filling)) * many
+            continue
+        budget -= 1
+        filling, many = step
+        waste = (capacity - sum(filling)) * many
+        if waste > slack:
+            continue
+        path.append(step)
+        take(filling, many)
+        slack -= waste
+        if not count:  # no more waste than target sequences have: at most so many
+            return path
+        seen = (state, slack) in tried
+        tried.add((state, slack))
+        stack.append(iter(()) if seen else choices())
+    return None
+
+
+def bin_completion(hist: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, budget: int = BRANCHES) -> list[Pattern]:
+    """Patterns (lengths in a sequence, how many such sequences) for the histogram."""
+    count = {s: n for s, n in hist.items() if n}
+    if not count:
+        return []
+    plan = greedy(count, best_fit(dict(count), capacity), capacity, nodes)
+    used, bound = sum(n for _, n in plan), least_bins(count, capacity)
+    targets = [t for k in range(64) if (t := bound + (1 << k) - 1) < used]  # the bound, then ever less tight
+    for t in targets:
+        for whole in (True, False):
+            if better := branch(count, t, capacity, nodes, budget // (2 * len(targets)), whole):
+                return better
+    return plan
+
+
 def slots(plan: list[Pattern]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted keys (length << 44 | first rank), sequence of that rank and offset of each slot."""
     rank: dict[int, int] = {}

@@ -113,3 +113,34 @@ def test_pack_places_every_piece(spark, library):
             at += n
         assert at <= 4096
     assert packing.pack(df.limit(0)).count() == 0
+
+
+def test_plans_branch_over_fillings():
+    """Fillings without waste that leave no way for the rest are taken back."""
+    hist = {128: 60, 640: 120, 1536: 120, 1792: 60, 1920: 60}
+    plan = packing.bin_completion(hist, 4096)
+    check_plan(hist, plan, 4096)
+    assert sum(m for _, m in plan) == 120 == packing.least_bins(hist, 4096)
+
+
+def test_small_plans_are_the_smallest():
+    def fewest(left, rooms, most):
+        if not left:
+            return len(rooms)
+        best = most
+        for r in sorted({*[r for r in rooms if r >= left[0]], 20}):
+            rest = list(rooms)
+            if r in rest:
+                rest.remove(r)
+            if len(rest) < best:
+                best = min(best, fewest(left[1:], [*rest, r - left[0]], best))
+        return best
+
+    rng = random.Random(8)
+    for _ in range(60):
+        pieces = sorted((rng.randrange(3, 14) for _ in range(9)), reverse=True)
+        hist = {s: pieces.count(s) for s in pieces}
+        plan = packing.bin_completion(hist, 20)
+        check_plan(hist, plan, 20)
+        least = fewest(pieces, [], 10)
+        assert packing.least_bins(hist, 20) <= least == sum(m for _, m in plan)
