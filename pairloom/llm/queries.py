@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from pairloom.llm import bitplanes, chat, decontamination, jaccard, licences, packing, substrings, toxicity, vectors, warc
+from pairloom.llm import (bitplanes, chat, decontamination, interactions, jaccard, licences, nearest, packing, periods, substrings, toxicity,
+                          vectors, warc)
 from pairloom.llm.sql import ORACLE_SQL as _SQL
 
 
@@ -59,6 +60,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_digest(_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest_every_50th(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bitplane_tokens": op1_bitplane_tokens,
     "op2_licence_scan": op2_licence_scan,
@@ -70,6 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_group_jaccard": op8_token_group_jaccard,
     "op9_quotation_linking": op9_quotation_linking,
     "op10_decontamination": op10_decontamination,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_exact_top_k": op13_exact_top_k,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {k: v for k, v in _SQL.items() if k in QUERIES}

@@ -77,5 +77,45 @@ SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.x = v.vec_id)::BIGINT AS n_link
 FROM v JOIN r ON r.d = v.vec_id GROUP BY v.vec_id
 """
 
+#: Every order of the filters (a row of ``orders``) over counts by part and failed filters.
+OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+f AS (SELECT doc_id, part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+             100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+             coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e FROM w),
+l AS (SELECT doc_id, max(coalesce(quality = 1, false)::INT) AS good, max(coalesce(toxic = 1, false)::INT) AS toxic FROM labels GROUP BY 1),
+cells AS (SELECT part, (CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+                        || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+                 count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+          FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT p.x || q.x || r.x || s.x || t.x AS o FROM x p, x q, x r, x s, x t WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+steps AS (SELECT o, step, substr(o, step::INT, 1) AS own, substr(o, 1, (step - 1)::INT) AS before FROM orders, range(1, 6) g(step)),
+r AS (SELECT part, o AS filter_order, step::INT AS step, own,
+        sum(n) FILTER (NOT regexp_matches(fails, '[' || before || own || ']')) AS kept,
+        sum(n) FILTER (contains(fails, own) AND (before = '' OR NOT regexp_matches(fails, '[' || before || '.]'))) AS removed,
+        sum(n) FILTER (contains(fails, own) AND before <> '' AND regexp_matches(fails, '[' || before || '.]')) AS redundant,
+        sum(n) FILTER (fails = own) AS unique_fails,
+        sum(good) FILTER (contains(fails, own) AND (before = '' OR NOT regexp_matches(fails, '[' || before || '.]'))) AS good_lost,
+        sum(toxic) FILTER (contains(fails, own) AND (before = '' OR NOT regexp_matches(fails, '[' || before || '.]'))) AS toxic_lost
+      FROM cells, steps GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+       coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       sum(coalesce(removed, 0)) OVER (PARTITION BY part, own)::BIGINT AS shapley
+FROM r
+"""
+
+#: All scores of every query; sums of products of whole numbers are exact in doubles here.
+OP13 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {"op5_embedding_near_dups": OP5, "op6_substring_dedup": OP6, "op8_token_group_jaccard": OP8,
-                              "op7_content_addressed_warc": OP7, "op10_decontamination": OP10}
+                              "op7_content_addressed_warc": OP7, "op10_decontamination": OP10,
+                              "op12_filter_audit": OP12, "op13_exact_top_k": OP13}

@@ -65,7 +65,7 @@ def test_stages_against_brute_force(spark):
 
 
 def test_registered_queries():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
     import __spark_entry__ as entry
 
