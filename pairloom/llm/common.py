@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from functools import lru_cache
 
@@ -200,41 +200,87 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _IN_WORD = (~np.isin(np.arange(256), np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8))).astype(np.int8)
-_LETTER = mix(np.arange(1, 257, dtype=np.uint64))
-#: An odd factor and its inverse modulo 2^64.
-_FACTOR = 0x9E3779B97F4A7C15
-_POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+#: The first k bytes of a little-endian lane.
+_LANE = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Longer words are hashed one by one.
+_LONG_WORD = 256
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the factor and of its inverse (kept for the longest text seen)."""
-    if len(_POWERS["up"]) < n:
-        size = 1 << (n - 1).bit_length()
-        for name, f in (("up", _FACTOR), ("down", pow(_FACTOR, -1, 1 << 64))):
-            steps = np.full(size, f, np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+def _scramble(x: np.ndarray) -> np.ndarray:
+    """``mix`` in place."""
+    y = x >> np.uint64(30)
+    x ^= y
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    np.right_shift(x, np.uint64(27), out=y)
+    x ^= y
+    x *= np.uint64(0x94D049BB133111EB)
+    np.right_shift(x, np.uint64(31), out=y)
+    x ^= y
+    return x
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """64-bit hashes of the words of a text (cut at ASCII blanks), whatever its length in one sweep.
+@lru_cache(maxsize=8)
+def _salt(seed: int) -> np.uint64:
+    return mix(np.array([seed + 0x51ED27], np.uint64))[0] | np.uint64(1)
 
-    A word's hash is a polynomial in its bytes, taken from running sums modulo
-    2^64, then mixed; so no table of words is kept.
-    """
+
+def _hashed_words(data: bytes, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of some bytes start, and their hashes."""
     b = np.frombuffer(data, np.uint8)
     inside = np.zeros(len(b) + 2, np.int8)
     _IN_WORD.take(b, out=inside[1:-1])
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[::2], edge[1::2]
     if not len(start):
-        return np.empty(0, np.uint64)
-    up, down = _powers(len(b))
-    total = np.empty(len(b) + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(np.multiply(_LETTER.take(b), up), out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+        return start, np.empty(0, np.uint64)
+    size, salt = end - start, _salt(seed)
+    lanes = np.ndarray(len(b) + 1, "<u8", data + bytes(8), strides=(1,))  # the eight bytes from every place on
+    h = lanes[start]
+    h &= _LANE[np.minimum(size, 8)]
+    h ^= size.astype(np.uint64) * salt
+    h = _scramble(h)
+    at, done = np.flatnonzero((size > 8) & (size <= _LONG_WORD)), 8
+    while len(at):
+        rest = size[at] - done
+        lane = lanes[start[at] + done]
+        lane &= _LANE[np.minimum(rest, 8)]
+        lane ^= h[at] * salt
+        h[at] = _scramble(lane)
+        at, done = at[rest > 8], done + 8
+    for i in np.flatnonzero(size > _LONG_WORD).tolist():
+        import xxhash
+
+        h[i] = np.frombuffer(xxhash.xxh3_128_digest(data[start[i]:end[i]]), "<u8")[seed & 1]
+    return start, h
+
+
+def word_hashes(data: bytes, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the words of a text (cut at ASCII blanks); seeds 0 and 1 give independent ones.
+
+    The words' lanes of eight bytes are mixed in one after the other, for all
+    words at once; words over 256 bytes take a half of xxhash's 128 bits.
+    Nothing is kept between texts.
+    """
+    return _hashed_words(data, seed)[1]
+
+
+def hashed_texts(texts: Iterable[bytes], seed: int = 0) -> Iterator[np.ndarray]:
+    """``word_hashes`` of each text; short texts are hashed many at a time."""
+    held, size = [], 0
+
+    def together() -> Iterator[np.ndarray]:
+        start, h = _hashed_words(b"\n".join(held), seed)
+        ends = np.cumsum([len(x) + 1 for x in held])
+        yield from np.split(h, np.searchsorted(start, ends[:-1]))
+
+    for x in texts:
+        held.append(x)
+        size += len(x)
+        if size >= 1 << 17:
+            yield from together()
+            held, size = [], 0
+    if held:
+        yield from together()
 
 
 @lru_cache(maxsize=64)

@@ -11,9 +11,13 @@ window over it also starts in a document with a smaller doc_id.
    phrase, so copies meet; a phrase of very many documents is split by
    document.  A shard compiles its phrases into an Aho-Corasick automaton and
    streams its documents through it to locate every occurrence.
-3. Windows around located phrases are compared by 128-bit hashes: first inside
-   the shard (all but the first document's are settled there), then the rest
-   across shards by an aggregation and a join.
+3. Windows around located phrases are compared by 128 bits, made of two
+   independent 64-bit hashes of every word: first inside the shard (all but
+   the first document's are settled there), then the rest across shards by an
+   aggregation and a join.
+
+Phrases are located on the words themselves; windows that agree in all 128 bits
+are taken as equal.
 
 Documents without a recurring phrase leave in step 2 with all their words.
 
@@ -26,7 +30,7 @@ nor lose words; an empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import compress
 
 import numpy as np
@@ -34,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Bits, bitmap, only, replace_rows, store, window_hash, word_hashes
+from pairloom.llm.common import Bits, bitmap, hashed_texts, only, replace_rows, store, window_hash
 
 WINDOW, PHRASE = 13, 5
 #: Bytes of text that one automaton serves, and log2 of the bitmap of recurring phrases.
@@ -47,8 +51,8 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").split()
 
 
-def hashes(text: str | None) -> np.ndarray:
-    return word_hashes((text or "").encode("utf-8", "replace"))
+def hashes(texts: Iterable[str | None], seed: int = 0) -> Iterator[np.ndarray]:
+    return hashed_texts(((x or "").encode("utf-8", "replace") for x in texts), seed)
 
 
 def least_phrases(h: np.ndarray, window: int) -> np.ndarray:
@@ -69,8 +73,7 @@ def recurring_phrases(docs: DataFrame, window: int) -> DataFrame:
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for text in pdf["text"]:
-                h = hashes(text)
+            for h in hashes(pdf["text"]):
                 out.append(np.unique(least_phrases(h, window)).view(np.int64) if len(h) >= window else np.empty(0, np.int64))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "keys": out})
 
@@ -125,8 +128,7 @@ def _screen(docs: DataFrame, window: int, recurring: Bits, hot: dict[int, int])
         bits, parts = shared.value
         for pdf in batches:
             out = []
-            for rid, doc, text in zip(pdf["rid"], pdf["doc_id"], pdf["text"], strict=True):
-                h = hashes(text)
+            for rid, doc, text, h in zip(pdf["rid"], pdf["doc_id"], pdf["text"], hashes(pdf["text"]), strict=True):
                 keys = np.unique(least_phrases(h, window)) if len(h) >= window and not pd.isna(doc) else np.empty(0, np.uint64)
                 keys = keys[bits.has(keys)].view(np.int64)
                 if not len(keys):
@@ -146,20 +148,20 @@ def _settle(rows: list[tuple[int, int, list[bytes], str]], window: int, bits: Bi
     """One shard (rid, doc_id, words, text): locate phrases, settle windows that an earlier document of the shard has."""
     phrase = min(PHRASE, window)
     own, phrases = [], set()
-    for _, _, w, text in rows:
-        h = hashes(text)
+    texts = [r[3] for r in rows]
+    for (_, _, w, _), h, other in zip(rows, hashes(texts), hashes(texts, 1), strict=True):
         k, least = window_hash(h, phrase, 3), least_phrases(h, window)
-        own.append((h, k, least))
+        own.append((h, other, k, least))
         wanted = np.unique(least)
         for i in np.flatnonzero(np.isin(k, wanted[bits.has(wanted)])):
             phrases.add(b" ".join(w[i:i + phrase]))
     at, doc, h1, h2 = [], [], [], []
-    for i, ((h, k, least), places) in enumerate(zip(own, locate([r[2] for r in rows], phrases), strict=True)):
+    for i, ((h, other, k, least), places) in enumerate(zip(own, locate([r[2] for r in rows], phrases), strict=True)):
         starts = np.flatnonzero(np.isin(least, k[places[places < len(k)]]))
         at.append(starts)
         doc.append(np.full(len(starts), i))
         h1.append(window_hash(h, window, 11)[starts])
-        h2.append(window_hash(h, window, 12)[starts])
+        h2.append(window_hash(other, window, 12)[starts])
     at, doc, h1, h2 = map(np.concatenate, (at, doc, h1, h2))
     ids = np.array([r[1] for r in rows], np.int64)
     order = np.lexsort((ids[doc], h2, h1))

@@ -89,3 +89,33 @@ def test_cutting_rows_that_share_a_doc_id(spark):
     got = sorted((r["n"], r["doc_id"], r["text"]) for r in substrings.cut_repeats(df).collect() if r["doc_id"] is not None)
     assert got == [(0, 1, p), (1, 2, "c"), (2, 2, "c"), (3, 2, "c"), (4, 3, "own"), (5, 3, "other words"), (6, 3, "more x"), (8, 4, q), (9, 4, q)]
     assert substrings.cut_repeats(df).filter("doc_id is null").count() == 2
+
+
+def twins(n):
+    """Two words of n letters that sums of powers modulo 2^64 can't tell apart (Thue and Morse)."""
+    return ["".join("ab"[(i.bit_count() + k) & 1] for i in range(n)) for k in (0, 1)]
+
+
+def test_long_words_are_told_apart(spark):
+    rows = []
+    for k, n in enumerate((64, 256, 1024, 4096)):
+        x, y = twins(n)
+        rows += [(10 * k, " ".join([x] * 14)), (10 * k + 1, " ".join([y] * 14)), (10 * k + 2, " ".join([x, y] * 8)), (10 * k + 3, " ".join([y] * 13 + [x]))]
+    rows += [(90, "L" * 100_000 + " " + " ".join("abcdefghijklm")), (91, "L" * 99_999 + "M " + " ".join("abcdefghijklm"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted([tuple(r) for r in substrings.substring_digest(df).collect()], key=str) == brute(rows)
+
+
+def test_word_hashes():
+    import numpy as np
+
+    from pairloom.llm.common import hashed_texts, word_hashes
+
+    rng = random.Random(1)
+    words = [bytes(rng.choice(b"ab\xc3") for _ in range(rng.choice([1, 2, 7, 8, 9, 15, 16, 17, 24, 33, 255, 256, 257, 300]))) for _ in range(5000)]
+    words += [w.encode() for n in (8, 64, 128, 256, 1024) for w in twins(n)]
+    a, b = word_hashes(b" ".join(words)), word_hashes(b" \t".join(words), 1)
+    assert len(set(a.tolist())) == len(set(b.tolist())) == len(set(words)) and not (a == b).any()
+    texts = [b" ".join(words[i:i + 50]) for i in range(0, len(words), 50)] + [b"", b" ", b"x", b"y " * 100_000, b"z"]
+    assert all((x == word_hashes(t)).all() and len(x) == len(t.split()) for x, t in zip(hashed_texts(texts), texts, strict=True))
+    assert np.concatenate(list(hashed_texts(texts, 1)))[:len(words)].tolist() == b.tolist()
