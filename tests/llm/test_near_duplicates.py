@@ -198,3 +198,31 @@ def test_audit_counts_classes_and_wants_evidence(spark, monkeypatch):
     rows = planted(900, 5)
     got = vectors.near_duplicates(frame(spark, rows)).collect()
     assert {r["vec_id"]: r["n_links"] for r in got} == brute_links(rows)
+
+
+def test_jaccard_of_long_words(spark):
+    from tests.llm.test_substrings import twins
+
+    rows = []
+    for k, n in enumerate((64, 256, 1024, 4096)):
+        x, y = twins(n)
+        rows += [(10 * k, " ".join([x] * 9)), (10 * k + 1, " ".join([y] * 9)), (10 * k + 2, f"{x} {y} " * 6), (10 * k + 3, f"{x} {y} " * 7)]
+    rows += [(80, "L" * 100_000), (81, "L" * 100_000), (82, "L" * 99_999 + "M")]
+    sets, comp = brute_jaccard(rows)
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {d: (len(sets[d]), comp[d]) for d in sets}
+
+
+def test_dropping_by_row(spark):
+    """Rows that share a doc_id, or have none, are judged by their own text."""
+    w, u = " ".join(f"w{i}" for i in range(40)), " ".join(f"u{i}" for i in range(40))
+    v = " ".join(f"v{i}" for i in range(40))
+    rows = [(1, w), (5, w), (5, u), (7, u + " zz"), (8, v), (8, v), (8, v), (None, v), (None, "n " + u), (None, "only here once"), (None, "only here once"),
+            (9, None), (9, None), (10, ""), (None, None), (11, "solo text of its own here")]
+    df = spark.createDataFrame([(*r, i, "x") for i, r in enumerate(rows)], "doc_id long, text string, at int, row string").repartition(3)
+    out = jaccard.drop_near_duplicates(df)
+    assert out.columns == df.columns
+    got = sorted((r["at"] for r in out.collect()))
+    assert [x for x in got if x not in (4, 5, 6, 9, 10)] == [0, 2, 11, 12, 13, 14, 15]
+    assert len([x for x in got if x in (4, 5, 6)]) == 1 and len([x for x in got if x in (9, 10)]) == 1
+    assert jaccard.drop_near_duplicates(df.limit(0)).count() == 0
