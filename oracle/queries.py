@@ -128,7 +128,21 @@ def first_match(x: str, pat: str) -> str:
     return f"nullif(regexp_extract({x}, '{pat}', 1), '')"
 
 
-ORACLE_SQL["page_text"] = f"SELECT page_id, {strip_markup_sql('html')} AS text FROM pages"
+#: The generated listing pages, known by what was put into them: no markup is read back.
+LISTED = """
+listed AS (
+  SELECT page_id AS n, page_id // 6 AS g, lead(page_id) OVER (PARTITION BY page_id // 6 ORDER BY page_id) AS next,
+         min(page_id) OVER (PARTITION BY page_id // 6) AS first FROM pages
+), listing AS (
+  SELECT *, -n - 1 AS page_id, 'http://wiki.example.org/wiki/Category:' || g || '?page=' AS base FROM listed
+)"""
+
+ORACLE_SQL["page_text"] = f"""
+WITH {LISTED}
+SELECT page_id, {strip_markup_sql('html')} AS text FROM pages
+UNION ALL
+SELECT page_id, 'List ' || n || ' Category ' || g || ' no link first second third next again' FROM listing
+"""
 
 ORACLE_SQL["page_fields"] = rf"""
 WITH l AS (SELECT *, regexp_extract_all(html, '<a\b[^>]*\bhref="([^"]*)"', 1) AS links FROM pages)
@@ -165,8 +179,14 @@ tags AS (
   SELECT *, regexp_extract(attrs, '\bhref="([^"]*)"', 1) AS href,
          string_split(regexp_extract(attrs, '\bclass="([^"]*)"', 1), ' ') AS words
   FROM tags
-), links AS (
+), {LISTED.strip()}, links AS (
   SELECT page_id, link_no, href, {abs_url_sql('href', 'url')} AS abs_url, words FROM hl WHERE href <> ''
+  UNION ALL SELECT page_id, 1, '/wiki/Abc/Fragment_' || n || '_01', 'http://wiki.example.org/wiki/Abc/Fragment_' || n || '_01', [] FROM listing
+  UNION ALL SELECT page_id, 2, '/wiki/Abc/Analyse:Fragment_' || n || '_02', 'http://wiki.example.org/wiki/Abc/Analyse:Fragment_' || n || '_02', [] FROM listing
+  UNION ALL SELECT page_id, 3, '/go?a=1&b=' || n, 'http://wiki.example.org/go?a=1&b=' || n, [] FROM listing
+  UNION ALL SELECT page_id, 4, '?page=' || coalesce(next, first), base || coalesce(next, first),
+                   CASE WHEN next IS NULL THEN ['x', 'paginator-next', 'disabled'] ELSE ['x', 'paginator-next'] END FROM listing
+  UNION ALL SELECT page_id, 5, '?page=' || first, base || first, ['paginator-next'] FROM listing
 )"""
 
 ORACLE_SQL["page_links"] = f"""
@@ -179,7 +199,15 @@ FROM links
 
 ORACLE_SQL["frontier_new_urls"] = f"""
 WITH {PAGE_LINKS}
-SELECT DISTINCT abs_url AS url FROM links WHERE abs_url NOT IN (SELECT url FROM pages WHERE url IS NOT NULL)
+SELECT DISTINCT abs_url AS url FROM links WHERE abs_url NOT IN (SELECT url FROM pages WHERE url IS NOT NULL UNION ALL SELECT base || n FROM listing)
+"""
+
+ORACLE_SQL["next_page_depths"] = f"""
+WITH RECURSIVE {LISTED}, reached AS (
+  SELECT base, n, 0 AS depth FROM listing WHERE n = first
+  UNION SELECT l.base, l.n, r.depth + 1 FROM reached r JOIN listing f ON f.n = r.n JOIN listing l ON l.n = f.next
+)
+SELECT base || n AS url, min(depth)::INT AS depth FROM reached GROUP BY 1
 """
 
 M = C.matcher(LANG_LISTS)

@@ -45,6 +45,10 @@ def squeeze_ws(col) -> Column:
     return trim_ws(F.regexp_replace(_c(col), WS + "+", " "))
 
 
+#: What may stand in a tag: a ``>`` within a quoted value does not end it.
+IN_TAG = r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+|["'])*+"""
+
+
 @F.pandas_udf(T.StringType())
 def _unescaped(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else html.unescape(t))
@@ -65,9 +69,9 @@ def strip_markup(col) -> Column:
     """
     c = _c(col)
     c = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
-    c = F.regexp_replace(c, r"(?is)<(script|style)\b[^>]*>.*?</(script|style)[^>]*>", "")
-    c = F.regexp_replace(c, r"(?is)</?(" + "|".join(fixed.BLOCK_TAGS) + r")\b[^>]*>", " ")
-    c = F.regexp_replace(c, r"(?s)<[^>]*>", "")
+    c = F.regexp_replace(c, r"(?is)<(script|style)\b" + IN_TAG + r">.*?</(script|style)[^>]*>", "")
+    c = F.regexp_replace(c, r"(?is)</?(" + "|".join(fixed.BLOCK_TAGS) + r")\b" + IN_TAG + ">", " ")
+    c = F.regexp_replace(c, r"(?s)<[a-zA-Z/]" + IN_TAG + ">|<[!?/][^>]*>", "")
     return squeeze_ws(F.replace(unescape(c), F.lit("\u00a0"), F.lit(" ")))
 
 

@@ -51,6 +51,12 @@ def _pages(spark, sf):
     return read_table(spark, sf, "pages")
 
 
+def _all_pages(spark, sf):
+    """The stored pages and the listing pages beside them."""
+    p = _pages(spark, sf).select("page_id", "url", "html")
+    return p.unionByName(adapters.listing_pages(p))
+
+
 @register("sentences")
 def q_sentences(spark, sf):
     return adapters.sentences(_docs(spark, sf)).select("doc_id", "ix", "sent")
@@ -132,7 +138,7 @@ def q_clean_control_chars(spark, sf):
 # ---- pages: T3, T4, T6, T7, P12, U4, J5 ----------------------------------
 @register("page_text")
 def q_page_text(spark, sf):
-    return _pages(spark, sf).select("page_id", H.page_text("html").alias("text"))
+    return _all_pages(spark, sf).select("page_id", H.page_text("html").alias("text"))
 
 
 @register("page_fields")
@@ -153,16 +159,24 @@ def q_page_fields(spark, sf):
 
 @register("page_links")
 def q_page_links(spark, sf):
-    return PG.page_links(_pages(spark, sf))
+    return PG.page_links(_all_pages(spark, sf))
 
 
 @register("frontier_new_urls")
 def q_frontier_new_urls(spark, sf):
     """Linked URLs not yet stored in ``pages`` (anti join)."""
-    pages = _pages(spark, sf)
+    pages = _all_pages(spark, sf)
     return PG.new_urls(PG.page_links(pages), pages)
 
 
+@register("next_page_depths")
+def q_next_page_depths(spark, sf):
+    """U4 + T7: stored pages reached along next-page links, with their depth."""
+    from pairloom.plans import stages
+
+    return PG.next_page_depths(_all_pages(spark, sf), adapters.listing_seeds(_pages(spark, sf)), stages.materialize)
+
+
 # ---- span matching (C2 and its steps) -------------------------------------
 from pairloom.operators import negatives as N  # noqa: E402
 from pairloom.operators import spans as S  # noqa: E402

@@ -193,13 +193,57 @@ def fragments(documents: DataFrame, pairs: DataFrame | None = None, sents: DataF
 
 def fragment_pages(fragments: DataFrame) -> DataFrame:
     """(url, html): the stored page of every fragment, with its metadata list,
-    a linked review image on every second one, and both cells."""
+    a linked review image on every second one, and both cells.
+
+    Pages have tables within the meta table and a middle cell, ``>`` within
+    attributes, headings and boxes within comments, a box of several classes,
+    and rows and cells that are closed by what follows them.
+    """
     reviewed = F.length("url") % 2 == 0
     name = F.replace(F.replace("fragment_identifier", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     return fragments.select("url", F.concat(
-        F.lit("<html><body><h1>"), name, F.lit('</h1><div class="fragment"><dl><dt>Typ</dt><dd><i>Ver</i>schleierung</dd><dt>Bearbeiter</dt><dd>M&uuml;ller &#228;x '),
-        F.col("source"), F.lit('</dd></dl><dl><dd><img alt="Yes">'),
-        F.when(reviewed, F.lit('<a href="#"><img src="x" alt="Yes"></a>')).otherwise(F.lit('<a href="#"><img src="x" alt="No"></a>')),
-        F.lit("</dd></dl><table><tr><td>meta</td></tr></table><table><tr><td>left</td><td>right</td></tr><tr>"),
-        F.coalesce("raw_plagiat_text", F.lit("<td></td>")), F.lit("<td>middle</td>"), F.coalesce("raw_source_text", F.lit("<td></td>")),
-        F.lit("</tr></table></div></body></html>")).alias("html"))
+        F.lit('<html><body><!-- <h1>old</h1><div class="fragment"><dl></dl></div> --><h1 title="x > y">'), name,
+        F.lit('</h1><div class="box fragment" data-x="</div>"><dl><dt>Typ<dd><i>Ver</i>schleierung<dt>Bearbeiter<dd>M&uuml;ller &#228;x '),
+        F.col("source"), F.lit('</dl><dl><dd><img alt="Yes"><a href="#"><img src="no alt"></a>'),
+        F.when(reviewed, F.lit('<a href="#"><img src="x>y" alt="Yes"></a>')).otherwise(F.lit('<a href="#"><img src="x>y" alt="No"></a>')),
+        F.lit("</dd></dl><table><tr><td>meta<table><tr><td>inner</table></td></tr></table><table><tr><td>left<td>right<tr>"),
+        F.coalesce("raw_plagiat_text", F.lit("<td></td>")), F.lit("<td>middle<table><tr><td>in<tr><td>ner</table></td>"),
+        F.coalesce("raw_source_text", F.lit("<td></td>")), F.lit("</table></div></body></html>")).alias("html"))
+
+
+#: The site of the generated listings, and how many pages one lists.
+LISTING_SITE, LISTED = "http://wiki.example.org", 6
+
+
+def listing_pages(pages: DataFrame) -> DataFrame:
+    """(page_id, url, html): listing pages beside the stored ones, a chain of them for every ``LISTED`` page ids.
+
+    They hold what the stored pages lack: links to fragment pages, links in
+    comments and scripts, ``>`` within attributes, attributes that end in
+    ``href``, and next-page links, the last of a chain disabled.
+    """
+    group = F.floor(F.col("page_id") / LISTED)
+    chain = Window.partitionBy("g")  # at most LISTED rows
+    p = pages.where("page_id is not null").select("page_id", "url", group.alias("g"))
+    p = p.withColumn("next", F.lead("page_id").over(chain.orderBy("page_id"))).withColumn("first", F.min("page_id").over(chain))
+    n, g = F.col("page_id").cast("string"), F.col("g").cast("string")
+    html = F.concat(
+        F.lit("<html><head><title>List "), n, F.lit('</title><script>var a = "<a href=\'/wiki/S/Fragment_1\'>";</script></head><body>'),
+        F.lit('<!-- <a href="/wiki/Old/Fragment_1">old</a> > --><h1 title="a > b">Category '), g,
+        F.lit('</h1><a name="top">no link</a> <a data-href="/wrong" title="x > y" href=\'/wiki/Abc/Fragment_'), n,
+        F.lit("_01'>first</a> <a href=/wiki/Abc/Analyse:Fragment_"), n, F.lit('_02>second</a> <A HREF="/go?a=1&amp;b='), n,
+        F.lit('">third</A> <a class="x paginator-next'), F.when(F.col("next").isNull(), F.lit(" disabled")).otherwise(F.lit("")),
+        F.lit('" href="?page='), F.coalesce("next", "first").cast("string"),
+        F.lit('">next</a> <a class="paginator-next" href="?page='), F.col("first").cast("string"), F.lit('">again</a></body></html>'))
+    return p.select((-F.col("page_id") - 1).alias("page_id"), listing_url(F.col("g"), F.col("page_id")).alias("url"), html.alias("html"))
+
+
+def listing_url(group, page_id):
+    return F.concat(F.lit(f"{LISTING_SITE}/wiki/Category:"), group.cast("string"), F.lit("?page="), page_id.cast("string"))
+
+
+def listing_seeds(pages: DataFrame) -> DataFrame:
+    """(url): the first listing page of every chain, and a page that isn't stored."""
+    first = pages.where("page_id is not null").groupBy(F.floor(F.col("page_id") / LISTED).alias("g")).agg(F.min("page_id").alias("n"))
+    missing = pages.sparkSession.range(1).select(F.lit(f"{LISTING_SITE}/wiki/Missing").alias("url"))
+    return first.select(listing_url(F.col("g"), F.col("n")).alias("url")).unionByName(missing)
