@@ -86,20 +86,37 @@ fp AS (
 ), marks AS (
   SELECT url, 'src' AS side, src_ix AS ix, k, lead_key FROM fk
   UNION ALL SELECT url, 'plag' AS side, plag_ix AS ix, k, lead_key FROM fk
+), fit AS (
+  SELECT doc_id, ix, sent, len(tok) BETWEEN 5 AND 40 AS fits, lower(array_to_string(tok[1:3], ' ')) AS lead_key FROM tok_sentences
+), own AS (
+  SELECT *, CASE WHEN doc_id % 4 = 3 THEN 'solo/' ELSE 'edit/' END || doc_id AS url, CASE WHEN fits THEN ix + 1 END AS k
+  FROM (SELECT *, min(ix) FILTER (fits) OVER (PARTITION BY doc_id) AS first FROM fit)
+  WHERE first IS NOT NULL AND (doc_id % 4 <> 3 OR ix = first)
 ), frag_docs AS (
-  SELECT DISTINCT url, src_doc, plag_doc FROM fp
+  SELECT DISTINCT url, src_doc, plag_doc, '' AS made FROM fp
+  UNION ALL SELECT DISTINCT url, doc_id, doc_id, substr(url, 1, 4) || ' ' FROM own
 ), side_sents AS (
-  SELECT f.url, 'src' AS side, s.ix, s.sent FROM frag_docs f JOIN sentences s ON s.doc_id = f.src_doc
+  SELECT f.url, 'src' AS side, s.ix, s.sent, NULL AS prefix FROM frag_docs f JOIN sentences s ON s.doc_id = f.src_doc WHERE made = ''
   UNION ALL
-  SELECT f.url, 'plag' AS side, s.ix, s.sent FROM frag_docs f JOIN sentences s ON s.doc_id = f.plag_doc
+  SELECT f.url, 'plag' AS side, s.ix, s.sent, NULL FROM frag_docs f JOIN sentences s ON s.doc_id = f.plag_doc WHERE made = ''
+  UNION ALL SELECT url, 'src', ix, sent, NULL FROM own
+  UNION ALL
+  SELECT url, 'plag', ix,
+    CASE WHEN k IS NULL OR k % 7 = 3 THEN sent
+         ELSE regexp_extract(sent, '^[^ ]+ [^ ]+ [^ ]+ ?') || regexp_replace(regexp_replace(sent, '^[^ ]+ [^ ]+ [^ ]+ ?', ''), '([^ ]+) ([^ ]+)', '\1o \2', 'g') END,
+    CASE WHEN k % 7 = 3 THEN 'We put these seven plain other words before' END FROM own
+), all_marks AS (
+  FROM marks
+  UNION ALL SELECT url, 'src', ix, k, lead_key FROM own WHERE k IS NOT NULL
+  UNION ALL SELECT url, 'plag', ix, k, lead_key FROM own WHERE k % 11 <> 5
 ), marked AS (
   SELECT url, side, ix, k, 'fragmark' || k || CASE WHEN side = 'plag' AND (length(url) + k) % 5 = 1 THEN 'x' ELSE '' END AS c,
          regexp_extract(regexp_replace(lead_key, '[<>&"]', ' ', 'g'), '^[^ ]*', 0) AS w1,
-         regexp_replace(regexp_replace(lead_key, '[<>&"]', ' ', 'g'), '^[^ ]* ?', '') AS w2 FROM marks
+         regexp_replace(regexp_replace(lead_key, '[<>&"]', ' ', 'g'), '^[^ ]* ?', '') AS w2 FROM all_marks
 ), spans_html AS (
   SELECT ss.url, ss.side, ss.ix,
     CASE WHEN ss.ix > 0 AND ss.ix % 4 = 0 THEN '</p><p class="q">' ELSE '' END ||
-    CASE WHEN m.k IS NOT NULL THEN
+    CASE WHEN m.k IS NOT NULL THEN CASE WHEN prefix IS NOT NULL THEN '<span class="text">' || prefix || '</span>' ELSE '' END ||
       '<span class="' || c || '">' || w1 || '</span><span class="text"> </span><span id="m" class="' || c || '"><b>n</b>' || w2 || '<br>'
       || CASE WHEN (length(m.url) + m.k) % 3 = 0 THEN '. Shared end.' ELSE '' END || '</span><span class="text">'
       || regexp_replace(regexp_replace(ss.sent, '^[^ ]+ [^ ]+ [^ ]+ ?', ''), '[<>&"]', ' ', 'g') || '</span>'
@@ -120,10 +137,10 @@ fp AS (
   SELECT doc_id, text, lang, source, {detect_sql('text', lang_lists)} AS detected FROM documents
 ), fragments AS (
   SELECT f.url, cs.markup AS raw_source_text, cp.markup AS raw_plagiat_text, a.text AS source_text,
-         b.text AS plagiat_text, a.source, CASE WHEN length(f.url) % 7 = 0 THEN 'KomplettPlagiat' ELSE 'Verschleierung' END AS type, false AS gesichtet,
-         a.lang || '-' || a.source || '/Fragment ' || f.src_doc || ' ' || f.plag_doc AS fragment_identifier,
+         b.text AS plagiat_text, a.source, CASE WHEN made <> '' AND f.plag_doc % 9 = 4 THEN 'KomplettPlagiat' ELSE 'Verschleierung' END AS type, false AS gesichtet,
+         a.lang || '-' || a.source || '/Fragment ' || made || f.src_doc || ' ' || f.plag_doc AS fragment_identifier,
          a.detected AS lang_source,
-         CASE WHEN f.plag_doc % 11 <> 0 THEN CASE WHEN f.plag_doc % 13 = 0 THEN 'xx' ELSE b.detected END END AS lang_plagiat
+         CASE WHEN made = '' OR f.plag_doc % 11 <> 0 THEN CASE WHEN made <> '' AND f.plag_doc % 13 = 0 THEN 'xx' ELSE b.detected END END AS lang_plagiat
   FROM frag_docs f JOIN doc_lang a ON a.doc_id = f.src_doc JOIN doc_lang b ON b.doc_id = f.plag_doc
   LEFT JOIN cells cs ON cs.url = f.url AND cs.side = 'src'
   LEFT JOIN cells cp ON cp.url = f.url AND cp.side = 'plag'

@@ -233,7 +233,7 @@ ORACLE_SQL["span_sentence_range"] = f"WITH {M} SELECT url, side, para_no, key, s
 ORACLE_SQL["span_last_wins"] = f"WITH {M} SELECT url, side, key, sent FROM key_text"
 ORACLE_SQL["paired_annotations"] = f"WITH {M} SELECT url, i, key, plagiat_sent, source_sent FROM paired"
 ORACLE_SQL["side_count_check"] = f"""
-WITH {M}, p AS (SELECT url, key FROM key_text WHERE side = 'plag'), s AS (SELECT url, key FROM key_text WHERE side = 'src'),
+WITH {M}, p AS (SELECT DISTINCT url, key FROM runs WHERE side = 'plag'), s AS (SELECT DISTINCT url, key FROM runs WHERE side = 'src'),
 j AS (SELECT coalesce(p.url, s.url) AS url, p.key AS pk, s.key AS sk FROM p FULL OUTER JOIN s ON p.url = s.url AND p.key = s.key)
 SELECT url, count(pk) AS n_plag, count(sk) AS n_src, count(*) FILTER (WHERE pk IS NULL OR sk IS NULL) AS n_unmatched,
        count(pk) = count(sk) AS sizes_equal

@@ -108,6 +108,19 @@ def key_counts(runs: DataFrame, common: DataFrame) -> DataFrame:
     )
 
 
+def side_counts(runs: DataFrame) -> DataFrame:
+    """P20: per fragment the annotation keys of both sides, those without a partner, and whether the sides are of equal size.
+
+    Keys are reduced to one row per (fragment, key) with a flag per side, then
+    counted: aggregations with map-side combine, no join.
+    """
+    on = lambda side: F.max((F.col("side") == side).cast("int")).cast("long").alias(side)
+    keys = runs.groupBy("url", "key").agg(on("plag"), on("src"))
+    return keys.groupBy("url").agg(
+        F.sum("plag").alias("n_plag"), F.sum("src").alias("n_src"), F.count_if(F.col("plag") != F.col("src")).alias("n_unmatched"),
+    ).withColumn("sizes_equal", F.col("n_plag") == F.col("n_src"))
+
+
 def paragraph_texts(spans: DataFrame) -> DataFrame:
     """(url, side, para_no, text): ' ' + spans joined by ' ' + ' '."""
     g = spans.groupBy(*SIDE_KEY).agg(

@@ -234,16 +234,8 @@ def q_paired_annotations(spark, sf):
 
 @register("side_count_check")
 def q_side_count_check(spark, sf):
-    """P20: both sides of every fragment must hold the same common keys;
-    counted with a full outer join, unmatched keys reported per fragment."""
-    kt = stages.matched(spark, sf)["key_text"]
-    p = kt.where(F.col("side") == "plag").select("url", "key", F.lit(1).alias("in_plag"))
-    s = kt.where(F.col("side") == "src").select("url", "key", F.lit(1).alias("in_src"))
-    j = p.join(s, ["url", "key"], "full")
-    return j.groupBy("url").agg(
-        F.count("in_plag").alias("n_plag"), F.count("in_src").alias("n_src"),
-        F.count_if(F.col("in_plag").isNull() | F.col("in_src").isNull()).alias("n_unmatched"),
-    ).withColumn("sizes_equal", F.col("n_plag") == F.col("n_src"))
+    """P20: the annotations found on both sides of every fragment, counted before they are paired."""
+    return S.side_counts(stages.matched(spark, sf)["runs"])
 
 
 def _filtered_pairs(spark, sf):

@@ -14,6 +14,8 @@ so that the corpus pipeline can run over the whole tables:
                        paired sentence carries ``<span class="fragmarkK">``
                        around its lead phrase, ``K`` numbering the pairs of
                        the fragment; the text after ``<hr>`` is ignored.
+                       Beside them one fragment per document whose plagiat
+                       side is the document, edited (``edited_sides``).
 """
 
 from __future__ import annotations
@@ -26,8 +28,10 @@ from pairloom.functions import text as tx
 from pairloom.operators.skew import ordered_prefix
 
 
-#: The category of every seventh length of url; the corpus drops it.
+#: The category of some generated fragments; the corpus drops it.
 SECOND_CATEGORY = "KomplettPlagiat"
+#: What some edited sentences begin with; the rest of them is their source.
+EDIT_PREFIX = "We put these seven plain other words before"
 
 
 def sentences(documents: DataFrame) -> DataFrame:
@@ -132,7 +136,8 @@ def _side_markup(sents: DataFrame, marks: DataFrame) -> DataFrame:
     mark = F.concat(span(cls, first), span(text, F.lit(" ")), F.lit('<span id="m" class="'), cls, F.lit('"><b>n</b>'), second, F.lit("<br>"),
                     F.when(n % 3 == 0, F.lit(". Shared end.")).otherwise(F.lit("")), F.lit("</span>"))
     rest = F.regexp_replace("sent", "^[^ ]+ [^ ]+ [^ ]+ ?", "")
-    body = F.when(k.isNotNull(), F.concat(mark, span(text, _clean(rest)))).otherwise(span(text, _clean(F.col("sent"))))
+    before = F.when(F.col("prefix").isNotNull(), span(text, F.col("prefix"))).otherwise(F.lit(""))
+    body = F.when(k.isNotNull(), F.concat(before, mark, span(text, _clean(rest)))).otherwise(span(text, _clean(F.col("sent"))))
     para = F.when((F.col("ix") > 0) & (F.col("ix") % 4 == 0), F.lit('</p><p class="q">')).otherwise(F.lit(""))
     rows = sents.join(marks, ["url", "side", "ix"], "left").select("url", "side", "ix", F.concat(para, body).alias("h"))
     again = F.concat(F.lit("</p><p>"), F.when(n % 8 == 7, F.concat(span(cls, first), span(F.lit("fragmark0"), F.lit("x")))).otherwise(F.lit("")),
@@ -145,14 +150,42 @@ def _side_markup(sents: DataFrame, marks: DataFrame) -> DataFrame:
         F.lit('</p><hr><span class="fragmark1">refs</span></td>')).alias("markup"))
 
 
+def edited_sides(tok_sentences: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(side sentences, marks) of one generated fragment per document: its sentences and an edited form of them.
+
+    From the fourth word on every other word is changed; every seventh
+    sentence is only put behind a prefix instead; every eleventh is unmarked
+    on the plagiat side.  A quarter of the documents give a fragment of one
+    sentence, which has no other sentence to serve as a fake source.
+    """
+    solo = F.col("doc_id") % 4 == 3
+    url = F.concat(F.when(solo, F.lit("solo/")).otherwise(F.lit("edit/")), F.col("doc_id").cast("string"))
+    fits = F.col("n_tok").between(fixed.WORDS_MIN, fixed.WORDS_MAX)
+    own = tok_sentences.groupBy("doc_id").agg(F.min(F.when(fits, F.col("ix"))).alias("first")).where(F.col("first").isNotNull())
+    s = tok_sentences.join(own, "doc_id").where(~solo | (F.col("ix") == F.col("first")))
+    s = s.select("doc_id", url.alias("url"), "ix", "sent", F.when(fits, F.col("ix") + 1).alias("k"), tx.lead_key("tok").alias("lead_key"))
+    head, k = "^[^ ]+ [^ ]+ [^ ]+ ?", F.col("k")
+    edited = F.concat(F.regexp_extract("sent", head, 0), F.regexp_replace(F.regexp_replace("sent", head, ""), "([^ ]+) ([^ ]+)", "$1o $2"))
+    behind = k % 7 == 3
+    src = s.select("doc_id", "url", F.lit("src").alias("side"), "ix", "sent", F.lit(None).cast("string").alias("prefix"))
+    plag = s.select("doc_id", "url", F.lit("plag").alias("side"), "ix",
+                    F.when(k.isNull() | behind, F.col("sent")).otherwise(edited).alias("sent"), F.when(behind, F.lit(EDIT_PREFIX)).alias("prefix"))
+    marks = s.where(k.isNotNull()).select("url", "ix", "k", "lead_key")
+    marks = marks.select("url", F.lit("src").alias("side"), "ix", "k", "lead_key").unionByName(
+        marks.where(k % 11 != 5).select("url", F.lit("plag").alias("side"), "ix", "k", "lead_key"))
+    return src.unionByName(plag), marks
+
+
 def fragments(documents: DataFrame, pairs: DataFrame | None = None, sents: DataFrame | None = None) -> DataFrame:
-    """Fragment table (see ``tables.FRAGMENT_SCHEMA``) derived from lead pairs.
+    """Fragment table (see ``tables.FRAGMENT_SCHEMA``) derived from lead pairs, and one edited fragment per document.
 
-    ``lang_source`` / ``lang_plagiat`` come from the stop-word language vote
-    over each side's text, as the language-detection step would fill them;
-    some plagiat documents (by id) count as undetected or of another language.
+    ``sents`` are ``tokenized_sentences``.  ``lang_source`` / ``lang_plagiat``
+    come from the stop-word language vote over each side's text, as the
+    language-detection step would fill them.  Some edited fragments (by id)
+    are of a second category, or count as undetected or of another language.
     """
     pairs = pairs if pairs is not None else lead_pairs(documents)
+    sents = sents if sents is not None else tokenized_sentences(documents)
     p = pairs.select(
         "src_doc", "plag_doc", "src_ix", "plag_ix", "lead_key",
         F.concat(F.lit("doc/"), F.col("src_doc").cast("string"), F.lit("/"), F.col("plag_doc").cast("string")).alias("url"),
@@ -163,11 +196,13 @@ def fragments(documents: DataFrame, pairs: DataFrame | None = None, sents: DataF
         p.select("url", F.lit("plag").alias("side"), F.col("plag_ix").alias("ix"), "k", "lead_key")
     )
     frag_docs = p.select("url", "src_doc", "plag_doc").distinct()
-    sents = (sents if sents is not None else sentences(documents)).select("doc_id", "ix", "sent")
     side_sents = frag_docs.select("url", F.lit("src").alias("side"), F.col("src_doc").alias("doc_id")).unionByName(
         frag_docs.select("url", F.lit("plag").alias("side"), F.col("plag_doc").alias("doc_id"))
-    ).join(sents, "doc_id").drop("doc_id")
-    cells = _side_markup(side_sents, marks)
+    ).join(sents.select("doc_id", "ix", "sent", F.lit(None).cast("string").alias("prefix")), "doc_id")
+    own_sents, own_marks = edited_sides(sents)
+    cells = _side_markup(side_sents.unionByName(own_sents).drop("doc_id"), marks.unionByName(own_marks))
+    made = own_sents.select("url", F.col("doc_id").alias("src_doc"), F.col("doc_id").alias("plag_doc")).distinct()
+    frag_docs = frag_docs.withColumn("made", F.lit("")).unionByName(made.withColumn("made", F.concat(F.substring("url", 1, 4), F.lit(" "))))
     # the language vote runs once per document, not once per fragment side
     docs = tx.with_language(documents.select("doc_id", "text", "lang", "source"), "text", "detected")
     src = docs.select(F.col("doc_id").alias("src_doc"), F.col("text").alias("source_text"),
@@ -180,14 +215,15 @@ def fragments(documents: DataFrame, pairs: DataFrame | None = None, sents: DataF
         f.join(cells.where(F.col("side") == "src").select("url", F.col("markup").alias("raw_source_text")), "url", "left")
         .join(cells.where(F.col("side") == "plag").select("url", F.col("markup").alias("raw_plagiat_text")), "url", "left")
     )
+    own, n = F.col("made") != "", F.col("plag_doc")
     return f.select(
         "url", "raw_source_text", "raw_plagiat_text", "source_text", "plagiat_text", "source",
-        F.when(F.length("url") % 7 == 0, F.lit(SECOND_CATEGORY)).otherwise(F.lit(fixed.CATEGORY)).alias("type"),
+        F.when(own & (n % 9 == 4), F.lit(SECOND_CATEGORY)).otherwise(F.lit(fixed.CATEGORY)).alias("type"),
         F.lit(False).alias("gesichtet"),
-        F.concat(F.col("lang"), F.lit("-"), F.col("source"), F.lit("/Fragment "),
+        F.concat(F.col("lang"), F.lit("-"), F.col("source"), F.lit("/Fragment "), F.col("made"),
                  F.col("src_doc").cast("string"), F.lit(" "), F.col("plag_doc").cast("string")).alias("fragment_identifier"),
         "lang_source",
-        F.when(F.col("plag_doc") % 11 != 0, F.when(F.col("plag_doc") % 13 == 0, F.lit("xx")).otherwise(F.col("lang_plagiat"))).alias("lang_plagiat"),
+        F.when(~own | (n % 11 != 0), F.when(own & (n % 13 == 0), F.lit("xx")).otherwise(F.col("lang_plagiat"))).alias("lang_plagiat"),
     )
 
 
