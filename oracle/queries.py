@@ -471,3 +471,30 @@ SELECT url, side, para_no, span_no, cls,
        regexp_replace(regexp_replace(text, '{WS}+', ' ', 'g'), '^ +| +$', '', 'g') AS text
 FROM spans2
 """
+
+
+#: Over the corpus tables, one language and label after the other.
+ORACLE_SQL["run_counters"] = f"""
+WITH {CORPUS}, langs AS (SELECT unnest(['en', 'de', 'es']) AS lang),
+per AS (
+  SELECT l.lang, count(*) FILTER (x.isParaphrase = 1) AS p, count(*) FILTER (x.isParaphrase = 0) AS f FROM langs l LEFT JOIN labelled x USING (lang) GROUP BY 1),
+kept AS (
+  SELECT l.lang, count(*) FILTER (x.isParaphrase = 1) AS p, count(*) FILTER (x.isParaphrase = 0) AS f FROM langs l LEFT JOIN cleaned x USING (lang) GROUP BY 1),
+sizes AS (
+  SELECT l.lang, count(*) FILTER (x.split = 'train') AS a, count(*) FILTER (x.split = 'test') AS b FROM langs l LEFT JOIN split x USING (lang) GROUP BY 1)
+SELECT 'errors' AS counter, NULL AS lang, (SELECT count(*) FROM annotations WHERE lang_plagiat IS NULL OR lang_source IS NULL) AS n
+UNION ALL SELECT 'paraphrases', lang, p FROM per UNION ALL SELECT 'fake_paraphrases', lang, f FROM per
+UNION ALL SELECT 'skipped_paraphrases', lang, per.p - kept.p FROM per JOIN kept USING (lang)
+UNION ALL SELECT 'skipped_fake_paraphrases', lang, per.f - kept.f FROM per JOIN kept USING (lang)
+UNION ALL SELECT 'train', lang, a FROM sizes UNION ALL SELECT 'test', lang, b FROM sizes
+"""
+
+#: Known by what each damaged record was made from; no CSV is read.
+ORACLE_SQL["label_quarantine"] = """
+WITH l AS (SELECT doc_id, coalesce(quality, 0) AS q, coalesce(toxic, 0) AS t, doc_id % 10 AS d FROM labels WHERE doc_id IS NOT NULL)
+SELECT CASE WHEN d <> 6 THEN doc_id END AS doc_id, CASE WHEN d = 5 THEN 7 WHEN d <> 3 THEN q END AS quality,
+       CASE d WHEN 1 THEN NULL WHEN 6 THEN 7 ELSE t END AS toxic,
+       CASE d WHEN 1 THEN NULL WHEN 2 THEN 'x' WHEN 3 THEN 'a, b' WHEN 4 THEN 'said "so", twice' WHEN 5 THEN 'seven' WHEN 6 THEN NULL ELSE 'plain ' END AS note,
+       CASE d WHEN 1 THEN 'missing fields' WHEN 3 THEN 'wrong kind of value' WHEN 5 THEN 'quality' WHEN 6 THEN 'no doc_id,toxic' ELSE '' END AS reasons
+FROM l
+"""

@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,10 +55,13 @@ def ordered_prefix(df: DataFrame, group_cols: list[str], order_cols: list,
     # Both branches below (local sums, block totals) must see the same block
     # of every row.  Two evaluations of a range exchange may sample different
     # bounds, and a cached copy is not guaranteed to be picked up by both
-    # branches, so the block-tagged rows are written once (reliable
-    # checkpoint in the session's checkpoint folder) and both read that.
-    checkpoint_dir(df.sparkSession)
-    ranged = ranged.withColumn("__blk", F.spark_partition_id()).checkpoint(eager=True)
+    # branches, so the block-tagged rows are written once (as Parquet in the
+    # session's checkpoint folder) and both read that, each its own columns.
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ordered/{uuid.uuid4().hex}"
+    ranged = ranged.withColumn("__blk", F.spark_partition_id())
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
 
     w_local = (Window.partitionBy(*group_cols, "__blk").orderBy(*_cols(order_cols))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -171,10 +171,15 @@ def last_wins(key_sents: DataFrame) -> DataFrame:
 
 
 def paired(key_text: DataFrame) -> DataFrame:
-    """J2 + W1: (url, i, key, plagiat_sent, source_sent)."""
+    """J2 + W1: (url, i, key, plagiat_sent, source_sent).
+
+    Only keys of both sides have a text; a text without a partner ends the run (P20).
+    """
+    from pairloom.plans.checks import paired_or_stop
+
     p = key_text.where(F.col("side") == "plag").select("url", "key", F.col("sent").alias("plagiat_sent"))
     s = key_text.where(F.col("side") == "src").select("url", "key", F.col("sent").alias("source_sent"))
-    j = p.join(s, ["url", "key"], "inner")
+    j = paired_or_stop(p, s, ["url", "key"], "the sides of a fragment have different annotations")
     w = Window.partitionBy("url").orderBy("key")
     return j.select("url", (F.row_number().over(w) - 1).cast("long").alias("i"), "key", "plagiat_sent", "source_sent")
 

@@ -6,11 +6,14 @@ composite) of the library on them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from pairloom.operators import pairs as P
+from pairloom.session import checkpoint_dir
 from pairloom.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -519,3 +522,41 @@ def q_annotated_spans_parsed(spark, sf):
 
     sides = S.fragment_sides(stages.fragments(spark, sf))
     return extract_spans_parsed(sides).select("url", "side", "para_no", "span_no", "cls", "text")
+
+
+# ---- run counters and quarantine (A5, P18, P20, S5) ------------------------
+from pairloom.plans import checks  # noqa: E402
+from pairloom.sources import quarantine as Qr  # noqa: E402
+
+
+@register("run_counters")
+def q_run_counters(spark, sf):
+    """A5: what the corpus run made, skipped and split, counted as its tables are written."""
+    _, _, counters = checks.labelled_corpus(stages.annotations(spark, sf), stages.materialize)
+    return spark.createDataFrame(counters, checks.COUNTERS)
+
+
+def _label_records(spark, sf):
+    """The folder of CSV files that a labelling tool might leave: a record per ``labels`` row, some of them damaged."""
+    n = F.col("doc_id")
+    line = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    q, t = F.coalesce("quality", F.lit(0)), F.coalesce("toxic", F.lit(0))
+    record = (F.when(n % 10 == 1, line(n, ",", q)).when(n % 10 == 2, line(n, ",", q, ",", t, ",x")).when(n % 10 == 3, line(n, ",good,", t, ',"a, b"'))
+              .when(n % 10 == 4, line(n, ",", q, ",", t, ',"said ""so"", twice"')).when(n % 10 == 5, line(n, ",7,", t, ",seven"))
+              .when(n % 10 == 6, line(",", q, ",7,")).otherwise(line(n, ",", q, ",", t, ",plain ")))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/label_records/{uuid.uuid4().hex}"
+    read_table(spark, sf, "labels").where(n.isNotNull()).select(record.alias("value")).write.text(path)
+    return path
+
+
+LABEL_RECORD = "doc_id bigint, quality int, toxic int, note string"
+
+
+@register("label_quarantine")
+def q_label_quarantine(spark, sf):
+    """S5 + P18: label records read leniently; every record with its state and, where it was set aside, the reasons."""
+    schema = T._parse_datatype_string(LABEL_RECORD)
+    rows = stages.materialize(Qr.read_csv_leniently(spark, _label_records(spark, sf), schema, header=False))
+    zero_one = lambda c: F.col(c).isin(0, 1)
+    good, bad = Qr.quarantined_csv(rows, schema, {"no doc_id": F.col("doc_id").isNotNull(), "quality": zero_one("quality"), "toxic": zero_one("toxic")})
+    return good.withColumn("reasons", F.lit("")).unionByName(bad.withColumn("reasons", F.array_join("reasons", ",")).select(*good.columns, "reasons"))
