@@ -498,3 +498,75 @@ SELECT CASE WHEN d <> 6 THEN doc_id END AS doc_id, CASE WHEN d = 5 THEN 7 WHEN d
        CASE d WHEN 1 THEN 'missing fields' WHEN 3 THEN 'wrong kind of value' WHEN 5 THEN 'quality' WHEN 6 THEN 'no doc_id,toxic' ELSE '' END AS reasons
 FROM l
 """
+
+
+_WORD = r"[\p{L}\p{N}][\p{L}\p{N}.]*"
+
+
+def _put(x: str, after: str, what: str) -> str:
+    return rf"regexp_replace({x}, ' ({after}) ', ' \1 {what} ', 'g')"
+
+
+BOUNDARIES = rf"""
+texts AS (
+  SELECT doc_id, text FROM documents
+  UNION ALL SELECT -doc_id - 1, {_put(_put(_put('text', 'die|the|le|el', 'Dr.'), 'und|and|et|y', 'z.B.'), 'in|en|zu|to', 'am 3. Mai bei')} FROM documents
+), ws AS (SELECT regexp_extract_all(text, '{_WORD}') AS w FROM texts),
+wp AS (SELECT unnest(w) AS word, unnest(list_concat(w[2:], [NULL])) AS nxt FROM ws),
+ty AS (SELECT lower(regexp_replace(word, '\.+$', '')) AS type, ends_with(word, '.') AS stop, lower(regexp_replace(nxt, '\.+$', '')) AS nxt FROM wp),
+wc AS (SELECT type, count(*) AS n, count(*) FILTER (stop) AS n_stop FROM ty GROUP BY 1),
+tot AS (SELECT sum(n)::DOUBLE AS total, sum(n_stop)::DOUBLE / sum(n) AS chance FROM wc),
+sc AS (
+  SELECT type, n, n_stop, length(replace(type, '.', ''))::DOUBLE AS size,
+    2 * (n_stop * ln(0.99::DOUBLE) + (n - n_stop) * ln((1 - 0.99)::DOUBLE) - n_stop * ln(chance) - (n - n_stop) * ln(1 - chance)) AS tie
+  FROM wc, tot WHERE n_stop > 0 AND NOT regexp_matches(type, '^[0-9.]+$')),
+abbr AS (
+  SELECT * FROM (SELECT type, n, n_stop, tie * exp(-size) * (length(type) - size + 1) * pow(size, (n_stop - n)::DOUBLE) AS score FROM sc) WHERE score >= 0.3),
+co AS (SELECT type, nxt, count(*) AS n FROM ty WHERE stop AND nxt IS NOT NULL AND regexp_matches(type, '^([0-9]+|\p{{L}})$') GROUP BY ALL HAVING count(*) >= 2),
+cf AS (
+  SELECT co.type, co.nxt, co.n, co.n::DOUBLE AS k11, a.n::DOUBLE - co.n AS k12, b.n::DOUBLE - co.n AS k21, total - a.n - b.n + co.n AS k22
+  FROM co JOIN wc a ON a.type = co.type JOIN wc b ON b.type = co.nxt, tot),
+h AS (SELECT *, lambda_h(k11) + lambda_h(k12) + lambda_h(k21) + lambda_h(k22) AS cells FROM cf),
+tied AS (SELECT type, nxt, n, 2 * (cells - lambda_h(k11 + k12) - lambda_h(k21 + k22) - lambda_h(k11 + k21) - lambda_h(k12 + k22)
+                                   + lambda_h(k11 + k12 + k21 + k22)) AS ratio, k11 / (k11 + k12) AS here, (k11 + k21) / (k11 + k12 + k21 + k22) AS at_all FROM h),
+coll AS (SELECT type, nxt AS next, n, ratio FROM tied WHERE ratio >= 7.88 AND here > at_all)"""
+
+
+def _plogp(sql: str) -> str:
+    """x ln x (0 at 0) in place of lambda_h(x): a log-likelihood ratio as sums of entropies of the four-field table."""
+    import re
+
+    return re.sub(r"lambda_h\(([^()]*)\)", r"(CASE WHEN (\1) > 0 THEN (\1) * ln(\1) ELSE 0 END)", sql)
+
+
+BOUNDARIES = _plogp(BOUNDARIES)
+ORACLE_SQL["learnt_abbreviations"] = f"WITH {BOUNDARIES} SELECT type, n, n_stop, round(score, 6) AS score FROM abbr"
+ORACLE_SQL["learnt_collocations"] = f"WITH {BOUNDARIES} SELECT type, next, n, round(ratio, 4) AS ratio FROM coll"
+ORACLE_SQL["learnt_sentences"] = rf"""
+WITH {BOUNDARIES},
+pl AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?])({WS})', '\1' || chr(1) || '\2', 'g'), chr(1)) AS pieces FROM texts),
+pe AS (SELECT doc_id, generate_subscripts(pieces, 1) AS pi, unnest(pieces) AS piece FROM pl),
+pn AS (
+  SELECT *, lead(lower(regexp_replace(regexp_extract(piece, '{_WORD}'), '\.+$', ''))) OVER (PARTITION BY doc_id ORDER BY pi) AS next,
+         CASE WHEN ends_with(piece, '.') THEN nullif(lower(regexp_replace(regexp_extract(piece, '({_WORD})$', 1), '\.+$', '')), '') END AS type,
+         coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+  FROM pe),
+v AS (SELECT *, EXISTS (SELECT 1 FROM abbr a WHERE a.type = pn.type) OR EXISTS (SELECT 1 FROM coll c WHERE c.type = pn.type AND c.next = pn.next) AS veto FROM pn),
+g AS (SELECT *, coalesce(count(*) FILTER (NOT veto) OVER (PARTITION BY doc_id ORDER BY pi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part FROM v),
+w AS (SELECT doc_id, part, min(pos) AS pos, string_agg(piece, '' ORDER BY pi) AS raw FROM g GROUP BY 1, 2),
+t AS (SELECT *, regexp_replace(raw, '^{WS}+|{WS}+$', '', 'g') AS sent FROM w),
+s AS (SELECT *, CAST(pos + length(raw) - length(regexp_replace(raw, '^{WS}+', '')) AS BIGINT) AS start FROM t WHERE sent <> '')
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY part) - 1 AS ix, start, CAST(start + length(sent) AS BIGINT) AS "end", sent FROM s
+"""
+ORACLE_SQL["learnt_language"] = r"""
+WITH t AS (SELECT doc_id, lang, substr(md5(doc_id::VARCHAR), 1, 1) IN ('0', '1', '2') AS held_out,
+             ' ' || regexp_replace(lower(coalesce(text, '')), '[\P{L}\x{10000}-\x{10FFFF}]+', ' ', 'g') || ' ' AS t FROM documents),
+g AS (SELECT doc_id, lang, held_out, substr(md5(substr(t, i::INT, 3)), 1, 4) AS b FROM t, unnest(range(1, length(t) - 1)) u(i)),
+c AS (SELECT lang, b, count(*) AS n FROM g WHERE NOT held_out AND lang IS NOT NULL GROUP BY 1, 2),
+l AS (SELECT lang, ln(count(*)::DOUBLE / sum(count(*)) OVER ()) AS prior FROM t WHERE NOT held_out AND lang IS NOT NULL GROUP BY 1),
+z AS (SELECT lang, ln(sum(n) + 65536.0::DOUBLE) AS size FROM c GROUP BY 1),
+d AS (SELECT doc_id, b, count(*) AS n FROM g GROUP BY 1, 2),
+s AS (SELECT d.doc_id, l.lang AS code, sum(d.n * (ln(coalesce(c.n, 0) + 1.0::DOUBLE) - size)) + any_value(prior) AS score
+      FROM d CROSS JOIN l JOIN z ON z.lang = l.lang LEFT JOIN c ON c.lang = l.lang AND c.b = d.b GROUP BY 1, 2)
+SELECT t.doc_id, t.lang, t.held_out, CASE WHEN regexp_matches(t.t, '\p{L}') THEN (SELECT arg_max(code, score) FROM s WHERE s.doc_id = t.doc_id) END AS detected FROM t
+"""

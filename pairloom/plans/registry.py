@@ -560,3 +560,45 @@ def q_label_quarantine(spark, sf):
     zero_one = lambda c: F.col(c).isin(0, 1)
     good, bad = Qr.quarantined_csv(rows, schema, {"no doc_id": F.col("doc_id").isNotNull(), "quality": zero_one("quality"), "toxic": zero_one("toxic")})
     return good.withColumn("reasons", F.lit("")).unionByName(bad.withColumn("reasons", F.array_join("reasons", ",")).select(*good.columns, "reasons"))
+
+
+# ---- learnt boundaries and languages (T11, T12, T17) -----------------------
+from pairloom.operators import boundaries as Bd  # noqa: E402
+from pairloom.operators import langmodel as LM  # noqa: E402
+
+
+def _boundary_corpus(spark, sf):
+    """The documents and, beside them, their texts with abbreviations."""
+    d = _docs(spark, sf).select("doc_id", "text")
+    return d.unionByName(adapters.abbreviated(d).withColumn("doc_id", -F.col("doc_id") - 1))
+
+
+def _learnt_boundaries(spark, sf):
+    k = stages._key(spark, sf, "boundaries")
+    if k not in stages._MEMO:
+        stages._MEMO[k] = Bd.learn(_boundary_corpus(spark, sf), "text", stages.materialize)
+    return stages._MEMO[k]
+
+
+@register("learnt_abbreviations")
+def q_learnt_abbreviations(spark, sf):
+    return _learnt_boundaries(spark, sf)[0].select("type", "n", "n_stop", F.round("score", 6).alias("score"))
+
+
+@register("learnt_collocations")
+def q_learnt_collocations(spark, sf):
+    return _learnt_boundaries(spark, sf)[1].select("type", "next", "n", F.round("ratio", 4).alias("ratio"))
+
+
+@register("learnt_sentences")
+def q_learnt_sentences(spark, sf):
+    """T11 + T12 with the splits that the corpus's own statistics veto taken back."""
+    return Bd.learnt_sentences(_boundary_corpus(spark, sf), *_learnt_boundaries(spark, sf))
+
+
+@register("learnt_language")
+def q_learnt_language(spark, sf):
+    """T17 learnt from the rows that aren't held out; every row judged."""
+    d = _docs(spark, sf).select("doc_id", "lang", "text")
+    model, languages = LM.train(d.where(~LM.held_out(F.col("doc_id"))), stages.materialize)
+    return d.select("doc_id", "lang", LM.held_out(F.col("doc_id")).alias("held_out")).join(LM.detect(d, model, languages), "doc_id")

@@ -283,3 +283,13 @@ def listing_seeds(pages: DataFrame) -> DataFrame:
     first = pages.where("page_id is not null").groupBy(F.floor(F.col("page_id") / LISTED).alias("g")).agg(F.min("page_id").alias("n"))
     missing = pages.sparkSession.range(1).select(F.lit(f"{LISTING_SITE}/wiki/Missing").alias("url"))
     return first.select(listing_url(F.col("g"), F.col("n")).alias("url")).unionByName(missing)
+
+
+def abbreviated(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): the documents with what they lack put in: abbreviations, initials and dates among their words."""
+    def put(text, after: str, what: str):
+        return F.regexp_replace(text, f" ({after}) ", f" $1 {what} ")
+
+    text = put(F.col("text"), "die|the|le|el", "Dr.")
+    text = put(text, "und|and|et|y", "z.B.")
+    return documents.select("doc_id", put(text, "in|en|zu|to", "am 3. Mai bei").alias("text"))
