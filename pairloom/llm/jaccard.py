@@ -201,7 +201,9 @@ def judge(documents: DataFrame, size: int, percent: int) -> DataFrame:
     key = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
     classes = (rows.filter("kind = 0 and n > 0").groupBy("d1", "d2")
                .agg(F.min(key).alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands")))
-    classes = store(classes.withColumn("cid", F.monotonically_increasing_id()), "jaccard_classes")  # numbered once, as it is written
+    # Numbered once, as they are written, in the order of their first rows: copies come after the document they were made from.
+    classes = classes.repartitionByRange("first").sortWithinPartitions("first").withColumn("cid", F.monotonically_increasing_id())
+    classes = store(classes, "jaccard_classes")
 
     # 1. Groups of similar classes.
     banded = classes.select("cid", "n", F.explode("bands").alias("key"))
