@@ -8,16 +8,20 @@ as one) and hashed.  A quoted paragraph is joined by (conversation, hash) to
 the latest earlier message whose own text has it; the link of the shallowest
 level, then of the latest message, is the message replied to; a message
 without a link replies to the one before it.  Conversations come out without
-quotes, numbered in an order where every message follows the one it answers.
+quotes, one row a message, numbered depth-first along the replies: a message
+follows the one it answers, every thread stands together, and the answers to
+one message stand in their order of turns.
 
-A conversation may be of any size: earlier messages are found by running
-maxima and positions over range-partitioned blocks, never by gathering a
-conversation.
+A conversation may be of any size, so it is never gathered: earlier messages
+are found by running maxima over range-partitioned blocks, and threads are
+numbered by pointer jumping.  Stretches in which every message answers the one
+before it and has no other answer are taken as one node; only conversations
+that branch take part in the jumping.
 
 Defined results: rows without conv_id form one conversation; a null turn sorts
 first; a null text is empty; rows that agree in (conv_id, turn) are ordered by
-role and text and may not answer each other; empty tables give no rows;
-further columns are ignored.
+role and text and don't quote each other; empty tables give no rows; further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -102,28 +106,86 @@ def running_max(df: DataFrame, groups: list[str], order: list[str], value: str,
             .withColumn(out, F.greatest("__i", "__m")).drop("__i", "__m", "__b"))
 
 
+def _next_in(groups: list[str], df: DataFrame, order: str, value: str, out: str) -> DataFrame:
+    """``df`` with the ``value`` of the following row of its group (null for the last) and its ``rank``."""
+    ranked = store(ordered_prefix(df, groups, [F.col(order)], {"rank": F.lit(1)}, totals=False), "ranked")
+    following = ranked.select(*groups, (F.col("rank") - 1).alias("rank"), F.col(value).alias(out))
+    return ranked.join(following, [*groups, "rank"], "left")
+
+
+def reply_order(messages: DataFrame) -> DataFrame:
+    """conv, position and ``place``, the number in depth-first order, of conversations that branch.
+
+    ``messages``: conv, position (1, 2, ... by turn) and parent, an earlier
+    position (null for the first).  Conversations in which every message
+    answers the one before it are in order already and give no rows.
+    """
+    m = messages.select("conv", "position", "parent")
+    branching = store(m.filter("parent is not null and position <> parent + 1").select("conv", "parent").distinct(), "branching")
+    convs = branching.select("conv").distinct()
+    mine = store(m.join(convs, "conv", "left_semi"), "branched_messages")
+    heads = mine.join(branching, ["conv", "parent"], "left_semi").unionByName(mine.filter("parent is null"))
+    sizes = mine.groupBy("conv").agg(F.max("position").alias("size"))
+    # A stretch ends before the next head; a head's parent is always the last message of its stretch.
+    stretches = (_next_in(["conv"], heads.select("conv", F.col("position").alias("start"), "parent"), "start", "start", "after")
+                 .join(sizes, "conv").withColumn("end", F.coalesce(F.col("after") - 1, F.col("size"))).drop("rank", "after", "size"))
+    stretches = store(stretches, "stretches")
+    kids = stretches.filter("parent is not null").join(
+        stretches.select("conv", F.col("end").alias("parent"), F.col("start").alias("above")), ["conv", "parent"])
+    kids = store(_next_in(["conv", "above"], kids.select("conv", "above", "start"), "start", "start", "sibling"), "siblings")
+    first = kids.filter("rank = 1").select("conv", F.col("above").alias("start"), F.col("start").alias("first"))
+    tree = (stretches.select("conv", "start", (F.col("end") - F.col("start") + 1).cast("long").alias("n"))
+            .join(first, ["conv", "start"], "left").join(kids.select("conv", "start", "above", "sibling"), ["conv", "start"], "left"))
+    # The tour enters a stretch (even node, its length) and leaves it (odd node, nothing).
+    enter, leave = F.col("start") * 2, F.col("start") * 2 + 1
+    steps = F.array(
+        F.struct(enter.alias("node"), F.coalesce(F.col("first") * 2, leave).alias("next"), F.col("n").alias("left")),
+        F.struct(leave.alias("node"), F.coalesce(F.col("sibling") * 2, F.col("above") * 2 + 1).alias("next"), F.lit(0).cast("long").alias("left")))
+    tour = store(tree.select("conv", F.explode(steps).alias("s")).select("conv", "s.node", "s.next", "s.left"), "tour")
+    while not tour.filter("next is not null").isEmpty():  # twice as far each round: log2(stretches) rounds
+        ahead = tour.select("conv", F.col("node").alias("next"), F.col("next").alias("next2"), F.col("left").alias("more"))
+        tour = store(tour.join(ahead, ["conv", "next"], "left").select(
+            "conv", "node", F.col("next2").alias("next"), (F.col("left") + F.coalesce("more", F.lit(0))).alias("left")), "tour")
+    # What a stretch has before it is what the whole has and the tour from here on doesn't.
+    begin = (tour.filter("node % 2 = 0").join(sizes, "conv")
+             .select("conv", F.expr("node div 2").alias("start"), (F.col("size") - F.col("left")).alias("before")))
+    events = mine.select("conv", "position").join(
+        begin.select("conv", F.col("start").alias("position"), F.struct("start", "before").alias("own")), ["conv", "position"], "left")
+    placed = running_max(events, ["conv"], ["position"], "own", "last").withColumn("s", F.coalesce("own", "last"))
+    return placed.select("conv", "position", (F.col("s.before") + F.col("position") - F.col("s.start") + 1).alias("place"))
+
+
 def link_quotations(conversations: DataFrame) -> DataFrame:
-    """conv_id, position, turn, role, text (without quotes), n_quotes, n_linked,
-    reply_to (turn of the message answered, null for none)."""
+    """conv_id, position (depth-first along the replies), turn, role, text
+    (without quotes), n_quotes, n_linked, reply_to (turn of the message
+    answered, null for none) and reply_to_position (its position)."""
     ranked = ordered_prefix(_parsed(conversations).withColumn("key", F.md5(F.concat_ws("\x1f", "role", "body"))),
                             ["conv"], [F.col("turn"), F.col("key")], {"position": F.lit(1)}, totals=False)
-    msgs = store(ranked, "chat_messages").withColumn("conv", F.coalesce("conv", F.lit("")))
+    msgs = store(ranked.withColumn("position", F.col("position").cast("long")), "chat_messages").withColumn("conv", F.coalesce("conv", F.lit("")))
+    at = "struct<position:bigint,turn:bigint>"
     quotes = msgs.filter(F.size("quotes") > 0).select("conv", "position", "turn", F.explode("quotes").alias("q")).select(
-        "conv", "position", "turn", F.col("q.h").alias("h"), F.col("q.level").alias("level"), F.lit(None).cast("long").alias("held"))
+        "conv", "position", "turn", F.col("q.h").alias("h"), F.col("q.level").alias("level"), F.lit(None).cast(at).alias("held"))
     quotes = store(quotes, "chat_quotes")
     # Only paragraphs that someone quotes take part.
     wanted = quotes.select("conv", "h").distinct()
-    own = (msgs.select("conv", "turn", F.explode("own").alias("h")).join(wanted, ["conv", "h"], "left_semi")
-           .groupBy("conv", "h", "turn").agg(F.lit(None).cast("long").alias("position")))
-    events = quotes.unionByName(own.withColumns({"held": F.col("turn"), "level": F.lit(None).cast("int")}))
+    own = (msgs.select("conv", "turn", "position", F.explode("own").alias("h")).join(wanted, ["conv", "h"], "left_semi")
+           .groupBy("conv", "h", "turn").agg(F.min("position").alias("position")))
+    events = quotes.unionByName(own.withColumns({"held": F.struct("position", "turn").cast(at), "level": F.lit(None).cast("int")}))
     # Among equal turns quotes come first: a message answers earlier turns only.
     events = events.withColumn("kind", F.when(F.col("level").isNull(), 1).otherwise(0))
     found = running_max(events, ["conv", "h"], ["turn", "kind"], "held", "original").filter("kind = 0 and original is not null")
-    links = found.groupBy("conv", "position").agg(
-        F.count(F.lit(1)).alias("n_linked"), F.min(F.struct("level", (-F.col("original")).alias("o"))).alias("b"))
+    links = found.groupBy("conv", "position").agg(F.count(F.lit(1)).alias("n_linked"), F.min(F.struct(
+        "level", (-F.col("original.position")).alias("back"), F.col("original.turn").alias("turn"))).alias("b"))
     before = msgs.select("conv", (F.col("position") + 1).alias("position"), F.col("turn").alias("prev"))
-    out = msgs.join(links, ["conv", "position"], "left").join(before, ["conv", "position"], "left")
+    parent = F.when(F.col("b").isNotNull(), -F.col("b.back")).when(F.col("position") > 1, F.col("position") - 1)
+    linked = store(msgs.join(links, ["conv", "position"], "left").join(before, ["conv", "position"], "left").select(
+        "conv", "position", "turn", "role", "body", F.size("quotes").cast("long").alias("n_quotes"),
+        F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), parent.alias("parent"),
+        F.when(F.col("b").isNotNull(), F.col("b.turn")).otherwise(F.col("prev")).alias("reply_to")), "chat_links")
+    places = store(reply_order(linked), "chat_places")
+    above = places.select("conv", F.col("position").alias("parent"), F.col("place").alias("above"))
+    out = linked.join(places, ["conv", "position"], "left").join(above, ["conv", "parent"], "left")
     return out.select(
-        F.when(F.col("conv") != "", F.col("conv")).cast("long").alias("conv_id"), F.col("position").cast("long").alias("position"), "turn", "role",
-        F.col("body").alias("text"), F.size("quotes").cast("long").alias("n_quotes"),
-        F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), F.coalesce(-F.col("b.o"), F.col("prev")).alias("reply_to"))
+        F.when(F.col("conv") != "", F.col("conv")).cast("long").alias("conv_id"), F.coalesce("place", "position").cast("long").alias("position"),
+        "turn", "role", F.col("body").alias("text"), "n_quotes", "n_linked", "reply_to",
+        F.coalesce("above", "parent").cast("long").alias("reply_to_position"))

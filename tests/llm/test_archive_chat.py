@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 
 import pytest
 
@@ -90,6 +91,43 @@ def test_links_against_brute_force(spark):
         assert all(r["reply_to"] is None or place[r["reply_to"]] < r["position"] for r in mine)
 
 
+def depth_first(parents):
+    """Positions in depth-first order: parents[i] is the message that message i answers."""
+    kids = {}
+    for i, p in enumerate(parents):
+        kids.setdefault(p, []).append(i)
+    out, todo = [], [0]
+    while todo:
+        i = todo.pop()
+        out.append(i)
+        todo += reversed(kids.get(i, []))
+    return out
+
+
+def test_threads_stand_together(spark):
+    rows = [(1, 0, "a", "A"), (1, 1, "b", "B"), (1, 2, "c", "> A\nre A"), (1, 3, "d", "> B\nre B"), (1, 4, "e", "> re A\nre re A"),
+            (2, 0, "a", "x"), (2, 1, "b", "y"), (2, 2, "c", "> y\nz")]
+    got = {(r["conv_id"], r["turn"]): r for r in chat.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    # A is answered by B (no quote: the one before) and by "re A"; each answer's own answers follow it.
+    assert [got[1, t]["position"] for t in range(5)] == [1, 2, 4, 3, 5]
+    assert [got[1, t]["reply_to_position"] for t in range(5)] == [None, 1, 1, 2, 4]
+    assert [got[2, t]["position"] for t in range(3)] == [1, 2, 3] and [got[2, t]["reply_to_position"] for t in range(3)] == [None, 1, 2]
+
+
+def test_reply_order_against_depth_first_walk(spark):
+    rng = random.Random(9)
+    rows, want = [], {}
+    shapes = [lambda i: rng.randrange(i), lambda i: i - 1 if rng.random() < 0.8 else rng.randrange(i), lambda i: 0, lambda i: i - 1,
+              lambda i: max(0, i - 2)]
+    for conv in range(20):
+        parents = [None] + [shapes[conv % 5](i) for i in range(1, rng.choice([1, 2, 3, 40, 150]))]
+        rows += [(str(conv), i + 1, None if p is None else p + 1) for i, p in enumerate(parents)]
+        if any(p != i - 1 for i, p in enumerate(parents) if i):
+            want |= {(str(conv), i + 1): k + 1 for k, i in enumerate(depth_first(parents))}
+    df = spark.createDataFrame(rows, "conv string, position long, parent long").repartition(5)
+    assert {(r["conv"], r["position"]): r["place"] for r in chat.reply_order(df).collect()} == want
+
+
 def test_chat_odd_rows(spark):
     schema = "conv_id long, turn long, role string, text string"
     assert chat.link_quotations(spark.createDataFrame([], schema)).count() == 0
