@@ -33,7 +33,7 @@ def test_licence_places_on_whole_documents(spark, docs, texts):
 
 
 def test_licence_odd_texts_and_templates(spark):
-    cut = licences.TEMPLATES["bsd"].split()
+    cut = plain_words(licences.TEMPLATES["bsd"].split("\n\n")[0])
     rows = [(1, None), (2, ""), (3, "MIT License mit license, MIT--LICENSE; the mit licenses"), (4, "gnu general public license apache license"),
             (5, "x " * 3000 + licences.TEMPLATES["bsd"].upper()), (6, " ".join(cut[:8] + ["(new)"] + cut[8:])), (7, " ".join(cut[:6])),
             (None, "mit license"), (3, "mit mit license license")]
@@ -42,7 +42,7 @@ def test_licence_odd_texts_and_templates(spark):
     for r, (d, t) in zip(got, rows):
         assert (r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == (d, *brute_licence(t))
     by = {r["doc_id"]: r for r in got}
-    assert by[5]["labels"] == "bsd" and by[5]["score"] == 1.0 and by[6]["labels"] == "bsd" and by[7]["labels"] == ""
+    assert by[5]["labels"] == "bsd" and by[5]["score"] == 1.0 and by[6]["labels"] == "bsd" and by[7]["labels"] == "" and by[7]["spans"] == []
     assert licences.scan_licences(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
@@ -57,8 +57,62 @@ def test_matching_statistics_against_brute_force():
         state, length = a.step(state, length, w)
         want = max((n for n in range(1, i + 2) if tuple(text[i + 1 - n:i + 1]) in subs), default=0)
         assert length == want
-        for k, end in a.ends[state].items():
-            assert seqs[k][end + 1 - length:end + 1] == text[i + 1 - length:i + 1]
+        ends = {(k, e) for k, at in a.ends[state].items() for e in at}
+        run = text[i + 1 - length:i + 1]
+        assert not length or ends == {(k, e) for k, s in enumerate(seqs) for e in range(length - 1, len(s)) if s[e + 1 - length:e + 1] == run}
+
+
+def brute_chain(matches, gap):
+    """The most template words of any rising subset of matches that ends with each one, by recursion."""
+    def best(i):
+        end, n, at = matches[i]
+        return max([n] + [best(j) + n - max(0, e - (end - n), t - (at - n)) for j, (e, _, t) in enumerate(matches)
+                          if e < end and t < at and end - n - e <= gap])
+    return [best(i) for i in range(len(matches))]
+
+
+def test_chains_against_brute_force():
+    rng = random.Random(3)
+    for _ in range(300):
+        matches = sorted({(rng.randrange(5, 60), rng.randrange(1, 6), rng.randrange(5, 25)) for _ in range(rng.randrange(1, 12))})
+        gap = rng.randrange(0, 9)
+        assert [c for _, _, c in licences.chain(matches, gap)] == brute_chain(matches, gap)
+
+
+def test_matches_of_every_template_against_brute_force():
+    """A template's own longest runs, also where another template has a longer one there."""
+    rng = random.Random(4)
+    templates = {f"t{k}": " ".join(rng.choice("abc") for _ in range(rng.randrange(6, 30))) for k in range(5)}
+    for _ in range(40):
+        text = " ".join(rng.choice([rng.choice("abcd"), rng.choice(list(templates.values()))]) for _ in range(12))
+        w, share = text.split(), {}
+        for label, t in templates.items():
+            s = t.split()
+            same = {(i, j) for i, x in enumerate(w) for j, y in enumerate(s) if x == y}
+            longest = {}
+            for i, j in sorted(same):
+                longest[i, j] = longest.get((i - 1, j - 1), 0) + 1
+            here = {i: max(n for (a, _), n in longest.items() if a == i) for i, _ in longest}
+            runs = sorted((i, n, j) for (i, j), n in longest.items() if n == here[i] >= licences.LONG and here.get(i + 1, 0) <= n)
+            if runs:
+                share[label] = max(c for _, _, c in licences.chain(runs)) / len(s)
+        assert abs(licences.Scanner(templates, {}).scan(text)[6] - max([0.0, *share.values()])) < 1e-12
+
+
+def test_whole_notices_and_their_spans():
+    scan = licences.Scanner(licences.TEMPLATES, licences.BASE).scan
+    for label, notice in licences.TEMPLATES.items():
+        got = scan("int main ( ) " + notice + " # include")
+        n = len(plain_words(notice))
+        assert label in got[5].split(",") and got[6] == 1.0
+        assert (label, 2, n + 1, n, 1.0) in [tuple(s.values()) for s in got[7]]
+        w = notice.split()
+        again = " ".join(w[:40] + w[20:26] + w[40:])  # six words come again in the middle
+        assert label in scan(again)[5].split(",") and (len(w) < 46 or scan(again)[6] == 1.0)
+    grant = licences.TEMPLATES["mit"].split()
+    assert scan(" ".join(grant[:45]))[5] == "mit" and scan(" ".join(grant[:12]))[5] == ""
+    twice = scan(licences.TEMPLATES["mpl"] + " filler words " * 50 + licences.TEMPLATES["mpl"])
+    assert [s["label"] for s in twice[7]] == ["mpl", "mpl"] and twice[7][0]["last_word"] < twice[7][1]["first_word"]
 
 
 def test_machine_learns_an_interaction():
