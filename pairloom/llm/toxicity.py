@@ -6,22 +6,29 @@ compounds share a stem.  The pairwise part learns combinations (an insult
 next to the mention of a group) that no additive weight can express.
 
 The model is fitted on a bounded sample of labelled rows (``sample``, the
-rows of smallest hash, so the same rows at any partitioning); terms enter it
-when they appear in ``min_docs`` sampled texts and are associated with the
-label (log-likelihood ratio over ``min_llr``; a pair may carry the signal of
-two weakly associated terms).  Fitting is mini-batch Adagrad on the driver:
-its input is bounded by the sample, its result by ``BUCKETS``.  Scoring reads
-every whole text once, in Arrow batches, without a shuffle.
+rows of smallest hash, so the same rows at any partitioning).  Of the terms in
+at least ``min_docs`` sampled texts those enter it that are associated with
+the label (log-likelihood ratio over ``min_llr``), and both words of every
+pair that is: words of at most ``PAIR_SPAN`` words' distance whose joint
+presence is associated by ``pair_llr`` more than either alone.  So two words
+that tell nothing by themselves are learnt as well.  Pairs are counted in a
+hashed table of fixed size in every task; only the pairs of telling cells are
+counted by name.  Fitting is mini-batch Adagrad on the driver: its input is
+bounded by the sample, its result by ``BUCKETS``.  Scoring reads every whole
+text once, in Arrow batches, without a shuffle.
 
 Defined results: null, empty and wordless texts have no terms and score the
 base rate (they are never predicted toxic while that is under the threshold);
 labels that are null or contradict each other for one doc_id are left out of
-the sample; without any usable label the score is 0 for every text.  Further
-columns are ignored; repeated rows give repeated results.
+the sample; without any usable label the score is 0 for every text; of several
+texts under one doc_id the one of smallest MD5 is learnt from, whatever the
+order of rows, and each is scored.  Further columns are ignored; repeated rows
+give repeated results.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import store
+from pairloom.llm.common import mix, store
 
 #: Hash space of the terms.
 BUCKETS = 1 << 22
@@ -111,6 +118,9 @@ def _llr(a, b, pos, neg):
 
 #: Sampled texts a term must be in, and its least log-likelihood ratio.
 MIN_DOCS, MIN_LLR = 3, 12.0
+#: Sampled texts a pair (and each of its words) must be in, what its ratio must be over those of its words, their greatest
+#: distance, and the cells of the hashed pair counts.
+PAIR_DOCS, PAIR_LLR, PAIR_SPAN, PAIR_CELLS = 20, 30.0, 16, 1 << 22
 
 
 def telling(a: np.ndarray, b: np.ndarray, pos: float, neg: float, min_docs: int = MIN_DOCS, min_llr: float = MIN_LLR) -> np.ndarray:
@@ -121,14 +131,17 @@ def telling(a: np.ndarray, b: np.ndarray, pos: float, neg: float, min_docs: int
 
 
 def fit(rows: np.ndarray, buckets: np.ndarray, y: np.ndarray, factors: int = 8, epochs: int = 40, rate: float = 0.2,
-        l2: float = 1e-5, min_docs: int = MIN_DOCS, min_llr: float = MIN_LLR, seed: int = 7) -> Machine:
-    """Fit on presences (row, bucket) of a bounded sample with labels ``y``."""
+        l2: float = 1e-5, min_docs: int = MIN_DOCS, min_llr: float = MIN_LLR, seed: int = 7,
+        paired: np.ndarray | None = None) -> Machine:
+    """Fit on presences (row, bucket) of a bounded sample with labels ``y``; buckets ``paired`` enter in any case."""
     n, pos = len(y), float(y.sum())
     if n == 0 or pos in (0.0, float(n)):
         return Machine(40.0 if n and pos else -40.0, np.empty(0, np.int64), np.empty(0), np.empty((0, factors)))
     uniq, at = np.unique(buckets, return_inverse=True)
     a = np.bincount(at, weights=y[rows], minlength=len(uniq))
     keep = telling(a, np.bincount(at, minlength=len(uniq)) - a, pos, n - pos, min_docs, min_llr)
+    if paired is not None:
+        keep |= np.isin(uniq, paired)
     new = np.cumsum(keep) - 1
     sel = keep[at]
     rows, cols = rows[sel], new[at[sel]]
@@ -165,50 +178,116 @@ def fit(rows: np.ndarray, buckets: np.ndarray, y: np.ndarray, factors: int = 8,
     return m
 
 
-def train(documents: DataFrame, labels: DataFrame, sample: int = 12_000, label: str = "toxic", **settings) -> Machine:
+def near_pairs(sequence: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (smaller, larger) buckets of frequent words at most ``PAIR_SPAN`` words apart."""
+    at = np.flatnonzero(frequent[sequence])
+    seq = sequence[at].astype(np.int64)
+    keys = [np.empty(0, np.int64)]
+    for d in range(1, min(PAIR_SPAN, len(seq) - 1) + 1):
+        a, b = seq[:-d], seq[d:]
+        near = (at[d:] - at[:-d] <= PAIR_SPAN) & (a != b)
+        keys.append(np.unique(np.minimum(a, b)[near] * BUCKETS + np.maximum(a, b)[near]))
+    both = np.unique(np.concatenate(keys))
+    return both // BUCKETS, both % BUCKETS
+
+
+def _cell(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (mix((a * BUCKETS + b).astype(np.uint64)) % np.uint64(PAIR_CELLS)).astype(np.int64)
+
+
+def telling_pairs(features: DataFrame, counts: np.ndarray, sizes: list[int], pair_docs: int, pair_llr: float) -> np.ndarray:
+    """Buckets of the words of pairs associated with the label beyond either word.
+
+    ``features``: y and sequence (word buckets in order); ``counts``: texts of
+    each label that hold a bucket.
+    """
+    spark = features.sparkSession
+    frequent = spark.sparkContext.broadcast(counts.sum(axis=0) >= pair_docs)  # BUCKETS booleans
+
+    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = np.zeros((2, PAIR_CELLS), np.int32)
+        for pdf in batches:
+            for y, raw in zip(pdf["y"], pdf["sequence"], strict=True):
+                np.add.at(table[int(y)], _cell(*near_pairs(np.frombuffer(raw, "<i4"), frequent.value)), 1)
+        at = np.flatnonzero(table.sum(axis=0))
+        for part in np.array_split(at, max(1, len(at) // 100_000)):
+            yield pd.DataFrame({"cell": part, "clean": table[0, part], "toxic": table[1, part]})
+
+    counted = features.select("y", "sequence").mapInPandas(cells, "cell long, clean long, toxic long")
+    counted = counted.groupBy("cell").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(F.col("clean") + F.col("toxic") >= pair_docs)
+    got = counted.toPandas()  # at most PAIR_CELLS rows
+    if got.empty:
+        return np.empty(0, np.int64)
+    llr = _llr(got["toxic"].to_numpy(float), got["clean"].to_numpy(float), float(sizes[1]), float(sizes[0]))
+    told = np.zeros(PAIR_CELLS, bool)
+    told[got["cell"][llr >= pair_llr]] = True
+    chosen = spark.sparkContext.broadcast(told)  # PAIR_CELLS booleans
+
+    def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for y, raw in zip(pdf["y"], pdf["sequence"], strict=True):
+                a, b = near_pairs(np.frombuffer(raw, "<i4"), frequent.value)
+                hit = chosen.value[_cell(a, b)]
+                yield pd.DataFrame({"a": a[hit], "b": b[hit], "y": int(y)})
+
+    pairs = features.select("y", "sequence").mapInPandas(named, "a long, b long, y int").groupBy("a", "b").agg(
+        F.sum(1 - F.col("y")).alias("clean"), F.sum("y").alias("toxic")).filter(F.col("clean") + F.col("toxic") >= pair_docs)
+    words_of: set[int] = set()
+    for r in pairs.toLocalIterator():
+        ends = np.array([r["a"], r["b"]])
+        alone = _llr(counts[1][ends].astype(float), counts[0][ends].astype(float), float(sizes[1]), float(sizes[0]))
+        if float(_llr(np.array(float(r["toxic"])), np.array(float(r["clean"])), sizes[1], sizes[0])) >= alone.max() + pair_llr:
+            words_of.update(map(int, ends))
+    return np.array(sorted(words_of), np.int64)
+
+
+def train(documents: DataFrame, labels: DataFrame, sample: int = 12_000, label: str = "toxic", min_docs: int = MIN_DOCS,
+          min_llr: float = MIN_LLR, pair_docs: int = PAIR_DOCS, pair_llr: float = PAIR_LLR, **settings) -> Machine:
     """Fit on at most ``sample`` labelled documents."""
-    spark = documents.sparkSession
     y = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
          .filter("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("m"))
          .filter("y = m").select("doc_id", "y").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    chosen = {r["doc_id"]: r["y"] for r in y.collect()}
-    if not chosen:
-        return fit(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
-    shared = spark.sparkContext.broadcast(chosen)  # bounded by ``sample``
+    y = store(y, "fm_sample")
 
     def featurize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict = {}
-        mine = shared.value
         for pdf in batches:
-            pdf = pdf[pdf["doc_id"].isin(mine.keys())].drop_duplicates("doc_id")
-            if len(pdf):
-                rows, cols = _presences(pdf["text"], None, known)
-                cut = np.searchsorted(rows, np.arange(len(pdf) + 1))
-                cols = cols.astype("<i4")
-                yield pd.DataFrame({"doc_id": pdf["doc_id"], "terms": [cols[cut[i]:cut[i + 1]].tobytes() for i in range(len(pdf))]})
+            pdf = pdf.assign(digest=[hashlib.md5((t or "").encode("utf-8", "replace")).digest() for t in pdf["text"]])
+            pdf = pdf.sort_values(["doc_id", "digest"], kind="stable").drop_duplicates("doc_id")
+            rows, cols = _presences(pdf["text"], None, known)
+            cut = np.searchsorted(rows, np.arange(len(pdf) + 1))
+            cols = cols.astype("<i4")
+            yield pd.DataFrame({
+                "doc_id": pdf["doc_id"], "y": pdf["y"], "digest": pdf["digest"],
+                "terms": [np.sort(cols[cut[i]:cut[i + 1]]).tobytes() for i in range(len(pdf))],
+                "sequence": [np.array([terms(w)[0] for w in words(t)], "<i4").tobytes() for t in pdf["text"]]})
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    got = store(docs.filter("doc_id is not null").mapInPandas(featurize, "doc_id long, terms binary"), "fm_terms")
+    # The sample has at most ``sample`` rows, so it may be broadcast: other texts never reach Python.
+    found = docs.join(F.broadcast(y), "doc_id").mapInPandas(featurize, "doc_id long, y int, digest binary, terms binary, sequence binary")
+    one = found.groupBy("doc_id").agg(F.min(F.struct("digest", "y", "terms", "sequence")).alias("f"))
+    got = store(one.select("doc_id", "f.y", "f.terms", "f.sequence"), "fm_terms")
 
     def sampled() -> Iterator[tuple[int, np.ndarray]]:
-        last = None
-        for r in got.orderBy("doc_id").toLocalIterator():
-            if r["doc_id"] != last:  # a repeated doc_id counts once
-                yield chosen[r["doc_id"]], np.frombuffer(r["terms"], "<i4")
-            last = r["doc_id"]
+        for r in got.select("doc_id", "y", "terms").orderBy("doc_id").toLocalIterator():
+            yield r["y"], np.frombuffer(r["terms"], "<i4")
 
-    # Two passes: counts in arrays of fixed size, then only the telling terms.
+    # Two passes: counts in arrays of fixed size, then only the terms that enter.
     counts, sizes = np.zeros((2, BUCKETS), np.int32), [0, 0]
     for label_of, terms_of in sampled():
         counts[label_of][terms_of] += 1
         sizes[label_of] += 1
-    keep = telling(counts[1], counts[0], sizes[1], sizes[0])
+    if not all(sizes):
+        return fit(np.empty(0, np.int64), np.empty(0, np.int64), np.array([1.0] * bool(sizes[1])))
+    paired = telling_pairs(got, counts, sizes, pair_docs, pair_llr)
+    keep = telling(counts[1], counts[0], sizes[1], sizes[0], min_docs, min_llr)
+    keep[paired] = True
     rows, cols, y_of = [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
     for label_of, terms_of in sampled():
         cols.append(terms_of[keep[terms_of]].astype(np.int64))
         rows.append(np.full(len(cols[-1]), len(y_of)))
         y_of.append(label_of)
-    return fit(np.concatenate(rows), np.concatenate(cols), np.array(y_of, float), **settings)
+    return fit(np.concatenate(rows), np.concatenate(cols), np.array(y_of, float), min_docs=min_docs, min_llr=min_llr, paired=paired, **settings)
 
 
 def score(documents: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:

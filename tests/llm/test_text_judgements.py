@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from pairloom.llm import decontamination, licences, toxicity
 
@@ -134,6 +135,54 @@ def test_machine_learns_an_interaction():
     assert (m.v[at[11]] * m.v[at[22]]).sum() > 1
 
 
+def test_words_that_tell_only_together(spark):
+    """Toxic where exactly one of two words stands: each is as common in both classes."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(3000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        w = [f"filler{rng.randrange(300)}" for _ in range(10)] + ["zorgel"] * a + ["blimfa"] * b
+        rng.shuffle(w)
+        rows.append((i, " ".join(w), int(a != b)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(docs, labels).collect()}
+    held = [(got[d]["predicted"], y) for d, _, y in rows if got[d]["held_out"]]
+    assert len(held) > 800 and sum(p == y for p, y in held) / len(held) > 0.95
+
+
+def test_score_is_the_double_sum_and_rows_may_come_in_any_order(spark):
+    rng = random.Random(5)
+    bad, good = ["idiot", "moron", "trash"], ["calm", "kind", "plain"]
+    rows = [(i, " ".join(rng.choice(bad if i % 2 and rng.random() < 0.4 else good) for _ in range(8)), i % 2) for i in range(400)]
+    rows += [(2, "idiot idiot moron", 0), (3, "calm", 1)]  # other texts under the same ids
+    labels = spark.createDataFrame([(d, y) for d, _, y in rows[:400]], "doc_id long, toxic int")
+    frames = [spark.createDataFrame([r[:2] for r in x], "doc_id long, text string").repartition(n) for x, n in ((rows, 1), (rows[::-1], 5))]
+    machines = [toxicity.train(f, labels, sample=300) for f in frames]
+    assert machines[0].bias == machines[1].bias and (machines[0].v == machines[1].v).all() and (machines[0].w == machines[1].w).all()
+    m = machines[0]
+    got = {(r["doc_id"], r["i"]): r["score"] for r in toxicity.score(frames[0], m).withColumn("i", F.lit(0)).collect()}
+    by_text = {}
+    for d, text, _ in rows:
+        at = sorted({m.index[b] for w in set(text.split()) for b in toxicity.terms(w) if b in m.index})
+        raw = m.bias + sum(m.w[i] for i in at) + sum(float(m.v[i] @ m.v[j]) for i in at for j in at if i < j)
+        by_text.setdefault(d, []).append(1 / (1 + np.exp(-raw)))
+    assert all(min(abs(s - x) for x in by_text[d]) < 1e-9 for (d, _), s in got.items())
+    assert len(toxicity.train(frames[0], labels, sample=300, min_docs=10 ** 6, pair_docs=10 ** 6).buckets) == 0
+
+
+def test_near_pairs_against_brute_force():
+    rng = np.random.default_rng(2)
+    frequent = np.zeros(toxicity.BUCKETS, bool)
+    frequent[:30] = True
+    for n in (0, 1, 2, 17, 90):
+        seq = rng.integers(0, 40, n).astype("<i4")
+        want = {(min(a, b), max(a, b)) for i, a in enumerate(seq.tolist()) for b in seq[i + 1:i + toxicity.PAIR_SPAN + 1].tolist()
+                if a != b and a < 30 and b < 30}
+        a, b = toxicity.near_pairs(seq, frequent)
+        assert sorted(zip(a.tolist(), b.tolist())) == sorted(want)
+
+
 def test_held_out_accuracy(spark, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = toxicity.toxicity(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").filter("held_out").collect()
