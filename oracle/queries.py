@@ -570,3 +570,32 @@ s AS (SELECT d.doc_id, l.lang AS code, sum(d.n * (ln(coalesce(c.n, 0) + 1.0::DOU
       FROM d CROSS JOIN l JOIN z ON z.lang = l.lang LEFT JOIN c ON c.lang = l.lang AND c.b = d.b GROUP BY 1, 2)
 SELECT t.doc_id, t.lang, t.held_out, CASE WHEN regexp_matches(t.t, '\p{L}') THEN (SELECT arg_max(code, score) FROM s WHERE s.doc_id = t.doc_id) END AS detected FROM t
 """
+
+
+ORACLE_SQL["incremental_merge"] = r"""
+SELECT doc_id,
+       CASE WHEN lang = 'es' THEN upper(text) ELSE regexp_replace(text, '\p{C}', ' ', 'g') END AS text,
+       CASE WHEN lang = 'es' THEN 2 WHEN regexp_replace(text, '\p{C}', ' ', 'g') <> text THEN 1 ELSE 0 END AS version
+FROM documents
+"""
+ORACLE_SQL["positives_by_partition"] = f"""
+WITH {CORPUS}, large AS (SELECT lang FROM labelled GROUP BY lang HAVING count(*) > 500)
+SELECT annotation_identifier, plagiat_sent, source_sent, url, lang, isParaphrase
+FROM labelled WHERE isParaphrase = 1 AND lang IN (SELECT lang FROM large)
+"""
+ORACLE_SQL["corpus_csv_read_back"] = f"WITH {CORPUS} SELECT lang, split, plagiat_sent, source_sent, isParaphrase, url FROM split"
+ORACLE_SQL["sheet_labels_read_back"] = f"""
+WITH {CORPUS}
+SELECT row_number() OVER (ORDER BY md5(concat_ws('|', '42', annotation_identifier)), annotation_identifier) - 1 AS item_no,
+       CAST(isParaphrase AS INTEGER) AS label
+FROM cleaned
+"""
+ORACLE_SQL["stopword_file_counts"] = rf"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}')) AS word FROM documents)
+SELECT word, count(DISTINCT doc_id) AS n_docs, count(*) AS n_tokens FROM t WHERE list_contains({GERMAN_SW}, word) GROUP BY word
+"""
+ORACLE_SQL["fragments_in_order"] = f"""
+WITH {C.fragments(LANG_LISTS)}
+SELECT split_part(fragment_identifier, '/', 1) AS author, url, row_number() OVER (ORDER BY split_part(fragment_identifier, '/', 1), url) AS place
+FROM fragments
+"""

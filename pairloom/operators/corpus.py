@@ -140,13 +140,16 @@ def fragment_tsv_projection(fragments: DataFrame) -> DataFrame:
     )
 
 
-def annotation_sheet(pairs: DataFrame, seed: str = "42", id_col: str = "annotation_identifier") -> DataFrame:
+def annotation_sheet(pairs: DataFrame, seed: str = "42", id_col: str = "annotation_identifier",
+                     label_col: str | None = None) -> DataFrame:
     """The annotation sheet, pairs in a seeded shuffled order, four
-    lines each: ``source,<src>`` / ``plag,<plag>`` / ``parahrase?,`` / blank."""
+    lines each: ``source,<src>`` / ``plag,<plag>`` / ``parahrase?,`` / blank.
+    With ``label_col`` the third line is filled in."""
     shuffled = pairs.withColumn("rnd", F.md5(F.concat_ws("|", F.lit(seed), F.col(id_col))))
     r = ordered_prefix(shuffled, [], ["rnd", id_col], totals=False)
     heads = fixed.SHEET_FIELDS
-    values = [F.col("source_sent"), F.col("plagiat_sent"), F.lit(""), F.lit("")]
+    label = F.coalesce(F.col(label_col).cast("string"), F.lit("")) if label_col else F.lit("")
+    values = [F.col("source_sent"), F.col("plagiat_sent"), label, F.lit("")]
     lines = F.array(*[
         F.struct(F.lit(i).alias("line_no"), F.lit(h).alias("field"), v.alias("value"))
         for i, (h, v) in enumerate(zip(heads, values))

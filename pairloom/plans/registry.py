@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from pairloom.operators import pairs as P
+from pairloom.operators.skew import ordered_prefix
 from pairloom.session import checkpoint_dir
 from pairloom.sources.tables import read_table
 
@@ -602,3 +603,70 @@ def q_learnt_language(spark, sf):
     d = _docs(spark, sf).select("doc_id", "lang", "text")
     model, languages = LM.train(d.where(~LM.held_out(F.col("doc_id"))), stages.materialize)
     return d.select("doc_id", "lang", LM.held_out(F.col("doc_id")).alias("held_out")).join(LM.detect(d, model, languages), "doc_id")
+
+
+# ---- stored tables, files read back (S2, S4-S6, S8, S10, S11, S17, O1) -----
+from pairloom.sources import stored as St  # noqa: E402
+
+
+def _folder(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+
+
+@register("incremental_merge")
+def q_incremental_merge(spark, sf):
+    """Documents stored in buckets (version 0), then two batches merged in place: the
+    texts whose control characters were replaced (1) and the upper-cased spanish texts (2)."""
+    d = _docs(spark, sf)
+    old = d.select("doc_id", "text", F.lit(0).alias("version"))
+    path = _folder(spark, "merged")
+    St.create_merged(old, path, ["doc_id"], "version")
+    cleaned = tx.clean_control_chars("text")
+    for batch in (d.where(cleaned != F.col("text")).select("doc_id", cleaned.alias("text"), F.lit(1).alias("version")),
+                  d.where("lang = 'es'").select("doc_id", F.upper("text").alias("text"), F.lit(2).alias("version"))):
+        St.merge_batch(spark, batch, path, ["doc_id"], "version", stages.materialize)
+    return St.read_merged(spark, path, old.schema).drop("bucket")
+
+
+@register("positives_by_partition")
+def q_positives_by_partition(spark, sf):
+    """S6 + S4: the labelled corpus laid out by language and label; the positives read back of languages with over 500 pairs."""
+    cols = ["annotation_identifier", "plagiat_sent", "source_sent", "url", "lang", "isParaphrase"]
+    corpus = stages.materialize(_labelled(spark, sf).select(*cols))
+    path = _folder(spark, "by_label")
+    St.write_by_label(corpus, path)
+    large = corpus.groupBy("lang").count().where("count > 500")
+    return St.select_by_label(spark, path, corpus.schema, 1, large).select(*cols)
+
+
+@register("corpus_csv_read_back")
+def q_corpus_csv_read_back(spark, sf):
+    """S6 + S5: the corpus files written as CSV and read back, with the language and part their folders name."""
+    path = _folder(spark, "corpus_csv")
+    FS.write_corpus_csv(_split(spark, sf), path)
+    return FS.read_corpus_csv(spark, path).select("lang", "split", "plagiat_sent", "source_sent", "isParaphrase", "url")
+
+
+@register("sheet_labels_read_back")
+def q_sheet_labels_read_back(spark, sf):
+    """S17 + S10: the sheet with its labels filled in, written as lines and read back by the second annotator's pattern."""
+    path = _folder(spark, "sheet")
+    FS.write_sheet(Cp.annotation_sheet(Cp.drop_inner_identical(_labelled(spark, sf)), label_col="isParaphrase"), path)
+    return FS.read_label_file(spark, path, "^" + fixed.LABEL_LINE_PATTERN_2)
+
+
+@register("stopword_file_counts")
+def q_stopword_file_counts(spark, sf):
+    """Tokens of every document that a stop-word file holds (one word a line, written and read back)."""
+    path = _folder(spark, "stopwords")
+    spark.createDataFrame([(w,) for w in fixed.GERMAN_STOPWORDS], "value string").write.text(path)
+    words = FS.read_stopwords(spark, path)
+    t = _docs(spark, sf).select("doc_id", F.explode(tx.tfidf_tokens("text")).alias("word")).groupBy("doc_id", "word").count()
+    return t.join(words, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("count").alias("n_tokens"))
+
+
+@register("fragments_in_order")
+def q_fragments_in_order(spark, sf):
+    """S2 + O1: fragments scanned in the order of author and url, numbered along it."""
+    f = stages.fragments(spark, sf).select(tx.author_of("fragment_identifier").alias("author"), "url")
+    return ordered_prefix(f, [], ["author", "url"], {"place": F.lit(1)}, totals=False)

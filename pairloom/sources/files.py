@@ -60,6 +60,24 @@ def parse_label_lines(lines: DataFrame, pattern: str = fixed.LABEL_LINE_PATTERN,
 
 
 def read_label_file(spark: SparkSession, path: str, pattern: str = fixed.LABEL_LINE_PATTERN) -> DataFrame:
-    """Label file reader (small hand-made files): lines numbered in file order."""
-    lines = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
+    """Label file reader: lines numbered in file order, over all files of a folder by name."""
+    lines = spark.read.text(path).select("value", F.struct(
+        F.col("_metadata.file_name"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("n")).alias("line_no"))
     return parse_label_lines(lines, pattern)
+
+
+def sheet_lines(sheet: DataFrame) -> DataFrame:
+    """(item_no, line_no, value), the lines of the sheet's file: ``field,value``, blank where there is no field.
+
+    A value stays on one line (line breaks become blanks) and is quoted, quotes
+    doubled, when it holds a comma or a quote.
+    """
+    value = F.regexp_replace("value", r"[\r\n]+", " ")
+    quoted = F.when(value.rlike('[",]'), F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(value)
+    line = F.when(F.col("field") == "", F.lit("")).otherwise(F.concat("field", F.lit(","), quoted))
+    return sheet.select("item_no", "line_no", line.alias("value"))
+
+
+def write_sheet(sheet: DataFrame, path: str) -> None:
+    """The lines as text files, in order over the files' names."""
+    sheet_lines(sheet).orderBy("item_no", "line_no").select("value").write.mode("overwrite").text(path)
