@@ -6,8 +6,7 @@ into planes (byte planes: all low bytes, then all high bytes; bit planes: one
 per bit), every plane is compressed with zstandard, and a chunk row keeps them
 with the documents that start in it.  The chunk index (shard, chunk, ids,
 bytes, first id in the whole stream) is a table of its own.  Chunks live in
-Parquet files (its own compression off), written by Spark's committer into
-any store Spark can write, so a lost executor leaves no half shard behind.
+Parquet files, written by Spark's committer into any store Spark can write, so a lost executor leaves no half shard behind.
 
 A reader streams a shard's chunks in order and holds one block at a time.
 

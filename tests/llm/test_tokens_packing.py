@@ -27,6 +27,16 @@ def test_cached_ids_are_the_library_ids(library, texts):
         assert np.frombuffer(e.encode(text), "<u2").tolist() == library(text)
 
 
+def test_other_vocabularies_go_through_the_library(texts):
+    from tokenizers import Tokenizer
+
+    other = default_path("byte_bpe_50k.json")
+    enc, lib = Encoder(other), Tokenizer.from_file(other)
+    assert not enc.fast and Encoder(default_path()).fast
+    for _, t in [*texts[:50], (0, "Plain text, with  two blanks."), (0, None)]:
+        assert np.frombuffer(enc.encode(t), "<u2").tolist() == lib.encode(t or "", add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 @pytest.mark.parametrize("n", [1, 7, 8, 1000])
 def test_planes_round_trip(kind, n):
