@@ -49,6 +49,30 @@ def test_a_damaged_payload_is_found(spark):
         warc.read_records(headers, bad).collect()
 
 
+def test_a_payload_of_many_records_is_rebuilt_from_several_copies(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SHARE", 4)
+    rows = [(i, f"u{i}", "hot" if i % 3 else "") for i in range(60)] + [(60, "u", "other")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    headers, payloads = warc.write_archive(df)
+    assert {bytes(r["payload"]): r["copies"] for r in payloads.collect()} == {b"hot": 10, b"": 5, b"other": 1}
+    assert headers.filter("length(header) > 0").select("address", "slot").distinct().count() > 3
+    got = {r["page_id"]: tuple(r)[1:] for r in warc.read_records(headers, payloads).collect()}
+    first = {"hot": 1, "": 0, "other": 60}
+    assert got == {i: (len(h), b32(h.encode()), "response" if i == first[h] else "revisit", None if i == first[h] else first[h])
+                   for i, _, h in rows}
+
+
+def test_a_record_whose_parts_disagree_is_refused():
+    body = b"body"
+    address = hashlib.sha256(body).hexdigest()
+    block = warc.header_block("response", 3, "u", 4, b32(body), None, warc.DATE)
+    assert warc.parse_record(address, block + body + warc.CLOSE) == (3, 4, b32(body), "response", None)
+    for bad in (block + body, block + body + b"!" + warc.CLOSE,
+                warc.header_block("response", 3, "u", 4, b32(b"else"), None, warc.DATE) + body + warc.CLOSE):
+        with pytest.raises(ValueError, match="a header does not match its payload"):
+            warc.parse_record(address, bad)
+
+
 def test_parse_levels():
     text = "Hi.\n\nOn Monday, Ann wrote:\n> One  line\n> more\n>\n> Second\n>> Deep\n\nMy answer\nhere"
     assert chat.parse(text) == [(0, "Hi."), (1, "One  line\nmore"), (1, "Second"), (2, "Deep"), (0, "My answer\nhere")]
