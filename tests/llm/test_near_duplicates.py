@@ -200,6 +200,33 @@ def test_audit_counts_classes_and_wants_evidence(spark, monkeypatch):
     assert {r["vec_id"]: r["n_links"] for r in got} == brute_links(rows)
 
 
+def test_a_table_with_few_links_is_judged_by_planted_copies(spark, monkeypatch):
+    """Too few drawn classes have links: the graph stays, and planted copies neither count nor join groups."""
+    monkeypatch.setattr(vectors, "AUDIT", 1)
+    monkeypatch.setattr(vectors, "DRAWN", 4)
+    monkeypatch.setattr(vectors, "PLANTED", 60)
+    search, audit, built, judged = vectors.search, vectors.audit_recall, [], []
+    monkeypatch.setattr(vectors, "search", lambda *a, **k: built.append(k.get("exact", False)) or search(*a, **k))
+    monkeypatch.setattr(vectors, "audit_recall", lambda got, want: judged.append(len(want)) or audit(got, want))
+    rows = planted(900, 5)
+    got = vectors.near_duplicates(frame(spark, rows)).collect()
+    links = brute_links(rows)
+    assert {r["vec_id"]: r["n_links"] for r in got} == links and len(got) == len(rows)
+    assert {r["component_id"] for r in got} == set(range(900))
+    assert True not in built and min(judged) >= 60
+
+
+def test_planted_copies(spark):
+    rows = [(i, v, 1) for i, v in enumerate([[1.0, 0.0], [0.0, 3.0], [5.0, 5.0]])] + [(9, [2.0], 1)]
+    reps = vectors.classes(frame(spark, rows)).cache()
+    own = {r["rep"]: r for r in reps.collect()}
+    out = vectors.plant(reps, 0.93)
+    assert len(out) == 4 and not {r["rep"] for r in out} & set(own) and all(r["many"] == 0 for r in out)
+    best = [max(float(vectors.unit([r["vec"]])[0] @ vectors.unit([o["vec"]])[0]) for o in own.values() if o["dim"] == r["dim"]) for r in out]
+    assert all(0.93 < c <= 1 + 1e-12 for c in best)
+    assert vectors.plant(reps.limit(0), 0.93) == []
+
+
 def test_jaccard_of_long_words(spark):
     from tests.llm.test_substrings import twins
 
