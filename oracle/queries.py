@@ -599,3 +599,8 @@ WITH {C.fragments(LANG_LISTS)}
 SELECT split_part(fragment_identifier, '/', 1) AS author, url, row_number() OVER (ORDER BY split_part(fragment_identifier, '/', 1), url) AS place
 FROM fragments
 """
+
+# ---- SQL functions, bucketed tables ----------------------------------------
+ORACLE_SQL["annotated_spans_sql"] = ORACLE_SQL["annotated_spans_parsed"]
+ORACLE_SQL["monolingual_sql"] = ORACLE_SQL["monolingual"]
+ORACLE_SQL["annotation_augmented_bucketed"] = ORACLE_SQL["annotation_augmented"]

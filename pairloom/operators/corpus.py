@@ -110,11 +110,15 @@ def corpus_files(split: DataFrame, date: str, keys=("plagiat_sent", "source_sent
     return parts.unionByName(full)
 
 
+def fragment_records(fragments: DataFrame) -> DataFrame:
+    """What annotations take from their fragment, by url."""
+    return fragments.select("url", "fragment_identifier", F.col("type").alias("category"),
+                            tx.author_of("fragment_identifier").alias("author"))
+
+
 def annotation_augmented(annotations: DataFrame, fragments: DataFrame) -> DataFrame:
     """Annotations enriched from their fragment by url (left join)."""
-    f = fragments.select("url", "fragment_identifier", F.col("type").alias("category"),
-                         tx.author_of("fragment_identifier").alias("author"))
-    return annotations.join(f, "url", "left")
+    return annotations.join(fragment_records(fragments), "url", "left")
 
 
 def upsert_latest(old: DataFrame, new: DataFrame, key_cols: list[str], version_col: str) -> DataFrame:

@@ -670,3 +670,25 @@ def q_fragments_in_order(spark, sf):
     """S2 + O1: fragments scanned in the order of author and url, numbered along it."""
     f = stages.fragments(spark, sf).select(tx.author_of("fragment_identifier").alias("author"), "url")
     return ordered_prefix(f, [], ["author", "url"], {"place": F.lit(1)}, totals=False)
+
+
+# ---- SQL functions, bucketed tables (S3, T8, T13, M1, M2; S12-S14, J3) -----
+from pairloom.plans import sql as Sq  # noqa: E402
+from pairloom.sources import bucketed as Bk  # noqa: E402
+
+
+@register("annotated_spans_sql")
+def q_annotated_spans_sql(spark, sf):
+    return Sq.annotated_spans_sql(spark, S.fragment_sides(stages.fragments(spark, sf)))
+
+
+@register("monolingual_sql")
+def q_monolingual_sql(spark, sf):
+    return Sq.monolingual_sql(spark, stages.annotations(spark, sf))
+
+
+@register("annotation_augmented_bucketed")
+def q_annotation_augmented_bucketed(spark, sf):
+    """J3 over annotations and fragment records stored in buckets by url."""
+    many, one = Bk.store_for_join(stages.annotations(spark, sf), Cp.fragment_records(stages.fragments(spark, sf)), "url")
+    return Bk.join_stored(many, one, "url")
