@@ -6,7 +6,7 @@ folder named by ``spark.checkpoint.dir`` and read back, which cuts the long
 lineage (documents -> pairs -> markup -> spans -> annotations): later queries
 and task retries start from the written table, with column pruning, filter
 pushdown and sizes for the planner.  A stage is built again when the files it
-derives from have changed (names, lengths, times).
+derives from have changed (bytes, number of files, time of the file or folder).
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pairloom.session import checkpoint_dir
 from pairloom.sources import adapters
-from pairloom.sources.tables import read_table
+from pairloom.sources.tables import read_table, table_path
 
 _MEMO: dict[tuple, DataFrame] = {}
 
@@ -30,14 +30,11 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def _state(spark: SparkSession, sf_dir: str) -> tuple:
-    """Names, lengths and times of the documents' files."""
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    out = []
-    for name in sorted(documents(spark, sf_dir).inputFiles()):
-        p = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
-        f = p.getFileSystem(conf).getFileStatus(p)
-        out.append((name, f.getLen(), f.getModificationTime()))
-    return tuple(out)
+    """Bytes, files and change time of the documents, asked of the file system as a whole (no call per file)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, "documents"))
+    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    held = fs.getContentSummary(p)
+    return p.toString(), held.getLength(), held.getFileCount(), fs.getFileStatus(p).getModificationTime()
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:

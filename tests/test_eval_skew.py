@@ -1,7 +1,10 @@
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pairloom.operators import evaluate as E
+from pairloom.operators import tfidf as TF
 from pairloom.operators.skew import ordered_prefix, salted_join
 
 
@@ -76,3 +79,20 @@ def test_tfidf_weights_have_unit_length(spark):
     assert a.count() == sum(len(set(t.split()) - {"a"}) for t in texts)
     norms = a.groupBy("doc").agg(F.sum(F.col("weight") * F.col("weight")).alias("n")).collect()
     assert all(abs(r["n"] - 1.0) < 1e-9 for r in norms)
+
+
+def test_copies_of_a_text_share_their_terms(spark):
+    """df counts documents, not texts; every document has its weights; a text is tokenised once."""
+    rows = [("a", "one two two"), ("b", "one two two"), ("c", "one three"), ("d", None), ("e", ""), ("f", "one two two")]
+    docs = spark.createDataFrame(rows, "doc string, text string")
+    assert {(r["term"], r["many"], r["tf"]) for r in TF.term_counts(docs).collect()} == {
+        ("one", 3, 1), ("two", 3, 2), ("one", 1, 1), ("three", 1, 1)}
+    weights, vocab = TF.tfidf_weights(docs, ["doc"], min_df=1, max_df=100)
+    assert {r["term"]: r["df"] for r in vocab.collect()} == {"one": 4, "two": 3, "three": 1}
+    idf = {t: math.log(7 / (1 + n)) + 1 for t, n in (("one", 4), ("two", 3), ("three", 1))}
+    got = {(r["doc"], r["term"]): r["weight"] for r in weights.collect()}
+    norm = math.hypot(idf["one"], 2 * idf["two"])
+    want = {(d, "one"): idf["one"] / norm for d in "abf"} | {(d, "two"): 2 * idf["two"] / norm for d in "abf"}
+    norm = math.hypot(idf["one"], idf["three"])
+    want |= {("c", "one"): idf["one"] / norm, ("c", "three"): idf["three"] / norm}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
