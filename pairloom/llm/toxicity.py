@@ -121,6 +121,8 @@ MIN_DOCS, MIN_LLR = 3, 12.0
 #: Sampled texts a pair (and each of its words) must be in, what its ratio must be over those of its words, their greatest
 #: distance, and the cells of the hashed pair counts.
 PAIR_DOCS, PAIR_LLR, PAIR_SPAN, PAIR_CELLS = 20, 30.0, 16, 1 << 22
+#: Tasks that count pairs, and the pairs a task holds before it passes them on.
+PAIR_TASKS, PAIRS_HELD = 16, 1 << 20
 
 
 def telling(a: np.ndarray, b: np.ndarray, pos: float, neg: float, min_docs: int = MIN_DOCS, min_llr: float = MIN_LLR) -> np.ndarray:
@@ -195,6 +197,34 @@ def _cell(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (mix((a * BUCKETS + b).astype(np.uint64)) % np.uint64(PAIR_CELLS)).astype(np.int64)
 
 
+def counted_pairs(batches: Iterator[pd.DataFrame], frequent: np.ndarray, chosen: np.ndarray) -> Iterator[pd.DataFrame]:
+    """(a, b, y, n): the near pairs of chosen cells, texts of a label that name the same pair added up (over ``PAIRS_HELD`` pairs at least)."""
+    held, many, fresh = np.empty(0, np.int64), np.empty(0, np.int64), []
+
+    def added() -> tuple[np.ndarray, np.ndarray]:
+        keys, at = np.unique(np.concatenate([held, *fresh]), return_inverse=True)
+        n = np.concatenate([many, np.ones(len(at) - len(many), np.int64)])
+        return keys, np.bincount(at, weights=n, minlength=len(keys)).astype(np.int64)
+
+    def rows() -> pd.DataFrame:
+        pair = held >> 1
+        return pd.DataFrame({"a": pair // BUCKETS, "b": pair % BUCKETS, "y": (held & 1).astype(np.int32), "n": many})
+
+    for pdf in batches:
+        for y, raw in zip(pdf["y"], pdf["sequence"], strict=True):
+            a, b = near_pairs(np.frombuffer(raw, "<i4"), frequent)
+            hit = chosen[_cell(a, b)]
+            fresh.append((a[hit] * BUCKETS + b[hit]) * 2 + int(y))
+            if len(fresh) >= 256:
+                held, many = added()
+                fresh = []
+                if len(held) >= PAIRS_HELD:
+                    yield rows()
+                    held, many = held[:0], many[:0]
+    held, many = added()
+    yield rows()
+
+
 def telling_pairs(features: DataFrame, counts: np.ndarray, sizes: list[int], pair_docs: int, pair_llr: float) -> np.ndarray:
     """Buckets of the words of pairs associated with the label beyond either word.
 
@@ -213,32 +243,42 @@ def telling_pairs(features: DataFrame, counts: np.ndarray, sizes: list[int], pai
         for part in np.array_split(at, max(1, len(at) // 100_000)):
             yield pd.DataFrame({"cell": part, "clean": table[0, part], "toxic": table[1, part]})
 
-    counted = features.select("y", "sequence").mapInPandas(cells, "cell long, clean long, toxic long")
+    # The texts are a bounded sample: few tasks, so that what every task counted adds up to few rows.
+    texts = features.select("y", "sequence").coalesce(PAIR_TASKS)
+    counted = texts.mapInPandas(cells, "cell long, clean long, toxic long")
     counted = counted.groupBy("cell").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(F.col("clean") + F.col("toxic") >= pair_docs)
-    got = counted.toPandas()  # at most PAIR_CELLS rows
-    if got.empty:
+
+    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            llr = _llr(pdf["toxic"].to_numpy(float), pdf["clean"].to_numpy(float), float(sizes[1]), float(sizes[0]))
+            yield pd.DataFrame({"cells": [pdf["cell"].to_numpy("<i8")[llr >= pair_llr].tobytes()]})
+
+    table = np.zeros(PAIR_CELLS, bool)
+    for r in counted.mapInPandas(told, "cells binary").toLocalIterator():
+        table[np.frombuffer(r["cells"], "<i8")] = True
+    if not table.any():
         return np.empty(0, np.int64)
-    llr = _llr(got["toxic"].to_numpy(float), got["clean"].to_numpy(float), float(sizes[1]), float(sizes[0]))
-    told = np.zeros(PAIR_CELLS, bool)
-    told[got["cell"][llr >= pair_llr]] = True
-    chosen = spark.sparkContext.broadcast(told)  # PAIR_CELLS booleans
+    chosen = spark.sparkContext.broadcast(table)  # PAIR_CELLS booleans
 
     def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from counted_pairs(batches, frequent.value, chosen.value)
+
+    pairs = texts.mapInPandas(named, "a long, b long, y int, n long").groupBy("a", "b").agg(
+        F.sum((1 - F.col("y")) * F.col("n")).alias("clean"), F.sum(F.col("y") * F.col("n")).alias("toxic")).filter(F.col("clean") + F.col("toxic") >= pair_docs)
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for y, raw in zip(pdf["y"], pdf["sequence"], strict=True):
-                a, b = near_pairs(np.frombuffer(raw, "<i4"), frequent.value)
-                hit = chosen.value[_cell(a, b)]
-                yield pd.DataFrame({"a": a[hit], "b": b[hit], "y": int(y)})
-
-    pairs = features.select("y", "sequence").mapInPandas(named, "a long, b long, y int").groupBy("a", "b").agg(
-        F.sum(1 - F.col("y")).alias("clean"), F.sum("y").alias("toxic")).filter(F.col("clean") + F.col("toxic") >= pair_docs)
-    words_of: set[int] = set()
-    for r in pairs.toLocalIterator():
-        ends = np.array([r["a"], r["b"]])
-        alone = _llr(counts[1][ends].astype(float), counts[0][ends].astype(float), float(sizes[1]), float(sizes[0]))
-        if float(_llr(np.array(float(r["toxic"])), np.array(float(r["clean"])), sizes[1], sizes[0])) >= alone.max() + pair_llr:
-            words_of.update(map(int, ends))
-    return np.array(sorted(words_of), np.int64)
+            yield pd.DataFrame({"pairs": [pdf[["a", "b", "clean", "toxic"]].to_numpy("<i8").tobytes()]})
+
+    words_of = np.zeros(BUCKETS, bool)
+    pos, neg = float(sizes[1]), float(sizes[0])
+    for r in pairs.mapInPandas(packed, "pairs binary").toLocalIterator():
+        got = np.frombuffer(r["pairs"], "<i8").reshape(-1, 4)
+        ends = got[:, :2]
+        alone = _llr(counts[1][ends].astype(float), counts[0][ends].astype(float), pos, neg).max(axis=1)
+        beyond = _llr(got[:, 3].astype(float), got[:, 2].astype(float), pos, neg) >= alone + pair_llr
+        words_of[ends[beyond].ravel()] = True
+    return np.flatnonzero(words_of)
 
 
 def train(documents: DataFrame, labels: DataFrame, sample: int = 12_000, label: str = "toxic", min_docs: int = MIN_DOCS,

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from pairloom.llm import decontamination, licences, toxicity
@@ -191,6 +193,19 @@ def test_held_out_accuracy(spark, docs):
     assert sum(r["predicted"] > r["toxic"] for r in got) <= 0.02 * len(got)
 
 
+def test_pairs_of_copies_are_added_up_in_the_task():
+    rng = random.Random(3)
+    own = [np.array([rng.randrange(40) for _ in range(50)], "<i4") for _ in range(5)]
+    rows = [(i % 2, own[i % 5]) for i in range(1500)]
+    frequent, chosen = np.zeros(toxicity.BUCKETS, bool), np.ones(toxicity.PAIR_CELLS, bool)
+    frequent[:40] = True
+    want = Counter((a, b, y) for y, s in rows for a, b in zip(*map(np.ndarray.tolist, toxicity.near_pairs(s, frequent)), strict=True))
+    batches = [pd.DataFrame({"y": [y for y, _ in rows[i:i + 400]], "sequence": [s.tobytes() for _, s in rows[i:i + 400]]}) for i in range(0, 1500, 400)]
+    got = pd.concat(toxicity.counted_pairs(iter(batches), frequent, chosen))
+    assert len(got) == len(want) and {(r.a, r.b, r.y): r.n for r in got.itertuples()} == want
+    assert len(pd.concat(toxicity.counted_pairs(iter([]), frequent, chosen))) == 0
+
+
 def test_toxicity_odd_rows(spark):
     docs = spark.createDataFrame([(i, "you idiot here" if i % 2 else "calm words here", 1.0) for i in range(60)]
                                  + [(100, None, 0.0), (101, "", 0.0), (None, "you idiot", 0.0), (102, "idiot " * 30_000, 0.0), (3, "you idiot", 0.0)],
