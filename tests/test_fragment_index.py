@@ -55,3 +55,26 @@ def test_weights_from_digests_are_those_of_the_texts(spark):
     got, vocab2 = TF.tfidf_weights(named, ["doc_id"], min_df=1, max_df=5, texts=docs.select("text"))
     rounded = lambda w: sorted(map(tuple, w.withColumn("weight", F.round("weight", 9)).collect()))
     assert rounded(got) == rounded(want) and sorted(map(tuple, vocab.collect())) == sorted(map(tuple, vocab2.collect()))
+
+
+def test_no_span_and_no_sentence_of_a_side_is_kept(spark):
+    from pairloom.plans.annotations import build_annotations
+
+    html = lambda w: ('<td><p><span class="fragmark1">one two</span><span class="text">three four five ' + w + '. Here are some more words to pick.</span></p></td>')
+    f = spark.createDataFrame([("u", html("six"), html("seven"), "f", "en", "en", "t")],
+                              "url string, raw_plagiat_text string, raw_source_text string, fragment_identifier string, lang_source string, lang_plagiat string, type string")
+    seen = []
+    ann, _ = build_annotations(f, cut=lambda df: seen.append(df.columns) or df)
+    assert [r["fake_source_sent"] for r in ann.collect()] == ["Here are some more words to pick."]
+    assert seen == [["url", "side", "runs"], ["url", "side", "key", "sent"], ["url", "i", "key", "plagiat_sent", "source_sent"],
+                    ["url", "i", "n_acceptable", "fake"]]
+
+
+def test_side_cells_come_as_often_as_their_fragment(spark):
+    docs = _docs(spark)
+    sents = adapters.document_sentences(adapters.tokenized_sentences(docs))
+    index = adapters.fragment_index(docs, adapters.lead_pairs(docs), sents)
+    rows = adapters.side_cells(index, sents).collect()
+    assert len({(r["url"], r["side"]) for r in rows}) == len(rows)
+    got = sorted((r["url"], r["side"], c) for r in rows for c in r["cells"])
+    assert got == sorted(map(tuple, adapters.fragment_cells(index, sents).select("url", "side", "html").collect())) and len(got) > len(rows)
