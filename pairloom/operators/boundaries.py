@@ -7,7 +7,7 @@ word and its stop is a log-likelihood ratio over the corpus.  Numbers and
 single letters keep their stop, too, where a log-likelihood ratio ties them to
 the word after it ("3. Mai").  A split after such a word is taken back.
 
-Counting is one aggregation per table with map-side combine.  The learnt
+Counting is one pass over the texts with map-side combine.  The learnt
 tables are joined to the pieces of the texts by their last word; the planner
 broadcasts them while they are small.
 """
@@ -33,20 +33,30 @@ def bare(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, r"\.+$", ""))
 
 
-def _words(documents: DataFrame, text: str) -> DataFrame:
+def tallies(documents: DataFrame, text: str = "text") -> DataFrame:
+    """(word, next, n): how often a word stands; ``next`` is the word after it where that may be a collocation, else null.
+
+    The one pass over the texts: equal words are added up in the task, and
+    their types are taken of what is left.
+    """
     w = documents.select(F.regexp_extract_all(text, F.lit(WORD), 0).alias("w"))
-    pair = F.transform("w", lambda x, i: F.struct(x.alias("word"), F.get("w", i + 1).alias("next")))
-    return w.select(F.explode(pair).alias("p")).select("p.word", "p.next")
+    may = lambda x: F.endswith(x, F.lit(".")) & bare(x).rlike(NUMBER_OR_INITIAL)
+    pair = F.transform("w", lambda x, i: F.struct(x.alias("word"), F.when(may(x), F.get("w", i + 1)).alias("next")))
+    return w.select(F.explode(pair).alias("p")).groupBy("p.word", "p.next").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _x_ln_y(x: Column, y: Column) -> Column:
     return F.when(x > 0, x * F.ln(y)).otherwise(F.lit(0.0))
 
 
+def _counts(words: DataFrame) -> DataFrame:
+    stop = F.when(F.endswith("word", F.lit(".")), F.col("n")).otherwise(F.lit(0))
+    return words.select(bare(F.col("word")).alias("type"), "n", stop.alias("s")).groupBy("type").agg(F.sum("n").alias("n"), F.sum("s").alias("n_stop"))
+
+
 def word_counts(documents: DataFrame, text: str = "text") -> DataFrame:
     """(type, n, n_stop): how often a word stands, and how often with a stop."""
-    return (_words(documents, text).select(bare(F.col("word")).alias("type"), F.endswith("word", F.lit(".")).alias("stop"))
-            .groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count_if("stop").alias("n_stop")))
+    return _counts(tallies(documents, text))
 
 
 def abbreviations(counts: DataFrame, least: float = ABBREVIATION) -> DataFrame:
@@ -66,10 +76,13 @@ def abbreviations(counts: DataFrame, least: float = ABBREVIATION) -> DataFrame:
 
 def collocations(documents: DataFrame, counts: DataFrame, text: str = "text", least: float = COLLOCATION) -> DataFrame:
     """(type, next, n, ratio): numbers and initials with a stop, and the words that are tied to them."""
+    return _collocations(tallies(documents, text), counts, least)
+
+
+def _collocations(words: DataFrame, counts: DataFrame, least: float = COLLOCATION) -> DataFrame:
     total = counts.agg(F.sum("n")).first()[0] or 0
-    p = _words(documents, text).where(F.endswith("word", F.lit(".")) & F.col("next").isNotNull())
-    p = p.select(bare(F.col("word")).alias("type"), bare(F.col("next")).alias("next")).where(F.col("type").rlike(NUMBER_OR_INITIAL))
-    p = p.groupBy("type", "next").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SEEN)
+    p = words.where(F.col("next").isNotNull()).select(bare(F.col("word")).alias("type"), bare(F.col("next")).alias("next"), "n")
+    p = p.groupBy("type", "next").agg(F.sum("n").alias("n")).where(F.col("n") >= SEEN)
     p = (p.join(counts.select("type", F.col("n").cast("double").alias("a")), "type")
          .join(counts.select(F.col("type").alias("next"), F.col("n").cast("double").alias("b")), "next"))
     ab, a, b, n = F.col("n").cast("double"), F.col("a"), F.col("b"), F.lit(float(total))
@@ -82,8 +95,9 @@ def collocations(documents: DataFrame, counts: DataFrame, text: str = "text", le
 
 def learn(documents: DataFrame, text: str, store: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """The stored tables of abbreviations and collocations of a corpus."""
-    counts = store(word_counts(documents, text))
-    return store(abbreviations(counts)), store(collocations(documents, counts, text))
+    words = store(tallies(documents, text))
+    counts = store(_counts(words))
+    return store(abbreviations(counts)), store(_collocations(words, counts))
 
 
 def learnt_sentences(documents: DataFrame, abbreviated: DataFrame, tied: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -95,7 +109,8 @@ def learnt_sentences(documents: DataFrame, abbreviated: DataFrame, tied: DataFra
     along = Window.partitionBy(id_col).orderBy("pi")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     p = p.withColumn("at", F.coalesce(F.sum(F.length("piece")).over(before), F.lit(0)))
-    p = p.withColumn("type", bare(F.regexp_extract("piece", f"({WORD})$", 1)))
+    # No word holds a blank: the last one is looked for behind the last blank only.
+    p = p.withColumn("type", bare(F.regexp_extract(F.substring_index("piece", " ", -1), f"({WORD})$", 1)))
     p = p.withColumn("next", bare(F.lead(F.regexp_extract("piece", WORD, 0)).over(along)))
     p = p.withColumn("type", F.when(F.endswith("piece", F.lit(".")) & (F.col("type") != ""), F.col("type")))
     p = (p.join(abbreviated.select("type", F.lit(True).alias("short")), "type", "left")
