@@ -9,8 +9,11 @@ probability of each of its trigrams, one added to every count.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +27,66 @@ def trigrams(text: Column) -> Column:
     return F.regexp_extract_all(F.concat(F.lit(" "), letters, F.lit(" ")), F.lit("(?=(...))"), F.lit(1))
 
 
-def _buckets(documents: DataFrame, *columns: str, text: str = "text") -> DataFrame:
-    grams = documents.select(*columns, F.explode(trigrams(F.coalesce(text, F.lit("")))).alias("gram"))
-    return grams.withColumn("bucket", F.substring(F.md5("gram"), 1, DIGITS))
+#: Signs of the texts that are worked on at once.
+SIGNS = 1 << 19
+
+
+def _letters(text: Column) -> Column:
+    """A text as ``trigrams`` sees it: the letters in lower case, other signs being one blank, a blank at both ends."""
+    return F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\P{L}\x{10000}-\x{10FFFF}]+", " "), F.lit(" "))
+
+
+def _batches(texts: pd.Series) -> Iterator[tuple[int, list[str]]]:
+    """(place of the first, texts) of about SIGNS signs."""
+    at, held, size = 0, [], 0
+    for i, t in enumerate(texts):
+        held.append(t)
+        size += len(t)
+        if size >= SIGNS:
+            yield at, held
+            at, held, size = i + 1, [], 0
+    if held:
+        yield at, held
+
+
+class _Hashed:
+    """Trigrams of texts as buckets; a trigram's MD5 is taken once while it is remembered."""
+
+    def __init__(self):
+        self.known: dict[int, int] = {}
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, bucket) of every trigram of ``_letters`` texts."""
+        signs = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+        of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        whole = of[2:] == of[:-2]  # runs over the end of a text are none
+        grams = (signs[:-2] << 42 | signs[1:-1] << 21 | signs[2:])[whole]
+        distinct, each = np.unique(grams, return_inverse=True)
+        if len(self.known) > 1 << 18:
+            self.known.clear()
+        buckets = np.empty(len(distinct), np.int64)
+        for i, g in enumerate(distinct.tolist()):
+            if g not in self.known:
+                gram = chr(g >> 42) + chr(g >> 21 & 0x1FFFFF) + chr(g & 0x1FFFFF)
+                self.known[g] = int(hashlib.md5(gram.encode("utf-8", "replace")).hexdigest()[:DIGITS], 16)
+            buckets[i] = self.known[g]
+        return of[2:][whole], buckets[each]
+
+
+def _counted(labelled: DataFrame, lang: str, text: str) -> DataFrame:
+    """(lang, bucket, n): the trigrams of a language, added up in the task."""
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashed, held = _Hashed(), {}
+        for pdf in batches:
+            for code, texts in pdf.groupby("lang", sort=False)["letters"]:
+                for _, some in _batches(texts):
+                    held[code] = held.get(code, 0) + np.bincount(hashed(some)[1], minlength=BUCKETS)
+        for code, n in held.items():
+            seen = np.flatnonzero(n)
+            if len(seen):
+                yield pd.DataFrame({"lang": code, "bucket": [f"{b:0{DIGITS}x}" for b in seen], "n": n[seen]})
+
+    return labelled.select(F.col(lang).alias("lang"), _letters(F.col(text)).alias("letters")).mapInPandas(rows, "lang string, bucket string, n long")
 
 
 def train(documents: DataFrame, store: Callable[[DataFrame], DataFrame], lang: str = "lang", text: str = "text") -> tuple[DataFrame, dict[str, tuple]]:
@@ -35,9 +95,8 @@ def train(documents: DataFrame, store: Callable[[DataFrame], DataFrame], lang: s
     Texts without a language don't take part.  There is one column per language, so their number is that of labels in use.
     """
     labelled = documents.where(F.col(lang).isNotNull())
-    # Equal trigrams of a language are added up in every task before their MD5 is taken.
-    grams = labelled.select(lang, F.explode(trigrams(F.coalesce(text, F.lit("")))).alias("gram")).groupBy(lang, "gram").agg(F.count(F.lit(1)).alias("n"))
-    counts = store(grams.groupBy(F.col(lang).alias("lang"), F.substring(F.md5("gram"), 1, DIGITS).alias("bucket")).agg(F.sum("n").alias("n")))
+    # Equal trigrams of a language are added up in every task.
+    counts = store(_counted(labelled, lang, text).groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     shares = {r[0]: r[1] for r in labelled.groupBy(lang).agg(F.count(F.lit(1))).collect()}
     totals = {r[0]: r[1] for r in counts.groupBy("lang").agg(F.sum("n")).collect()}
     languages, columns = {}, []
@@ -54,16 +113,33 @@ def train(documents: DataFrame, store: Callable[[DataFrame], DataFrame], lang: s
 def detect(documents: DataFrame, model: DataFrame, languages: dict[str, tuple], id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, detected): the likeliest language, the smaller code among equals; null for texts without a letter.
 
-    ``id_col`` must tell the texts apart.  The model has at most 65,536 rows, so it is sent to every task.
+    ``id_col`` must tell the texts apart.  The model has at most 65,536 rows, so it is sent to every task, which adds up its texts.
     """
     if not languages:
         return documents.select(id_col, F.lit(None).cast("string").alias("detected"))
-    found = _buckets(documents.where(F.coalesce(text, F.lit("")).rlike(r"\p{L}")), id_col, text=text).join(F.broadcast(model), "bucket", "left")
-    sums = found.groupBy(id_col).agg(*[
-        (F.sum(F.coalesce(F.col(c), F.ln(F.lit(unseen)))) + F.ln(F.lit(prior))).alias(c) for c, prior, unseen in languages.values()])
-    best = F.array_max(F.array(*[F.struct(F.col(c).alias("score"), F.lit(-i).alias("rank"), F.lit(code).alias("code"))
-                                 for i, (code, (c, _, _)) in enumerate(languages.items())]))
-    return documents.select(id_col).join(sums.select(id_col, best["code"].alias("detected")), id_col, "left")
+    codes = list(languages)
+    unseen = np.array([[np.log(languages[c][2])] for c in codes])
+    priors = np.log([[languages[c][1]] for c in codes])
+    table = np.repeat(unseen, BUCKETS, axis=1)
+    for bucket, *logs in model.select("bucket", *[languages[c][0] for c in codes]).toLocalIterator():  # BUCKETS rows at most
+        table[:, int(bucket, 16)] = logs
+    shared = documents.sparkSession.sparkContext.broadcast(table)
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        logs, hashed = shared.value, _Hashed()
+        for pdf in batches:
+            best = []
+            for _, some in _batches(pdf["letters"]):
+                of, bucket = hashed(some)
+                scores = np.array([np.bincount(of, weights=row[bucket], minlength=len(some)) for row in logs]) + priors
+                best += [codes[i] for i in scores.argmax(axis=0)]
+            if best:
+                yield pd.DataFrame({id_col: pdf[id_col], "detected": best})
+
+    kind = documents.schema[id_col].dataType.simpleString()
+    judged = documents.where(F.coalesce(text, F.lit("")).rlike(r"\p{L}")).select(id_col, _letters(F.col(text)).alias("letters")).where(
+        F.length("letters") > 2).mapInPandas(rows, f"`{id_col}` {kind}, detected string")
+    return documents.select(id_col).join(judged, id_col, "left")
 
 
 def held_out(id_col: Column) -> Column:

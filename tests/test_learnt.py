@@ -137,3 +137,30 @@ def test_odd_texts(spark):
     assert {r["doc_id"]: r["detected"] for r in LM.detect(df, model, languages).collect()} == {1: "a", 2: "b", 3: "a", 4: None, 5: None}
     none, empty = LM.train(df.limit(0), materialize)
     assert {r["detected"] for r in LM.detect(df, none, empty).collect()} == {None}
+
+
+def test_texts_are_counted_in_one_pass(spark):
+    from pairloom.operators import boundaries as Bd
+
+    df = spark.createDataFrame([(1, "Am 3. Mai kam Dr. Abc. Am 3. Mai ging er."), (2, "3. Mai Dr. x")], "doc_id int, text string")
+    seen = []
+    Bd.learn(df, "text", lambda d: seen.append(d) or d)
+    assert seen[0].columns == ["word", "next", "n"]
+    got = {(r["word"], r["next"]): r["n"] for r in seen[0].collect()}
+    assert got[("3.", "Mai")] == 3 and got[("Dr.", None)] == 2 and ("Mai", "kam") not in got
+    assert {r["type"]: (r["n"], r["n_stop"]) for r in Bd.word_counts(df).collect()}["am"] == (2, 0)
+
+
+def test_no_row_is_made_for_a_trigram(spark):
+    df = spark.createDataFrame([(1, "a", "aaa bbb"), (2, "b", "ccc ddd")], "doc_id int, lang string, text string")
+    model, languages = LM.train(df, materialize)
+    assert "Generate" not in LM.detect(df, model, languages)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_buckets_are_those_of_the_trigrams():
+    import hashlib
+
+    texts = [" abc ", "  ", " äöü é "]
+    of, buckets = LM._Hashed()(texts)
+    want = [(i, int(hashlib.md5(t[k:k + 3].encode()).hexdigest()[:4], 16)) for i, t in enumerate(texts) for k in range(len(t) - 2)]
+    assert list(zip(of.tolist(), buckets.tolist())) == want
