@@ -109,9 +109,10 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 counts[at] += counts[at] < 0xFFFF
             yield pd.DataFrame({"kind": 0, "row": pdf["row"], "doc_id": pdf["doc_id"].astype("Int64"), "n": n, "d1": d1, "d2": d2, "bands": keys,
                                 "block": None, "data": None})
-        blocks = counts.reshape(-1, 1 << SKETCH_BLOCK)
-        yield pd.DataFrame({"kind": 1, "row": None, "doc_id": None, "n": 0, "d1": 0, "d2": 0, "bands": None, "block": np.arange(len(blocks)),
-                            "data": [b.tobytes() for b in blocks]})
+        # Block by block: a task holds its counters once, not again as rows.
+        for block, data in enumerate(counts.reshape(-1, 1 << SKETCH_BLOCK)):
+            yield pd.DataFrame({"kind": 1, "row": None, "doc_id": None, "n": 0, "d1": 0, "d2": 0, "bands": None, "block": [block],
+                                "data": [data.tobytes()]})
 
     return store(docs.mapInPandas(rows, "kind int, row binary, doc_id long, n long, d1 long, d2 long, bands array<bigint>, block int, data binary"),
                  "jaccard_rows")

@@ -253,3 +253,19 @@ def test_dropping_by_row(spark):
     assert [x for x in got if x not in (4, 5, 6, 9, 10)] == [0, 2, 11, 12, 13, 14, 15]
     assert len([x for x in got if x in (4, 5, 6)]) == 1 and len([x for x in got if x in (9, 10)]) == 1
     assert jaccard.drop_near_duplicates(df.limit(0)).count() == 0
+
+
+def test_sketch_leaves_a_task_block_by_block(monkeypatch):
+    import pandas as pd
+
+    from pairloom.llm import jaccard as J
+
+    class Docs:
+        def mapInPandas(self, rows, schema):
+            return rows
+
+    monkeypatch.setattr(J, "store", lambda rows, label: rows)
+    rows = J.signatures(Docs(), 5)
+    frames = list(rows(iter([pd.DataFrame({"row": [b"a"], "doc_id": [1], "text": ["a b c d e f"]})])))
+    blocks = [f for f in frames if f["kind"].iloc[0] == 1]
+    assert all(len(f) == 1 for f in blocks) and [f["block"].iloc[0] for f in blocks] == list(range(1 << J.SKETCH - J.SKETCH_BLOCK))
