@@ -36,17 +36,17 @@ def _letters(text: Column) -> Column:
     return F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\P{L}\x{10000}-\x{10FFFF}]+", " "), F.lit(" "))
 
 
-def _batches(texts: pd.Series) -> Iterator[tuple[int, list[str]]]:
-    """(place of the first, texts) of about SIGNS signs."""
-    at, held, size = 0, [], 0
-    for i, t in enumerate(texts):
+def _batches(texts: pd.Series) -> Iterator[list[str]]:
+    """The texts in lists of about SIGNS signs."""
+    held, size = [], 0
+    for t in texts:
         held.append(t)
         size += len(t)
         if size >= SIGNS:
-            yield at, held
-            at, held, size = i + 1, [], 0
+            yield held
+            held, size = [], 0
     if held:
-        yield at, held
+        yield held
 
 
 class _Hashed:
@@ -79,7 +79,7 @@ def _counted(labelled: DataFrame, lang: str, text: str) -> DataFrame:
         hashed, held = _Hashed(), {}
         for pdf in batches:
             for code, texts in pdf.groupby("lang", sort=False)["letters"]:
-                for _, some in _batches(texts):
+                for some in _batches(texts):
                     held[code] = held.get(code, 0) + np.bincount(hashed(some)[1], minlength=BUCKETS)
         for code, n in held.items():
             seen = np.flatnonzero(n)
@@ -119,7 +119,6 @@ def detect(documents: DataFrame, model: DataFrame, languages: dict[str, tuple],
         return documents.select(id_col, F.lit(None).cast("string").alias("detected"))
     codes = list(languages)
     unseen = np.array([[np.log(languages[c][2])] for c in codes])
-    priors = np.log([[languages[c][1]] for c in codes])
     table = np.repeat(unseen, BUCKETS, axis=1)
     for bucket, *logs in model.select("bucket", *[languages[c][0] for c in codes]).toLocalIterator():  # BUCKETS rows at most
         table[:, int(bucket, 16)] = logs
@@ -128,18 +127,23 @@ def detect(documents: DataFrame, model: DataFrame, languages: dict[str, tuple],
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         logs, hashed = shared.value, _Hashed()
         for pdf in batches:
-            best = []
-            for _, some in _batches(pdf["letters"]):
+            parts = []
+            for some in _batches(pdf["letters"]):
                 of, bucket = hashed(some)
-                scores = np.array([np.bincount(of, weights=row[bucket], minlength=len(some)) for row in logs]) + priors
-                best += [codes[i] for i in scores.argmax(axis=0)]
-            if best:
-                yield pd.DataFrame({id_col: pdf[id_col], "detected": best})
+                parts.append([np.bincount(of, weights=row[bucket], minlength=len(some)) for row in logs])
+            if parts:
+                yield pd.DataFrame({"id": pdf["id"]} | dict(zip(columns, np.concatenate(parts, axis=1), strict=True)))
 
+    columns = [languages[c][0] for c in codes]
     kind = documents.schema[id_col].dataType.simpleString()
-    judged = documents.where(F.coalesce(text, F.lit("")).rlike(r"\p{L}")).select(id_col, _letters(F.col(text)).alias("letters")).where(
-        F.length("letters") > 2).mapInPandas(rows, f"`{id_col}` {kind}, detected string")
-    return documents.select(id_col).join(judged, id_col, "left")
+    named = documents.where(F.col(id_col).isNotNull() & F.coalesce(text, F.lit("")).rlike(r"\p{L}"))
+    found = named.select(F.col(id_col).alias("id"), _letters(F.col(text)).alias("letters"))
+    found = found.mapInPandas(rows, f"id {kind}, " + ", ".join(f"{c} double" for c in columns))
+    # Texts of one id are judged together.
+    sums = found.groupBy(F.col("id").alias(id_col)).agg(*[(F.sum(c) + F.ln(F.lit(prior))).alias(c) for c, prior, _ in languages.values()])
+    best = F.array_max(F.array(*[F.struct(F.col(c).alias("score"), F.lit(-i).alias("rank"), F.lit(code).alias("code"))
+                                 for i, (code, (c, _, _)) in enumerate(languages.items())]))
+    return documents.select(id_col).join(sums.select(id_col, best["code"].alias("detected")), id_col, "left")
 
 
 def held_out(id_col: Column) -> Column:

@@ -164,3 +164,10 @@ def test_buckets_are_those_of_the_trigrams():
     of, buckets = LM._Hashed()(texts)
     want = [(i, int(hashlib.md5(t[k:k + 3].encode()).hexdigest()[:4], 16)) for i, t in enumerate(texts) for k in range(len(t) - 2)]
     assert list(zip(of.tolist(), buckets.tolist())) == want
+
+
+def test_texts_of_one_id_are_judged_together(spark):
+    df = spark.createDataFrame([(1, "a", "aaa bbb"), (2, "b", "ccc ddd")], "doc_id int, lang string, text string")
+    model, languages = LM.train(df, materialize)
+    twice = spark.createDataFrame([(7, "aaa bbb"), (7, "ccc"), (8, "ccc ddd")], "doc_id int, text string")
+    assert sorted(map(tuple, LM.detect(twice, model, languages).collect())) == [(7, "a"), (7, "a"), (8, "b")]
