@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.session import checkpoint_dir
+from pairloom.session import batches_of, checkpoint_dir
 
 
 #: Folders of tables stored inside ``passing_tables``, and whether it is active.
@@ -21,8 +21,22 @@ _PASSING: list[str] = []
 _SCOPE = [False]
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
+#: Rows of a batch where rows hold whole texts, and where they hold blocks of a table; characters of text worked on at once.
+TEXT_ROWS, BLOCK_ROWS, SLICE = 1000, 16, 1 << 20
+
+
+def slices(pdf: pd.DataFrame, column: str = "text", most: int = SLICE) -> Iterator[pd.DataFrame]:
+    """A batch in pieces of about ``most`` characters of ``column``, a row at least: what is made of texts is held for a piece only."""
+    if pdf.empty:
+        return
+    size = np.cumsum([len(x or "") for x in pdf[column]], dtype=np.int64)
+    at = np.flatnonzero(np.diff(size // most, prepend=-1)).tolist()
+    for i, j in zip(at, [*at[1:], len(pdf)], strict=True):
+        yield pdf.iloc[i:j]
+
+
+def store(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back; Python is given batches of at most ``rows`` rows.
 
     The lineage is cut at files that every executor sees, so a lost executor
     costs a re-read and never a recomputation of the stages before.  The
@@ -30,7 +44,8 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """
     spark, schema = df.sparkSession, df.schema
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with batches_of(spark, rows):
+        df.write.parquet(path)
     if _SCOPE[0]:
         _PASSING.append(path)
     # Spark deletes the shuffle files of a plan when the driver has collected it as garbage; do that now that they are not needed.
@@ -126,9 +141,10 @@ def add_up(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def merged_blocks(df: DataFrame, merge: Callable, dtype: str) -> Iterator[tuple[int, np.ndarray]]:
-    """Merge (block int, data binary) rows, in two levels of streaming tasks.
+    """Merge (block int, data binary) rows, the rows of a block in one streaming task.
 
-    A task holds one array per block, whatever the number of rows.
+    A task holds one array for each of its blocks and a batch of few rows,
+    whatever the number of rows.
     """
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, np.ndarray] = {}
@@ -139,8 +155,9 @@ def merged_blocks(df: DataFrame, merge: Callable, dtype: str) -> Iterator[tuple[
         yield pd.DataFrame({"block": list(held), "data": [x.tobytes() for x in held.values()]})
 
     schema = "block int, data binary"
-    once = df.select("block", "data").repartition(16).mapInPandas(fold, schema)
-    for r in once.coalesce(1).mapInPandas(fold, schema).toLocalIterator():
+    with batches_of(df.sparkSession, BLOCK_ROWS):
+        merged = df.select("block", "data").repartition(16, "block").mapInPandas(fold, schema).collect()  # a row a block: fixed size
+    for r in merged:
         yield r["block"], np.frombuffer(r["data"], dtype)
 
 

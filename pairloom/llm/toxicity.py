@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import mix, store
+from pairloom.llm.common import TEXT_ROWS, mix, slices, store
 
 #: Hash space of the terms.
 BUCKETS = 1 << 22
@@ -199,7 +199,7 @@ def _cell(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def counted_pairs(batches: Iterator[pd.DataFrame], frequent: np.ndarray, chosen: np.ndarray) -> Iterator[pd.DataFrame]:
     """(a, b, y, n): the near pairs of chosen cells, texts of a label that name the same pair added up (over ``PAIRS_HELD`` pairs at least)."""
-    held, many, fresh = np.empty(0, np.int64), np.empty(0, np.int64), []
+    held, many, fresh, n_fresh = np.empty(0, np.int64), np.empty(0, np.int64), [], 0
 
     def added() -> tuple[np.ndarray, np.ndarray]:
         keys, at = np.unique(np.concatenate([held, *fresh]), return_inverse=True)
@@ -215,9 +215,10 @@ def counted_pairs(batches: Iterator[pd.DataFrame], frequent: np.ndarray, chosen:
             a, b = near_pairs(np.frombuffer(raw, "<i4"), frequent)
             hit = chosen[_cell(a, b)]
             fresh.append((a[hit] * BUCKETS + b[hit]) * 2 + int(y))
-            if len(fresh) >= 256:
+            n_fresh += len(fresh[-1])
+            if len(fresh) >= 256 or n_fresh >= PAIRS_HELD:
                 held, many = added()
-                fresh = []
+                fresh, n_fresh = [], 0
                 if len(held) >= PAIRS_HELD:
                     yield rows()
                     held, many = held[:0], many[:0]
@@ -239,7 +240,7 @@ def telling_pairs(features: DataFrame, counts: np.ndarray, sizes: list[int], pai
         for pdf in batches:
             for y, raw in zip(pdf["y"], pdf["sequence"], strict=True):
                 np.add.at(table[int(y)], _cell(*near_pairs(np.frombuffer(raw, "<i4"), frequent.value)), 1)
-        at = np.flatnonzero(table.sum(axis=0))
+        at = np.flatnonzero(table.any(axis=0))
         for part in np.array_split(at, max(1, len(at) // 100_000)):
             yield pd.DataFrame({"cell": part, "clean": table[0, part], "toxic": table[1, part]})
 
@@ -294,19 +295,20 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 12_000, label:
         for pdf in batches:
             pdf = pdf.assign(digest=[hashlib.md5((t or "").encode("utf-8", "replace")).digest() for t in pdf["text"]])
             pdf = pdf.sort_values(["doc_id", "digest"], kind="stable").drop_duplicates("doc_id")
-            rows, cols = _presences(pdf["text"], None, known)
-            cut = np.searchsorted(rows, np.arange(len(pdf) + 1))
-            cols = cols.astype("<i4")
-            yield pd.DataFrame({
-                "doc_id": pdf["doc_id"], "y": pdf["y"], "digest": pdf["digest"],
-                "terms": [np.sort(cols[cut[i]:cut[i + 1]]).tobytes() for i in range(len(pdf))],
-                "sequence": [np.array([terms(w)[0] for w in words(t)], "<i4").tobytes() for t in pdf["text"]]})
+            for part in slices(pdf):
+                rows, cols = _presences(part["text"], None, known)
+                cut = np.searchsorted(rows, np.arange(len(part) + 1))
+                cols = cols.astype("<i4")
+                yield pd.DataFrame({
+                    "doc_id": part["doc_id"], "y": part["y"], "digest": part["digest"],
+                    "terms": [np.sort(cols[cut[i]:cut[i + 1]]).tobytes() for i in range(len(part))],
+                    "sequence": [np.array([terms(w)[0] for w in words(t)], "<i4").tobytes() for t in part["text"]]})
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # The sample has at most ``sample`` rows, so it may be broadcast: other texts never reach Python.
     found = docs.join(F.broadcast(y), "doc_id").mapInPandas(featurize, "doc_id long, y int, digest binary, terms binary, sequence binary")
     one = found.groupBy("doc_id").agg(F.min(F.struct("digest", "y", "terms", "sequence")).alias("f"))
-    got = store(one.select("doc_id", "f.y", "f.terms", "f.sequence"), "fm_terms")
+    got = store(one.select("doc_id", "f.y", "f.terms", "f.sequence"), "fm_terms", TEXT_ROWS)
 
     def sampled() -> Iterator[tuple[int, np.ndarray]]:
         for r in got.select("doc_id", "y", "terms").orderBy("doc_id").toLocalIterator():
@@ -330,6 +332,15 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 12_000, label:
     return fit(np.concatenate(rows), np.concatenate(cols), np.array(y_of, float), min_docs=min_docs, min_llr=min_llr, paired=paired, **settings)
 
 
+def scores(texts: pd.Series, machine: Machine, known: dict) -> np.ndarray:
+    """The scores of a batch of texts; terms and factors are held for a slice of it."""
+    out = [np.empty(0)]
+    for part in slices(texts.to_frame("text")):
+        rows, cols = _presences(part["text"], machine.index, known)
+        out.append(sigmoid(machine.raw(rows, cols, len(part))))
+    return np.concatenate(out)
+
+
 def score(documents: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:
     """doc_id, score (0 to 1) and predicted (1 if score >= threshold) of every whole text."""
     shared = documents.sparkSession.sparkContext.broadcast(machine)  # bounded by BUCKETS
@@ -337,8 +348,7 @@ def score(documents: DataFrame, machine: Machine, threshold: float = 0.7) -> Dat
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m, known = shared.value, {}
         for pdf in batches:
-            rows, cols = _presences(pdf["text"], m.index, known)
-            s = sigmoid(m.raw(rows, cols, len(pdf)))
+            s = scores(pdf["text"], m, known)
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": s, "predicted": (s >= threshold).astype("int32")})
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -367,8 +377,6 @@ def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.7,
 
     @F.pandas_udf("double")
     def toxic_score(text: pd.Series) -> pd.Series:
-        m = shared.value
-        rows, cols = _presences(text, m.index, known)
-        return pd.Series(sigmoid(m.raw(rows, cols, len(text))))
+        return pd.Series(scores(text, shared.value, known))
 
     return documents.filter(toxic_score(F.col("text").cast("string")) < threshold)

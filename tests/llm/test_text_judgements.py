@@ -206,6 +206,19 @@ def test_pairs_of_copies_are_added_up_in_the_task():
     assert len(pd.concat(toxicity.counted_pairs(iter([]), frequent, chosen))) == 0
 
 
+def test_a_batch_is_scored_in_slices(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = pd.Series([None, "", " ".join(f"w{i}" for i in range(90_000)), *(" ".join(f"w{x}" for x in rng.integers(0, 400, 2000)) for _ in range(300))])
+    buckets = np.unique([b for i in range(400) for b in toxicity.terms(f"w{i}")])
+    machine = toxicity.Machine(-1.0, buckets, rng.normal(size=len(buckets)), rng.normal(size=(len(buckets), 4)) / 50)
+    rows, cols = toxicity._presences(texts, machine.index, {})
+    want, held, raw = toxicity.sigmoid(machine.raw(rows, cols, len(texts))), [], toxicity.Machine.raw
+    monkeypatch.setattr(toxicity.Machine, "raw", lambda self, r, c, n: (held.append(len(c)), raw(self, r, c, n))[1])
+    assert (toxicity.scores(texts, machine, {}) == want).all()
+    assert sum(held) == len(cols) and max(held) < len(cols) / 2
+    assert len(toxicity.scores(texts[:0], machine, {})) == 0
+
+
 def test_toxicity_odd_rows(spark):
     docs = spark.createDataFrame([(i, "you idiot here" if i % 2 else "calm words here", 1.0) for i in range(60)]
                                  + [(100, None, 0.0), (101, "", 0.0), (None, "you idiot", 0.0), (102, "idiot " * 30_000, 0.0), (3, "you idiot", 0.0)],
