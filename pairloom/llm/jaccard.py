@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import add_up, bitmap, hashed_texts, merged_blocks, mix, only, replace_rows, store, union_min, window_hash
+from pairloom.llm.common import TEXT_ROWS, add_up, bitmap, hashed_texts, merged_blocks, mix, only, replace_rows, store, union_min, window_hash
 
 BANDS, ROWS = 16, 4
 #: log2 of the sketch's counters, and of the counters in a block of it.
@@ -115,7 +115,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                                 "data": [data.tobytes()]})
 
     return store(docs.mapInPandas(rows, "kind int, row binary, doc_id long, n long, d1 long, d2 long, bands array<bigint>, block int, data binary"),
-                 "jaccard_rows")
+                 "jaccard_rows", TEXT_ROWS)
 
 
 def prefixes(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> DataFrame:
@@ -182,7 +182,7 @@ def open_groups(docs: DataFrame, classes: DataFrame, members: DataFrame, queries
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return store(rows.select("cid", "text", "g", "kind", "mb", "qb").repartition("g", "mb", "qb")
-                 .sortWithinPartitions("g", "mb", "qb", "kind", "cid").mapInPandas(opened, "a long, b long"), "jaccard_edges")
+                 .sortWithinPartitions("g", "mb", "qb", "kind", "cid").mapInPandas(opened, "a long, b long"), "jaccard_edges", TEXT_ROWS)
 
 
 def common(a: np.ndarray, b: np.ndarray) -> int:
@@ -227,7 +227,7 @@ def judge(documents: DataFrame, size: int, percent: int) -> DataFrame:
     groups = (classes.select("cid", F.col("first.row").alias("row")).join(found, F.col("cid") == F.col("node"), "left")
               .select("cid", "row", F.coalesce("component", "cid").alias("g")))
     groups = store(groups, "jaccard_member")
-    tokens = store(prefixes(docs, size, percent, sketch.reshape(-1)).join(groups, "row").dropDuplicates(["row"]), "jaccard_prefixes")
+    tokens = store(prefixes(docs, size, percent, sketch.reshape(-1)).join(groups, "row").dropDuplicates(["row"]), "jaccard_prefixes", TEXT_ROWS)
     entries = tokens.select("cid", "g", "n", F.posexplode("tokens").alias("at", "token"))
     several = store(entries.groupBy("token").agg(F.min("g").alias("a"), F.max("g").alias("b")).filter("a <> b").select("token"),
                     "jaccard_tokens")

@@ -269,3 +269,28 @@ def test_sketch_leaves_a_task_block_by_block(monkeypatch):
     frames = list(rows(iter([pd.DataFrame({"row": [b"a"], "doc_id": [1], "text": ["a b c d e f"]})])))
     blocks = [f for f in frames if f["kind"].iloc[0] == 1]
     assert all(len(f) == 1 for f in blocks) and [f["block"].iloc[0] for f in blocks] == list(range(1 << J.SKETCH - J.SKETCH_BLOCK))
+
+
+def test_blocks_are_merged_and_python_is_given_few_rows(spark):
+    import pandas as pd
+
+    from pairloom.llm import common
+
+    rng = np.random.default_rng(2)
+    made = [(int(b), rng.integers(0, 60_000, 8).astype("<u2")) for b in rng.integers(0, 5, 300)]
+    df = spark.createDataFrame([(b, bytearray(x.tobytes())) for b, x in made], "block int, data binary").coalesce(1)
+    got = list(common.merged_blocks(df, common.add_up, "u2"))
+    assert len(got) == len({b for b, _ in got}) == 5
+    for b, x in got:
+        assert (x == np.minimum(sum(y.astype(np.int64) for c, y in made if c == b), 0xFFFF)).all()
+    assert list(common.merged_blocks(df.limit(0), common.add_up, "u2")) == []
+
+    def sizes(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    rows = spark.range(50, numPartitions=1).mapInPandas(sizes, "n long")
+    assert sorted(r["n"] for r in common.store(rows, "few", 20).collect()) == [10, 20, 20]
+    assert [r["n"] for r in common.store(rows, "many").collect()] == [50] and spark.conf.get(name) == before
