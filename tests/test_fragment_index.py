@@ -78,3 +78,30 @@ def test_side_cells_come_as_often_as_their_fragment(spark):
     assert len({(r["url"], r["side"]) for r in rows}) == len(rows)
     got = sorted((r["url"], r["side"], c) for r in rows for c in r["cells"])
     assert got == sorted(map(tuple, adapters.fragment_cells(index, sents).select("url", "side", "html").collect())) and len(got) > len(rows)
+
+
+def test_stored_sentences_hold_lead_keys_and_no_tokens(spark, tmp_path):
+    from pairloom.plans import stages
+
+    docs = spark.createDataFrame([(i % 4, f"The same three words begin sentence number {i} here. Another short one of seven words.", "en", "s")
+                                  for i in range(6)], "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    stored = stages.sentences(spark, str(tmp_path))
+    assert "tok" not in stored.columns and "lead_key" in stored.columns
+    tokens = adapters.tokenized_sentences(docs)
+    for of in (lambda s: adapters.lead_pairs(docs, tok_sentences=s), lambda s: adapters.document_sentences(s).select("doc_id", "first")):
+        kept, made = of(stored), of(tokens)
+        assert kept.count() > 0 and kept.exceptAll(made).isEmpty() and made.exceptAll(kept).isEmpty()
+
+
+def test_stages_give_python_few_rows(spark):
+    import pandas as pd
+
+    from pairloom.plans import stages
+
+    def sizes(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    rows = spark.range(3 * stages.CELL_ROWS, numPartitions=1).mapInPandas(sizes, "n long")
+    assert {r["n"] for r in stages.materialize(rows).collect()} == {stages.CELL_ROWS}
