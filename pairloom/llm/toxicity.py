@@ -39,11 +39,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import TEXT_ROWS, mix, slices, store
+from pairloom.llm.common import BLOCK_ROWS, TEXT_ROWS, mix, slices, store
+from pairloom.session import batches_of
 
 #: Hash space of the terms.
 BUCKETS = 1 << 22
 PREFIXES = (3, 4, 5, 6)
+#: Words whose terms a task remembers: most words of a large table come once.
+KNOWN_WORDS = 50_000
 _DIVIDE = bytes.maketrans(bytes(range(0x30)) + bytes(range(0x3A, 0x61)) + bytes(range(0x7B, 0x80)),
                           b" " * (0x30 + 0x27 + 5))
 
@@ -96,7 +99,7 @@ def _presences(texts, index: dict | None, known: dict) -> tuple[np.ndarray, np.n
         for w in set(words(text)):
             t = known.get(w)
             if t is None:
-                if len(known) > 300_000:
+                if len(known) >= KNOWN_WORDS:
                     known.clear()
                 t = terms(w) if index is None else [index[b] for b in terms(w) if b in index]
                 known[w] = t
@@ -121,8 +124,8 @@ MIN_DOCS, MIN_LLR = 3, 12.0
 #: Sampled texts a pair (and each of its words) must be in, what its ratio must be over those of its words, their greatest
 #: distance, and the cells of the hashed pair counts.
 PAIR_DOCS, PAIR_LLR, PAIR_SPAN, PAIR_CELLS = 20, 30.0, 16, 1 << 22
-#: Tasks that count pairs, and the pairs a task holds before it passes them on.
-PAIR_TASKS, PAIRS_HELD = 16, 1 << 20
+#: Tasks that count pairs, the pairs a task holds before it passes them on, and the rows and cells that it passes on at once.
+PAIR_TASKS, PAIRS_HELD, PAIR_ROWS, PAIR_BLOCK = 16, 1 << 20, 100_000, 1 << 14
 
 
 def telling(a: np.ndarray, b: np.ndarray, pos: float, neg: float, min_docs: int = MIN_DOCS, min_llr: float = MIN_LLR) -> np.ndarray:
@@ -206,9 +209,10 @@ def counted_pairs(batches: Iterator[pd.DataFrame], frequent: np.ndarray, chosen:
         n = np.concatenate([many, np.ones(len(at) - len(many), np.int64)])
         return keys, np.bincount(at, weights=n, minlength=len(keys)).astype(np.int64)
 
-    def rows() -> pd.DataFrame:
-        pair = held >> 1
-        return pd.DataFrame({"a": pair // BUCKETS, "b": pair % BUCKETS, "y": (held & 1).astype(np.int32), "n": many})
+    def rows() -> Iterator[pd.DataFrame]:
+        for i in range(0, max(1, len(held)), PAIR_ROWS):
+            own, pair = held[i:i + PAIR_ROWS], held[i:i + PAIR_ROWS] >> 1
+            yield pd.DataFrame({"a": pair // BUCKETS, "b": pair % BUCKETS, "y": (own & 1).astype(np.int32), "n": many[i:i + PAIR_ROWS]})
 
     for pdf in batches:
         for y, raw in zip(pdf["y"], pdf["sequence"], strict=True):
@@ -220,10 +224,37 @@ def counted_pairs(batches: Iterator[pd.DataFrame], frequent: np.ndarray, chosen:
                 held, many = added()
                 fresh, n_fresh = [], 0
                 if len(held) >= PAIRS_HELD:
-                    yield rows()
+                    yield from rows()
                     held, many = held[:0], many[:0]
     held, many = added()
-    yield rows()
+    yield from rows()
+
+
+def counted_cells(batches: Iterator[pd.DataFrame], frequent: np.ndarray) -> Iterator[pd.DataFrame]:
+    """(block, data): how many texts of each label name a pair of a cell, ``PAIR_BLOCK`` cells a row."""
+    table = np.zeros((2, PAIR_CELLS), np.int32)
+    for pdf in batches:
+        for y, raw in zip(pdf["y"], pdf["sequence"], strict=True):
+            np.add.at(table[int(y)], _cell(*near_pairs(np.frombuffer(raw, "<i4"), frequent)), 1)
+    for block in range(PAIR_CELLS // PAIR_BLOCK):
+        own = table[:, block * PAIR_BLOCK:(block + 1) * PAIR_BLOCK]
+        if own.any():
+            yield pd.DataFrame({"block": np.array([block], np.int32), "data": [own.astype("<i4").tobytes()]})
+
+
+def told_cells(batches: Iterator[pd.DataFrame], sizes: list[int], pair_docs: int, pair_llr: float) -> Iterator[pd.DataFrame]:
+    """(block, told): bits of the telling cells of whole blocks, what was counted of a block added up."""
+    held: dict[int, np.ndarray] = {}
+    for pdf in batches:
+        for block, data in zip(pdf["block"], pdf["data"], strict=True):
+            got = np.frombuffer(data, "<i4").reshape(2, -1)
+            held[block] = held[block] + got if block in held else got
+    for block, (clean, toxic) in held.items():
+        at = np.flatnonzero(clean + toxic >= pair_docs)
+        llr = _llr(toxic[at].astype(float), clean[at].astype(float), float(sizes[1]), float(sizes[0]))
+        told = np.zeros(PAIR_BLOCK, bool)
+        told[at[llr >= pair_llr]] = True
+        yield pd.DataFrame({"block": np.array([block], np.int32), "told": [np.packbits(told).tobytes()]})
 
 
 def telling_pairs(features: DataFrame, counts: np.ndarray, sizes: list[int], pair_docs: int, pair_llr: float) -> np.ndarray:
@@ -236,27 +267,19 @@ def telling_pairs(features: DataFrame, counts: np.ndarray, sizes: list[int], pai
     frequent = spark.sparkContext.broadcast(counts.sum(axis=0) >= pair_docs)  # BUCKETS booleans
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = np.zeros((2, PAIR_CELLS), np.int32)
-        for pdf in batches:
-            for y, raw in zip(pdf["y"], pdf["sequence"], strict=True):
-                np.add.at(table[int(y)], _cell(*near_pairs(np.frombuffer(raw, "<i4"), frequent.value)), 1)
-        at = np.flatnonzero(table.any(axis=0))
-        for part in np.array_split(at, max(1, len(at) // 100_000)):
-            yield pd.DataFrame({"cell": part, "clean": table[0, part], "toxic": table[1, part]})
-
-    # The texts are a bounded sample: few tasks, so that what every task counted adds up to few rows.
-    texts = features.select("y", "sequence").coalesce(PAIR_TASKS)
-    counted = texts.mapInPandas(cells, "cell long, clean long, toxic long")
-    counted = counted.groupBy("cell").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(F.col("clean") + F.col("toxic") >= pair_docs)
+        yield from counted_cells(batches, frequent.value)
 
     def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            llr = _llr(pdf["toxic"].to_numpy(float), pdf["clean"].to_numpy(float), float(sizes[1]), float(sizes[0]))
-            yield pd.DataFrame({"cells": [pdf["cell"].to_numpy("<i8")[llr >= pair_llr].tobytes()]})
+        yield from told_cells(batches, sizes, pair_docs, pair_llr)
 
+    # The texts are a bounded sample: few tasks, so that what every task counted adds up to few rows.
+    texts = features.select("y", "sequence").coalesce(PAIR_TASKS)
+    # Cells travel as blocks of counts: a row a cell fills the executors' heaps with aggregation tables.
+    counted = texts.mapInPandas(cells, "block int, data binary").repartition(PAIR_TASKS, "block")
     table = np.zeros(PAIR_CELLS, bool)
-    for r in counted.mapInPandas(told, "cells binary").toLocalIterator():
-        table[np.frombuffer(r["cells"], "<i8")] = True
+    with batches_of(spark, BLOCK_ROWS):
+        for r in counted.mapInPandas(told, "block int, told binary").collect():  # PAIR_CELLS bits at most
+            table[r["block"] * PAIR_BLOCK:(r["block"] + 1) * PAIR_BLOCK] = np.unpackbits(np.frombuffer(r["told"], np.uint8))
     if not table.any():
         return np.empty(0, np.int64)
     chosen = spark.sparkContext.broadcast(table)  # PAIR_CELLS booleans
@@ -308,7 +331,8 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 12_000, label:
     # The sample has at most ``sample`` rows, so it may be broadcast: other texts never reach Python.
     found = docs.join(F.broadcast(y), "doc_id").mapInPandas(featurize, "doc_id long, y int, digest binary, terms binary, sequence binary")
     one = found.groupBy("doc_id").agg(F.min(F.struct("digest", "y", "terms", "sequence")).alias("f"))
-    got = store(one.select("doc_id", "f.y", "f.terms", "f.sequence"), "fm_terms", TEXT_ROWS)
+    # As few files as there are tasks that read them.
+    got = store(one.select("doc_id", "f.y", "f.terms", "f.sequence").coalesce(PAIR_TASKS), "fm_terms", TEXT_ROWS)
 
     def sampled() -> Iterator[tuple[int, np.ndarray]]:
         for r in got.select("doc_id", "y", "terms").orderBy("doc_id").toLocalIterator():

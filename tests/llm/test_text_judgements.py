@@ -206,6 +206,56 @@ def test_pairs_of_copies_are_added_up_in_the_task():
     assert len(pd.concat(toxicity.counted_pairs(iter([]), frequent, chosen))) == 0
 
 
+def test_pair_counts_travel_as_few_blocks(monkeypatch):
+    monkeypatch.setattr(toxicity, "PAIR_ROWS", 100)
+    rng = random.Random(4)
+    rows = [(i % 2, np.array([rng.randrange(60) for _ in range(40)], "<i4")) for i in range(300)]
+    rows += [(1, np.array([61, 62], "<i4"))] * 40
+    frequent, sizes = np.zeros(toxicity.BUCKETS, bool), [150, 190]
+    frequent[:63] = True
+    parts = [pd.DataFrame({"y": [y for y, _ in part], "sequence": [s.tobytes() for _, s in part]}) for part in (rows[:200], rows[200:], rows[:0])]
+    sent = [x for part in parts for x in toxicity.counted_cells(iter([part]), frequent)]
+    assert all(len(x) == 1 and len(x["data"][0]) == 8 * toxicity.PAIR_BLOCK for x in sent)
+    assert len(sent) <= 2 * toxicity.PAIR_CELLS // toxicity.PAIR_BLOCK
+    want = np.zeros((2, toxicity.PAIR_CELLS))
+    for y, s in rows:
+        np.add.at(want[y], toxicity._cell(*toxicity.near_pairs(s, frequent)), 1)
+    want = np.flatnonzero((want.sum(axis=0) >= 20) & (toxicity._llr(want[1], want[0], 190.0, 150.0) >= 5.0))
+    got = [block * toxicity.PAIR_BLOCK + np.flatnonzero(np.unpackbits(np.frombuffer(told, np.uint8)))
+           for x in toxicity.told_cells(iter(sent), sizes, 20, 5.0) for block, told in zip(x["block"], x["told"], strict=True)]
+    assert len(want) and sorted(np.concatenate(got).tolist()) == want.tolist()
+    pairs = list(toxicity.counted_pairs(iter(parts), frequent, np.ones(toxicity.PAIR_CELLS, bool)))
+    assert sum(map(len, pairs)) > 1000 and max(map(len, pairs)) <= 100
+
+
+def test_few_words_are_remembered():
+    texts, known = [" ".join(f"w{i}x{j}" for j in range(1000)) for i in range(150)], {}
+    rows, cols = toxicity._presences(texts, None, known)
+    assert 0 < len(known) <= 60_000
+    want = {(i, t) for i, text in enumerate(texts) for w in text.split() for t in toxicity.terms(w)}
+    assert len(rows) == len(want) and set(zip(rows.tolist(), cols.tolist(), strict=True)) == want
+
+
+def test_features_are_stored_in_few_files(spark, docs, monkeypatch):
+    files, store = {}, toxicity.store
+
+    def stored(df, label, *rows):
+        files[label] = len((out := store(df, label, *rows)).inputFiles())
+        return out
+
+    monkeypatch.setattr(toxicity, "store", stored)
+    confs = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        machine = toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet"), sample=200)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(machine.buckets) and files["fm_terms"] <= toxicity.PAIR_TASKS
+
+
 def test_a_batch_is_scored_in_slices(monkeypatch):
     rng = np.random.default_rng(5)
     texts = pd.Series([None, "", " ".join(f"w{i}" for i in range(90_000)), *(" ".join(f"w{x}" for x in rng.integers(0, 400, 2000)) for _ in range(300))])
