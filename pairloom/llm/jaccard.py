@@ -43,6 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.common import TEXT_ROWS, add_up, bitmap, hashed_texts, merged_blocks, mix, only, replace_rows, store, union_min, window_hash
+from pairloom.session import batches_of
 
 BANDS, ROWS = 16, 4
 #: log2 of the sketch's counters, and of the counters in a block of it.
@@ -115,7 +116,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                                 "data": [data.tobytes()]})
 
     return store(docs.mapInPandas(rows, "kind int, row binary, doc_id long, n long, d1 long, d2 long, bands array<bigint>, block int, data binary"),
-                 "jaccard_rows", TEXT_ROWS)
+                 "jaccard_rows")
 
 
 def prefixes(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> DataFrame:
@@ -197,7 +198,8 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
 def judge(documents: DataFrame, size: int, percent: int) -> DataFrame:
     """row, doc_id, n and, for sets that aren't empty, ``first`` (nameless, doc_id, row): the first row of the group (those without doc_id last)."""
     docs = _texts(documents)
-    rows = signatures(docs, size)
+    with batches_of(documents.sparkSession, TEXT_ROWS):
+        rows = signatures(docs, size)
     base = rows.filter("kind = 0").select("row", "doc_id", "n", "d1", "d2")
     key = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
     classes = (rows.filter("kind = 0 and n > 0").groupBy("d1", "d2")
