@@ -115,3 +115,57 @@ def test_parser_on_nested_markup():
                       '<div><span class="text">after</span></div><p><span class="fragmark2">A&uuml;<span class="in">n</span></span><hr><span class="z">no</span>')
     assert [(g["para_no"], g["cls"], g["text"]) for g in got] == [
         (0, "h", "top"), (1, "fragmark1", "zeta eta end"), (0, "text", "after"), (2, "fragmark2", "A\u00fc"), (2, "in", "n")]
+
+
+def test_plain_cells_are_cut_as_the_parser_walks_them():
+    """Cells of plain tags don't enter ``html.parser``; what they give is the same, and other markup still does."""
+    import random
+
+    from pairloom.functions import markup_parser as mp
+
+    def walked(html):
+        p = mp._Spans()
+        p.feed(html)
+        p.close()
+        return [(para, cls, "".join(parts)) for para, cls, parts in p.spans]
+
+    plain = ['<span class="fragmark1">', "<span>", "</span>", "<p>", '<p class="q">', "</p>", "<br>", "<b>", "</b>", "<div>", "</div>", "<li>", "a. ",
+             "b &amp; c", "&am", ">", "\n", "  ", "<hr>", "<td>", "</td>", '<span id="m" class="x" class="y">']
+    other = ["<!-- x -->", "<", "<script>", "</script>", "<HR>", "<span class='q'>", '<span class="a&amp;b">', '</p class="x">', "<x-y>", "<hr/>"]
+    rng, cut = random.Random(5), 0
+    for i in range(6000):
+        html = "".join(rng.choice(plain + other * (i % 2)) for _ in range(rng.randint(0, 14)))
+        got = mp._plain_spans(html)
+        cut += got is not None
+        assert got is None or [(para, cls, "".join(parts)) for para, cls, parts in got] == walked(html), html
+    assert cut > 3000
+    assert mp._plain_spans('<p><!-- <span> --><span class="a">x</span></p>') is None
+    assert mp._spans_of('<p><!-- <span> --><span class="a">x</span></p>') == [(1, 0, "a", "x")]
+
+
+def test_only_annotated_paragraphs_are_cut_into_sentences(spark, monkeypatch):
+    from pairloom.functions import markup_parser as mp
+
+    seen, cut = [], mp.sentences_of_spans
+    monkeypatch.setattr(mp, "sentences_of_spans", lambda texts: seen.append(1) or cut(texts))
+    spans = [(0, "One. Two", "text"), (1, "a Three.", "fragmark1"), (2, "Four five", "fragmark1"), (3, "end. Six.", "text")]
+    assert mp.runs_as_they_grow([(0, "One. Two.", "text")], "fragmark") == [] and not seen
+    assert mp.runs_as_they_grow(spans, "fragmark") == [
+        (0, "fragmark1", "a Three.", None, None, None), (0, "fragmark1", "a Three. Four five", 10, 28, "Two a Three. Four five end.")]
+    # the same by the expressions for tables of spans and sentences
+    rows = [("u", "src", 1, n, cls, text, len(text)) for n, text, cls in spans]
+    table = spark.createDataFrame(rows, "url string, side string, para_no long, span_no long, cls string, text string, len long")
+    runs = S.span_runs(S.span_offsets(table))
+    assert [tuple(r) for r in S.key_sentences(runs, S.paragraph_sentences(table), runs.select("url", "key")).collect()] == [
+        ("u", "src", 1, "fragmark1_a three. four five", "Two a Three. Four five end.")]
+
+
+def test_a_later_run_replaces_the_keys_it_grows_through(spark):
+    spans = ['<span class="fragmark1">Ä b</span><span class="fragmark2">x</span><span class="fragmark1">ä B</span><span class="fragmark1">c</span>',
+             '<span class="fragmark1">ä</span><span class="fragmark3">y</span><span class="fragmark1">Ä</span>']
+    html = "<td>" + "".join(f"<p>{s}</p>" for s in spans) + "</td>"
+    m = S.match_sides(spark.createDataFrame([("u", "src", [html])], "url string, side string, cells array<string>"))
+    assert sorted((r["para_no"], r["key"], r["start"], r["end"]) for r in m["runs"].collect()) == [
+        (1, "fragmark1_ä b c", 7, 12), (1, "fragmark2_x", 5, 6), (2, "fragmark1_ä", 5, 6), (2, "fragmark3_y", 3, 4)]
+    want = S.span_runs(m["offsets"])
+    assert sorted(map(tuple, m["runs"].collect())) == sorted(map(tuple, want.select(*m["runs"].columns).collect()))
